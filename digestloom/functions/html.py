@@ -205,9 +205,12 @@ def title(page: Column, selector: str = "#article_title_h2") -> Column:
 def published_at(page: Column, within: tuple[str, ...] = (".timewrap", ".time"),
                  element: str = "time", marker: str = "발행일") -> Column:
     """Text after the first colon of the marked time element, else of the first one, else empty."""
+    def inside(regions: Column, selector: str) -> Column:
+        return F.flatten(F.transform(regions, lambda r: select_all(r, selector)))
+
     regions = F.array(page)
     for selector in (*within, element):
-        regions = F.flatten(F.transform(regions, lambda r, s=selector: select_all(r, s)))
+        regions = inside(regions, selector)
     return let(
         F.transform(regions, lambda t: element_text(t, "")),
         lambda times: F.coalesce(

@@ -32,9 +32,9 @@ def _accents() -> tuple[str, str]:
     import unicodedata
 
     marked, plain = [], []
-    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
-        base = unicodedata.normalize("NFKD", chr(code))[0]
-        if base.isascii() and base.isalpha():
+    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00)):
+        base, *marks = unicodedata.normalize("NFKD", chr(code))
+        if base.isascii() and base.isalnum() and all(map(unicodedata.combining, marks)):
             marked.append(chr(code))
             plain.append(base)
     return "".join(marked), "".join(plain)

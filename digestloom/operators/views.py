@@ -65,13 +65,14 @@ def digest_entries(items: DataFrame, ts: str, id_col: str) -> DataFrame:
     numbered = global_row_number(items, newest_first(ts, id_col), "_position").withColumn(
         "post_date", F.to_date(ts)
     )
-    # One row per day.
-    days = numbered.groupBy("post_date").agg((F.min("_position") - 1).alias("_before"))
+    # One row per day: bounded by the calendar.
+    days = numbered.groupBy(F.col("post_date").alias("_day")).agg(
+        (F.min("_position") - 1).alias("_before")
+    )
     return (
-        numbered.join(F.broadcast(days), F.col("post_date").eqNullSafe(days["post_date"]))
-        .drop(days["post_date"])
+        numbered.join(F.broadcast(days), F.col("post_date").eqNullSafe(F.col("_day")))
         .withColumn("entry_no", F.col("_position") - F.col("_before"))
-        .drop("_position", "_before")
+        .drop("_position", "_before", "_day")
     )
 
 

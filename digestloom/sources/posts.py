@@ -41,6 +41,14 @@ def render_posts(articles: DataFrame, as_of, style: PostStyle) -> DataFrame:
     )
 
 
+POST_SCHEMA = (
+    "article_id STRING, page INT, pos BIGINT, url STRING, title STRING, published_at STRING, "
+    "section STRING, keywords ARRAY<STRING>, summary STRING, method STRING, path STRING, "
+    "content STRING, post_date DATE, run_id STRING"
+)
+_STORED = [c.split(" ")[0] for c in POST_SCHEMA.split(", ")][:-1]
+
+
 def write_posts(posts: DataFrame, path: str, run_id: str) -> None:
     """Store the posts of one run, partitioned by day.
 
@@ -48,7 +56,10 @@ def write_posts(posts: DataFrame, path: str, run_id: str) -> None:
     files and joins quiet ones.
     """
     (
-        posts.hint("rebalance", "post_date")
+        posts.withColumn("page", F.col("page").cast("int"))
+        .withColumn("pos", F.col("pos").cast("bigint"))
+        .select(*_STORED)
+        .hint("rebalance", "post_date")
         .write.mode("overwrite")
         .partitionBy("post_date")
         .parquet(f"{path}/run_id={run_id}")
@@ -57,7 +68,7 @@ def write_posts(posts: DataFrame, path: str, run_id: str) -> None:
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """All stored posts of all runs."""
-    return spark.read.option("basePath", path).parquet(path)
+    return spark.read.schema(POST_SCHEMA).parquet(path)
 
 
 def current_posts(posts: DataFrame) -> DataFrame:
