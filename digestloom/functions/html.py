@@ -7,7 +7,7 @@ import html.entities
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from digestloom.functions.arrays import let
+from digestloom.functions.arrays import blank_to_null, let
 from digestloom.functions.text import strip
 
 # Marks the place of a removed tag, comment or element: text on both sides stays separate.
@@ -45,7 +45,10 @@ def _start_tag(selector: str) -> str:
 
 
 def _until_closed(rest: Column, tag: Column) -> Column:
-    """Head of ``rest`` up to the end tag that balances an already opened ``tag``."""
+    """Head of ``rest`` up to the end tag that balances an already opened ``tag``.
+
+    ``rest`` and ``tag`` are lambda values, so repeating them costs nothing.
+    """
     pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)")))
     opens = F.concat(F.lit("(?i)^<"), tag, F.lit(r"\b"))
 
@@ -79,9 +82,14 @@ def _until_closed(rest: Column, tag: Column) -> Column:
 def select_first(page: Column, selector: str) -> Column:
     """Inner HTML of the first element that matches, null when there is none."""
     start = _start_tag(selector)
-    rest = F.get(F.split(page, start, 2), F.lit(1))
-    tag = F.regexp_extract(page, start, 1)
-    return F.when(F.regexp_like(page, F.lit(start)), _until_closed(rest, tag))
+    found = let(
+        page,
+        lambda p: F.struct(
+            F.regexp_extract(p, start, 1).alias("tag"),
+            F.get(F.split(p, start, 2), F.lit(1)).alias("rest"),
+        ),
+    )
+    return let(found, lambda m: F.when(m["tag"] != "", _until_closed(m["rest"], m["tag"])))
 
 
 def select_all(page: Column, selector: str) -> Column:
@@ -90,25 +98,27 @@ def select_all(page: Column, selector: str) -> Column:
     tags = F.regexp_extract_all(page, F.lit(start), F.lit(1))
     # A piece ends at the next match, so put back what follows it: nested content is kept.
     rests = F.split(page, start)
-    return F.transform(
-        F.zip_with(tags, F.slice(rests, F.lit(2), F.size(tags)), lambda t, r: F.struct(
-            t.alias("tag"), r.alias("rest")
-        )),
-        lambda m: _until_closed(m["rest"], m["tag"]),
+    pairs = F.zip_with(
+        tags,
+        F.slice(rests, F.lit(2), F.greatest(F.size(rests) - 1, F.lit(0))),
+        lambda t, r: F.struct(t.alias("tag"), r.alias("rest")),
     )
+    return F.transform(pairs, lambda m: _until_closed(m["rest"], m["tag"]))
 
 
 def drop_elements(fragment: Column, tags: tuple[str, ...] = DROPPED_ELEMENTS) -> Column:
     """Remove elements with their content, nested ones included."""
-    for tag in tags:
+
+    def without(text: Column, tag: str) -> Column:
         if tag in RAW_TEXT_ELEMENTS:
-            fragment = F.regexp_replace(
-                fragment, rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)", BREAK
-            )
-        else:
-            fragment = F.when(
-                F.regexp_like(fragment, F.lit(rf"(?i)<{tag}\b")), _drop_nested(fragment, tag)
-            ).otherwise(fragment)
+            return F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)", BREAK)
+        has = rf"(?i)<{tag}\b"
+        return let(
+            text, lambda t: F.when(F.regexp_like(t, F.lit(has)), _drop_nested(t, tag)).otherwise(t)
+        )
+
+    for tag in tags:
+        fragment = without(fragment, tag)
     return fragment
 
 
@@ -168,10 +178,12 @@ def decode_entities(text: Column) -> Column:
             )
         )
 
-    return F.when(
-        F.contains(text, F.lit("&")),
-        F.array_join(F.transform(F.split(text, "&"), decode), ""),
-    ).otherwise(text)
+    return let(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), decode), "")
+        ).otherwise(t),
+    )
 
 
 def element_text(fragment: Column, separator: str) -> Column:
@@ -191,9 +203,12 @@ def title(page: Column, selector: str = "#article_title_h2") -> Column:
         ),
         F.lit(0),
     )
-    quoted = F.coalesce(
-        F.nullif(F.regexp_extract(og, r'(?is)\scontent\s*=\s*"([^"]*)"', 1), F.lit("")),
-        F.regexp_extract(og, r"(?is)\scontent\s*=\s*'([^']*)'", 1),
+    quoted = let(
+        og,
+        lambda m: F.coalesce(
+            blank_to_null(F.regexp_extract(m, r'(?is)\scontent\s*=\s*"([^"]*)"', 1)),
+            F.regexp_extract(m, r"(?is)\scontent\s*=\s*'([^']*)'", 1),
+        ),
     )
     return F.coalesce(
         element_text(select_first(page, selector), ""),
@@ -214,9 +229,8 @@ def published_at(page: Column, within: tuple[str, ...] = (".timewrap", ".time"),
     return let(
         F.transform(regions, lambda t: element_text(t, "")),
         lambda times: F.coalesce(
-            F.nullif(
-                _after_colon(F.get(F.filter(times, lambda t: F.contains(t, F.lit(marker))), F.lit(0))),
-                F.lit(""),
+            blank_to_null(
+                _after_colon(F.get(F.filter(times, lambda t: F.contains(t, F.lit(marker))), F.lit(0)))
             ),
             _after_colon(F.get(times, F.lit(0))),
             F.lit(""),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from digestloom.functions.arrays import blank_to_null
 from digestloom.functions.dates import day_text, post_date_text
 from digestloom.functions.slug import slugify
 from digestloom.functions.text import strip
@@ -52,7 +53,7 @@ def yaml_list(items: Column) -> Column:
 
 
 def slug_or_id(title: Column, article_id: Column) -> Column:
-    return F.coalesce(F.nullif(slugify(title), F.lit("")), article_id)
+    return F.coalesce(blank_to_null(slugify(title)), article_id)
 
 
 def post_path(ts: Column, slug: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from digestloom.functions.arrays import let
+
 # Initial, medial and final letters of a Hangul syllable, in code order.
 INITIALS = "g gg n d dd r m b bb s ss - j jj c k t p h".split()
 MEDIALS = "a ae ya yae eo e yeo ye o wa wae oe yo u weo we wi yu eu yi i".split()
@@ -57,16 +59,19 @@ def _hangul(char: Column) -> Column:
 def romanise(text: Column) -> Column:
     """ASCII spelling of Hangul syllables, known Hanja and accented Latin letters."""
     hanja = F.create_map(*[F.lit(v) for k, r in HANJA.items() for v in (k, r + " ")])
-    spelled = F.array_join(
-        F.transform(
-            F.split(text, ""),
-            lambda c: F.when(F.ascii(c).between(0xAC00, 0xD7A3), _hangul(c)).otherwise(
-                F.coalesce(F.try_element_at(hanja, c), c)
-            ),
-        ),
-        "",
+
+    def spell(c: Column) -> Column:
+        return F.when(F.ascii(c).between(0xAC00, 0xD7A3), _hangul(c)).otherwise(
+            F.coalesce(F.try_element_at(hanja, c), c)
+        )
+
+    wide = let(
+        text,
+        lambda t: F.when(
+            F.regexp_like(t, F.lit(r"[\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}]")),
+            F.array_join(F.transform(F.split(t, ""), spell), ""),
+        ).otherwise(t),
     )
-    wide = F.when(F.regexp_like(text, F.lit(r"[\x{2E80}-\x{D7FF}]")), spelled).otherwise(text)
     for sign, ascii_text in SIGNS.items():
         wide = F.replace(wide, F.lit(sign), F.lit(ascii_text))
     return F.translate(wide, *_accents())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from digestloom.functions import dates, html, text, urls
+from digestloom.functions.post import slug_or_id
 from digestloom.functions.slug import slugify
 from digestloom.operators import (
     discover as disc,
@@ -117,7 +118,7 @@ def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A post path per document, from its first sentence; copies collide."""
     docs = _documents(spark, sf_dir)
     title = F.coalesce(F.get(text.sentences(F.col("text")), F.lit(0)), F.lit(""))
-    slug = F.coalesce(F.nullif(slugify(title), F.lit("")), _id("doc_id"))
+    slug = slug_or_id(title, _id("doc_id"))
     return docs.select(
         _id("doc_id").alias("article_id"),
         F.concat(F.lit("2024-01-31-"), slug, F.lit(".md")).alias("path"),
