@@ -1,48 +1,81 @@
-"""Small helpers over array columns."""
+"""Small helpers to write array expressions."""
 
 from __future__ import annotations
 
+import inspect
+import itertools
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+_fresh = itertools.count()
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
+def lit(text: str) -> str:
+    """A string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    for char, code in (("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r"), ("\x01", "\\u0001")):
+        escaped = escaped.replace(char, code)
+    return f"'{escaped}'"
+
+
+def _lambda(body: Callable[..., str]) -> str:
+    names = [f"v{next(_fresh)}" for _ in inspect.signature(body).parameters]
+    head = names[0] if len(names) == 1 else f"({', '.join(names)})"
+    return f"{head} -> {body(*names)}"
+
+
+def transform(values: str, body: Callable[..., str]) -> str:
+    """``body`` takes the element, and the index if it has a second parameter."""
+    return f"transform({values}, {_lambda(body)})"
+
+
+def keep(values: str, body: Callable[..., str]) -> str:
+    return f"filter({values}, {_lambda(body)})"
+
+
+def zip_with(a: str, b: str, body: Callable[[str, str], str]) -> str:
+    return f"zip_with({a}, {b}, {_lambda(body)})"
+
+
+def fold(values: str, start: str, body: Callable[[str, str], str], finish: Callable[[str], str] = lambda a: a) -> str:
+    return f"aggregate({values}, {start}, {_lambda(body)}, {_lambda(finish)})"
+
+
+def struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def let(value: str, body: Callable[[str], str]) -> str:
     """Evaluate ``value`` once per row and use it several times in ``body``.
 
     A lambda argument is a value, not an expression, so a costly ``value`` is not
     repeated for every element when ``body`` refers to it inside another lambda.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return f"element_at({transform(f'array({value})', body)}, 1)"
 
 
-def runs(values: Column, same: Callable[[Column, Column], Column]) -> Column:
+def runs(values: str, same: Callable[[str, str], str]) -> str:
     """Runs of equal neighbours in a sorted array, as ``array<struct<lo,hi>>`` (0-based, half open)."""
 
-    def body(vs: Column) -> Column:
-        starts = F.filter(
-            F.slice(F.sequence(F.lit(0), F.size(vs)), F.lit(1), F.size(vs)),
-            lambda i: (i == 0) | ~same(F.get(vs, i - 1), F.get(vs, i)),
+    def body(vs: str) -> str:
+        starts = keep(
+            f"slice(sequence(0, size({vs})), 1, size({vs}))",
+            lambda i: f"{i} = 0 OR NOT ({same(f'get({vs}, {i} - 1)', f'get({vs}, {i})')})",
         )
         return let(
             starts,
-            lambda st: F.transform(
-                st,
-                lambda lo, k: F.struct(
-                    lo.alias("lo"), F.coalesce(F.get(st, k + 1), F.size(vs)).alias("hi")
-                ),
+            lambda st: transform(
+                st, lambda lo, k: struct(lo=lo, hi=f"coalesce(get({st}, {k} + 1), size({vs}))")
             ),
         )
 
     return let(values, body)
 
 
-def blank_to_null(text: Column) -> Column:
-    """Null for an empty string (``nullif`` would evaluate a costly ``text`` twice)."""
-    return let(text, lambda t: F.when(t != "", t))
+def total(values: str, term: Callable[[str], str] = lambda v: v) -> str:
+    """Sum of ``term`` over a double array, left to right."""
+    return fold(values, "0D", lambda acc, v: f"{acc} + {term(v)}")
 
 
-def total(values: Column, term: Callable[[Column], Column] = lambda v: v) -> Column:
-    """Sum of ``term`` over a double array, left to right."""
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + term(v))
+def blank_to_null(text: str) -> str:
+    """Null for an empty string (``nullif`` would evaluate a costly ``text`` twice)."""
+    return let(text, lambda t: f"CASE WHEN {t} <> '' THEN {t} END")

@@ -4,63 +4,60 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from digestloom.functions.arrays import let, lit
 from digestloom.functions.text import WHITESPACE, strip
 
-# The zone the posts are dated in.
-ZONE = "Asia/Seoul"
+# Fixed value: the offset the posts are dated with (Seoul).
 ZONE_SUFFIX = " +0900"
 
 _MINUTE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}$"
 
 
-def wall_time(value: datetime | str | Column) -> Column:
+def wall_time(value: datetime | str) -> str:
     """A wall-clock literal, for example the ``as_of`` of a run."""
-    if isinstance(value, Column):
-        return value
-    return F.lit(str(value)).cast("timestamp_ntz")
+    return f"CAST({lit(str(value))} AS TIMESTAMP_NTZ)"
 
 
-def published_ts(published_at: Column) -> Column:
+def published_ts(published_at: str) -> str:
     """Parse ``YYYY-MM-DD HH:MM``; anything else is null (which is legal, not an error)."""
-    text = F.regexp_replace(strip(published_at), rf"[{WHITESPACE}]+", " ")
-    return F.when(F.regexp_like(text, F.lit(_MINUTE)), text.try_cast("timestamp_ntz"))
+    text = f"regexp_replace({strip(published_at)}, {lit(f'[{WHITESPACE}]+')}, ' ')"
+    return let(
+        text,
+        lambda t: f"CASE WHEN regexp_like({t}, {lit(_MINUTE)}) THEN try_cast({t} AS TIMESTAMP_NTZ) END",
+    )
 
 
-def published_or(published_at: Column, as_of: datetime | str | Column) -> Column:
+def published_or(published_at: str, as_of: datetime | str) -> str:
     """Publication time, or the time of the run when it cannot be parsed."""
-    return F.coalesce(published_ts(published_at), wall_time(as_of))
-
-
-def within_lookback(published_at: Column, days: int, as_of: datetime | str | Column) -> Column:
-    """True inside the lookback window (bound included), for future and for unparseable times."""
-    ts = published_ts(published_at)
-    return ts.isNull() | (ts >= cutoff(days, as_of))
+    return f"coalesce({published_ts(published_at)}, {wall_time(as_of)})"
 
 
-def cutoff(days: int, as_of: datetime | str | Column) -> Column:
+def cutoff(days: int, as_of: datetime | str) -> str:
     if days < 1:
         raise ValueError("lookback days must be at least 1")
-    return wall_time(as_of) - F.expr(f"INTERVAL '{int(days)}' DAY")
+    return f"({wall_time(as_of)} - INTERVAL '{int(days)}' DAY)"
+
+
+def within_lookback(published_at: str, days: int, as_of: datetime | str) -> str:
+    """True inside the lookback window (bound included), for future and for unparseable times."""
+    return f"coalesce({published_ts(published_at)} >= {cutoff(days, as_of)}, true)"
 
 
-def day_text(ts: Column) -> Column:
-    return F.substring(ts.cast("string"), 1, 10)
+def day_text(ts: str) -> str:
+    return f"substring(CAST({ts} AS STRING), 1, 10)"
 
 
-def post_date_text(ts: Column) -> Column:
+def post_date_text(ts: str) -> str:
     """``YYYY-MM-DD HH:MM:SS +0900``."""
-    return F.concat(F.substring(ts.cast("string"), 1, 19), F.lit(ZONE_SUFFIX))
+    return f"concat(substring(CAST({ts} AS STRING), 1, 19), {lit(ZONE_SUFFIX)})"
 
 
-def run_stamp(as_of: datetime | str | Column) -> Column:
+def run_stamp(ts: str) -> str:
     """ISO time of a run given in Seoul wall time, with microseconds and offset."""
-    text = F.date_format(wall_time(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(text, F.lit("+09:00"))
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return f"concat(date_format({ts}, {lit(fmt)}), '+09:00')"
 
 
-def run_stamp_utc(as_of_utc: datetime | str | Column) -> Column:
+def run_stamp_utc(ts: str) -> str:
     """The same stamp for an instant given in UTC."""
-    return run_stamp(wall_time(as_of_utc) + F.expr("INTERVAL '9' HOUR"))
+    return run_stamp(f"{ts} + INTERVAL '9' HOUR")

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from digestloom.functions.arrays import blank_to_null
+from digestloom.functions.arrays import blank_to_null, let, lit, transform
 from digestloom.functions.dates import day_text, post_date_text
 from digestloom.functions.slug import slugify
 from digestloom.functions.text import strip
@@ -25,85 +22,82 @@ _TYPED = (
     r"(?:\.[0-9]*)?(?:[ \t]*(?:Z|[-+][0-9]{1,2}(?::?[0-9]{2})?))?)$"
 )
 # Marks that cannot start, or occur in, a plain YAML scalar.
-_MARKED = (
-    r"^[#,\[\]{}&*!|>'\"%@`]|^[?:-](?:\s|$)|^---|^\.\.\.|:\s|:$|\s#|^\s|\s$|^$"
-)
+_MARKED = r"^[#,\[\]{}&*!|>'\"%@`]|^[?:-](?:\s|$)|^---|^\.\.\.|:\s|:$|\s#|^\s|\s$|^$"
 _FLOW_MARKED = r"[,?\[\]{}]|^[?:-]|:"
 
 
-def yaml_scalar(text: Column, in_list: bool = False) -> Column:
+def yaml_scalar(text: str, in_list: bool = False) -> str:
     """Quote ``text`` when YAML needs it; ``in_list`` adds the rules of a flow list."""
-    need = F.regexp_like(text, F.lit(_TYPED)) | F.regexp_like(text, F.lit(_MARKED))
-    if in_list:
-        need = need | F.regexp_like(text, F.lit(_FLOW_MARKED))
-    quoted = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
-    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    escaped = F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
-    control = F.regexp_like(text, F.lit(r"[\n\t]"))
-    return (
-        F.when(control, F.concat(F.lit('"'), escaped, F.lit('"')))
-        .when(need, quoted)
-        .otherwise(text)
-    )
+    pattern = f"{_TYPED}|{_MARKED}" + (f"|{_FLOW_MARKED}" if in_list else "")
+
+    def quoted(t: str) -> str:
+        escaped = t
+        for char, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t")):
+            escaped = f"replace({escaped}, {lit(char)}, {lit(code)})"
+        single = f"""replace({t}, {lit("'")}, {lit("''")})"""
+        return (
+            f"""CASE WHEN regexp_like({t}, {lit("[\n\t]")}) THEN concat('"', {escaped}, '"') """
+            f"""WHEN regexp_like({t}, {lit(pattern)}) THEN concat({lit("'")}, {single}, {lit("'")}) """
+            f"ELSE {t} END"
+        )
+
+    return let(text, quoted)
+
+
+def unquote_yaml(text: str) -> str:
+    """Inverse of :func:`yaml_scalar` for one scalar."""
+
+    def plain(t: str) -> str:
+        single = f"""replace(regexp_extract({t}, {lit("(?s)^'(.*)'$")}, 1), {lit("''")}, {lit("'")})"""
+        double = f"""regexp_extract({t}, {lit('(?s)^"(.*)"$')}, 1)"""
+        for code, char in (("\\n", "\n"), ("\\t", "\t"), ('\\"', '"'), ("\\\\", "\\")):
+            double = f"replace({double}, {lit(code)}, {lit(char)})"
+        return (
+            f"""CASE WHEN startswith({t}, {lit("'")}) THEN {single} """
+            f"""WHEN startswith({t}, '"') THEN {double} ELSE {t} END"""
+        )
+
+    return let(strip(text), plain)
 
 
-def yaml_list(items: Column) -> Column:
-    inner = F.array_join(F.transform(items, lambda t: yaml_scalar(t, in_list=True)), ", ")
-    return F.concat(F.lit("["), inner, F.lit("]"))
+def yaml_list(items: str) -> str:
+    inner = transform(items, lambda t: yaml_scalar(t, in_list=True))
+    return f"concat('[', array_join({inner}, ', '), ']')"
 
 
-def slug_or_id(title: Column, article_id: Column) -> Column:
-    return F.coalesce(blank_to_null(slugify(title)), article_id)
+def slug_or_id(title: str, article_id: str) -> str:
+    return f"coalesce({blank_to_null(slugify(title))}, {article_id})"
 
 
-def post_path(ts: Column, slug: Column) -> Column:
+def post_path(ts: str, slug: str) -> str:
     """``YYYY-MM-DD-<slug>.md``."""
-    return F.concat(day_text(ts), F.lit("-"), slug, F.lit(".md"))
+    return f"concat({day_text(ts)}, '-', {slug}, '.md')"
 
 
-def front_matter(
-    title: Column,
-    ts: Column,
-    keywords: Column,
-    url: Column,
-    categories: Sequence[str],
-    layout: str,
-) -> Column:
+def front_matter(title: str, ts: str, keywords: str, url: str, categories: Sequence[str], layout: str) -> str:
     """Front matter with a fixed key order and flow-style lists."""
-    lines = F.concat_ws(
-        "\n",
-        F.lit("---"),
-        F.concat(F.lit("layout: "), yaml_scalar(F.lit(layout))),
-        F.concat(F.lit("title: "), yaml_scalar(title)),
-        F.concat(F.lit("date: "), post_date_text(ts)),
-        F.concat(F.lit("categories: "), yaml_list(F.array(*[F.lit(c) for c in categories]))),
-        F.concat(F.lit("tags: "), yaml_list(keywords)),
-        F.concat(F.lit("source_url: "), yaml_scalar(url)),
-        F.lit("auto_generated: true"),
-        F.lit("---"),
+    listed = f"array({', '.join(map(lit, categories))})"
+    lines = (
+        "'---'",
+        f"concat('layout: ', {yaml_scalar(lit(layout))})",
+        f"concat('title: ', {yaml_scalar(title)})",
+        f"concat('date: ', {post_date_text(ts)})",
+        f"concat('categories: ', {yaml_list(listed)})",
+        f"concat('tags: ', {yaml_list(keywords)})",
+        f"concat('source_url: ', {yaml_scalar(url)})",
+        "'auto_generated: true'",
+        "'---\\n'",
     )
-    return F.concat(lines, F.lit("\n"))
+    return f"concat_ws('\\n', {', '.join(lines)})"
 
 
-def body(keywords: Column, summary: Column, url: Column, section_url: str, section_name: str) -> Column:
+def body(keywords: str, summary: str, url: str, section_url: str, section_name: str) -> str:
     """Keywords, summary and the link back to the source."""
-    return F.concat(
-        F.lit("## Keywords\n"), F.array_join(keywords, ", "),
-        F.lit("\n\n## Summary\n"), summary,
-        F.lit(f"\n\n---\n*This post was automatically generated from [{section_name}]({section_url}). "
-              "[Read original article →]("), url, F.lit(")*\n"),
+    source = (
+        f"\n\n---\n*This post was automatically generated from [{section_name}]({section_url}). "
+        "[Read original article →]("
     )
-
-
-def unquote_yaml(text: Column) -> Column:
-    """Inverse of :func:`yaml_scalar` for one scalar."""
-    text = strip(text)
-    single = F.regexp_extract(text, "(?s)^'(.*)'$", 1)
-    double = F.regexp_extract(text, '(?s)^"(.*)"$', 1)
-    plain = F.replace(F.replace(double, F.lit("\\n"), F.lit("\n")), F.lit("\\t"), F.lit("\t"))
-    plain = F.replace(F.replace(plain, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
     return (
-        F.when(F.startswith(text, F.lit("'")), F.replace(single, F.lit("''"), F.lit("'")))
-        .when(F.startswith(text, F.lit('"')), plain)
-        .otherwise(text)
+        f"concat({lit('## Keywords\n')}, array_join({keywords}, ', '), {lit('\n\n## Summary\n')}, "
+        f"{summary}, {lit(source)}, {url}, {lit(')*\n')})"
     )

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import unicodedata
 
-from digestloom.functions.arrays import let
+from digestloom.functions.arrays import let, lit, transform
 
 # Initial, medial and final letters of a Hangul syllable, in code order.
 INITIALS = "g gg n d dd r m b bb s ss - j jj c k t p h".split()
@@ -29,10 +28,8 @@ SIGNS = {
 MAX_LENGTH = 50
 
 
-def _accents() -> tuple[str, str]:
+def accents() -> tuple[str, str]:
     """Accented Latin letters and their base letters, from Unicode decompositions."""
-    import unicodedata
-
     marked, plain = [], []
     for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00)):
         base, *marks = unicodedata.normalize("NFKD", chr(code))
@@ -42,46 +39,46 @@ def _accents() -> tuple[str, str]:
     return "".join(marked), "".join(plain)
 
 
-def _letters(names: list[str]) -> Column:
-    return F.array(*[F.lit("" if n == "-" else n) for n in names])
+def _letters(names: list[str], index: str) -> str:
+    listed = ", ".join(lit("" if n == "-" else n) for n in names)
+    return f"get(array({listed}), {index})"
 
 
-def _hangul(char: Column) -> Column:
-    at = F.ascii(char) - 0xAC00
-    pick = lambda names, index: F.get(_letters(names), index.cast("int"))
-    return F.concat(
-        pick(INITIALS, F.floor(at / 588)),
-        pick(MEDIALS, F.floor((at % 588) / 28)),
-        pick(FINALS, at % 28),
+def _hangul(char: str) -> str:
+    at = f"(ascii({char}) - 44032)"
+    return (
+        f"concat({_letters(INITIALS, f'int({at} div 588)')}, "
+        f"{_letters(MEDIALS, f'int({at} % 588 div 28)')}, {_letters(FINALS, f'{at} % 28')})"
     )
 
 
-def romanise(text: Column) -> Column:
+def romanise(text: str) -> str:
     """ASCII spelling of Hangul syllables, known Hanja and accented Latin letters."""
-    hanja = F.create_map(*[F.lit(v) for k, r in HANJA.items() for v in (k, r + " ")])
+    hanja = ", ".join(f"{lit(k)}, {lit(r + ' ')}" for k, r in HANJA.items())
 
-    def spell(c: Column) -> Column:
-        return F.when(F.ascii(c).between(0xAC00, 0xD7A3), _hangul(c)).otherwise(
-            F.coalesce(F.try_element_at(hanja, c), c)
+    def spell(c: str) -> str:
+        return (
+            f"CASE WHEN ascii({c}) BETWEEN 44032 AND 55203 THEN {_hangul(c)} "
+            f"ELSE coalesce(try_element_at(map({hanja}), {c}), {c}) END"
         )
 
-    wide = let(
-        text,
-        lambda t: F.when(
-            F.regexp_like(t, F.lit(r"[\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}]")),
-            F.array_join(F.transform(F.split(t, ""), spell), ""),
-        ).otherwise(t),
-    )
+    def spelled(t: str) -> str:
+        east_asian = lit(r"[\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}]")
+        each = f"array_join({transform(f'''split({t}, '')''', spell)}, '')"
+        return f"CASE WHEN regexp_like({t}, {east_asian}) THEN {each} ELSE {t} END"
+
+    wide = let(text, spelled)
     for sign, ascii_text in SIGNS.items():
-        wide = F.replace(wide, F.lit(sign), F.lit(ascii_text))
-    return F.translate(wide, *_accents())
+        wide = f"replace({wide}, {lit(sign)}, {lit(ascii_text)})"
+    marked, plain = accents()
+    return f"translate({wide}, {lit(marked)}, {lit(plain)})"
 
 
-def slugify(text: Column, max_length: int = MAX_LENGTH) -> Column:
+def slugify(text: str, max_length: int = MAX_LENGTH) -> str:
     """Lower-case ASCII words joined with single dashes, cut to ``max_length``."""
-    slug = romanise(F.regexp_replace(text, "'+", "-"))
-    slug = F.lower(F.regexp_replace(slug, "[‘’‛′]", ""))
-    slug = F.regexp_replace(slug, "([0-9]),(?=[0-9])", "$1")
-    slug = F.regexp_replace(slug, "[^a-z0-9]+", "-")
-    slug = F.regexp_replace(slug, "^-|-$", "")
-    return F.regexp_replace(F.substring(slug, 1, max_length), "-$", "")
+    slug = romanise(f"""regexp_replace({text}, {lit("'+")}, '-')""")
+    slug = f"lower(regexp_replace({slug}, {lit('[‘’‛′]')}, ''))"
+    slug = f"regexp_replace({slug}, '([0-9]),(?=[0-9])', '$1')"
+    slug = f"regexp_replace({slug}, '[^a-z0-9]+', '-')"
+    slug = f"regexp_replace({slug}, '^-|-$', '')"
+    return f"regexp_replace(substring({slug}, 1, {int(max_length)}), '-$', '')"

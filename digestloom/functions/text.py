@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from digestloom.functions.arrays import let, runs
+from digestloom.functions.arrays import keep, let, lit, runs, struct, transform
 
 # Whitespace as Unicode-aware string functions see it (for a regex class).
 WHITESPACE = r"\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}"
@@ -21,73 +18,69 @@ STOPWORDS = (
 
 TOKEN = r"([\p{L}\p{N}]+)"
 
-Tokenizer = Callable[[Column], Column]
-
 
-def strip(text: Column) -> Column:
+def strip(text: str) -> str:
     """Remove leading and trailing whitespace of every kind (``trim`` removes spaces only)."""
-    return F.regexp_replace(text, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    pattern = rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$"
+    return f"regexp_replace({text}, {lit(pattern)}, '')"
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (strip(text) == "")
+def is_blank(text: str) -> str:
+    return f"({text} IS NULL OR {strip(text)} = '')"
 
 
-def raw_tokens(text: Column) -> Column:
+def raw_tokens(text: str) -> str:
     """Lower-cased runs of letters and digits."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(1))
+    return f"regexp_extract_all(lower(coalesce({text}, '')), {lit(TOKEN)}, 1)"
 
 
-def keep_tokens(tokens: Column, stopwords: Iterable[str] = STOPWORDS) -> Column:
+def keep_tokens(tokens: str, stopwords: Iterable[str] = STOPWORDS) -> str:
     """Drop one-character tokens and stopwords."""
-    stop = list(stopwords)
-    return F.filter(
-        tokens, lambda t: (F.length(t) > 1) & ~t.isin(stop) if stop else F.length(t) > 1
-    )
+    stop = ", ".join(map(lit, stopwords))
+    listed = (lambda t: f" AND {t} NOT IN ({stop})") if stop else (lambda t: "")
+    return keep(tokens, lambda t: f"length({t}) > 1{listed(t)}")
 
 
-def content_tokens(text: Column, tokenizer: Tokenizer = raw_tokens) -> Column:
-    """Tokens that may become keywords; ``tokenizer`` may be any column-to-array function."""
-    return keep_tokens(tokenizer(text))
+def content_tokens(text: str) -> str:
+    """Tokens that may become keywords."""
+    return keep_tokens(raw_tokens(text))
 
 
-def sentences(text: Column, split_newlines: bool = False) -> Column:
+def sentences(text: str, split_newlines: bool = False) -> str:
     """Sentences end at whitespace after ``.``, ``!`` or ``?``; blank ones are dropped."""
     cut = rf"(?<=[.!?])[{WHITESPACE}]+"
     if split_newlines:
         cut += r"|[\r\n]+"
-    parts = F.split(F.coalesce(text, F.lit("")), cut)
-    return F.filter(F.transform(parts, strip), lambda s: s != "")
+    parts = f"split(coalesce({text}, ''), {lit(cut)})"
+    return keep(transform(parts, strip), lambda s: f"{s} <> ''")
 
 
-def words(sentence: Column) -> Column:
+def words(sentence: str) -> str:
     """Whitespace-separated words of one sentence."""
-    return F.filter(F.split(sentence, rf"[{WHITESPACE}]+"), lambda w: w != "")
+    return keep(f"split({sentence}, {lit(f'[{WHITESPACE}]+')})", lambda w: f"{w} <> ''")
 
 
-def term_counts(tokens: Column) -> Column:
+def term_counts(tokens: str) -> str:
     """Count each token of the row: ``array<struct<term,tf_count,first_pos>>``, in term order.
 
     Sorting the row's own tokens and measuring the runs replaces a shuffle on
     (document, term): the tokens of a document never leave its task.
     """
-    placed = F.sort_array(
-        F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
-    )
+    placed = f"sort_array({transform(tokens, lambda t, i: struct(term=t, pos=i))})"
     return let(
         placed,
-        lambda ts: F.transform(
-            runs(ts, lambda a, b: a["term"] == b["term"]),
-            lambda r: F.struct(
-                F.get(ts, r["lo"])["term"].alias("term"),
-                (r["hi"] - r["lo"]).cast("bigint").alias("tf_count"),
-                F.get(ts, r["lo"])["pos"].alias("first_pos"),
+        lambda ts: transform(
+            runs(ts, lambda a, b: f"{a}.term = {b}.term"),
+            lambda r: struct(
+                term=f"get({ts}, {r}.lo).term",
+                tf_count=f"bigint({r}.hi - {r}.lo)",
+                first_pos=f"get({ts}, {r}.lo).pos",
             ),
         ),
     )
 
 
-def reading_minutes(text: Column, words_per_minute: int = 200) -> Column:
+def reading_minutes(text: str, words_per_minute: int = 200) -> str:
     """Whole minutes needed to read ``text``, at least one."""
-    n = F.size(words(F.coalesce(text, F.lit(""))))
-    return F.greatest(F.lit(1), F.ceil(n / F.lit(words_per_minute))).cast("bigint")
+    n = f"size({words(f'''coalesce({text}, '')''')})"
+    return f"bigint(greatest(1, ceil({n} / {int(words_per_minute)})))"

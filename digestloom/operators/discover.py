@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from digestloom.functions.dates import cutoff, published_ts, within_lookback
@@ -19,9 +19,9 @@ def listed_items(listing: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     """Well-formed items of the pages a run may read; a missing date becomes empty."""
     return (
         listing.filter(F.col("page").between(1, max_pages))
-        .filter(F.coalesce(valid_id(F.col("article_id")), F.lit(False)))
-        .withColumn("article_id", strip(F.col("article_id")))
-        .withColumn("published_at", strip(F.coalesce("published_at", F.lit(""))))
+        .filter(valid_id("article_id"))
+        .withColumn("article_id", F.expr(strip("article_id")))
+        .withColumn("published_at", F.expr(strip("coalesce(published_at, '')")))
     )
 
 
@@ -31,7 +31,7 @@ def first_occurrences(items: DataFrame) -> DataFrame:
     return items.groupBy("article_id").agg(first.alias("at")).select("article_id", "at.*")
 
 
-def _stops(items: DataFrame, firsts: DataFrame, as_of, lookback_days: int) -> tuple[DataFrame, DataFrame]:
+def _stops(items: DataFrame, firsts: DataFrame, as_of: datetime | str, lookback_days: int) -> tuple[DataFrame, DataFrame]:
     """One-row tables: the last page before the first gap, and the first page with an old item."""
     # At most max_pages rows, so an unpartitioned window is fine here.
     pages = items.select("page").distinct().withColumn(
@@ -40,14 +40,14 @@ def _stops(items: DataFrame, firsts: DataFrame, as_of, lookback_days: int) -> tu
     gap = pages.filter(F.col("page") == F.col("n")).agg(
         F.coalesce(F.max("page"), F.lit(0)).alias("last_page")
     )
-    old = published_ts(F.col("published_at")) < cutoff(lookback_days, as_of)
+    old = f"{published_ts('published_at')} < {cutoff(lookback_days, as_of)}"
     cut = firsts.filter(old).agg(F.min("page").alias("cut_page"))
     return gap, cut
 
 
 def discover(
     listing: DataFrame,
-    as_of: datetime | str | Column,
+    as_of: datetime | str,
     lookback_days: int = 7,
     max_pages: int = MAX_PAGES,
 ) -> DataFrame:
@@ -65,7 +65,7 @@ def discover(
 
 def discovery_report(
     listing: DataFrame,
-    as_of: datetime | str | Column,
+    as_of: datetime | str,
     lookback_days: int = 7,
     max_pages: int = MAX_PAGES,
 ) -> DataFrame:
@@ -85,9 +85,9 @@ def discovery_report(
     )
 
 
-def recent(articles: DataFrame, as_of, lookback_days: int = 7) -> DataFrame:
+def recent(articles: DataFrame, as_of: datetime | str, lookback_days: int = 7) -> DataFrame:
     """Articles inside the lookback window; unparseable dates are kept."""
-    return articles.filter(within_lookback(F.col("published_at"), lookback_days, as_of))
+    return articles.filter(within_lookback("published_at", lookback_days, as_of))
 
 
 def require_items(discovered: DataFrame) -> DataFrame:

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from digestloom.functions.arrays import let, total
-from digestloom.functions.text import Tokenizer, content_tokens, raw_tokens, term_counts
+from digestloom.functions.arrays import fold, let, struct, total, transform, zip_with
+from digestloom.functions.text import content_tokens, keep_tokens, term_counts
 from digestloom.operators.skew import hot_keys, salted_join, top_per_group
 
+Tokenizer = Callable[[Column], Column]
+
 # Fixed value: weight of each repetition in the single-document score.
 REPEAT_WEIGHT = 0.15
 
 SCORE_DECIMALS = 9
 
 
-def tf_score(count: Column, n_tokens: Column) -> Column:
+def tf_score(count: str, n_tokens: str) -> str:
     """Term frequency, raised for terms that recur."""
-    return count / n_tokens * (1.0 + (count - 1) * REPEAT_WEIGHT)
+    return f"{count} / {n_tokens} * (1D + ({count} - 1) * {REPEAT_WEIGHT!r}D)"
 
 
-def top_terms(tokens: Column, k: int) -> Column:
+def top_terms(tokens: str, k: int) -> str:
     """Best ``k`` terms of one document: ``array<struct<term,tf_count,score>>``, best first.
 
     The score grows strictly with the count, so the order is count, then first occurrence,
@@ -29,69 +33,67 @@ def top_terms(tokens: Column, k: int) -> Column:
     if k < 1:
         raise ValueError("the number of keywords must be at least 1")
 
-    def ranked(counts: Column) -> Column:
-        order = F.slice(
-            F.sort_array(
-                F.transform(
-                    counts,
-                    lambda c: F.struct(
-                        (-c["tf_count"]).alias("n"), c["first_pos"].alias("pos"), c["term"].alias("term")
-                    ),
-                )
-            ),
-            1,
-            k,
+    def ranked(counts: str) -> str:
+        keyed = transform(
+            counts, lambda c: struct(n=f"-{c}.tf_count", pos=f"{c}.first_pos", term=f"{c}.term")
         )
-        n_tokens = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, c: a + c["tf_count"])
+        order = f"slice(sort_array({keyed}), 1, {int(k)})"
+        n_tokens = fold(counts, "0L", lambda acc, c: f"{acc} + {c}.tf_count")
         return let(
             n_tokens,
-            lambda n: F.transform(
+            lambda n: transform(
                 order,
-                lambda o: F.struct(
-                    o["term"].alias("term"),
-                    (-o["n"]).alias("tf_count"),
-                    tf_score(-o["n"], n).alias("score"),
-                ),
+                lambda o: struct(term=f"{o}.term", tf_count=f"-{o}.n", score=tf_score(f"(-{o}.n)", n)),
             ),
         )
 
     return let(term_counts(tokens), ranked)
 
 
-def keyword_list(text: Column, k: int = 7, tokenizer: Tokenizer = raw_tokens) -> Column:
-    """Top keywords of a text as a list; blank texts get an empty list."""
-    return F.transform(top_terms(content_tokens(text, tokenizer), k), lambda t: t["term"])
+def keyword_list(tokens: str, k: int = 7) -> str:
+    """Top keywords of a token list, best first; no tokens give an empty list."""
+    return transform(top_terms(tokens, k), lambda t: f"{t}.term")
+
+
+def with_tokens(docs: DataFrame, text_col: str, tokenizer: Tokenizer | None) -> tuple[DataFrame, str]:
+    """The documents, and the SQL expression of their content tokens.
+
+    ``tokenizer`` maps the text column to an array column; a pandas UDF that calls a
+    morphological analyser fits.
+    """
+    if tokenizer is None:
+        return docs, content_tokens(text_col)
+    return docs.withColumn("_tokens", tokenizer(F.col(text_col))), keep_tokens("_tokens")
 
 
 def keywords_topn(
     docs: DataFrame, k: int = 7, id_col: str = "doc_id", text_col: str = "text",
-    tokenizer: Tokenizer = raw_tokens,
+    tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
     """``(id, rn, term, tf_count, score)`` for the ``k`` best terms of every document. No shuffle."""
-    tops = top_terms(content_tokens(F.col(text_col), tokenizer), k)
-    return docs.select(id_col, F.posexplode(tops).alias("at", "kw")).select(
+    docs, tokens = with_tokens(docs, text_col, tokenizer)
+    return docs.select(id_col, F.posexplode(F.expr(top_terms(tokens, k))).alias("at", "kw")).select(
         id_col, (F.col("at") + 1).alias("rn"), "kw.term", "kw.tf_count", "kw.score"
     )
 
 
 def document_terms(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: Tokenizer = raw_tokens
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    tokenizer: Tokenizer | None = None,
 ) -> DataFrame:
     """``(id, term, tf_count, first_pos, n_tokens)`` for every term of every document. No shuffle."""
-    tokens = content_tokens(F.col(text_col), tokenizer)
+    docs, tokens = with_tokens(docs, text_col, tokenizer)
     rows = let(
         tokens,
-        lambda ts: F.transform(
+        lambda ts: transform(
             term_counts(ts),
-            lambda c: F.struct(
-                c["term"].alias("term"),
-                c["tf_count"].alias("tf_count"),
-                c["first_pos"].alias("first_pos"),
-                F.size(ts).cast("bigint").alias("n_tokens"),
+            lambda c: struct(
+                term=f"{c}.term", tf_count=f"{c}.tf_count", first_pos=f"{c}.first_pos",
+                n_tokens=f"bigint(size({ts}))",
             ),
         ),
     )
-    return docs.select(id_col, F.explode(rows).alias("t")).select(id_col, "t.*")
+    return docs.select(id_col, F.explode(F.expr(rows)).alias("t")).select(id_col, "t.*")
 
 
 def document_frequency(terms: DataFrame) -> DataFrame:
@@ -105,7 +107,7 @@ def without_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
 
 
 def tfidf_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                tokenizer: Tokenizer = raw_tokens) -> DataFrame:
+                tokenizer: Tokenizer | None = None) -> DataFrame:
     """Every term with its document frequency and ``weight``, not yet normalised.
 
     The weight is the count times ``ln((1+n)/(1+df)) + 1``.
@@ -120,7 +122,7 @@ def tfidf_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def tfidf_topn(docs: DataFrame, k: int = 7, id_col: str = "doc_id", text_col: str = "text",
-               tokenizer: Tokenizer = raw_tokens) -> DataFrame:
+               tokenizer: Tokenizer | None = None) -> DataFrame:
     """Best ``k`` terms of every document against the whole corpus, scores L2-normalised.
 
     One shuffle brings the weights of a document together; its size is bounded by the
@@ -133,7 +135,7 @@ def tfidf_topn(docs: DataFrame, k: int = 7, id_col: str = "doc_id", text_col: st
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(whole))
     scored = weights.withColumn(
         "score",
-        F.when(alone, tf_score(F.col("tf_count"), F.col("n_tokens"))).otherwise(
+        F.when(alone, F.expr(tf_score("tf_count", "n_tokens"))).otherwise(
             F.col("weight") / norm
         ),
     )
@@ -155,14 +157,13 @@ def as_lists(keyword_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def cosine(a: Column, b: Column) -> Column:
+def cosine(a: str, b: str) -> str:
     """Cosine of two equally long numeric arrays; null when one has no length."""
-    norm = F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b))
-    return F.try_divide(_dot(a, b), norm)
+    return f"try_divide({_dot(a, b)}, sqrt({_dot(a, a)}) * sqrt({_dot(b, b)}))"
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
+def _dot(a: str, b: str) -> str:
+    return total(zip_with(a, b, lambda x, y: f"double({x}) * double({y})"))
 
 
 def embedding_topn(
@@ -181,7 +182,7 @@ def embedding_topn(
         hot_keys(counts, key, "n"),
         term,
     )
-    scored = joined.withColumn("score", cosine(F.col("_c"), F.col("_d"))).drop("_c", "_d")
+    scored = joined.withColumn("score", F.expr(cosine("_c", "_d"))).drop("_c", "_d")
     order = [F.desc_nulls_last(F.round("score", decimals)), F.asc(term)]
     return top_per_group(scored, [key], order, k).select(key, "rn", term, "score")
 

@@ -14,10 +14,12 @@ shuffle, no edge table, no growing lineage, and a lost task is simply recomputed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from digestloom.functions.arrays import blank_to_null, let, runs, total
+from digestloom.functions.arrays import (
+    blank_to_null, fold, keep, let, runs, struct, total, transform, zip_with,
+)
 from digestloom.functions.text import sentences, strip, words
 
 # Fixed values of the published summariser.
@@ -33,7 +35,7 @@ MAX_STEPS = 64
 TIE_DECIMALS = 12
 
 
-def _graph(parts: Column) -> Column:
+def _graph(parts: str) -> str:
     """``struct<words, sents>`` of one document.
 
     ``words``: per word that occurs more than once, its length classes
@@ -42,201 +44,164 @@ def _graph(parts: Column) -> Column:
     ``sents``: per sentence, the indexes of its classes (in the flattened order of
     ``words``) and the weight it gets from words that occur nowhere else.
     """
-    return let(F.transform(parts, lambda s: words(F.lower(s))), _graph_of_words)
+    return let(transform(parts, lambda s: words(f"lower({s})")), _graph_of_words)
 
 
-def _graph_of_words(parts: Column) -> Column:
-    occurrences = F.sort_array(
-        F.flatten(
-            F.transform(
-                parts,
-                lambda ws, i: F.transform(
-                    ws,
-                    lambda w: F.struct(w.alias("word"), F.size(ws).alias("len"), i.alias("at")),
-                ),
-            )
-        )
-    )
+def _slice(values: str, run: str, skip: int = 0) -> str:
+    return f"slice({values}, {run}.lo + {1 + skip}, {run}.hi - {run}.lo - {skip})"
 
-    def by_word(occ: Column) -> Column:
-        # One slice per word, then one per length inside it.
-        slices = F.transform(
-            F.filter(
-                runs(occ, lambda a, b: a["word"] == b["word"]),
-                lambda r: r["hi"] - r["lo"] > 1,
-            ),
-            lambda r: F.slice(occ, r["lo"] + 1, r["hi"] - r["lo"]),
-        )
-        by_length = F.transform(
-            slices,
-            lambda one: F.transform(
-                runs(one, lambda a, b: a["len"] == b["len"]),
-                lambda r: F.struct(
-                    F.ln(F.get(one, r["lo"])["len"]).alias("log_len"),
-                    F.transform(
-                        F.slice(one, r["lo"] + 1, r["hi"] - r["lo"]), lambda o: o["at"]
-                    ).alias("members"),
-                ),
+
+def _graph_of_words(parts: str) -> str:
+    def placed(ws: str, i: str) -> str:
+        return transform(ws, lambda w: struct(word=w, len=f"size({ws})", at=i))
+
+    occurrences = f"sort_array(flatten({transform(parts, placed)}))"
+
+    def by_length(one: str) -> str:
+        return transform(
+            runs(one, lambda a, b: f"{a}.len = {b}.len"),
+            lambda r: struct(
+                log_len=f"ln(get({one}, {r}.lo).len)",
+                members=transform(_slice(one, r), lambda o: f"{o}.at"),
             ),
         )
-        return F.transform(by_length, weigh)
 
-    def weigh(classes: Column) -> Column:
-        def inverse(norm: Column) -> Column:
-            return F.when(norm > 0, F.lit(1.0) / norm).otherwise(F.lit(1.0))
+    def weigh(classes: str) -> str:
+        def inverse(c: str, o: str) -> str:
+            norm = f"{c}.log_len + {o}.log_len"
+            return f"CASE WHEN {norm} > 0 THEN 1D / ({norm}) ELSE 1D END"
 
-        return F.transform(
+        return transform(
             classes,
-            lambda c: F.struct(
-                c["members"].alias("members"),
-                F.transform(
-                    classes, lambda o: inverse(c["log_len"] + o["log_len"])
-                ).alias("weights"),
+            lambda c: struct(
+                members=f"{c}.members", weights=transform(classes, lambda o: inverse(c, o))
             ),
         )
 
-    def by_sentence(shared: Column) -> Column:
-        uses = F.flatten(
-            F.transform(
-                F.flatten(shared),
-                lambda c, k: F.transform(
-                    c["members"], lambda at: F.struct(at.alias("at"), k.alias("cls"))
-                ),
-            )
+    def by_word(occ: str) -> str:
+        # One slice per word, then one per length inside it.
+        repeated = keep(
+            runs(occ, lambda a, b: f"{a}.word = {b}.word"), lambda r: f"{r}.hi - {r}.lo > 1"
         )
-        # A marker per sentence keeps sentences without any shared word in place.
-        markers = F.transform(
-            parts, lambda s, i: F.struct(i.alias("at"), F.lit(-1).alias("cls"))
+        return transform(
+            transform(transform(repeated, lambda r: _slice(occ, r)), by_length), weigh
         )
+
+    def by_sentence(shared: str) -> str:
+        uses = transform(
+            f"flatten({shared})",
+            lambda c, k: transform(f"{c}.members", lambda at: struct(at=at, cls=k)),
+        )
+        # A marker per sentence keeps sentences without any shared word in place.
+        markers = transform(parts, lambda s, i: struct(at=i, cls="-1"))
         return let(
-            F.sort_array(F.concat(uses, markers)),
-            lambda us: F.transform(
-                runs(us, lambda a, b: a["at"] == b["at"]),
-                lambda r: F.transform(
-                    F.slice(us, r["lo"] + 2, r["hi"] - r["lo"] - 1), lambda u: u["cls"]
-                ),
+            f"sort_array(concat(flatten({uses}), {markers}))",
+            lambda us: transform(
+                runs(us, lambda a, b: f"{a}.at = {b}.at"),
+                lambda r: transform(_slice(us, r, skip=1), lambda u: f"{u}.cls"),
             ),
         )
 
-    def solo(s: Column, classes: Column) -> Column:
-        n = F.size(s)
-        norm = F.when(n > 1, F.ln(n) * 2).otherwise(F.lit(1.0))
-        return (n - F.size(classes)) / norm
+    def solo(ws: str, classes: str) -> str:
+        norm = f"CASE WHEN size({ws}) > 1 THEN ln(size({ws})) * 2 ELSE 1D END"
+        return f"(size({ws}) - size({classes})) / ({norm})"
 
     return let(
         let(occurrences, by_word),
-        lambda shared: F.struct(
-            shared.alias("words"),
-            F.zip_with(
-                parts,
-                by_sentence(shared),
-                lambda s, cs: F.struct(cs.alias("classes"), solo(s, cs).alias("solo")),
-            ).alias("sents"),
+        lambda shared: struct(
+            words=shared,
+            sents=zip_with(
+                parts, by_sentence(shared), lambda ws, cs: struct(classes=cs, solo=solo(ws, cs))
+            ),
         ),
     )
 
 
-def _spread(graph: Column, u: Column) -> Column:
+def _spread(graph: str, u: str) -> str:
     """The product of the similarity matrix (diagonal included) with ``u``."""
 
-    def per_class(classes: Column) -> Column:
-        summed = F.transform(classes, lambda c: total(c["members"], lambda at: F.get(u, at)))
+    def per_class(classes: str) -> str:
+        summed = transform(classes, lambda c: total(f"{c}.members", lambda at: f"get({u}, {at})"))
         return let(
             summed,
-            lambda ys: F.transform(
-                classes, lambda c: total(F.zip_with(ys, c["weights"], lambda y, w: y * w))
+            lambda ys: transform(
+                classes, lambda c: total(zip_with(ys, f"{c}.weights", lambda y, w: f"{y} * {w}"))
             ),
         )
 
     return let(
-        F.flatten(F.transform(graph["words"], per_class)),
-        lambda z: F.zip_with(
-            graph["sents"],
+        f"flatten({transform(f'{graph}.words', per_class)})",
+        lambda z: zip_with(
+            f"{graph}.sents",
             u,
-            lambda s, ui: s["solo"] * ui + total(s["classes"], lambda k: F.get(z, k)),
+            lambda s, ui: f"{s}.solo * {ui} + {total(f'{s}.classes', lambda k: f'get({z}, {k})')}",
         ),
     )
 
 
-def sentence_degrees(parts: Column) -> Column:
-    """Summed similarity of each sentence to all sentences of the document, itself included."""
-    return let(parts, lambda ps: let(_graph(ps), lambda g: _degrees(g, ps)))
+def _degrees(graph: str, parts: str) -> str:
+    return let(transform(parts, lambda s: "1D"), lambda ones: _spread(graph, ones))
 
 
-def _degrees(graph: Column, parts: Column) -> Column:
-    return _spread(graph, F.transform(parts, lambda s: F.lit(1.0)))
+def sentence_degrees(parts: str) -> str:
+    """Summed similarity of each sentence to all sentences of the document, itself included."""
+    return let(parts, lambda ps: let(_graph(ps), lambda g: _degrees(g, ps)))
 
 
 def sentence_ranks(
-    parts: Column,
+    parts: str,
     damping: float = DAMPING,
     epsilon: float = EPSILON,
     max_steps: int = MAX_STEPS,
-) -> Column:
+) -> str:
     """TextRank score of each sentence: ``array<double>`` aligned with ``parts``.
 
     Steps end when the vector moves by at most ``epsilon`` (Euclidean), or after
     ``max_steps``; ``epsilon=0`` gives a fixed number of steps.
     """
+    stay, move = f"{1.0 - damping!r}D", f"{damping!r}D"
 
-    def iterate(ps: Column, graph: Column, degrees: Column) -> Column:
-        n = F.size(ps)
-
-        def step(x: Column) -> Column:
-            share = F.zip_with(x, degrees, lambda r, d: r / (d + ROW_SUM_GUARD))
+    def iterate(ps: str, graph: str, degrees: str) -> str:
+        def step(x: str) -> str:
+            share = zip_with(x, degrees, lambda r, d: f"{r} / ({d} + {ROW_SUM_GUARD!r}D)")
             return let(
                 share,
-                lambda u: F.transform(
-                    _spread(graph, u), lambda s: (1.0 - damping) / n + s * damping
+                lambda u: transform(
+                    _spread(graph, u), lambda s: f"{stay} / size({ps}) + {s} * {move}"
                 ),
             )
 
-        def advance(x: Column) -> Column:
-            def moved(nx: Column) -> Column:
-                change = F.sqrt(
-                    total(F.zip_with(nx, x, lambda a, b: a - b), lambda d: d * d)
-                )
-                return F.struct(nx.alias("x"), (change > epsilon).alias("going"))
+        def moved(x: str, nx: str) -> str:
+            change = total(zip_with(nx, x, lambda a, b: f"{a} - {b}"), lambda d: f"{d} * {d}")
+            return struct(x=nx, going=f"sqrt({change}) > {epsilon!r}D")
 
-            return let(step(x), moved)
+        def advance(acc: str, _: str) -> str:
+            stepped = let(step(f"{acc}.x"), lambda nx: moved(f"{acc}.x", nx))
+            return f"CASE WHEN {acc}.going THEN {stepped} ELSE {acc} END"
 
-        start = F.struct(
-            F.transform(ps, lambda s: F.lit(1.0) / n).alias("x"), F.lit(True).alias("going")
-        )
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(max_steps)),
-            start,
-            lambda acc, _: F.when(acc["going"], advance(acc["x"])).otherwise(acc),
-            lambda acc: acc["x"],
-        )
+        start = struct(x=transform(ps, lambda s: f"1D / size({ps})"), going="true")
+        return fold(f"sequence(1, {int(max_steps)})", start, advance, lambda acc: f"{acc}.x")
 
-    def ranked(ps: Column) -> Column:
-        return let(_graph(ps), lambda g: let(_degrees(g, ps), lambda d: iterate(ps, g, d)))
+    def ranked(ps: str) -> str:
+        scores = let(_graph(ps), lambda g: let(_degrees(g, ps), lambda d: iterate(ps, g, d)))
+        return f"CASE WHEN size({ps}) > 0 THEN {scores} ELSE CAST(array() AS ARRAY<DOUBLE>) END"
 
-    empty = F.array().cast("array<double>")
-    return let(parts, lambda ps: F.when(F.size(ps) > 0, ranked(ps)).otherwise(empty))
+    return let(parts, ranked)
 
 
-def lead(parts: Column, k: int) -> Column:
+def lead(parts: str, k: int) -> str:
     """First ``k`` sentences joined with one space."""
-    return F.array_join(F.slice(parts, 1, k), " ")
+    return f"array_join(slice({parts}, 1, {int(k)}), ' ')"
 
 
-def _top_in_order(parts: Column, ranks: Column, k: int) -> Column:
-    best = F.slice(
-        F.sort_array(
-            F.transform(
-                ranks, lambda r, i: F.struct((-F.round(r, TIE_DECIMALS)).alias("r"), i.alias("at"))
-            )
-        ),
-        1,
-        k,
-    )
-    order = F.sort_array(F.transform(best, lambda b: b["at"]))
-    return F.array_join(F.transform(order, lambda at: F.get(parts, at)), " ")
+def _top_in_order(parts: str, ranks: str, k: int) -> str:
+    by_rank = transform(ranks, lambda r, i: struct(r=f"-round({r}, {TIE_DECIMALS})", at=i))
+    best = f"slice(sort_array({by_rank}), 1, {int(k)})"
+    order = f"sort_array({transform(best, lambda b: f'{b}.at')})"
+    return f"array_join({transform(order, lambda at: f'get({parts}, {at})')}, ' ')"
 
 
-def summary_of(parts: Column, k: int = 4) -> Column:
+def summary_of(parts: str, k: int = 4) -> str:
     """Extractive summary of an array of sentences.
 
     Up to ``k`` sentences are returned as they are; otherwise the ``k`` best ranked ones in
@@ -244,24 +209,25 @@ def summary_of(parts: Column, k: int = 4) -> Column:
     """
     if k < 1:
         raise ValueError("a summary needs at least one sentence")
-    return let(
-        parts,
-        lambda ps: F.when(F.size(ps) <= k, F.array_join(ps, " ")).otherwise(
-            F.coalesce(
-                blank_to_null(strip(_top_in_order(ps, sentence_ranks(ps), k))), lead(ps, k)
-            )
-        ),
-    )
+
+    def body(ps: str) -> str:
+        ranked = blank_to_null(strip(_top_in_order(ps, sentence_ranks(ps), k)))
+        return (
+            f"CASE WHEN size({ps}) <= {int(k)} THEN array_join({ps}, ' ') "
+            f"ELSE coalesce({ranked}, {lead(ps, k)}) END"
+        )
+
+    return let(parts, body)
 
 
-def textrank_summary(text: Column, k: int = 4, split_newlines: bool = False) -> Column:
+def textrank_summary(text: str, k: int = 4, split_newlines: bool = False) -> str:
     return summary_of(sentences(text, split_newlines), k)
 
 
-def lead_summary(text: Column, k: int = 4, split_newlines: bool = False) -> Column:
+def lead_summary(text: str, k: int = 4, split_newlines: bool = False) -> str:
     if k < 1:
         raise ValueError("a summary needs at least one sentence")
-    return let(sentences(text, split_newlines), lambda ps: lead(ps, k))
+    return lead(sentences(text, split_newlines), k)
 
 
 def explode_sentences(
@@ -270,5 +236,5 @@ def explode_sentences(
     """One row per sentence: ``(id, sent_idx, sentence)``, ``sent_idx`` from 0."""
     return docs.select(
         id_col,
-        F.posexplode(sentences(F.col(text_col), split_newlines)).alias("sent_idx", "sentence"),
+        F.posexplode(F.expr(sentences(text_col, split_newlines))).alias("sent_idx", "sentence"),
     )

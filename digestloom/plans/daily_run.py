@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.functions.text import Tokenizer, raw_tokens
 from digestloom.operators.discover import MAX_PAGES, discover, recent, require_items
+from digestloom.operators.keywords import Tokenizer
 from digestloom.operators.processed import unprocessed
 from digestloom.operators.quality import missing_pages, run_counters
 from digestloom.operators.views import digest_entries
@@ -31,7 +31,7 @@ class Options:
     section: str = "AI/SW"
     page_layout: PageLayout = PageLayout()
     style: PostStyle = PostStyle(section_url="https://news.example.com/section")
-    tokenizer: Tokenizer = raw_tokens
+    tokenizer: Tokenizer | None = None
 
     def __post_init__(self) -> None:
         if self.output_mode not in OUTPUT_MODES:

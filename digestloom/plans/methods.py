@@ -11,16 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from digestloom.functions.text import Tokenizer, raw_tokens
-from digestloom.operators.keywords import as_lists, embedding_topn, keyword_list, tfidf_topn
+from digestloom.operators.keywords import (
+    Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_topn, with_tokens,
+)
 from digestloom.operators.textrank import lead_summary, textrank_summary
 
 
-def _tf(docs: DataFrame, k: int, id_col: str, text_col: str, tokenizer: Tokenizer) -> DataFrame:
-    return docs.withColumn("keywords", keyword_list(F.col(text_col), k, tokenizer))
+def _tf(docs: DataFrame, k: int, id_col: str, text_col: str,
+    tokenizer: Tokenizer | None) -> DataFrame:
+    docs, tokens = with_tokens(docs, text_col, tokenizer)
+    return docs.withColumn("keywords", F.expr(keyword_list(tokens, k))).drop("_tokens")
 
 
-def _tfidf(docs: DataFrame, k: int, id_col: str, text_col: str, tokenizer: Tokenizer) -> DataFrame:
+def _tfidf(docs: DataFrame, k: int, id_col: str, text_col: str,
+    tokenizer: Tokenizer | None) -> DataFrame:
     lists = as_lists(tfidf_topn(docs.select(id_col, text_col), k, id_col, text_col, tokenizer), id_col)
     none = F.array().cast("array<string>")
     return docs.join(lists, id_col, "left").withColumn("keywords", F.coalesce("keywords", none))
@@ -29,9 +33,9 @@ def _tfidf(docs: DataFrame, k: int, id_col: str, text_col: str, tokenizer: Token
 KEYWORD_METHODS: dict[str, Callable[..., DataFrame]] = {"tf": _tf, "tfidf": _tfidf}
 SUMMARY_METHODS: dict[str, Callable[..., DataFrame]] = {
     "textrank": lambda docs, k, text_col: docs.withColumn(
-        "summary", textrank_summary(F.col(text_col), k)
+        "summary", F.expr(textrank_summary(text_col, k))
     ),
-    "lead": lambda docs, k, text_col: docs.withColumn("summary", lead_summary(F.col(text_col), k)),
+    "lead": lambda docs, k, text_col: docs.withColumn("summary", F.expr(lead_summary(text_col, k))),
 }
 OUTPUT_MODES = ("per_article", "daily_digest")
 
@@ -57,7 +61,7 @@ def keybert(candidates: DataFrame, doc_vectors: DataFrame, id_col: str = "doc_id
 
 def extract_keywords(docs: DataFrame, method: str | Callable[..., DataFrame] = "tf", k: int = 7,
                      id_col: str = "doc_id", text_col: str = "text",
-                     tokenizer: Tokenizer = raw_tokens) -> DataFrame:
+                     tokenizer: Tokenizer | None = None) -> DataFrame:
     if k < 1:
         raise ValueError("the number of keywords must be at least 1")
     run = method if callable(method) else _pick(KEYWORD_METHODS, method, "keyword")

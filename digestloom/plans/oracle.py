@@ -6,7 +6,7 @@ sums, global windows instead of range partitions.
 
 from __future__ import annotations
 
-from digestloom.functions.slug import SIGNS, _accents
+from digestloom.functions.slug import SIGNS, accents
 from digestloom.functions.text import STOPWORDS
 from digestloom.plans.queries import AS_OF, BASE_URL, LISTING_PAGES, SEARCH_TERMS, STOP_TABLE, STYLE
 
@@ -132,7 +132,7 @@ def _slug(x: str) -> str:
     x = f"regexp_replace({x}, '''+', '-', 'g')"
     for sign, ascii_text in SIGNS.items():
         x = f"replace({x}, '{sign}', '{ascii_text}')"
-    marked, plain = _accents()
+    marked, plain = accents()
     x = f"lower(regexp_replace(translate({x}, '{marked}', '{plain}'), '[‘’‛′]', '', 'g'))"
     for _ in range(2):
         x = f"regexp_replace({x}, '([0-9]),([0-9])', '\\1\\2', 'g')"

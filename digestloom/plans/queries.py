@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.functions import dates, html, text, urls
-from digestloom.functions.post import slug_or_id
+from digestloom.functions import dates, text, urls
+from digestloom.functions.post import post_path, slug_or_id
 from digestloom.functions.slug import slugify
 from digestloom.operators import (
     discover as disc,
@@ -35,6 +35,7 @@ PAGES_LAYOUT = PageLayout(title="h1", body="article")
 STOP_TABLE = ("the", "of", "and", "to", "in", "de", "la", "le", "les", "der", "die", "und", "el", "que")
 SEARCH_TERMS = ("the", "tion", "onred", "quele", "schaft", "erthe")
 LISTING_PAGES = 25
+FIRST_SENTENCE = f"coalesce(get({text.sentences('text')}, 0), '')"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,12 +70,16 @@ def _id(number: str):
     return (F.lit(20240101000000) + F.col(number)).cast("string")
 
 
+def _stamp(as_of: str):
+    return F.expr(dates.run_stamp(dates.wall_time(as_of))).alias("processed_at")
+
+
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts: a day and the seven best keywords."""
     docs = _documents(spark, sf_dir)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 60).cast("int"))
     return docs.select(
-        "doc_id", day.alias("post_date"), kw.keyword_list(F.col("text")).alias("tags")
+        "doc_id", day.alias("post_date"), F.expr(kw.keyword_list(text.content_tokens("text"))).alias("tags")
     )
 
 
@@ -108,8 +113,9 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = _articles(spark, sf_dir)
-    done = articles.withColumn("keywords", kw.keyword_list(F.col("raw_text"))).withColumn(
-        "summary", textrank.lead_summary(F.col("raw_text"))
+    done = methods.summarise(
+        methods.extract_keywords(articles, id_col="article_id", text_col="raw_text"), "lead",
+        text_col="raw_text",
     )
     return post_source.render_posts(done, AS_OF, STYLE)
 
@@ -117,12 +123,9 @@ def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A post path per document, from its first sentence; copies collide."""
     docs = _documents(spark, sf_dir)
-    title = F.coalesce(F.get(text.sentences(F.col("text")), F.lit(0)), F.lit(""))
-    slug = slug_or_id(title, _id("doc_id"))
-    return docs.select(
-        _id("doc_id").alias("article_id"),
-        F.concat(F.lit("2024-01-31-"), slug, F.lit(".md")).alias("path"),
-        F.col("doc_id").alias("write_seq"),
+    path = post_path("TIMESTAMP_NTZ '2024-01-31 00:00:00'", slug_or_id(FIRST_SENTENCE, "article_id"))
+    return docs.withColumn("article_id", _id("doc_id")).select(
+        "article_id", F.expr(path).alias("path"), F.col("doc_id").alias("write_seq")
     )
 
 
@@ -163,7 +166,7 @@ def tfidf_topn(spark, sf_dir):
 def stopword_anti(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     stop = spark.createDataFrame([(t,) for t in (*STOP_TABLE, *text.STOPWORDS)], "term string")
-    tokens = docs.select("doc_id", F.explode(text.raw_tokens(F.col("text"))).alias("term"))
+    tokens = docs.select("doc_id", F.explode(F.expr(text.raw_tokens("text"))).alias("term"))
     kept = kw.without_stopwords(tokens.filter(F.length("term") > 1), stop)
     return kept.groupBy("doc_id").agg(
         F.count("*").alias("n_kept"), F.count_distinct("term").alias("n_terms")
@@ -193,20 +196,20 @@ def sentences(spark, sf_dir):
 @query
 def lead_summary(spark, sf_dir):
     return _documents(spark, sf_dir).select(
-        "doc_id", textrank.lead_summary(F.col("text")).alias("summary")
+        "doc_id", F.expr(textrank.lead_summary("text")).alias("summary")
     )
 
 
 @query
 def textrank_degrees(spark, sf_dir):
-    degrees = textrank.sentence_degrees(text.sentences(F.col("text")))
+    degrees = F.expr(textrank.sentence_degrees(text.sentences("text")))
     rows = _documents(spark, sf_dir).select("doc_id", F.posexplode(degrees).alias("sent_idx", "d"))
     return rows.select("doc_id", "sent_idx", F.round("d", 6).alias("degree"))
 
 
 @query
 def textrank_ranks(spark, sf_dir):
-    ranks = textrank.sentence_ranks(text.sentences(F.col("text")))
+    ranks = F.expr(textrank.sentence_ranks(text.sentences("text")))
     rows = _documents(spark, sf_dir).select("doc_id", F.posexplode(ranks).alias("sent_idx", "r"))
     return rows.select("doc_id", "sent_idx", F.round("r", 8).alias("rank"))
 
@@ -214,7 +217,7 @@ def textrank_ranks(spark, sf_dir):
 @query
 def textrank_summary(spark, sf_dir):
     return _documents(spark, sf_dir).select(
-        "doc_id", textrank.textrank_summary(F.col("text")).alias("summary")
+        "doc_id", F.expr(textrank.textrank_summary("text")).alias("summary")
     )
 
 
@@ -231,7 +234,7 @@ def extraction_results(spark, sf_dir):
 @query
 def read_time(spark, sf_dir):
     return _documents(spark, sf_dir).select(
-        "doc_id", text.reading_minutes(F.col("text")).alias("minutes"),
+        "doc_id", F.expr(text.reading_minutes("text")).alias("minutes"),
         F.length("text").alias("n_chars"),
     )
 
@@ -248,23 +251,26 @@ def html_article(spark, sf_dir):
 
 @query
 def url_params(spark, sf_dir):
-    url = F.col("url")
-    return _table(spark, sf_dir, "pages").select(
+    return _table(spark, sf_dir, "pages").withColumn("id", _id("page_id")).select(
         "page_id",
-        urls.query_param(url, "page").alias("page_param"),
-        urls.query_param(url, "utm_source").alias("utm_source"),
-        urls.id_from_url(urls.article_url(_id("page_id"), BASE_URL)).alias("article_id"),
-        urls.id_date(_id("page_id")).alias("id_date"),
-        urls.id_serial(_id("page_id")).alias("id_serial"),
+        F.expr(urls.query_param("url", "page")).alias("page_param"),
+        F.expr(urls.query_param("url", "utm_source")).alias("utm_source"),
+        F.expr(urls.id_from_url(urls.article_url("id", BASE_URL))).alias("article_id"),
+        F.expr(urls.id_date("id")).alias("id_date"),
+        F.expr(urls.id_serial("id")).alias("id_serial"),
     )
 
 
 @query
 def post_dates(spark, sf_dir):
-    ts = dates.published_or(F.col("published_at"), AS_OF)
-    return _listing_items(spark, sf_dir).select(
-        "event_id", dates.day_text(ts).alias("file_date"), dates.post_date_text(ts).alias("post_date"),
-        dates.run_stamp_utc(F.col("ts")).alias("stamp"),
+    dated = _listing_items(spark, sf_dir).withColumn(
+        "at", F.expr(dates.published_or("published_at", AS_OF))
+    )
+    return dated.select(
+        "event_id",
+        F.expr(dates.day_text("at")).alias("file_date"),
+        F.expr(dates.post_date_text("at")).alias("post_date"),
+        F.expr(dates.run_stamp_utc("ts")).alias("stamp"),
     )
 
 
@@ -305,11 +311,11 @@ def unprocessed_anti(spark, sf_dir):
 @query
 def state_merge(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select(
-        _id("doc_id").alias("article_id"), dates.run_stamp(AS_OF).alias("processed_at")
+        _id("doc_id").alias("article_id"), _stamp(AS_OF)
     )
     old = _table(spark, sf_dir, "labels").select(
         _id("doc_id").alias("article_id"),
-        dates.run_stamp("2024-01-30 00:00:00").alias("processed_at"),
+        _stamp("2024-01-30 00:00:00"),
     )
     return processed.merge_state(old, docs)
 
@@ -332,7 +338,8 @@ def state_json(spark, sf_dir):
 @query
 def run_counters(spark, sf_dir):
     docs = _documents(spark, sf_dir)
-    error = F.when(text.is_blank(F.col("text")) | ~F.col("text").contains("."), "no sentence")
+    bad = f"{text.is_blank('text')} OR NOT contains(text, '.')"
+    error = F.expr(f"CASE WHEN {bad} THEN 'no sentence' END")
     return quality.run_counters(docs.select(error.alias("error")))
 
 
@@ -349,8 +356,7 @@ def missing_pages(spark, sf_dir):
 @query
 def slug_title(spark, sf_dir):
     docs = _documents(spark, sf_dir)
-    first = F.coalesce(F.get(text.sentences(F.col("text")), F.lit(0)), F.lit(""))
-    return docs.select("doc_id", slugify(first).alias("slug"))
+    return docs.select("doc_id", F.expr(slugify(FIRST_SENTENCE)).alias("slug"))
 
 
 @query

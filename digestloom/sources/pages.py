@@ -35,17 +35,18 @@ def parse_articles(pages: DataFrame, base_url: str, section: str = "AI/SW",
 
     A page that is null cannot be read: its ``error`` is set.
     """
-    page = F.col("_page")
+    layout_dates = (layout.dates, layout.date, layout.date_marker)
     return (
-        pages.withColumn("_page", html.drop_hidden(F.col("html")))
-        .withColumn("url", article_url(F.col("article_id"), base_url))
-        .withColumn("title", html.title(page, layout.title))
-        .withColumn(
-            "published_at",
-            html.published_at(page, layout.dates, layout.date, layout.date_marker),
+        pages.withColumn("_page", F.expr(html.drop_hidden("html")))
+        .withColumns(
+            {
+                "url": F.expr(article_url("article_id", base_url)),
+                "title": F.expr(html.title("_page", layout.title)),
+                "published_at": F.expr(html.published_at("_page", *layout_dates)),
+                "raw_text": F.expr(html.body_text("_page", layout.body)),
+                "section": F.lit(section),
+                "error": F.expr("CASE WHEN html IS NULL THEN 'page cannot be read' END"),
+            }
         )
-        .withColumn("raw_text", html.body_text(page, layout.body))
-        .withColumn("section", F.lit(section))
-        .withColumn("error", F.when(F.col("html").isNull(), F.lit("page cannot be read")))
         .drop("_page", "html")
     )

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from digestloom.functions import post
+from digestloom.functions.arrays import keep, lit, transform
 from digestloom.functions.dates import published_or
+from digestloom.functions.urls import id_from_url
 from digestloom.operators.views import last_write_wins
 
 
@@ -23,21 +26,27 @@ class PostStyle:
     layout: str = "single"
 
 
-def render_posts(articles: DataFrame, as_of, style: PostStyle) -> DataFrame:
+def render_posts(articles: DataFrame, as_of: datetime | str, style: PostStyle) -> DataFrame:
     """Add ``path``, ``post_date`` and ``content`` to articles with keywords and summary."""
-    ts = F.col("_ts")
-    keywords = F.coalesce("keywords", F.array().cast("array<string>"))
-    summary = F.coalesce("summary", F.lit(""))
-    head = post.front_matter(
-        F.col("title"), ts, keywords, F.col("url"), style.categories, style.layout
-    )
-    tail = post.body(keywords, summary, F.col("url"), style.section_url, style.section_name)
+    head = post.front_matter("title", "_ts", "_tags", "url", style.categories, style.layout)
+    tail = post.body("_tags", "_summary", "url", style.section_url, style.section_name)
+    slug = post.slug_or_id("title", "article_id")
     return (
-        articles.withColumn("_ts", published_or(F.col("published_at"), as_of))
-        .withColumn("path", post.post_path(ts, post.slug_or_id(F.col("title"), F.col("article_id"))))
-        .withColumn("post_date", ts.cast("date"))
-        .withColumn("content", F.concat(head, F.lit("\n"), tail))
-        .drop("_ts")
+        articles.withColumns(
+            {
+                "_ts": F.expr(published_or("published_at", as_of)),
+                "_tags": F.expr("coalesce(keywords, CAST(array() AS ARRAY<STRING>))"),
+                "_summary": F.expr("coalesce(summary, '')"),
+            }
+        )
+        .withColumns(
+            {
+                "path": F.expr(post.post_path("_ts", slug)),
+                "post_date": F.to_date("_ts"),
+                "content": F.expr(f"concat({head}, '\\n', {tail})"),
+            }
+        )
+        .drop("_ts", "_tags", "_summary")
     )
 
 
@@ -93,30 +102,33 @@ def read_post_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_name").alias("path"), F.col("value").alias("content"))
 
 
-def _field(content: Column, name: str) -> Column:
-    return F.regexp_extract(content, rf"(?m)^{name}: (.*)$", 1)
+def _field(content: str, name: str) -> str:
+    return f"regexp_extract({content}, {lit(f'(?m)^{name}: (.*)$')}, 1)"
 
 
-def _list_field(content: Column, name: str) -> Column:
-    inner = F.regexp_extract(content, rf"(?m)^{name}: \[(.*)\]$", 1)
-    items = F.filter(F.split(inner, r",\s+"), lambda t: t != "")
-    return F.transform(items, post.unquote_yaml)
+def _list_field(content: str, name: str) -> str:
+    inner = rf"regexp_extract({content}, {lit(rf'(?m)^{name}: \[(.*)\]$')}, 1)"
+    items = keep(f"split({inner}, {lit(r',\s+')})", lambda t: f"{t} <> ''")
+    return transform(items, post.unquote_yaml)
 
 
 def parse_posts(posts: DataFrame) -> DataFrame:
     """Fields of ``(path, content)`` posts: front matter, keyword line, summary, article id."""
-    content = F.col("content")
-    head = F.regexp_extract(content, r"(?s)\A---\n(.*?)\n---\n", 1)
-    return posts.select(
-        "path",
-        post.unquote_yaml(_field(head, "layout")).alias("layout"),
-        post.unquote_yaml(_field(head, "title")).alias("title"),
-        _field(head, "date").alias("date"),
-        _list_field(head, "categories").alias("categories"),
-        _list_field(head, "tags").alias("tags"),
-        post.unquote_yaml(_field(head, "source_url")).alias("source_url"),
-        (_field(head, "auto_generated") == "true").alias("auto_generated"),
-        F.regexp_extract(content, r"(?m)^## Keywords\n(.*)$", 1).alias("keyword_line"),
-        F.regexp_extract(content, r"(?s)\n## Summary\n(.*)\n\n---\n\*This post", 1).alias("summary"),
-        F.regexp_extract(_field(head, "source_url"), "/([0-9]{14})$", 1).alias("article_id"),
+    head = "_head"
+    fields = {
+        "layout": post.unquote_yaml(_field(head, "layout")),
+        "title": post.unquote_yaml(_field(head, "title")),
+        "date": _field(head, "date"),
+        "categories": _list_field(head, "categories"),
+        "tags": _list_field(head, "tags"),
+        "source_url": post.unquote_yaml(_field(head, "source_url")),
+        "auto_generated": f"{_field(head, 'auto_generated')} = 'true'",
+        "keyword_line": f"regexp_extract(content, {lit(r'(?m)^## Keywords\n(.*)$')}, 1)",
+        "summary": "regexp_extract(content, "
+        + lit(r"(?s)\n## Summary\n(.*)\n\n---\n\*This post") + ", 1)",
+        "article_id": f"coalesce({id_from_url(_field(head, 'source_url'))}, '')",
+    }
+    head_text = f"regexp_extract(content, {lit(r'(?s)\A---\n(.*?)\n---\n')}, 1)"
+    return posts.withColumn("_head", F.expr(head_text)).select(
+        "path", *[F.expr(sql).alias(name) for name, sql in fields.items()]
     )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.functions.dates import run_stamp
+from digestloom.functions.dates import run_stamp, wall_time
 from digestloom.session import path_exists
 
 STATE_SCHEMA = "article_id STRING, processed_at STRING"
@@ -30,12 +30,12 @@ def read_state(spark: SparkSession, path: str, before_run: str | None = None) ->
     return table.select("article_id", "processed_at")
 
 
-def append_state(ids: DataFrame, path: str, run_id: str, as_of: datetime | str | Column) -> None:
+def append_state(ids: DataFrame, path: str, run_id: str, as_of: datetime | str) -> None:
     """Add the ids of one run. A repeated run replaces its own folder, so nothing doubles."""
     (
         ids.select("article_id")
         .distinct()
-        .withColumn("processed_at", run_stamp(as_of))
+        .withColumn("processed_at", F.expr(run_stamp(wall_time(as_of))))
         .write.mode("overwrite")
         .parquet(f"{path}/run_id={run_id}")
     )
@@ -64,9 +64,9 @@ def read_state_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def corrupt_state_json(spark: SparkSession, path: str, as_of: datetime | str | Column) -> DataFrame:
+def corrupt_state_json(spark: SparkSession, path: str, as_of: datetime | str) -> DataFrame:
     """State documents that are not JSON, under the name of their quarantine copy."""
-    stamp = F.date_format(F.lit(str(as_of)).cast("timestamp_ntz"), "yyyyMMddHHmmss")
+    stamp = F.date_format(F.expr(wall_time(as_of)), "yyyyMMddHHmmss")
     return (
         _documents(spark, path)
         .filter(F.col("doc").isNull())
@@ -76,7 +76,7 @@ def corrupt_state_json(spark: SparkSession, path: str, as_of: datetime | str | C
     )
 
 
-def export_state_json(state: DataFrame, path: str, as_of: datetime | str | Column,
+def export_state_json(state: DataFrame, path: str, as_of: datetime | str,
                       documents: int | None = None) -> None:
     """Write the state as JSON documents of a bounded number of ids.
 
@@ -89,7 +89,7 @@ def export_state_json(state: DataFrame, path: str, as_of: datetime | str | Colum
     (
         ids.groupBy(shard.alias("shard"))
         .agg(F.sort_array(F.collect_list("article_id")).alias("processed_ids"))
-        .select("processed_ids", run_stamp(as_of).alias("last_run_at"))
+        .select("processed_ids", F.expr(run_stamp(wall_time(as_of))).alias("last_run_at"))
         .write.mode("overwrite")
         .json(path)
     )
