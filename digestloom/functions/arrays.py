@@ -57,10 +57,10 @@ def runs(values: str, same: Callable[[str, str], str]) -> str:
     """Runs of equal neighbours in a sorted array, as ``array<struct<lo,hi>>`` (0-based, half open)."""
 
     def body(vs: str) -> str:
-        starts = keep(
-            f"slice(sequence(0, size({vs})), 1, size({vs}))",
-            lambda i: f"{i} = 0 OR NOT ({same(f'get({vs}, {i} - 1)', f'get({vs}, {i})')})",
-        )
+        def start(v: str, i: str) -> str:
+            return f"CASE WHEN {i} = 0 OR NOT ({same(f'get({vs}, {i} - 1)', v)}) THEN {i} END"
+
+        starts = keep(transform(vs, start), lambda i: f"{i} IS NOT NULL")
         return let(
             starts,
             lambda st: transform(

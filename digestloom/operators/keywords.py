@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from digestloom.functions.arrays import fold, let, struct, total, transform, zip_with
 from digestloom.functions.text import content_tokens, keep_tokens, term_counts
 from digestloom.operators.skew import hot_keys, salted_join, top_per_group
+from digestloom.session import materialise
 
 Tokenizer = Callable[[Column], Column]
 
@@ -110,9 +111,11 @@ def tfidf_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 tokenizer: Tokenizer | None = None) -> DataFrame:
     """Every term with its document frequency and ``weight``, not yet normalised.
 
-    The weight is the count times ``ln((1+n)/(1+df)) + 1``.
+    The weight is the count times ``ln((1+n)/(1+df)) + 1``. The terms are needed for the
+    frequencies and again for the weights, so they are written once instead of tokenising
+    the corpus for each use.
     """
-    terms = document_terms(docs, id_col, text_col, tokenizer)
+    terms = materialise(document_terms(docs, id_col, text_col, tokenizer), "terms")
     freq = document_frequency(terms)
     n_docs = docs.agg(F.count("*").alias("n")).scalar()
     idf = F.ln((n_docs + 1) / (F.col("df") + 1)) + 1

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from digestloom.operators.keywords import document_terms
+from digestloom.session import materialise
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -21,25 +22,35 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def corpus_size(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row ``(n_docs, avg_tokens)`` from an index."""
+    per_doc = index.groupBy(id_col).agg(F.max("n_tokens").alias("n_tokens"))
+    return per_doc.agg(
+        F.count("*").alias("n_docs"), F.avg("n_tokens").cast("double").alias("avg_tokens")
+    )
+
+
 def write_index(index: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Store the index in term order, so that a lookup skips all files without its terms.
+    """Store the index in term order with its corpus size, so that a lookup skips all files
+    without its terms.
 
-    The range is on term and id: the postings of a frequent term fill several files.
+    The range is on term and id: the postings of a frequent term fill several files. Finding
+    the ranges takes a second pass, so the postings are written down before it.
     """
     (
-        index.repartitionByRange("term", id_col)
+        materialise(index, "postings")
+        .repartitionByRange("term", id_col)
         .sortWithinPartitions("term", id_col)
         .write.mode("overwrite")
-        .parquet(path)
+        .parquet(f"{path}/postings")
     )
+    postings = index.sparkSession.read.schema(index.schema).parquet(f"{path}/postings")
+    corpus_size(postings, id_col).coalesce(1).write.mode("overwrite").parquet(f"{path}/size")
 
 
-def corpus_size(docs_or_index: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row ``(n_docs, avg_tokens)`` from an index."""
-    per_doc = docs_or_index.groupBy(id_col).agg(F.max("n_tokens").alias("n_tokens"))
-    return per_doc.agg(
-        F.count("*").alias("n_docs"), F.avg("n_tokens").cast("double").alias("avg_tokens")
-    )
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Postings and corpus size of a stored index."""
+    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/size")
 
 
 def search(index: DataFrame, terms: Sequence[str], k: int = 10, id_col: str = "doc_id",
@@ -53,8 +64,8 @@ def search(index: DataFrame, terms: Sequence[str], k: int = 10, id_col: str = "d
     size = corpus_size(index, id_col) if size is None else size
     # One row per query term: bounded by the query.
     freq = F.broadcast(hits.groupBy("term").agg(F.count("*").alias("df")))
-    n_docs = size.select("n_docs").scalar()
-    avg_tokens = size.select("avg_tokens").scalar()
+    corpus = size.select(F.struct("n_docs", "avg_tokens")).scalar()
+    n_docs, avg_tokens = corpus["n_docs"], corpus["avg_tokens"]
     idf = F.ln(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     length = 1 - B + B * F.col("n_tokens") / avg_tokens
     gain = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)

@@ -81,3 +81,12 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
     after it (the rank filter sits right on the window), so a hot group sends k rows per task."""
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
+
+
+def each(df: DataFrame, items: str, name: str, *keep: str) -> DataFrame:
+    """One row per array item, with the ``keep`` columns.
+
+    The outer form is used on purpose: for the inner one the optimiser adds a size filter
+    below, which computes a derived array again.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())

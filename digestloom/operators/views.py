@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from digestloom.operators.skew import global_row_number, top_per_group
+from digestloom.operators.skew import each, global_row_number, top_per_group
 
 
 def tag_counts(tagged: DataFrame, tags_col: str = "tags") -> DataFrame:
     """Posts per tag (or per category)."""
     return (
-        tagged.select(F.explode(tags_col).alias("tag"))
+        each(tagged, tags_col, "tag")
         .groupBy("tag")
         .agg(F.count("*").alias("n_posts"))
     )
@@ -27,7 +27,7 @@ def archive_counts(posts: DataFrame, date_col: str = "post_date") -> DataFrame:
 def keyword_trend(tagged: DataFrame, k: int = 5, date_col: str = "post_date", tags_col: str = "tags") -> DataFrame:
     """The ``k`` most used tags of each day."""
     counts = (
-        tagged.select(date_col, F.explode(tags_col).alias("tag"))
+        each(tagged, tags_col, "tag", date_col)
         .groupBy(date_col, "tag")
         .agg(F.count("*").alias("n_posts"))
     )

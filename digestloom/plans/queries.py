@@ -22,7 +22,7 @@ from digestloom.operators import (
 )
 from digestloom.operators.skew import global_row_number
 from digestloom.plans import daily_run, methods
-from digestloom.session import balanced, work_dir
+from digestloom.session import balanced, materialise, work_dir
 from digestloom.sources import listing as listing_source, posts as post_source, state as state_source
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.streaming import incremental
@@ -486,7 +486,8 @@ def search_index(spark, sf_dir):
 
 @query
 def search_topk(spark, sf_dir):
-    return srch.search(srch.build_index(_documents(spark, sf_dir)), SEARCH_TERMS, 20)
+    index = materialise(srch.build_index(_documents(spark, sf_dir)), "index")
+    return srch.search(index, SEARCH_TERMS, 20)
 
 
 @query
