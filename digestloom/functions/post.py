@@ -23,7 +23,7 @@ _TYPED = (
 )
 # Marks that cannot start, or occur in, a plain YAML scalar.
 _MARKED = r"^[#,\[\]{}&*!|>'\"%@`]|^[?:-](?:\s|$)|^---|^\.\.\.|:\s|:$|\s#|^\s|\s$|^$"
-_FLOW_MARKED = r"[,?\[\]{}]|^[?:-]|:"
+_FLOW_MARKED = r"[,?\[\]{}:]"
 
 
 def yaml_scalar(text: str, in_list: bool = False) -> str:

@@ -179,7 +179,7 @@ def _scalar(x: str, in_list: bool = False) -> str:
     marked = r"^[#,\[\]{}&*!|>''\"%@`]|^[?:-](\s|$)|^---|^\.\.\.|:\s|:$|\s#|^\s|\s$|^$"
     need = f"regexp_matches({x}, '{_TYPED}') OR regexp_matches({x}, '{marked}')"
     if in_list:
-        need += f" OR regexp_matches({x}, '[,?\\[\\]{{}}:]|^-')"
+        need += f" OR regexp_matches({x}, '[,?\\[\\]{{}}:]')"
     return f"CASE WHEN {need} THEN '''' || replace({x}, '''', '''''') || '''' ELSE {x} END"
 
 

@@ -331,7 +331,7 @@ def state_audit(spark, sf_dir):
 def state_json(spark, sf_dir):
     path = work_dir(spark, "state")
     ids = _table(spark, sf_dir, "documents").select(_id("doc_id").alias("article_id"))
-    state_source.export_state_json(ids, path, AS_OF)
+    state_source.export_state_json(ids, path, AS_OF, documents=8)
     return state_source.read_state_json(spark, path)
 
 

@@ -78,7 +78,7 @@ def corrupt_state_json(spark: SparkSession, path: str, as_of: datetime | str) ->
 
 def export_state_json(state: DataFrame, path: str, as_of: datetime | str,
                       documents: int | None = None) -> None:
-    """Write the state as JSON documents of a bounded number of ids.
+    """Write the state as JSON documents, one per file, of a bounded number of ids.
 
     Ids go to documents by hash, so each one stays near ``IDS_PER_DOCUMENT`` entries.
     """
@@ -89,7 +89,8 @@ def export_state_json(state: DataFrame, path: str, as_of: datetime | str,
     (
         ids.groupBy(shard.alias("shard"))
         .agg(F.sort_array(F.collect_list("article_id")).alias("processed_ids"))
-        .select("processed_ids", F.expr(run_stamp(wall_time(as_of))).alias("last_run_at"))
+        .select("shard", "processed_ids", F.expr(run_stamp(wall_time(as_of))).alias("last_run_at"))
         .write.mode("overwrite")
+        .partitionBy("shard")
         .json(path)
     )
