@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from digestloom.operators.skew import broadcast_if_small
+
 
 def unprocessed(articles: DataFrame, state: DataFrame) -> DataFrame:
     """Articles whose id is not in the state.
@@ -16,6 +18,16 @@ def unprocessed(articles: DataFrame, state: DataFrame) -> DataFrame:
     return articles.join(state.select("article_id").distinct(), "article_id", "left_anti")
 
 
+def unprocessed_few(articles: DataFrame, state: DataFrame) -> DataFrame:
+    """The same for written-down articles that are few next to the state.
+
+    The state is reduced to their ids first, by a size-checked broadcast, so that a run over
+    a few thousand new ids does not shuffle everything processed so far.
+    """
+    ids = broadcast_if_small(articles.select("article_id").distinct())
+    return unprocessed(articles, state.join(ids, "article_id", "left_semi"))
+
+
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
     """Idempotent add: each id once, with the time it was processed first."""
     both = old.select("article_id", "processed_at").unionByName(

@@ -17,8 +17,13 @@ def run_counters(candidates: DataFrame, error_col: str = "error") -> DataFrame:
 
 
 def missing_pages(ids: DataFrame, pages: DataFrame) -> DataFrame:
-    """Ids whose page was not landed; they stay unprocessed and are tried again."""
-    return ids.join(pages.select("article_id").distinct(), "article_id", "left_anti")
+    """Ids whose page was not landed; they stay unprocessed and are tried again.
+
+    Pages are reduced to the ids in question first: with few ids that is a broadcast, and the
+    page table is read by one narrow column without a shuffle.
+    """
+    landed = pages.select("article_id").join(ids.select("article_id"), "article_id", "left_semi")
+    return ids.join(landed.distinct(), "article_id", "left_anti")
 
 
 def post_invariants(posts: DataFrame) -> DataFrame:

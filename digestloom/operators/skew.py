@@ -12,6 +12,19 @@ MAX_HOT_KEYS = 1024
 SALTS = 32
 
 
+# Rows of a few short columns: some tens of megabytes on each executor.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when a count shows that ``df`` is small.
+
+    Beyond the limit the join stays a shuffled one. ``df`` should be cheap to count, that is
+    already written down.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def hot_keys(counts: DataFrame, key: str, n: str, at_most: int = MAX_HOT_KEYS) -> DataFrame:
     """The most frequent keys of a table of counts; bounded, hence safe to broadcast."""
     return counts.orderBy(F.desc(n), key).limit(at_most).select(key)
@@ -50,7 +63,8 @@ def global_row_number(
     Rows are range-partitioned on the full sort key, numbered inside their partition, and
     shifted by the sizes of the partitions before. ``order`` must be unique per row; then no
     key is hot, whatever the distribution. The placed rows are written once, so that the
-    sizes and the numbers come from the same placement even when executors are lost.
+    sizes and the numbers come from the same placement even when executors are lost; pass
+    the columns that are needed, not whole documents.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialise(

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from digestloom.operators.discover import MAX_PAGES, discover, recent, require_items
 from digestloom.operators.keywords import Tokenizer
-from digestloom.operators.processed import unprocessed
+from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
+from digestloom.operators.skew import broadcast_if_small
 from digestloom.operators.views import digest_entries
 from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, summarise
+from digestloom.session import materialise
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.posts import PostStyle, read_posts, render_posts, write_posts
 from digestloom.sources.state import append_state, read_state
@@ -43,7 +45,7 @@ class Options:
 
 @dataclass(frozen=True)
 class Outcome:
-    """Lazy results of one run; nothing is computed until one of them is used."""
+    """Results of one run. The new articles are written down; the rest is computed on use."""
 
     candidates: DataFrame  # new articles, with ``error``
     posts: DataFrame  # rendered posts of the good ones
@@ -51,19 +53,36 @@ class Outcome:
     counters: DataFrame
 
 
-def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, options: Options = Options()) -> Outcome:
-    """The run as a plan.
+def new_articles(pages: DataFrame, new_ids: DataFrame, options: Options) -> DataFrame:
+    """Parsed articles of the new ids.
 
-    Known ids are dropped on the narrow id table, before the join that reads any HTML, and
-    HTML is parsed after it, so the work follows the number of *new* articles.
+    ``pages`` holds one row ``(article_id, html)`` per article. HTML is matched by a
+    size-checked broadcast of the ids, so it is not shuffled, and parsed after the join.
     """
-    found = discover(listing, as_of, options.lookback_days, options.max_pages)
-    new_ids = unprocessed(found.select("article_id", "page", "pos"), state)
-    articles = parse_articles(
-        new_ids.join(pages.select("article_id", "html"), "article_id"),
+    return parse_articles(
+        pages.select("article_id", "html").join(broadcast_if_small(new_ids), "article_id"),
         options.base_url, options.section, options.page_layout,
     )
-    candidates = recent(articles, as_of, options.lookback_days)
+
+
+def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, options: Options = Options()) -> Outcome:
+    """Everything of a run but its commit.
+
+    Known ids are dropped before any HTML is read, so the work follows the number of *new*
+    articles. What several steps need is written once: the discovered ids, the new ids, and
+    the parsed articles (a fraction of their HTML), from which keywords, summaries and
+    counters are computed.
+    """
+    found = materialise(
+        discover(listing, as_of, options.lookback_days, options.max_pages), "discovered"
+    )
+    require_items(found)
+    new_ids = materialise(
+        unprocessed_few(found.select("article_id", "page", "pos"), state), "new-ids"
+    )
+    candidates = materialise(
+        recent(new_articles(pages, new_ids, options), as_of, options.lookback_days), "articles"
+    )
     good = candidates.filter(F.col("error").isNull())
     extracted = summarise(
         extract_keywords(
@@ -78,7 +97,7 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
     return Outcome(
         candidates=candidates,
         posts=posts,
-        missing=missing_pages(new_ids.select("article_id"), pages),
+        missing=missing_pages(broadcast_if_small(new_ids.select("article_id")), pages),
         counters=run_counters(candidates),
     )
 
@@ -90,7 +109,6 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
     Posts are written before the state. A run that dies in between leaves its ids
     unprocessed and is repeated under the same ``run_id``, which replaces its own output.
     """
-    require_items(discover(listing, as_of, options.lookback_days, options.max_pages))
     state = read_state(spark, state_dir, before_run=run_id)
     outcome = plan_run(listing, pages, state, as_of, options)
     if dry_run:
@@ -104,7 +122,8 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
 
 def daily_digest(posts: DataFrame) -> DataFrame:
     """Posts combined by day (output mode ``daily_digest``): one row per line of a day's digest."""
-    return digest_entries(posts, "post_date", "article_id").select(
+    narrow = posts.select("post_date", "article_id", "title", "url")
+    return digest_entries(narrow, "post_date", "article_id").select(
         "post_date", "entry_no", "article_id",
         F.concat(F.lit("- ["), F.col("title"), F.lit("]("), F.col("url"), F.lit(")")).alias("line"),
     )

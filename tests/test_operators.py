@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from digestloom.operators import discover as disc, keywords as kw, processed, quality, related
 from digestloom.operators import search as srch, textrank, views
-from digestloom.operators.skew import global_row_number, hot_keys, salted_join
+from digestloom.operators.skew import broadcast_if_small, global_row_number, hot_keys, salted_join
 from digestloom.functions import text
 from digestloom.plans import methods
 
@@ -199,6 +199,7 @@ def test_state_operators(spark):
     old = spark.createDataFrame([("a", "1")] * 3 + [("c", "1")], "article_id string, processed_at string")
     assert {tuple(r) for r in processed.merge_state(old, new).collect()} == {("a", "1"), ("b", "2"), ("c", "1")}
     assert [r.article_id for r in processed.unprocessed(new, old).collect()] == ["b"]
+    assert [r.article_id for r in processed.unprocessed_few(new, old).collect()] == ["b"]
     assert [r.article_id for r in processed.state_without_post(old, new).collect()] == ["c"]
     assert [r.article_id for r in processed.state_with_post(old, new).collect()] == ["a"]
     assert [r.article_id for r in quality.missing_pages(new.distinct(), old).collect()] == ["b"]
@@ -223,6 +224,13 @@ def test_global_row_number_with_one_timestamp_for_most_rows(spark):
     assert sorted(r.rn for r in got) == list(range(1, 2001))
 
 
+def test_broadcast_needs_a_size_check(spark):
+    df = spark.range(10)
+    hinted = broadcast_if_small(df, 10)._jdf.queryExecution().analyzed().toString()
+    plain = broadcast_if_small(df, 9)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted and "broadcast" not in plain
+
+
 def related_by_pairs(tags, k):
     out = []
     for d in tags:

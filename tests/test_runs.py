@@ -124,15 +124,23 @@ def test_methods_and_missing(spark):
             daily_run.Options(**bad)
 
 
-def test_html_is_read_after_the_state_join(spark, tmp_path):
+def test_html_is_parsed_after_a_join_without_shuffle(spark, tmp_path):
     listing, pages = landed(spark, ROWS)
     path = str(tmp_path / "pages")
     pages.write.parquet(path)
-    outcome = daily_run.plan_run(
-        listing, spark.read.parquet(path), state_source.empty_state(spark), AS_OF, OPTIONS
-    )
-    plan = outcome.posts._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("regexp_replace(html") < plan.index("LeftAnti")
+    new_ids = listing.select("article_id", "page", "pos")
+    articles = daily_run.new_articles(spark.read.parquet(path), new_ids, OPTIONS)
+    plan = articles._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("regexp_replace(html") < plan.index("BroadcastHashJoin")
+    assert "hashpartitioning" not in plan
+
+
+def test_an_empty_listing_is_an_error(spark):
+    listing, pages = landed(spark, ROWS)
+    with pytest.raises(RuntimeError, match="no articles"):
+        daily_run.plan_run(
+            listing.filter("page > 99"), pages, state_source.empty_state(spark), AS_OF, OPTIONS
+        )
 
 
 def test_unreadable_page_is_counted_and_retried(spark, tmp_path):
