@@ -77,12 +77,16 @@ def digest_entries(items: DataFrame, ts: str, id_col: str) -> DataFrame:
 
 
 def write_digest(entries: DataFrame, line: str, path: str) -> None:
-    """Digest text below one folder per day; file order is entry order."""
+    """Digest text below one folder per day; file order is entry order.
+
+    Only the days of ``entries`` are replaced.
+    """
     (
         entries.repartitionByRange("post_date", "entry_no")
         .sortWithinPartitions("post_date", "entry_no")
         .select("post_date", F.col(line).alias("value"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("post_date")
         .text(path)
     )

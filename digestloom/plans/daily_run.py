@@ -12,11 +12,11 @@ from digestloom.operators.keywords import Tokenizer
 from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
 from digestloom.operators.skew import broadcast_if_small
-from digestloom.operators.views import digest_entries
+from digestloom.operators.views import digest_entries, write_digest
 from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, summarise
 from digestloom.session import materialise
 from digestloom.sources.pages import PageLayout, parse_articles
-from digestloom.sources.posts import PostStyle, read_posts, render_posts, write_posts
+from digestloom.sources.posts import PostStyle, current_posts, read_posts, render_posts, write_posts
 from digestloom.sources.state import append_state, read_state
 
 
@@ -103,12 +103,18 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
 
 
 def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: str, state_dir: str,
-        run_id: str, as_of, options: Options = Options(), dry_run: bool = False) -> DataFrame:
+        run_id: str, as_of, options: Options = Options(), dry_run: bool = False,
+        digest_dir: str | None = None) -> DataFrame:
     """Run once and return the counters. ``run_id`` orders the runs (for example a timestamp).
 
+    Output mode ``daily_digest`` also rewrites, below ``digest_dir``, the digests of the days
+    that got new posts.
+
     Posts are written before the state. A run that dies in between leaves its ids
     unprocessed and is repeated under the same ``run_id``, which replaces its own output.
     """
+    if options.output_mode == "daily_digest" and digest_dir is None:
+        raise ValueError("output mode daily_digest needs a digest_dir")
     state = read_state(spark, state_dir, before_run=run_id)
     outcome = plan_run(listing, pages, state, as_of, options)
     if dry_run:
@@ -116,6 +122,11 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
     write_posts(outcome.posts, posts_dir, run_id)
     written = read_posts(spark, posts_dir).filter(F.col("run_id") == run_id)
     if not written.isEmpty():
+        if options.output_mode == "daily_digest":
+            # One row per day: bounded by the calendar.
+            days = F.broadcast(written.select("post_date").distinct())
+            posts = current_posts(read_posts(spark, posts_dir).join(days, "post_date", "left_semi"))
+            write_digest(daily_digest(posts), "line", digest_dir)
         append_state(written, state_dir, run_id, as_of)
     return outcome.counters
 

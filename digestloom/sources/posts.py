@@ -86,20 +86,26 @@ def current_posts(posts: DataFrame) -> DataFrame:
 
 
 def export_post_files(posts: DataFrame, path: str) -> None:
-    """Post texts for a site build: one line-preserving text record per post, below its day."""
+    """One text file per post, in a folder named after the post (for a site build).
+
+    Many small files by nature: export the days that changed, not the whole table.
+    """
     (
-        posts.hint("rebalance", "post_date")
-        .select("post_date", F.to_json(F.struct("path", "content")).alias("value"))
+        posts.select("path", F.regexp_replace("content", r"\n\z", "").alias("value"))
         .write.mode("overwrite")
-        .partitionBy("post_date")
+        .partitionBy("path")
         .text(path)
     )
 
 
 def read_post_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, content)`` from a folder of Markdown files."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.md")
-    return files.select(F.col("_metadata.file_name").alias("path"), F.col("value").alias("content"))
+    """``(path, content)`` from a folder of Markdown files or from an export."""
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    folder = F.regexp_extract("_metadata.file_path", r"/path=([^/]+\.md)/[^/]+$", 1)
+    name = F.when(folder != "", folder).otherwise(F.col("_metadata.file_name"))
+    return files.select(name.alias("path"), F.col("value").alias("content")).filter(
+        F.col("path").endswith(".md")
+    )
 
 
 def _field(content: str, name: str) -> str:

@@ -108,6 +108,33 @@ def test_repeated_run_replaces_itself(spark, tmp_path):
     assert state_source.read_state(spark, state_dir).count() == 4
 
 
+def test_digest_mode_rewrites_the_days_with_new_posts(spark, tmp_path):
+    posts_dir, state_dir, digest_dir = (str(tmp_path / n) for n in ("posts", "state", "digest"))
+    options = daily_run.Options(output_mode="daily_digest", style=STYLE)
+    listing, pages = landed(spark, ROWS)
+    with pytest.raises(ValueError):
+        daily_run.run(spark, listing, pages, posts_dir, state_dir, "r1", AS_OF, options)
+
+    def digest():
+        return sorted((str(r.post_date), r.value) for r in spark.read.text(digest_dir).collect())
+
+    daily_run.run(spark, listing, pages, posts_dir, state_dir, "r1", AS_OF, options, digest_dir=digest_dir)
+    first = digest()
+    assert [d for d, _ in first] == ["2026-07-18", "2026-07-19", "2026-07-19"]
+    assert first[0][1] == "- [No body](https://news.example.com/20260719000003)"
+    listing, pages = landed(spark, [*ROWS[:3], (4, "No page", "2026-07-18 09:00", "Now here."), ROWS[4]])
+    daily_run.run(spark, listing, pages, posts_dir, state_dir, "r2", AS_OF, options, digest_dir=digest_dir)
+    assert [d for d, _ in digest()] == ["2026-07-18", "2026-07-18", "2026-07-19", "2026-07-19"]
+
+
+def test_exported_posts_read_back(spark, tmp_path):
+    content = "---\nlayout: single\n---\n\n## Keywords\na\n"
+    posts = spark.createDataFrame([("2026-07-19-a.md", content), ("2026-07-19-b.md", content)], "path string, content string")
+    post_source.export_post_files(posts, str(tmp_path / "x"))
+    back = post_source.read_post_files(spark, str(tmp_path / "x"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, posts.collect()))
+
+
 def test_methods_and_missing(spark):
     listing, pages = landed(spark, ROWS)
     state = state_source.empty_state(spark)
