@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,6 +27,11 @@ def local_session(cpus: int | str = 8, app: str = "digestloom", **conf: str) ->
     return spark
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="digestloom-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the folder all executors share.
 
@@ -37,8 +43,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="digestloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

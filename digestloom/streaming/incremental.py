@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from digestloom.operators.processed import unprocessed
+from digestloom.operators.processed import unprocessed_few
+from digestloom.session import materialise
 from digestloom.sources.state import append_state, read_state
 
 
@@ -48,10 +49,13 @@ def incremental_ingest(
         spark = batch.sparkSession
         run_id = batch_id_text(batch_id)
         columns = [c for c in batch.columns if c != "article_id"]
-        order = [F.struct(*[F.col(c) for c in (*first, *[x for x in columns if x not in first])])]
-        once = batch.groupBy("article_id").agg(F.min(order[0]).alias("r")).select("article_id", "r.*")
+        row = F.struct(*first, *[c for c in columns if c not in first])
+        once = materialise(
+            batch.groupBy("article_id").agg(F.min(row).alias("r")).select("article_id", "r.*"),
+            "batch",
+        )
         state = read_state(spark, state_dir, before_run=run_id)
-        keep(unprocessed(once, state)).write.mode("overwrite").parquet(f"{out_dir}/run_id={run_id}")
+        keep(unprocessed_few(once, state)).write.mode("overwrite").parquet(f"{out_dir}/run_id={run_id}")
         written = spark.read.parquet(f"{out_dir}/run_id={run_id}")
         append_state(written, state_dir, run_id, as_of)
 

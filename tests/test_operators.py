@@ -252,6 +252,9 @@ def test_related_equals_all_pairs_with_a_hot_tag(spark, seed):
 def test_related_refuses_too_many_tags(spark):
     with pytest.raises(ValueError):
         related.related_topk(spark.createDataFrame([(1, ["a"])], "doc_id int, keywords array<string>"), n_tags=13)
+    crowded = spark.createDataFrame([(i, list("abcd")) for i in range(2)], "doc_id int, keywords array<string>")
+    with pytest.raises(Exception, match="more than 3 keywords"):
+        related.related_topk(crowded, n_tags=3).collect()
 
 
 # Views
@@ -298,3 +301,19 @@ def test_digest_entries_and_text(spark, tmp_path):
 def test_subsets(spark):
     got = spark.sql("SELECT array('a', 'b', 'c') AS t").select(F.expr(related._subsets("t")).alias("s")).first().s
     assert sorted(map(tuple, got)) == sorted(c for n in (1, 2, 3) for c in combinations("abc", n))
+
+
+def test_documents_are_processed_without_a_shuffle(spark):
+    docs = docs_of(spark, ["a b. c d."])
+    results = methods.extraction_results(docs, id_col="doc_id", text_col="text")
+    for df in (kw.keywords_topn(docs), kw.document_terms(docs), results):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_ranks_of_a_long_document(spark):
+    rng = random.Random(11)
+    long = random_text(rng, 3000)
+    sql = textrank.sentence_ranks(text.sentences("text"))
+    ranks = docs_of(spark, [long]).select(F.expr(sql).alias("r")).first().r
+    assert len(ranks) == 3000 and sum(ranks) == pytest.approx(1.0, abs=1e-5)
