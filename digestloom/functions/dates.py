@@ -61,3 +61,15 @@ def run_stamp(ts: str) -> str:
 def run_stamp_utc(ts: str) -> str:
     """The same stamp for an instant given in UTC."""
     return run_stamp(f"{ts} + INTERVAL '9' HOUR")
+
+
+def as_event_time(ts: str) -> str:
+    """A wall-clock time as the instant that reads the same in UTC, whatever the session zone.
+
+    Watermarks need instants, and day windows are cut at UTC midnight.
+    """
+    return f"CAST(concat(CAST({ts} AS STRING), 'Z') AS TIMESTAMP)"
+
+
+def utc_day(instant: str) -> str:
+    return f"to_date(to_utc_timestamp({instant}, current_timezone()))"

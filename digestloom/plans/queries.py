@@ -524,7 +524,7 @@ def incremental_stream(spark, sf_dir):
 @query
 def daily_counts_stream(spark, sf_dir):
     base = work_dir(spark, "daily")
-    stream = _event_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("published_ts"))
+    stream = _event_stream(spark, sf_dir).select(F.expr(dates.as_event_time("ts")).alias("published_ts"))
     incremental.append_to(
         incremental.daily_counts(stream), f"{base}/out", f"{base}/checkpoint"
     ).awaitTermination()
@@ -535,7 +535,7 @@ def daily_counts_stream(spark, sf_dir):
 def dedup_stream(spark, sf_dir):
     base = work_dir(spark, "dedup")
     stream = _event_stream(spark, sf_dir).select(
-        F.col("ts").cast("timestamp").alias("published_ts"),
+        F.expr(dates.as_event_time("ts")).alias("published_ts"),
         F.col("user_id").cast("string").alias("article_id"),
     )
     incremental.append_to(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from digestloom.functions.dates import utc_day
 from digestloom.operators.processed import unprocessed_few
 from digestloom.session import materialise
 from digestloom.sources.state import append_state, read_state
@@ -73,12 +74,15 @@ def bounded_dedup(stream: DataFrame, ts: str = "published_ts", delay: str = "7 d
 
 
 def daily_counts(stream: DataFrame, ts: str = "published_ts", delay: str = "7 days") -> DataFrame:
-    """Entries per day; a day is final once the stream is ``delay`` past its end."""
+    """Entries per day; a day is final once the stream is ``delay`` past its end.
+
+    ``ts`` is a wall-clock time turned into an instant by ``dates.as_event_time``.
+    """
     return (
         stream.withWatermark(ts, delay)
         .groupBy(F.window(ts, "1 day").alias("w"))
         .agg(F.count("*").alias("n_entries"))
-        .select(F.to_date("w.start").alias("post_date"), "n_entries")
+        .select(F.expr(utc_day("w.start")).alias("post_date"), "n_entries")
     )
 
 
