@@ -48,3 +48,50 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op2_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[i : i + least(len(w), 5) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 5) + 2)]) AS t
+  FROM w WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id
+  JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n
+  HAVING 100 * count(*) >= 80 * (m.n + n.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)
+"""
+
+ORACLE["op4_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35)
+), twice AS (
+  SELECT t FROM win GROUP BY t HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS word_at FROM win SEMI JOIN twice USING (t)
+), lists AS (
+  SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, string_agg(x.word, ' ' ORDER BY x.word_at) AS t
+  FROM w, (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS word_at FROM w) x
+  WHERE w.doc_id = x.doc_id AND NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = x.doc_id AND g.word_at = x.word_at)
+  GROUP BY w.doc_id
+)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

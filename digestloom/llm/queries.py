@@ -2,16 +2,52 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 
-from digestloom.llm import decontaminate, packing, warc
+from digestloom.llm import decontaminate, jaccard_join, packing, recompression, warc
 
 QUERIES = {}
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@functools.cache
+def _zipped() -> str:
+    path = os.path.join(tempfile.mkdtemp(prefix="digestloom-"), "digestloom.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(os.path.join(_ROOT, "digestloom")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, _ROOT))
+    return path
+
+
+_shipped = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python need not have it; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(_zipped())
+        _shipped.add(context.applicationId)
+
+
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark, sf_dir):
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +60,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_substring_dedup(spark, sf_dir):
+    return recompression.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 @query
 def op5_best_fit_packing(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
