@@ -8,8 +8,9 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from digestloom.llm import decontaminate, jaccard_join, packing, recompression, warc
+from digestloom.llm import collision, decontaminate, jaccard_join, packing, recompression, suffix_tree, toxicity, warc
 
 QUERIES = {}
 
@@ -65,6 +66,11 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_substring_dedup(spark, sf_dir):
     return recompression.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
@@ -76,6 +82,11 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(documents, tokenizer_path()).drop("n_bins", "bound", "pack_round")
 
 
+@query
+def op6_lm_scoring(spark, sf_dir):
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_warc(spark, sf_dir):
     records = warc.round_trip(table(spark, sf_dir, "pages"))
@@ -85,3 +96,9 @@ def op7_warc(spark, sf_dir):
 @query
 def op8_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return collision.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
