@@ -141,14 +141,14 @@ def _ask_anchors(text: str, window: int, parts: int):
     return run
 
 
-def _ask_windows(text: str, window: int, parts: int):
+def _ask_windows(text: str, window: int, asked: int, parts: int):
     def run(batches):
         for batch in batches:
             for shard, body, answers in zip(batch.column("shard").to_pylist(), batch.column("body"), batch.column("answers").to_pylist()):
                 found = words.split(shards.unpack(body.as_py()).column(text), words.SPACE_SEPARATED, False)
                 starts = window_starts(found.first, window)
                 names, repeated, number = _different(*anchors(found, starts, window))
-                shared = (repeated | shards.shared_names(names, answers, parts))[number]
+                shared = (repeated | shards.shared_names(names, answers, asked))[number]
                 picked = starts[shared]
                 out = shards.send(shard, np.unique(words.window_sums(found.name, picked, picked + window)), parts)
                 out.append((shard, shard % parts, shards.NOTE, np.packbits(shared).tobytes()))
@@ -206,7 +206,7 @@ def remove_repeats(
     few, many = shards.parts_for(size // 60), shards.parts_for(size // 12)
     known = shards.exchange(held.mapInArrow(_ask_anchors("_dl_text", window, few), shards.MESSAGE))
     asked = shards.with_answers(held.select("shard", "body"), known)
-    verified = shards.exchange(asked.mapInArrow(_ask_windows("_dl_text", window, many), shards.MESSAGE))
+    verified = shards.exchange(asked.mapInArrow(_ask_windows("_dl_text", window, few, many), shards.MESSAGE))
     kind = rows.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
     judged = shards.with_answers(held.select("shard", "body"), verified)
