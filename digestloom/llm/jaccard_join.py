@@ -50,7 +50,7 @@ MAX_FREQUENT = 1 << 20
 PAIRED_LIST = 24
 # Cost of a candidate pair against that of one list entry.
 PAIR_COST = 4.0
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Bits of the filter of wanted nodes (a fixed 8 MB).
 WANTED_BITS = 1 << 26
 PART_ENTRIES = 1 << 20
@@ -355,11 +355,12 @@ def _mark_wanted(batches):
 
 def _wanted_sets(k, wanted):
     def run(batches):
-        bits = np.unpackbits(np.frombuffer(wanted.value, dtype=np.uint8)).astype(bool)
+        bits = np.frombuffer(wanted.value, dtype=np.uint8)
         for batch in words.gathered(batches, "text", CHUNK_BYTES):
             once = _sets_once(batch, k)
             nodes = np.array(list(once), dtype=np.int64)
-            picked = nodes[bits[_cell(nodes)]].tolist()
+            cell = _cell(nodes)
+            picked = nodes[(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0].tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(picked, pa.int64()), pa.array([once[n].tobytes() for n in picked], pa.binary())], names=["node", "tokens"]
             )

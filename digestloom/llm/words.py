@@ -143,9 +143,29 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def split(texts: pa.Array, is_word: np.ndarray, lower: bool, names: bool = True) -> Words:
-    """Words of each text; ``lower`` turns A-Z to a-z first."""
+    """Words of each text; ``lower`` turns A-Z to a-z first.
+
+    Texts are gone through in pieces of ``CHUNK_BYTES``, which bounds the scratch memory.
+    """
     raw, offsets = utf8(texts)
     data = LOWER[raw] if lower else raw
+    n = len(offsets) - 1
+    if len(data) <= CHUNK_BYTES or n < 2:
+        return Words(data, *_split(data, offsets, is_word, names))
+    parts, at, count = [], 0, 0
+    while at < n:
+        to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, side="right")) - 1
+        to = min(max(to, at + 1), n)
+        base = offsets[at]
+        start, end, first, name = _split(data[base : offsets[to]], offsets[at : to + 1] - base, is_word, names)
+        parts.append((start + base, end + base, first[:-1] + count, name))
+        count += len(start)
+        at = to
+    start, end, first, name = (np.concatenate(x) for x in zip(*parts))
+    return Words(data, start, end, np.append(first, count), name)
+
+
+def _split(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, names: bool):
     n = len(data)
     inside = is_word[data]
     begins = inside.copy()
@@ -159,7 +179,7 @@ def split(texts: pa.Array, is_word: np.ndarray, lower: bool, names: bool = True)
     start, end = np.flatnonzero(begins), np.flatnonzero(closes) + 1
     first = np.searchsorted(start, offsets)
     name = window_sums(_BYTES[data], start, end, _BASE) if names else np.empty(0, dtype=np.uint64)
-    return Words(data, start, end, first, name)
+    return start, end, first, name
 
 
 def shingles(name: np.ndarray, k: int) -> np.ndarray:
