@@ -328,7 +328,9 @@ def _pass_bitmaps(percent):
     return run
 
 
-def _compare(percent):
+def compare(percent, columns):
+    """Pairs whose sets (sorted names ``s1, s2``) reach the threshold; the given columns of them."""
+
     def run(batches):
         for batch in batches:
             out = []
@@ -336,7 +338,7 @@ def _compare(percent):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 out.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(out, pa.bool_())).select(["a", "b"])
+            yield batch.filter(pa.array(out, pa.bool_())).select(columns)
 
     return run
 
@@ -353,6 +355,13 @@ def _mark_wanted(batches):
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
 
 
+def marked(nodes: DataFrame) -> bytes:
+    """A fixed 8 MB of bits in which every node (column ``node``) is marked; others may be."""
+    # Eight megabytes from each of a few tasks, whatever the number of nodes.
+    rows = nodes.coalesce(4).mapInArrow(_mark_wanted, "bits binary").collect()
+    return np.bitwise_or.reduce([np.frombuffer(r["bits"], dtype=np.uint8) for r in rows] or [np.zeros(WANTED_BITS // 8, dtype=np.uint8)]).tobytes()
+
+
 def _wanted_sets(k, wanted):
     def run(batches):
         bits = np.frombuffer(wanted.value, dtype=np.uint8)
@@ -421,14 +430,12 @@ class _Join:
             likely = materialise(spanning(likely, n), "spanning")
         wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
         wanted = materialise(wanted, "wanted")
-        # Eight megabytes from each of a few tasks, whatever the number of nodes.
-        marks = [np.frombuffer(r["bits"], dtype=np.uint8) for r in wanted.coalesce(4).mapInArrow(_mark_wanted, "bits binary").collect()]
-        bits = self.spark.sparkContext.broadcast(np.bitwise_or.reduce(marks).tobytes())
+        bits = self.spark.sparkContext.broadcast(marked(wanted))
         sets = self.rows.mapInArrow(_wanted_sets(self.k, bits), "node long, tokens binary")
         sets = materialise(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
         one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("s1"))
         two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("s2"))
-        return materialise(likely.join(one, "a").join(two, "b").mapInArrow(_compare(self.percent), "a long, b long"), "links")
+        return materialise(likely.join(one, "a").join(two, "b").mapInArrow(compare(self.percent, ["a", "b"]), "a long, b long"), "links")
 
     def components(self) -> DataFrame:
         """``node, component`` of all nodes that link with another."""

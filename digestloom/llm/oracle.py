@@ -95,3 +95,83 @@ WITH w AS (
 SELECT w.doc_id, len(w.w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM w LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+ORACLE["op9_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line_no
+  FROM documents
+), s AS (
+  SELECT doc_id, line_no, line, list_sort(list_distinct(regexp_extract_all(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w
+  FROM l
+), node AS (
+  SELECT row_number() OVER () AS node, w, len(w) AS n, min((doc_id, line_no)) AS age FROM s WHERE len(w) >= 5 GROUP BY w
+), head AS (
+  SELECT node, unnest(w[1 : n - ((80 * n + 99) // 100) + 1]) AS word FROM node
+), pairs AS (
+  SELECT DISTINCT least(a.node, b.node) AS x, greatest(a.node, b.node) AS y FROM head a JOIN head b ON a.word = b.word AND a.node <> b.node
+), matched AS (
+  SELECT DISTINCT CASE WHEN m.age > k.age THEN m.node ELSE k.node END AS node
+  FROM pairs JOIN node m ON m.node = x JOIN node k ON k.node = y
+  WHERE 100 * least(m.n, k.n) >= 80 * greatest(m.n, k.n)
+    AND 100 * len(list_intersect(m.w, k.w)) >= 80 * (m.n + k.n - len(list_intersect(m.w, k.w)))
+), kept AS (
+  SELECT s.doc_id, s.line_no, s.line, s.w,
+         len(s.w) < 5 OR (node.age = (s.doc_id, s.line_no) AND matched.node IS NULL) AS stays
+  FROM s LEFT JOIN node ON s.w = node.w LEFT JOIN matched ON matched.node = node.node
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '')) AS kept_sha256
+FROM kept GROUP BY doc_id
+"""
+
+
+def _spread(name: str, seeds: str, edges: str, steps: int = 20) -> str:
+    """CTEs ``{name}0 .. {name}{steps}`` of personalised PageRank, one step each."""
+    parts = [
+        f"{name}_jump AS (SELECT host, 0.15 / count(*) OVER () AS score FROM ({seeds}))",
+        f"{name}_edge AS (SELECT src, dst, 0.85 / count(*) OVER (PARTITION BY src) AS share FROM ({edges}))",
+        f"{name}0 AS (SELECT * FROM {name}_jump)",
+    ]
+    parts += [
+        f"{name}{i} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (SELECT e.dst AS host, e.share * s.score AS score "
+        f"FROM {name}_edge e JOIN {name}{i - 1} s ON s.host = e.src UNION ALL SELECT host, score FROM {name}_jump) GROUP BY host)"
+        for i in range(1, steps + 1)
+    ]
+    return ",\n".join(parts)
+
+
+ORACLE["op1_url_filters"] = (
+    r"""
+WITH u AS (
+  SELECT page_id, html,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), rules(rule, verdict) AS (
+  VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')
+), r AS (
+  SELECT u.page_id, u.host, u.path, u.html, x.rule, x.verdict
+  FROM u LEFT JOIN rules x ON (u.host = split_part(x.rule, '/', 1) OR ends_with(u.host, '.' || split_part(x.rule, '/', 1)))
+    AND starts_with(u.path, substr(x.rule, strpos(x.rule, '/')))
+), longest AS (
+  SELECT * FROM r WHERE rule IS NULL OR length(rule) = (SELECT max(length(q.rule)) FROM r q WHERE q.host = r.host AND q.path = r.path)
+), hosts AS (
+  SELECT host, avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS allowed, avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) AS blocked
+  FROM longest WHERE host <> '' GROUP BY host
+), links AS (
+  SELECT DISTINCT host AS src, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+  FROM (SELECT host, unnest(regexp_extract_all(html, '(?i)(?:href|src|action)\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)) AS x FROM u WHERE host <> '')
+  WHERE host <> translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+),
+"""
+    + _spread("t", "SELECT host FROM hosts WHERE allowed > 0.5", "SELECT src, dst FROM links")
+    + ",\n"
+    + _spread("d", "SELECT host FROM hosts WHERE blocked > 0.5", "SELECT dst AS src, src AS dst FROM links")
+    + """
+SELECT l.page_id, l.host, l.path, l.rule,
+       coalesce(l.verdict, CASE WHEN coalesce(d20.score, 0) > coalesce(t20.score, 0) AND coalesce(d20.score, 0) > 1e-6 THEN 'block' ELSE 'allow' END) AS verdict
+FROM longest l LEFT JOIN t20 ON t20.host = l.host LEFT JOIN d20 ON d20.host = l.host
+"""
+)

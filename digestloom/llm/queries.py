@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.llm import collision, decontaminate, jaccard_join, packing, recompression, suffix_tree, toxicity, warc
+from digestloom.llm import collision, decontaminate, jaccard_join, line_dedup, packing, recompression, suffix_tree, toxicity, url_trust, warc
 
 QUERIES = {}
 
@@ -61,6 +61,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query
+def op1_url_filters(spark, sf_dir):
+    return url_trust.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
+
+
 @query
 def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -98,6 +106,11 @@ def op8_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_line_dedup(spark, sf_dir):
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
