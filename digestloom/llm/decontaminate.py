@@ -74,10 +74,12 @@ class Block:
         at = np.searchsorted(self.vocabulary, name)
         number = np.where(self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == name, at + 1, 0)
         known = number > 0
+        if not known.any():
+            return none
         begins = known.copy()
         begins[1:] &= ~known[:-1] | (text_of[1:] != text_of[:-1])
         run = np.cumsum(begins) - 1
-        run_length = np.bincount(run[known], minlength=run[-1] + 1 if len(run) else 0)
+        run_length = np.bincount(run[known], minlength=run[-1] + 1)
         kept = known & (run_length[run] >= self.shortest)
         place = np.flatnonzero(kept)
         if not len(place):
@@ -292,8 +294,8 @@ def longest_matches(
             f"`{id_col}` {kind}, item_id string, doc_word long, item_word long, n_words long",
         )
         parts = part if parts is None else parts.unionByName(part)
-    best = F.min(F.struct(-F.col("n_words"), F.col("doc_word"), F.col("item_word"))).alias("b")
+    best = F.min(F.struct((-F.col("n_words")).alias("less"), "doc_word", "item_word")).alias("b")
     return (
         parts.groupBy(id_col, "item_id").agg(best)
-        .select(id_col, "item_id", F.col("b.doc_word"), F.col("b.item_word"), (-F.col("b.col1")).alias("n_words"))
+        .select(id_col, "item_id", F.col("b.doc_word"), F.col("b.item_word"), (-F.col("b.less")).alias("n_words"))
     )
