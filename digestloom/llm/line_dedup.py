@@ -216,9 +216,12 @@ def _open_against_list(percent):
         open_ = table.column("open").to_numpy(zero_copy_only=False)
         order = np.lexsort((place, shard, doc))
         node, n, at, open_ = node[order], n[order], at[order], open_[order]
+        low, high = (table.column(c).to_numpy()[order].view(np.uint64) for c in ("low", "high"))
         first, second = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
         for i in np.flatnonzero(open_).tolist():
             j = np.flatnonzero(_may_match(n[:i], at[:i], n[i], at[i], percent))
+            differ = np.bitwise_count(low[j] ^ low[i]).astype(np.int64) + np.bitwise_count(high[j] ^ high[i])
+            j = j[differ <= n[j] + n[i] - 2 * -(-percent * (n[j] + n[i]) // (100 + percent))]
             first.append(np.minimum(node[j], node[i]))
             second.append(np.maximum(node[j], node[i]))
         return pa.table({"a": np.concatenate(first), "b": np.concatenate(second)})
@@ -332,7 +335,7 @@ def remove_repeated_lines(
     matched = matches(found.filter("key is null").select("a", "b"))
     entries = found.filter("key is not null").select("key", "a", "n", "at")
     entries = (
-        entries.join(nodes.select(F.col("node").alias("a"), "age.*"), "a")
+        entries.join(nodes.select(F.col("node").alias("a"), "age.*", "low", "high"), "a")
         .join(matched.select(F.col("node").alias("a"), F.lit(False).alias("open")), "a", "left")
         .withColumn("open", F.coalesce("open", F.lit(True)))
     )
