@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from digestloom.functions.arrays import fold, let, struct, total, transform, zip_with
 from digestloom.functions.text import content_tokens, keep_tokens, term_counts
-from digestloom.operators.skew import hot_keys, salted_join, top_per_group
+from digestloom.operators.skew import MAX_BROADCAST_ROWS, hot_keys, salted_join, top_per_group
 from digestloom.session import materialise
 
 Tokenizer = Callable[[Column], Column]
@@ -113,14 +113,19 @@ def tfidf_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The weight is the count times ``ln((1+n)/(1+df)) + 1``. The terms are needed for the
     frequencies and again for the weights, so they are written once instead of tokenising
-    the corpus for each use.
+    the corpus for each use. So are the frequencies: while a count shows them few they are
+    broadcast, and the terms stay where they are; beyond that both are joined by term, with the
+    hot terms salted.
     """
     terms = materialise(document_terms(docs, id_col, text_col, tokenizer), "terms")
-    freq = document_frequency(terms)
-    n_docs = docs.agg(F.count("*").alias("n")).scalar()
-    idf = F.ln((n_docs + 1) / (F.col("df") + 1)) + 1
+    freq = materialise(document_frequency(terms), "frequencies")
+    idf = F.ln((docs.count() + 1) / (F.col("df") + 1)) + 1
     weighted = freq.withColumn("idf", idf)
-    joined = salted_join(terms, weighted, "term", hot_keys(freq, "term", "df"), id_col)
+    if freq.count() <= MAX_BROADCAST_ROWS:
+        joined = terms.join(F.broadcast(weighted), "term")
+    else:
+        hot = materialise(hot_keys(freq, "term", "df"), "hot-terms")
+        joined = salted_join(terms, weighted, "term", hot, id_col)
     return joined.withColumn("weight", F.col("tf_count") * F.col("idf")).drop("idf")
 
 
@@ -134,7 +139,7 @@ def tfidf_topn(docs: DataFrame, k: int = 7, id_col: str = "doc_id", text_col: st
     """
     weights = tfidf_terms(docs, id_col, text_col, tokenizer)
     whole = Window.partitionBy(id_col)
-    alone = docs.agg(F.count("*").alias("n")).scalar() == 1
+    alone = F.lit(docs.count() == 1)
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(whole))
     scored = weights.withColumn(
         "score",

@@ -14,6 +14,8 @@ shuffle, no edge table, no growing lineage, and a lost task is simply recomputed
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +29,16 @@ DAMPING = 0.85
 EPSILON = 1e-4
 ROW_SUM_GUARD = 1e-7
 
-# A step shrinks the change by the damping factor, and the first change is at most 2:
-# 2 * 0.85^61 < 1e-4, so the loop always ends by itself before this bound.
-MAX_STEPS = 64
+
+def steps_to_settle(damping: float, epsilon: float) -> int:
+    """Steps after which no change above ``epsilon`` is left.
+
+    A step shrinks the change by the damping factor, and the first change is at most 2.
+    """
+    if not (0 <= damping < 1 and 0 < epsilon):
+        raise ValueError("damping must lie in [0, 1) and epsilon above 0, or give max_steps")
+    return 2 + (math.ceil(math.log(epsilon / 2) / math.log(damping)) if damping and epsilon < 2 else 0)
+
 
 # Ranks are compared at this many decimals, so that equal sentences tie exactly.
 TIE_DECIMALS = 12
@@ -152,13 +161,14 @@ def sentence_ranks(
     parts: str,
     damping: float = DAMPING,
     epsilon: float = EPSILON,
-    max_steps: int = MAX_STEPS,
+    max_steps: int | None = None,
 ) -> str:
     """TextRank score of each sentence: ``array<double>`` aligned with ``parts``.
 
-    Steps end when the vector moves by at most ``epsilon`` (Euclidean), or after
-    ``max_steps``; ``epsilon=0`` gives a fixed number of steps.
+    Steps end when the vector moves by at most ``epsilon`` (Euclidean), which they do before
+    the default bound; ``epsilon=0`` with ``max_steps`` gives a fixed number of steps.
     """
+    max_steps = steps_to_settle(damping, epsilon) if max_steps is None else max_steps
     stay, move = f"{1.0 - damping!r}D", f"{damping!r}D"
 
     def iterate(ps: str, graph: str, degrees: str) -> str:

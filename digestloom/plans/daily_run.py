@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.operators.discover import MAX_PAGES, discover, recent, require_items
+from digestloom.operators.discover import MAX_PAGES, discover, discovery_report, recent, require_items
 from digestloom.operators.keywords import Tokenizer
 from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
@@ -23,7 +23,7 @@ from digestloom.sources.state import append_state, read_state
 @dataclass(frozen=True)
 class Options:
     lookback_days: int = 7
-    max_pages: int = MAX_PAGES
+    max_pages: int | None = MAX_PAGES
     keyword_method: str = "tf"
     keyword_count: int = 7
     summary_method: str = "textrank"
@@ -50,7 +50,28 @@ class Outcome:
     candidates: DataFrame  # new articles, with ``error``
     posts: DataFrame  # rendered posts of the good ones
     missing: DataFrame  # listed ids without a landed page
-    counters: DataFrame
+    report: DataFrame  # last page walked, page that cut the walk, whether the limit ended it
+    counters: DataFrame  # one row: the counts of a run, missing pages and the report
+
+
+def one_page_per_id(pages: DataFrame, ids: DataFrame) -> DataFrame:
+    """Pages of the given ids, the newest of each id: a repeated download lands a page again.
+
+    The newest has the largest ``landed_at``, if there is such a column, then the larger text.
+    Only ids that occur twice are gathered; usually there are none, and no HTML moves.
+    """
+    wanted = broadcast_if_small(ids.select("article_id"))
+    columns = ["article_id", "html", *(["landed_at"] if "landed_at" in pages.columns else [])]
+    own = pages.select(*columns).join(wanted, "article_id", "left_semi")
+    again = materialise(
+        own.groupBy("article_id").agg(F.count("*").alias("n")).filter("n > 1").select("article_id"), "landed-twice"
+    )
+    if again.isEmpty():
+        return own.select("article_id", "html")
+    again = broadcast_if_small(again)
+    newest = F.max_by("html", F.struct(*[c for c in columns[::-1] if c != "article_id"]))
+    twice = own.join(again, "article_id", "left_semi").groupBy("article_id").agg(newest.alias("html"))
+    return own.join(again, "article_id", "left_anti").select("article_id", "html").unionByName(twice)
 
 
 def new_articles(pages: DataFrame, new_ids: DataFrame, options: Options) -> DataFrame:
@@ -80,8 +101,9 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
     new_ids = materialise(
         unprocessed_few(found.select("article_id", "page", "pos"), state), "new-ids"
     )
+    landed = one_page_per_id(pages, new_ids)
     candidates = materialise(
-        recent(new_articles(pages, new_ids, options), as_of, options.lookback_days), "articles"
+        recent(new_articles(landed, new_ids, options), as_of, options.lookback_days), "articles"
     )
     good = candidates.filter(F.col("error").isNull())
     extracted = summarise(
@@ -94,18 +116,17 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
     posts = render_posts(extracted, as_of, options.style).withColumn(
         "method", F.lit(f"{options.keyword_method}+{options.summary_method}")
     )
-    return Outcome(
-        candidates=candidates,
-        posts=posts,
-        missing=missing_pages(broadcast_if_small(new_ids.select("article_id")), pages),
-        counters=run_counters(candidates),
-    )
+    missing = missing_pages(broadcast_if_small(new_ids.select("article_id")), pages)
+    report = discovery_report(listing, as_of, options.lookback_days, options.max_pages)
+    # Three tables of one row each.
+    counters = run_counters(candidates).crossJoin(missing.agg(F.count("*").alias("missing"))).crossJoin(report)
+    return Outcome(candidates=candidates, posts=posts, missing=missing, report=report, counters=counters)
 
 
 def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: str, state_dir: str,
         run_id: str, as_of, options: Options = Options(), dry_run: bool = False,
         digest_dir: str | None = None) -> DataFrame:
-    """Run once and return the counters. ``run_id`` orders the runs (for example a timestamp).
+    """Run once and return the counters. ``run_id`` names the run (for example a timestamp).
 
     Output mode ``daily_digest`` also rewrites, below ``digest_dir``, the digests of the days
     that got new posts.
@@ -115,7 +136,7 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
     """
     if options.output_mode == "daily_digest" and digest_dir is None:
         raise ValueError("output mode daily_digest needs a digest_dir")
-    state = read_state(spark, state_dir, before_run=run_id)
+    state = read_state(spark, state_dir, except_run=run_id)
     outcome = plan_run(listing, pages, state, as_of, options)
     if dry_run:
         return outcome.counters

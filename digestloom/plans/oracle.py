@@ -229,7 +229,7 @@ listing AS (
 firsts AS (
   SELECT article_id, arg_min(published_at, page * 1000000000 + rn) AS published_at,
          arg_min(pts, page * 1000000000 + rn) AS pts, min(page) AS page, min(rn) AS pos
-  FROM listing WHERE page <= 20 AND length(article_id) = 14 GROUP BY ALL)"""
+  FROM listing WHERE length(article_id) = 14 GROUP BY ALL)"""
 
 _PATHS = f"""{_sentences()},
 paths AS (
@@ -321,12 +321,15 @@ SELECT event_id, strftime(coalesce(pts, {_ASOF_TS}), '%Y-%m-%d') AS file_date,
 SELECT article_id, published_at FROM parsed WHERE pts IS NULL OR pts >= {_ASOF_TS} - INTERVAL 7 DAY""",
         "discover_pages": f"""WITH {_LISTING}
 SELECT article_id, page, pos, published_at FROM firsts
-WHERE page <= coalesce((SELECT min(page) FROM firsts WHERE pts < {_ASOF_TS} - INTERVAL 14 DAY), 20)""",
+WHERE page <= coalesce((SELECT min(page) FROM firsts WHERE pts < {_ASOF_TS} - INTERVAL 14 DAY), 1000000)""",
         "discovery_report": f"""WITH {_LISTING},
-cut AS (SELECT min(page) AS cut_page FROM firsts WHERE pts < {_ASOF_TS} - INTERVAL 60 DAY)
-SELECT least((SELECT max(page) FROM firsts), coalesce(cut_page, 20)) AS last_page, cut_page,
-       cut_page IS NULL AND (SELECT max(page) FROM firsts) = 20 AS cap_hit FROM cut""",
-        "listing_scan": f"WITH {_LISTING} SELECT article_id, published_at, page FROM listing",
+cut AS (SELECT min(page) AS cut_page FROM firsts WHERE page <= 20 AND pts < {_ASOF_TS} - INTERVAL 60 DAY)
+SELECT least((SELECT max(page) FROM firsts WHERE page <= 20), coalesce(cut_page, 20)) AS last_page, cut_page,
+       cut_page IS NULL AND (SELECT max(page) FROM firsts WHERE page <= 20) = 20 AS cap_hit FROM cut""",
+        "run_report": f"""WITH {_LISTING}
+SELECT (SELECT max(page) FROM firsts) AS last_page,
+       (SELECT min(page) FROM firsts WHERE pts < {_ASOF_TS} - INTERVAL 60 DAY) AS cut_page, FALSE AS cap_hit""",
+        "listing_scan": f"WITH {_LISTING} SELECT article_id, published_at, page, rn AS pos FROM listing",
         "unprocessed_anti": f"""SELECT {_id('doc_id')} AS article_id, source FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "state_merge": f"""SELECT article_id, min(processed_at) AS processed_at FROM (

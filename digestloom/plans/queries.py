@@ -291,6 +291,12 @@ def discover_pages(spark, sf_dir):
 @query
 def discovery_report(spark, sf_dir):
     # A lookback that reaches before the first page: the page limit ends the walk.
+    return disc.discovery_report(_listing(spark, sf_dir), AS_OF, lookback_days=60, max_pages=20)
+
+
+@query
+def run_report(spark, sf_dir):
+    """All listing pages are walked: no limit unless one is asked for."""
     return disc.discovery_report(_listing(spark, sf_dir), AS_OF, lookback_days=60)
 
 
@@ -298,7 +304,7 @@ def discovery_report(spark, sf_dir):
 def listing_scan(spark, sf_dir):
     path = work_dir(spark, "listing")
     listing_source.write_listing(_listing(spark, sf_dir), path)
-    return listing_source.read_listing(spark, path).select("article_id", "published_at", "page")
+    return listing_source.read_listing(spark, path)
 
 
 @query
@@ -331,7 +337,7 @@ def state_audit(spark, sf_dir):
 def state_json(spark, sf_dir):
     path = work_dir(spark, "state")
     ids = _table(spark, sf_dir, "documents").select(_id("doc_id").alias("article_id"))
-    state_source.export_state_json(ids, path, AS_OF, documents=8)
+    state_source.export_state_json(ids, path, AS_OF)
     return state_source.read_state_json(spark, path)
 
 
@@ -486,8 +492,11 @@ def search_index(spark, sf_dir):
 
 @query
 def search_topk(spark, sf_dir):
-    index = materialise(srch.build_index(_documents(spark, sf_dir)), "index")
-    return srch.search(index, SEARCH_TERMS, 20)
+    """Build and store the index, then look the terms up in the stored one."""
+    path = work_dir(spark, "index")
+    srch.write_index(srch.build_index(_documents(spark, sf_dir)), path)
+    index, size = srch.read_index(spark, path)
+    return srch.search(index, SEARCH_TERMS, 20, size=size)
 
 
 @query

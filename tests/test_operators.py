@@ -189,9 +189,12 @@ def test_walk_stops_at_a_page_without_valid_items(spark):
 
 def test_page_limit(spark):
     df = listing(spark, [(article(p), "2026-07-18 10:00", p) for p in range(1, 25)])
-    assert len(found(df)) == 20
-    report = disc.discovery_report(df, AS_OF).first()
+    assert len(found(df, max_pages=20)) == 20
+    report = disc.discovery_report(df, AS_OF, max_pages=20).first()
     assert (report.last_page, report.cut_page, report.cap_hit) == (20, None, True)
+    assert len(found(df)) == 24
+    report = disc.discovery_report(df, AS_OF).first()
+    assert (report.last_page, report.cut_page, report.cap_hit) == (24, None, False)
 
 
 def test_state_operators(spark):

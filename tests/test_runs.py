@@ -1,5 +1,6 @@
 """Sources, the daily run and the streams, end to end on small landed inputs."""
 
+import gzip
 import json
 import os
 
@@ -49,16 +50,22 @@ ROWS = [
 ]
 
 
+def counts(counters):
+    return tuple(counters.select("candidates", "processed", "failed").first())
+
+
 def test_two_runs(spark, tmp_path):
     posts_dir, state_dir = str(tmp_path / "posts"), str(tmp_path / "state")
     listing, pages = landed(spark, ROWS)
 
     dry = daily_run.run(spark, listing, pages, posts_dir, state_dir, "r1", AS_OF, OPTIONS, dry_run=True)
-    assert tuple(dry.first()) == (4, 4, 0)
+    assert dry.first().asDict() == {
+        "candidates": 4, "processed": 4, "failed": 0, "missing": 1, "last_page": 2, "cut_page": None, "cap_hit": False,
+    }
     assert not os.path.exists(posts_dir) and not os.path.exists(state_dir)
 
     first = daily_run.run(spark, listing, pages, posts_dir, state_dir, "r1", AS_OF, OPTIONS)
-    assert tuple(first.first()) == (4, 4, 0)
+    assert counts(first) == (4, 4, 0)
     state = state_source.read_state(spark, state_dir)
     assert {r.article_id for r in state.collect()} == {article_id(n) for n in (1, 2, 3, 5)}
     assert {r.processed_at for r in state.collect()} == {"2026-07-19T12:00:00.000000+09:00"}
@@ -81,14 +88,14 @@ def test_two_runs(spark, tmp_path):
     assert "tags: []\n" in empty and "## Keywords\n\n\n## Summary\n\n\n---" in empty
 
     second = daily_run.run(spark, listing, pages, posts_dir, state_dir, "r2", AS_OF, OPTIONS)
-    assert tuple(second.first()) == (0, 0, 0)
+    assert counts(second) == (0, 0, 0)
     assert state_source.read_state(spark, state_dir).count() == 4
     assert not os.path.exists(f"{state_dir}/run_id=r2")
 
     # The page arrives later: only that article is new.
     listing, pages = landed(spark, [*ROWS[:3], (4, "No page", "2026-07-18 09:00", "Now here."), ROWS[4]])
     third = daily_run.run(spark, listing, pages, posts_dir, state_dir, "r3", AS_OF, OPTIONS)
-    assert tuple(third.first()) == (1, 1, 0)
+    assert counts(third) == (1, 1, 0)
     assert post_source.read_posts(spark, posts_dir).count() == 5
 
     parsed = post_source.parse_posts(post_source.current_posts(post_source.read_posts(spark, posts_dir)))
@@ -175,7 +182,7 @@ def test_unreadable_page_is_counted_and_retried(spark, tmp_path):
     broken = pages.withColumn("html", F.lit(None).cast("string"))
     state_dir = str(tmp_path / "state")
     out = daily_run.run(spark, listing, broken, str(tmp_path / "posts"), state_dir, "r1", AS_OF, OPTIONS)
-    assert tuple(out.first()) == (1, 0, 1)
+    assert counts(out) == (1, 0, 1)
     assert not os.path.exists(state_dir)
 
 
@@ -184,10 +191,64 @@ def test_listing_files(spark, tmp_path):
         "<items><item><art_code> 20260719000001 </art_code></item>"
         "<item><art_code>20260719000002</art_code><publish_date>2026-07-19 09:00</publish_date></item></items>"
     )
-    rows = listing_source.read_listing(spark, str(tmp_path)).orderBy("pos").collect()
+    (tmp_path / "listing-10.xml.gz").write_bytes(gzip.compress(b"<items><item><art_code>20260719000003</art_code></item></items>"))
+    rows = listing_source.read_listing(spark, str(tmp_path)).orderBy("page", "pos").collect()
     assert [(r.article_id.strip(), r.published_at, r.page) for r in rows] == [
-        ("20260719000001", "", 2), ("20260719000002", "2026-07-19 09:00", 2),
+        ("20260719000001", "", 2), ("20260719000002", "2026-07-19 09:00", 2), ("20260719000003", "", 10),
     ]
+    (tmp_path / "page_1_morning.xml").write_text("<items><item><art_code>20260719000009</art_code></item></items>")
+    with pytest.raises(Exception, match="no page number"):
+        listing_source.read_listing(spark, str(tmp_path)).collect()
+
+
+def test_listing_order_survives_landing(spark, tmp_path):
+    """Many part files per page, read back in tasks of another cut."""
+    rows = [(article_id(i), "", 1 + i // 700, i) for i in range(2000)]
+    listing = spark.createDataFrame(rows, "article_id string, published_at string, page int, pos bigint")
+    listing_source.write_listing(listing.repartition(7), str(tmp_path / "l"))
+    back = listing_source.read_listing(spark, str(tmp_path / "l")).orderBy("page", "pos").collect()
+    assert [r.article_id for r in back] == [r[0] for r in rows]
+
+
+def test_all_pages_are_walked(spark):
+    """More pages than any limit, and an item without a page number."""
+    listing = spark.createDataFrame(
+        [(article_id(i), "2026-07-19 09:00", i, i) for i in range(1, 26)], "article_id string, published_at string, page int, pos bigint"
+    )
+    pages = listing.select("article_id", F.lit("<p>x</p>").alias("html"))
+    outcome = daily_run.plan_run(listing, pages, state_source.empty_state(spark), AS_OF, OPTIONS)
+    assert counts(outcome.counters) == (25, 25, 0)
+    limited = daily_run.Options(base_url="https://n.example", style=STYLE, max_pages=20)
+    outcome = daily_run.plan_run(listing, pages, state_source.empty_state(spark), AS_OF, limited)
+    row = outcome.counters.first()
+    assert (row.candidates, row.last_page, row.cap_hit) == (20, 20, True)
+    lost = listing.withColumn("page", F.when(F.col("page") != 7, F.col("page")))
+    with pytest.raises(Exception, match="no page number"):
+        daily_run.plan_run(lost, pages, state_source.empty_state(spark), AS_OF, OPTIONS)
+
+
+def test_a_page_landed_twice_is_one_article(spark):
+    listing, pages = landed(spark, ROWS)
+    again = pages.withColumn("landed_at", F.lit(1)).unionByName(
+        pages.filter(F.col("article_id") == article_id(1)).select(
+            "article_id", F.replace("html", F.lit("Same"), F.lit("Newer")).alias("html"), F.lit(2).alias("landed_at")
+        )
+    )
+    outcome = daily_run.plan_run(listing, again, state_source.empty_state(spark), AS_OF, OPTIONS)
+    assert counts(outcome.counters) == (4, 4, 0)
+    titles = {r.article_id: r.title for r in outcome.candidates.collect()}
+    assert titles[article_id(1)] == "Newer title"
+
+
+def test_a_backfill_sees_later_runs(spark, tmp_path):
+    posts_dir, state_dir = str(tmp_path / "posts"), str(tmp_path / "state")
+    listing, pages = landed(spark, ROWS)
+    daily_run.run(spark, listing, pages, posts_dir, state_dir, "r5", AS_OF, OPTIONS)
+    back = daily_run.run(spark, listing, pages, posts_dir, state_dir, "r2", AS_OF, OPTIONS)
+    assert counts(back) == (0, 0, 0)
+    state_source.compact_state(spark, state_dir, str(tmp_path / "compact"))
+    compact = state_source.read_state(spark, str(tmp_path / "compact"))
+    assert sorted(map(tuple, compact.collect())) == sorted(map(tuple, state_source.read_state(spark, state_dir).collect()))
 
 
 def test_page_files(spark, tmp_path):
@@ -210,6 +271,16 @@ def test_state_json(spark, tmp_path):
     bad = state_source.corrupt_state_json(spark, str(folder), AS_OF).collect()
     assert [os.path.basename(r.quarantine) for r in bad] == ["broken.json.corrupt.20260719120000"]
     assert bad[0].value.startswith('{"processed_ids"')
+    for _ in range(2):
+        assert state_source.quarantine_state_json(spark, str(folder), str(tmp_path / "q"), AS_OF) == 1
+
+
+def test_large_state_document(spark, tmp_path):
+    """A valid document of any size is read; the variant type would drop it beyond 16 MB."""
+    ids = [f"{20260719000000 + i}" for i in range(1_200_000)]
+    (tmp_path / "s.json").write_text(json.dumps({"processed_ids": ids, "last_run_at": "x"}))
+    assert state_source.read_state_json(spark, str(tmp_path)).count() == len(ids)
+    assert state_source.corrupt_state_json(spark, str(tmp_path), AS_OF).count() == 0
 
 
 def test_state_json_round_trip(spark, tmp_path):
@@ -260,6 +331,40 @@ def test_incremental_stream_is_exact_across_batches_and_restarts(spark, tmp_path
         assert state_source.read_state(spark, str(tmp_path / "state")).count() == 4
 
 
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    """Another stream, or one whose checkpoint is lost, adds to filled folders."""
+    for i, ids in enumerate((["1", "2", "3"], ["3", "4"])):
+        source = str(tmp_path / f"in{i}")
+        rows = spark.createDataFrame([(x,) for x in ids], "article_id string").withColumn("published_ts", F.lit(None).cast("timestamp"))
+        rows.write.parquet(source)
+        incremental.incremental_ingest(
+            incremental.file_stream(spark, source, rows.schema), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / f"cp{i}"), AS_OF
+        ).awaitTermination()
+    assert sorted(r.article_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2", "3", "4"]
+    assert state_source.read_state(spark, str(tmp_path / "state")).count() == 4
+
+
+def test_keep_comes_before_the_first_row(spark, tmp_path):
+    """An id whose first row is too old enters with its later row."""
+    source = str(tmp_path / "in")
+    rows = spark.createDataFrame([("a", "2026-07-01 00:00:00"), ("a", "2026-07-18 00:00:00")], "article_id string, t string")
+    rows = rows.select("article_id", F.col("t").cast("timestamp").alias("published_ts"))
+    rows.coalesce(1).write.parquet(source)
+    incremental.incremental_ingest(
+        incremental.file_stream(spark, source, rows.schema), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp"), AS_OF,
+        keep=lambda batch: batch.filter("published_ts >= TIMESTAMP '2026-07-12 00:00:00'"),
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_undated_rows_come_out_beside_the_counts(spark, tmp_path):
+    source = str(tmp_path / "in")
+    schema = _events(spark, source)
+    stream = incremental.file_stream(spark, f"{source}/*", schema)
+    incremental.append_to(incremental.undated(stream), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert [r.article_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["c"]
+
+
 def test_daily_stream_equals_batch(spark, tmp_path):
     source = str(tmp_path / "in")
     schema = _events(spark, source)
