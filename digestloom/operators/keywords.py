@@ -157,6 +157,26 @@ def tfidf_topn(docs: DataFrame, k: int = 7, id_col: str = "doc_id", text_col: st
     )
 
 
+def tfidf_against(docs: DataFrame, corpus: DataFrame, k: int = 7, id_col: str = "doc_id", text_col: str = "text",
+                  tokenizer: Tokenizer | None = None) -> DataFrame:
+    """Best ``k`` terms of every document against itself and ``corpus`` (a ``text_col`` column).
+
+    Each document is its own corpus of one plus the given texts, so a document's keywords do
+    not depend on which others are scored with it. Ties go by term.
+    """
+    others = document_terms(corpus.select(F.monotonically_increasing_id().alias("_n"), text_col), "_n", text_col, tokenizer)
+    freq = materialise(document_frequency(others), "frequencies")
+    n = corpus.count() + 1
+    known = F.broadcast(freq) if freq.count() <= MAX_BROADCAST_ROWS else freq
+    df = F.coalesce("df", F.lit(0)) + 1
+    terms = document_terms(docs.select(id_col, text_col), id_col, text_col, tokenizer).join(known, "term", "left")
+    weighted = terms.withColumn("weight", F.col("tf_count") * (F.ln((1 + n) / (1 + df)) + 1)).withColumn("df", df)
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
+    scored = weighted.withColumn("score", F.col("weight") / norm)
+    order = [F.desc(F.round("score", SCORE_DECIMALS)), F.asc("term")]
+    return top_per_group(scored, [id_col], order, k).select(id_col, "rn", "term", "tf_count", "df", "score")
+
+
 def as_lists(keyword_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Keyword rows to one ordered list per document (at most k entries each)."""
     ordered = F.sort_array(F.collect_list(F.struct("rn", "term")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
 from digestloom.operators.skew import broadcast_if_small
 from digestloom.operators.views import digest_entries, write_digest
-from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, summarise
+from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, method_name, summarise
 from digestloom.session import materialise
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.posts import PostStyle, current_posts, read_posts, render_posts, write_posts
@@ -24,9 +25,9 @@ from digestloom.sources.state import append_state, read_state
 class Options:
     lookback_days: int = 7
     max_pages: int | None = MAX_PAGES
-    keyword_method: str = "tf"
+    keyword_method: str | Callable[..., DataFrame] = "tf"
     keyword_count: int = 7
-    summary_method: str = "textrank"
+    summary_method: str | Callable[..., DataFrame] = "textrank"
     summary_sentences: int = 4
     output_mode: str = "per_article"
     base_url: str = "https://news.example.com"
@@ -34,6 +35,8 @@ class Options:
     page_layout: PageLayout = PageLayout()
     style: PostStyle = PostStyle(section_url="https://news.example.com/section")
     tokenizer: Tokenizer | None = None
+    corpus: DataFrame | None = None  # other texts (``raw_text``) that ``tfidf`` weighs terms by
+    vectors: tuple[DataFrame, DataFrame] | None = None  # of terms and of articles, for ``keybert``
 
     def __post_init__(self) -> None:
         if self.output_mode not in OUTPUT_MODES:
@@ -109,12 +112,12 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
     extracted = summarise(
         extract_keywords(
             good, options.keyword_method, options.keyword_count, "article_id", "raw_text",
-            options.tokenizer,
+            options.tokenizer, options.corpus, options.vectors,
         ),
         options.summary_method, options.summary_sentences, "raw_text",
     )
     posts = render_posts(extracted, as_of, options.style).withColumn(
-        "method", F.lit(f"{options.keyword_method}+{options.summary_method}")
+        "method", F.lit(f"{method_name(options.keyword_method)}+{method_name(options.summary_method)}")
     )
     missing = missing_pages(broadcast_if_small(new_ids.select("article_id")), pages)
     report = discovery_report(listing, as_of, options.lookback_days, options.max_pages)

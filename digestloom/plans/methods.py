@@ -1,7 +1,12 @@
 """Pluggable keyword and summary methods: name to a function over documents.
 
 Every keyword method takes ``(docs, k, id_col, text_col, tokenizer)`` and adds ``keywords``;
-every summary method takes ``(docs, k, text_col)`` and adds ``summary``.
+every summary method takes ``(docs, k, text_col)`` and adds ``summary``. Functions of that form
+can be given instead of a name.
+
+``tfidf`` scores a document by itself, or against a corpus if one is given; ``tfidf_batch``
+scores the documents against each other; ``keybert`` ranks precomputed vectors, which have to
+be given.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestloom.operators.keywords import (
-    Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_topn, with_tokens,
+    Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_against, tfidf_topn, with_tokens,
 )
 from digestloom.operators.textrank import lead_summary, textrank_summary
 
@@ -23,14 +28,26 @@ def _tf(docs: DataFrame, k: int, id_col: str, text_col: str,
     return docs.withColumn("keywords", F.expr(keyword_list(tokens, k))).drop("_tokens")
 
 
-def _tfidf(docs: DataFrame, k: int, id_col: str, text_col: str,
-    tokenizer: Tokenizer | None) -> DataFrame:
-    lists = as_lists(tfidf_topn(docs.select(id_col, text_col), k, id_col, text_col, tokenizer), id_col)
+def _with_lists(docs: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
     none = F.array().cast("array<string>")
-    return docs.join(lists, id_col, "left").withColumn("keywords", F.coalesce("keywords", none))
+    return docs.join(as_lists(rows, id_col), id_col, "left").withColumn("keywords", F.coalesce("keywords", none))
+
+
+def _batch(docs: DataFrame, k: int, id_col: str, text_col: str,
+    tokenizer: Tokenizer | None) -> DataFrame:
+    return _with_lists(docs, tfidf_topn(docs.select(id_col, text_col), k, id_col, text_col, tokenizer), id_col)
+
 
+def against(corpus: DataFrame) -> Callable[..., DataFrame]:
+    """A keyword method that weighs terms by their frequency in ``corpus``."""
 
-KEYWORD_METHODS: dict[str, Callable[..., DataFrame]] = {"tf": _tf, "tfidf": _tfidf}
+    def tfidf(docs, k, id_col, text_col, tokenizer):
+        return _with_lists(docs, tfidf_against(docs, corpus, k, id_col, text_col, tokenizer), id_col)
+
+    return tfidf
+
+
+KEYWORD_METHODS: dict[str, Callable[..., DataFrame]] = {"tf": _tf, "tfidf": _tf, "tfidf_batch": _batch}
 SUMMARY_METHODS: dict[str, Callable[..., DataFrame]] = {
     "textrank": lambda docs, k, text_col: docs.withColumn(
         "summary", F.expr(textrank_summary(text_col, k))
@@ -44,35 +61,50 @@ def _pick(methods: dict, name: str, kind: str) -> Callable[..., DataFrame]:
     if name == "llm":
         raise ValueError(f"{kind} method 'llm' calls an external service and is not supported")
     if name not in methods:
-        raise ValueError(f"unknown {kind} method {name!r} (expected one of {sorted(methods)})")
+        names = sorted([*methods, "keybert"] if methods is KEYWORD_METHODS else methods)
+        raise ValueError(f"unknown {kind} method {name!r} (expected one of {names})")
     return methods[name]
 
 
 def keybert(candidates: DataFrame, doc_vectors: DataFrame, id_col: str = "doc_id") -> Callable[..., DataFrame]:
     """A keyword method that ranks precomputed term vectors against document vectors."""
 
-    def method(docs, k, id_col_, text_col, tokenizer):
-        lists = as_lists(embedding_topn(candidates, doc_vectors, k, id_col), id_col)
-        none = F.array().cast("array<string>")
-        return docs.join(lists, id_col, "left").withColumn("keywords", F.coalesce("keywords", none))
+    def keybert(docs, k, id_col_, text_col, tokenizer):
+        return _with_lists(docs, embedding_topn(candidates, doc_vectors, k, id_col), id_col)
+
+    return keybert
+
 
-    return method
+def method_name(method: str | Callable[..., DataFrame]) -> str:
+    """How a method is named in results."""
+    return method if isinstance(method, str) else getattr(method, "__name__", type(method).__name__)
 
 
 def extract_keywords(docs: DataFrame, method: str | Callable[..., DataFrame] = "tf", k: int = 7,
                      id_col: str = "doc_id", text_col: str = "text",
-                     tokenizer: Tokenizer | None = None) -> DataFrame:
+                     tokenizer: Tokenizer | None = None, corpus: DataFrame | None = None,
+                     vectors: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Add ``keywords``. ``corpus`` is for ``tfidf``; ``vectors`` (of terms, of documents) for ``keybert``."""
     if k < 1:
         raise ValueError("the number of keywords must be at least 1")
+    if method == "tfidf" and corpus is not None:
+        method = against(corpus)
+    elif method == "keybert":
+        if vectors is None:
+            raise ValueError("keyword method 'keybert' needs the vectors of terms and documents")
+        method = keybert(*vectors, id_col)
     run = method if callable(method) else _pick(KEYWORD_METHODS, method, "keyword")
     return run(docs, k, id_col, text_col, tokenizer)
 
 
-def summarise(docs: DataFrame, method: str = "textrank", k: int = 4, text_col: str = "text") -> DataFrame:
-    return _pick(SUMMARY_METHODS, method, "summary")(docs, k, text_col)
+def summarise(docs: DataFrame, method: str | Callable[..., DataFrame] = "textrank", k: int = 4,
+              text_col: str = "text") -> DataFrame:
+    run = method if callable(method) else _pick(SUMMARY_METHODS, method, "summary")
+    return run(docs, k, text_col)
 
 
-def extraction_results(docs: DataFrame, keyword_method: str = "tf", summary_method: str = "textrank",
+def extraction_results(docs: DataFrame, keyword_method: str | Callable[..., DataFrame] = "tf",
+                       summary_method: str | Callable[..., DataFrame] = "textrank",
                        keyword_count: int = 7, summary_sentences: int = 4,
                        id_col: str = "article_id", text_col: str = "raw_text") -> DataFrame:
     """``(article_id, keywords, summary, method)`` per document."""
@@ -82,5 +114,5 @@ def extraction_results(docs: DataFrame, keyword_method: str = "tf", summary_meth
     )
     return done.select(
         F.col(id_col).alias("article_id"), "keywords", "summary",
-        F.lit(f"{keyword_method}+{summary_method}").alias("method"),
+        F.lit(f"{method_name(keyword_method)}+{method_name(summary_method)}").alias("method"),
     )

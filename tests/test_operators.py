@@ -114,6 +114,33 @@ def test_tfidf_of_one_document_falls_back(spark):
     docs = docs_of(spark, ["bb aa bb cc aa dd"])
     tf = methods.extract_keywords(docs, "tf").first().keywords
     assert methods.extract_keywords(docs, "tfidf").first().keywords == tf
+    assert methods.extract_keywords(docs, "tfidf_batch").first().keywords == tf
+
+
+def test_tfidf_against_a_corpus(spark):
+    """A document is weighed with the corpus, not with its batch."""
+    docs = docs_of(spark, ["common rare rare2 common", "common other", None])
+    corpus = spark.createDataFrame([("common thing",)] * 9 + [("rare2",)], "text string")
+    got = {r.doc_id: r.keywords for r in methods.extract_keywords(docs, "tfidf", 2, corpus=corpus).collect()}
+    weights = {
+        "common": 2 * (math.log(12 / 11) + 1), "rare": math.log(12 / 2) + 1, "rare2": math.log(12 / 3) + 1,
+    }
+    best = sorted(weights, key=lambda t: (-weights[t], t))[:2]
+    assert sorted(got.values()) == sorted([best, ["other", "common"], []])
+    rows = kw.tfidf_against(docs, corpus, 3)
+    assert sum(r.score ** 2 for r in rows.collect() if "rare" in r.term or r.tf_count == 2) == pytest.approx(1.0)
+
+
+def test_methods_by_name_and_by_function(spark):
+    docs = docs_of(spark, ["a. b. c."])
+
+    def shout(docs, k, text_col):
+        return docs.withColumn("summary", F.upper(text_col))
+
+    done = methods.extraction_results(docs, "tfidf", shout, id_col="doc_id", text_col="text").first()
+    assert (done.summary, done.method) == ("A. B. C.", "tfidf+shout")
+    with pytest.raises(ValueError, match="needs the vectors"):
+        methods.extract_keywords(docs, "keybert")
 
 
 def test_embedding_keywords(spark):
@@ -256,7 +283,7 @@ def test_related_refuses_too_many_tags(spark):
     with pytest.raises(ValueError):
         related.related_topk(spark.createDataFrame([(1, ["a"])], "doc_id int, keywords array<string>"), n_tags=13)
     crowded = spark.createDataFrame([(i, list("abcd")) for i in range(2)], "doc_id int, keywords array<string>")
-    with pytest.raises(Exception, match="more than 3 keywords"):
+    with pytest.raises(Exception, match="more than 3 shared keywords"):
         related.related_topk(crowded, n_tags=3).collect()
 
 
