@@ -15,7 +15,7 @@ from digestloom.operators.quality import missing_pages, run_counters
 from digestloom.operators.skew import broadcast_if_small
 from digestloom.operators.views import digest_entries, write_digest
 from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, method_name, summarise
-from digestloom.session import materialise
+from digestloom.session import materialise, scratch_released
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.posts import PostStyle, current_posts, read_posts, render_posts, write_posts
 from digestloom.sources.state import append_state, read_state
@@ -139,6 +139,13 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
     """
     if options.output_mode == "daily_digest" and digest_dir is None:
         raise ValueError("output mode daily_digest needs a digest_dir")
+    with scratch_released(spark):
+        counters = _commit(spark, listing, pages, posts_dir, state_dir, run_id, as_of, options, dry_run, digest_dir)
+        # One row, which may outlive what the run wrote down for itself.
+        return spark.createDataFrame(counters.collect(), counters.schema)
+
+
+def _commit(spark, listing, pages, posts_dir, state_dir, run_id, as_of, options, dry_run, digest_dir) -> DataFrame:
     state = read_state(spark, state_dir, except_run=run_id)
     outcome = plan_run(listing, pages, state, as_of, options)
     if dry_run:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,10 +50,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``materialise`` writes inside the block, once the block has ended well.
+
+    Nothing lazy that reads it may leave the block. After a failure the folders stay, for a
+    look at them.
+    """
+    mark = _scratch.set([])
+    try:
+        yield
+        for path in _scratch.get():
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    finally:
+        _scratch.reset(mark)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the values are fixed from here on."""
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if _scratch.get() is not None:
+        _scratch.get().append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

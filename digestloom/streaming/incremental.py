@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from digestloom.functions.dates import utc_day
 from digestloom.operators.processed import unprocessed_few
-from digestloom.session import materialise
+from digestloom.session import materialise, scratch_released
 from digestloom.sources.state import append_state, read_state
 
 
@@ -54,6 +54,10 @@ def incremental_ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with scratch_released(batch.sparkSession):
+            write_batch(batch, batch_id)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_id = batch_id_text(stream_identity(spark, checkpoint_dir), batch_id)
         batch = keep(batch)

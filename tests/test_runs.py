@@ -106,6 +106,15 @@ def test_two_runs(spark, tmp_path):
     }
 
 
+def test_a_run_leaves_no_scratch(spark, tmp_path):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base))
+    listing, pages = landed(spark, ROWS)
+    done = daily_run.run(spark, listing, pages, str(tmp_path / "posts"), str(tmp_path / "state"), "r1", AS_OF, OPTIONS)
+    assert counts(done) == (4, 4, 0)
+    assert set(os.listdir(base)) == before
+
+
 def test_repeated_run_replaces_itself(spark, tmp_path):
     posts_dir, state_dir = str(tmp_path / "posts"), str(tmp_path / "state")
     listing, pages = landed(spark, ROWS)
