@@ -145,24 +145,44 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 def split(texts: pa.Array, is_word: np.ndarray, lower: bool, names: bool = True) -> Words:
     """Words of each text; ``lower`` turns A-Z to a-z first.
 
-    Texts are gone through in pieces of ``CHUNK_BYTES``, which bounds the scratch memory.
+    The bytes are gone through in pieces of about ``CHUNK_BYTES``, which bounds the scratch
+    memory; a longer text is cut between words.
     """
     raw, offsets = utf8(texts)
     data = LOWER[raw] if lower else raw
-    n = len(offsets) - 1
-    if len(data) <= CHUNK_BYTES or n < 2:
-        return Words(data, *_split(data, offsets, is_word, names))
-    parts, at, count = [], 0, 0
-    while at < n:
-        to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, side="right")) - 1
-        to = min(max(to, at + 1), n)
-        base = offsets[at]
-        start, end, first, name = _split(data[base : offsets[to]], offsets[at : to + 1] - base, is_word, names)
-        parts.append((start + base, end + base, first[:-1] + count, name))
-        count += len(start)
-        at = to
-    start, end, first, name = (np.concatenate(x) for x in zip(*parts))
-    return Words(data, start, end, np.append(first, count), name)
+    edges = np.unique(offsets)
+    if len(data) <= CHUNK_BYTES:
+        start, end, name = _split(data, edges, is_word, names)
+    else:
+        edges = np.unique(np.concatenate((edges, _cuts(data, edges, is_word))))
+        parts, at = [], 0
+        while at < len(edges) - 1:
+            to = int(np.searchsorted(edges, edges[at] + CHUNK_BYTES, side="right")) - 1
+            to = max(to, at + 1)
+            base = edges[at]
+            start, end, name = _split(data[base : edges[to]], edges[at : to + 1] - base, is_word, names)
+            parts.append((start + base, end + base, name))
+            at = to
+        start, end, name = (np.concatenate(x) for x in zip(*parts))
+    return Words(data, start, end, np.searchsorted(start, offsets), name)
+
+
+def _cuts(data: np.ndarray, edges: np.ndarray, is_word: np.ndarray) -> np.ndarray:
+    """Places between words that cut what is longer than a piece."""
+    cuts = []
+    for i in np.flatnonzero(np.diff(edges) > CHUNK_BYTES).tolist():
+        at = int(edges[i]) + CHUNK_BYTES
+        while at < edges[i + 1]:
+            # Words are short, so the next gap is near; a word without one is a piece of its own.
+            for reach in (256, 1 << 16, int(edges[i + 1]) - at):
+                gap = np.flatnonzero(~is_word[data[at : min(at + reach, edges[i + 1])]])
+                if len(gap):
+                    break
+            if not len(gap):
+                break
+            cuts.append(at + int(gap[0]))
+            at = cuts[-1] + CHUNK_BYTES
+    return np.array(cuts, dtype=np.int64)
 
 
 def _split(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, names: bool):
@@ -177,9 +197,8 @@ def _split(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, names: bo
     edges = edges[edges > 0] - 1
     closes[edges] = inside[edges]
     start, end = np.flatnonzero(begins), np.flatnonzero(closes) + 1
-    first = np.searchsorted(start, offsets)
     name = window_sums(_BYTES[data], start, end, _BASE) if names else np.empty(0, dtype=np.uint64)
-    return start, end, first, name
+    return start, end, name
 
 
 def shingles(name: np.ndarray, k: int) -> np.ndarray:

@@ -93,6 +93,9 @@ def test_base_scores(spark):
         expected.append((-1 if d is None else d, len(w), sum(x in count for x in w), total, round(base, 6)))
     assert sorted((-1 if r[0] is None else r[0], r[2], r[3], r[4], round(r[5], 6)) for r in found) == sorted(expected)
     assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
+    assert suffix_tree.scores(df.limit(0)).count() == 0
+    held = suffix_tree.scores(df.filter("doc_id = 1001").withColumn("doc_id", suffix_tree.F.lit(8))).first()
+    assert (held["held_out"], held["n_tokens"], held["train_tokens"]) == (zlib.crc32(b"8") % 7 == 2, 8, 0 if zlib.crc32(b"8") % 7 == 2 else 8)
 
 
 def test_distributions_sum_to_one(spark):
