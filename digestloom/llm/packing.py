@@ -37,7 +37,7 @@ ROUNDS = 3
 # Bins given back for each bin above the bound.
 EXCHANGED = 8
 # Words whose ids a worker keeps; the table starts anew beyond.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 _PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
@@ -60,9 +60,9 @@ class CachedTokenizer:
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.by_word = bool(self.closes.any())
-        self._reset()
+        self.forget()
 
-    def _reset(self):
+    def forget(self):
         self.slots = {}
         self.pool = [np.empty(0, dtype=np.uint32)]
         self.at = [np.empty(0, dtype=np.int64)]
@@ -117,7 +117,7 @@ class CachedTokenizer:
         names, first, inverse = np.unique(found.name, return_index=True, return_inverse=True)
         listed = names.tolist()
         if len(self.slots) > CACHED_WORDS:
-            self._reset()
+            self.forget()
         missing = [i for i, n in enumerate(listed) if n not in self.slots]
         if missing:
             where = first[missing]
@@ -170,6 +170,8 @@ def _pieces(path: str, capacity: int, end: int, keep_ids: bool):
                     names.append("ids")
                     columns.append(pa.array(kept, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        # The worker may go on to other work; it keeps the tokenizer but not the words.
+        encoder.forget()
 
     return run
 
