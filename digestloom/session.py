@@ -64,8 +64,7 @@ def scratch_released(spark: SparkSession) -> Iterator[None]:
     try:
         yield
         for path in _scratch.get():
-            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+            _remove(spark, path)
     finally:
         _scratch.reset(mark)
 
@@ -77,7 +76,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     if _scratch.get() is not None:
         _scratch.get().append(path)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    return written
+
+
+def release(written: DataFrame) -> None:
+    """Remove what ``materialise`` wrote for this table; nothing may read it any more."""
+    _remove(written.sparkSession, written.scratch_path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
