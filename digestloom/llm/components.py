@@ -1,8 +1,9 @@
 """Connected components of an edge table, without gathering the graph anywhere.
 
-Alternating large-star and small-star rounds (MapReduce connected components): every node
-links its larger neighbours to the smallest node it knows, then its smaller ones, until the
-edges are stars. Before that each task replaces its edges by a spanning forest of them.
+Each task first replaces its edges by a spanning forest of them. If few edges are left, by a
+count, one task reads the components off. Else alternating large-star and small-star rounds
+(MapReduce connected components) follow: every node links its larger neighbours to the smallest
+node it knows, then its smaller ones, until the edges are stars.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from digestloom.session import materialise
 
+# Edges that a task may hold: some tens of megabytes.
 FOREST_EDGES = 500_000
 
 
@@ -38,18 +40,28 @@ class Forest:
         return True
 
 
-def _span(batches):
+def _forest(batches):
+    """Nodes, their forest, the edges and which of them the forest is made of."""
     rows = [pa.Table.from_batches([b]) for b in batches]
-    if not rows:
-        return
-    table = pa.concat_tables(rows)
+    table = pa.concat_tables(rows) if rows else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
     nodes, number = np.unique(np.concatenate((a, b)), return_inverse=True)
     forest = Forest(len(nodes))
     used = [i for i, (x, y) in enumerate(zip(number[: len(a)].tolist(), number[len(a) :].tolist())) if forest.join(x, y)]
+    return nodes, forest, table, used
+
+
+def _span(batches):
+    _, _, table, used = _forest(batches)
     yield from table.take(pa.array(used, pa.int64())).combine_chunks().to_batches()
 
 
+def _label(batches):
+    nodes, forest, _, _ = _forest(batches)
+    roots = nodes[[forest.root(i) for i in range(len(nodes))]] if len(nodes) else nodes
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], names=["node", "component"])
+
+
 def spanning(edges: DataFrame, n_edges: int) -> DataFrame:
     """Edges (``a, b``) that connect the same nodes; a forest while one task can hold them all."""
     parts = max(1, -(-n_edges // FOREST_EDGES))
@@ -59,9 +71,13 @@ def spanning(edges: DataFrame, n_edges: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges`` (``a, b`` long): the smallest node reachable."""
     state = materialise(edges.select("a", "b").filter("a <> b"), "edges")
-    state = materialise(
-        spanning(state, state.count()).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
+    n = state.count()
+    if n > FOREST_EDGES:
+        state = materialise(spanning(state, n), "forest")
+        n = state.count()
+    if n <= FOREST_EDGES:
+        return state.repartition(1, "a").mapInArrow(_label, "node long, component long")
+    state = materialise(state.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -14,9 +14,10 @@ meet in equal subsets. Sets from the boundary on scan inverted lists of single s
 size and positional filters. The boundary is the size up to which enumerating costs less than
 scanning, by the list lengths counted in the first pass.
 
-Inside a list neighbours by size are compared first. Pairs of nodes that these links connect
-need no comparing; all other pairs of a list are compared too, so no link between different
-components is lost and a group of near copies costs a line of comparisons, not a square.
+Inside a list neighbours by size are compared first, then of long lists the pairs whose parity
+bitmaps differ least. Pairs of nodes that these links connect need no comparing; all other pairs
+of a list are compared too, so no link between different components is lost, while what is
+compared in a group of near copies grows with its size, not with its square.
 Candidates pass a parity bitmap (an exact bound on the overlap) and then the sets themselves.
 
 Shingles and sets are compared by 64-bit hashes: among n of them some two clash with a chance
@@ -48,6 +49,8 @@ FREQUENT = 16
 MAX_FREQUENT = 1 << 20
 # Lists up to this length are paired where they are found; longer ones know components first.
 PAIRED_LIST = 24
+# Pairs of an entry of a long list that are tried before all others.
+BEST_FIRST = 4
 # Cost of a candidate pair against that of one list entry.
 PAIR_COST = 4.0
 CHUNK_BYTES = 4 << 20
@@ -294,21 +297,59 @@ def _lists(percent, bound):
     return run
 
 
-def _crossing(percent, bound):
-    """Pairs of one long list that lie in different components, a block of entries at a time."""
+def _folded(cells: list[bytes]) -> dict[int, np.ndarray]:
+    """Bitmaps folded to each width that occurs; rows of a narrower bitmap are left empty."""
+    widths = np.array([len(c) for c in cells])
+    out = {}
+    for width in np.unique(widths).tolist():
+        rows = np.zeros((len(cells), width // 8), dtype=np.uint64)
+        for i in np.flatnonzero(widths >= width).tolist():
+            parts = np.frombuffer(cells[i], dtype=np.uint64).reshape(-1, width // 8)
+            rows[i] = np.bitwise_xor.reduce(parts, axis=0)
+        out[width] = rows
+    return out
+
+
+def _bitsets(lists: list[list[int]]) -> np.ndarray:
+    """Each list of keys as a row of bits over all keys that occur."""
+    counts = np.array([len(x) for x in lists], dtype=np.int64)
+    keys, number = np.unique(np.array([k for x in lists for k in x], dtype=np.int64), return_inverse=True)
+    bits = np.zeros((len(lists), len(keys) // 64 + 1), dtype=np.uint64)
+    row = np.repeat(np.arange(len(lists)), counts)
+    np.bitwise_or.at(bits, (row, number >> 6), np.uint64(1) << (number & 63).astype(np.uint64))
+    return bits
+
+
+def _crossing(percent, bound, best):
+    """Pairs of one long list that lie in different components and pass the bitmaps.
+
+    Entries are compared one after the other with all that follow by size. A pair comes out of
+    the first list that it shares, and only if its bitmaps allow a link. With ``best`` only so
+    many pairs of an entry come out, those whose bitmaps differ least.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("n", "ascending"), ("a", "ascending")])
         node, n, place, comp = (table.column(c).to_numpy() for c in ("a", "n", "place", "component"))
-        order = np.argsort(n, kind="stable")
-        node, n, place, comp = node[order], n[order], place[order], comp[order]
         first, second = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
         if len(np.unique(comp)) > 1:
-            # Sizes ascend, so the partners of an entry are the entries up to a size.
+            cells = table.column("cells").to_pylist()
+            folded = _folded(cells)
+            earlier = _bitsets(table.column("earlier").to_pylist())
+            # Sizes ascend, so the partners of an entry are the entries up to a size, and their
+            # bitmaps are as wide or wider.
             last = np.searchsorted(n, 100 * n // percent, side="right")
             for i in range(len(n)):
                 j = np.arange(i + 1, last[i])
                 j = j[comp[j] != comp[i]]
                 j = j[may_link(n[i], place[i], n[j], place[j], percent, bound)]
+                j = j[~(earlier[j] & earlier[i]).any(axis=1)]
+                rows = folded[len(cells[i])]
+                differ = np.bitwise_count(rows[j] ^ rows[i]).sum(axis=1, dtype=np.int64)
+                may = differ <= n[i] + n[j] - 2 * -(-percent * (n[i] + n[j]) // (100 + percent))
+                j, differ = j[may], differ[may]
+                if best and len(j) > best:
+                    j = j[np.argsort(differ, kind="stable")[:best]]
                 first.append(np.minimum(node[i], node[j]))
                 second.append(np.maximum(node[i], node[j]))
         return pa.table({"a": np.concatenate(first), "b": np.concatenate(second)})
@@ -435,28 +476,46 @@ class _Join:
         sets = materialise(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
         one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("s1"))
         two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("s2"))
-        return materialise(likely.join(one, "a").join(two, "b").mapInArrow(compare(self.percent, ["a", "b"]), "a long, b long"), "links")
+        links = materialise(likely.join(one, "a").join(two, "b").mapInArrow(compare(self.percent, ["a", "b"]), "a long, b long"), "links")
+        bits.destroy()
+        return links
 
     def components(self) -> DataFrame:
         """``node, component`` of all nodes that link with another."""
-        near = self.verified(self.found.filter("kind = 0").select("a", "b"), spanned=True)
-        known = materialise(components(near), "components")
+        links = self.verified(self.found.filter("kind = 0").select("a", "b"), spanned=True)
+        known = materialise(components(links), "components")
+        # First the likeliest pairs of long lists, which connect most of what belongs together;
+        # then all pairs that still lie in different components.
+        for best in (BEST_FIRST, 0):
+            pairs = self._pairs_of_long_lists(known, best)
+            if not best:
+                pairs = pairs.unionByName(self._pairs_of_short_lists(known))
+            rest = self.verified(pairs, spanned=bool(best))
+            if rest.limit(1).count():
+                links = links.unionByName(rest)
+                known = materialise(components(links), "components")
+        return known
+
+    def _pairs_of_short_lists(self, known: DataFrame) -> DataFrame:
         names = known.select(F.col("node").alias("a"), F.col("component").alias("c"))
-        far = self.found.filter("kind < 2").select("a", "b").distinct().join(names, "a", "left")
+        pairs = self.found.filter("kind < 2").select("a", "b").distinct().join(names, "a", "left")
         names = known.select(F.col("node").alias("b"), F.col("component").alias("d"))
-        far = far.join(names, "b", "left").filter(F.coalesce("c", "a") != F.coalesce("d", "b")).select("a", "b")
+        return pairs.join(names, "b", "left").filter(F.coalesce("c", "a") != F.coalesce("d", "b")).select("a", "b")
+
+    def _pairs_of_long_lists(self, known: DataFrame, best: int) -> DataFrame:
         entries = self.found.filter("kind = 2").select("key", "a", "n", "place").join(known.withColumnRenamed("node", "a"), "a", "left")
         entries = entries.withColumn("component", F.coalesce("component", "a"))
         # Lists inside one component, as those of a group of near copies, need no look.
         mixed = entries.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-        crossing = (
-            entries.join(mixed, "key", "left_semi").select("key", "a", "n", "place", "component")
-            .groupBy("key").applyInArrow(_crossing(self.percent, self.bound), "a long, b long")
+        entries = materialise(entries.join(mixed, "key", "left_semi"), "entries")
+        # The long lists of a node, of which there are no more than shingles in its prefix.
+        own = entries.groupBy("a").agg(F.collect_list(F.struct("place", "key")).alias("lists"))
+        before = F.filter("lists", lambda x: (x["place"] < F.col("place")) | ((x["place"] == F.col("place")) & (x["key"] < F.col("key"))))
+        return (
+            entries.join(own, "a").join(self.nodes.select(F.col("node").alias("a"), "cells"), "a")
+            .select("key", "a", "n", "place", "component", "cells", F.transform(before, lambda x: x["key"]).alias("earlier"))
+            .groupBy("key").applyInArrow(_crossing(self.percent, self.bound, best), "a long, b long")
         )
-        rest = self.verified(far.unionByName(crossing), spanned=False)
-        if not rest.limit(1).count():
-            return known
-        return materialise(components(near.unionByName(rest)), "components")
 
 
 def near_duplicates(
