@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from digestloom.llm import words
 
 PART_KEYS = 1 << 20
-PENDING = 1 << 21
+PENDING = 1 << 20
 
 
 class KeyCounts:

@@ -8,8 +8,8 @@ result does not depend on the order in which pairs are found.
 The words of a line are ordered by rarity over all documents (the counts of the most frequent
 words are broadcast, a fixed number; the others come first, by name). Matching sets share a
 word in the first ``n - ceil(t n) + 1`` of both, so only these are posted, and words that occur
-once are not. Pairs of a list pass length and positional filters, a parity filter of 128
-cells, and then the sets themselves are compared.
+once are not. Pairs of a list pass length and positional filters and a parity filter of 64
+cells before they leave the list, and then the sets themselves are compared.
 
 Equal sets are one node with one first occurrence. In a long list every node is compared with
 its neighbours and the earliest node first; only nodes for which that found no earlier match
@@ -31,19 +31,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestloom.llm import counts, jaccard_join, shards, words
-from digestloom.session import materialise
+from digestloom.session import materialise, release
 
 PERCENT = 80
 LEAST_WORDS = 5
 MAX_FREQUENT = 1 << 20
+SHARD_BYTES = 2 << 20
+# Entries of long lists looked at in one call, and pairs of them looked at at once.
+GROUP_ENTRIES = 20_000
+BLOCK_PAIRS = 1 << 20
 # Lists up to this length are paired whole.
-PAIRED_LIST = 8
+PAIRED_LIST = 32
 
 _CELL = words.spread(2, seed=41)
 
 
+# Bits of the order of a word inside its line; a line number below 2^20 takes the others.
+_ORDER_BITS = np.uint64(44)
+_FREQUENT = np.uint64(1 << 43)
+
+
 class Lines:
-    """Lines of some texts as sets of words, ordered by ``order_of`` (rank of each name)."""
+    """Lines of some texts as sets of words, in the order of 44-bit codes of their names."""
 
     def __init__(self, texts: pa.Array, order_of=None):
         found = words.split(texts, words.SPACE_SEPARATED, True)
@@ -64,11 +73,15 @@ class Lines:
         self.text_of, self.number, self.raw = text_of, number, raw
         # Words are in the order of lines, so the last line that starts before a word holds it.
         line = np.searchsorted(self.start, found.start, side="right") - 1
-        rank = order_of(found.name) if order_of else np.zeros(len(line), dtype=np.int64)
-        order = np.lexsort((found.name, rank, line))
-        line, name = line[order], found.name[order]
-        fresh = np.concatenate(([True], (line[1:] != line[:-1]) | (name[1:] != name[:-1]))) if len(line) else np.empty(0, dtype=bool)
-        self.line, self.name = line[fresh], name[fresh]
+        # Words of one line whose codes agree are taken as equal: some hundred words, 43 bits.
+        code = order_of(found.name) if order_of else found.name >> np.uint64(21)
+        if len(self.start) < 1 << 20:
+            order = np.argsort((line.astype(np.uint64) << _ORDER_BITS) | code)
+        else:
+            order = np.lexsort((code, line))
+        line, code = line[order], code[order]
+        fresh = np.concatenate(([True], (line[1:] != line[:-1]) | (code[1:] != code[:-1]))) if len(code) else np.empty(0, dtype=bool)
+        self.name, self.line = found.name[order[fresh]], line[fresh]
         self.size = np.bincount(self.line, minlength=len(self.start))
         self.at = np.cumsum(self.size) - self.size
         some = self.size > 0
@@ -77,15 +90,10 @@ class Lines:
             sums[some] = np.add.reduceat(words.mix(self.name ^ _CELL[0]), self.at[some])
         self.node = words.mix(sums + self.size.astype(np.uint64))
 
-    def cells(self, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two words of 64 parity cells for each of the given lines, none of them blank."""
-        hashed = words.mix(self.name ^ _CELL[1])
-        bit = np.uint64(1) << (hashed & np.uint64(63))
-        upper = (hashed >> np.uint64(63)).astype(bool)
-        out = []
-        for half in (~upper, upper):
-            out.append(np.bitwise_xor.reduceat(np.append(np.where(half, bit, np.uint64(0)), np.uint64(0)), self.at)[picked])
-        return out[0].view(np.int64), out[1].view(np.int64)
+    def cells(self, picked: np.ndarray) -> np.ndarray:
+        """64 parity cells for each of the given lines, none of them blank."""
+        bit = np.uint64(1) << (words.mix(self.name ^ _CELL[1]) & np.uint64(63))
+        return np.bitwise_xor.reduceat(np.append(bit, np.uint64(0)), self.at)[picked]
 
     def firsts(self, ids: np.ndarray, picked: np.ndarray) -> np.ndarray:
         """Of the given lines, the first of each node, by document id and place."""
@@ -99,16 +107,22 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
 
 
-def _rank(names: np.ndarray, n: np.ndarray):
+def _rank(names: np.ndarray, rank: np.ndarray):
+    """Codes by rarity: words outside ``names`` by name, then the others by their rank."""
+
     def order_of(name):
-        if not len(names):
-            return np.zeros(len(name), dtype=np.int64)
-        at = np.minimum(np.searchsorted(names, name), len(names) - 1)
-        return np.where(names[at] == name, n[at], 0)
+        code = name >> np.uint64(21)
+        if len(names):
+            at = np.minimum(np.searchsorted(names, name), len(names) - 1)
+            code = np.where(names[at] == name, _FREQUENT | rank[at], code)
+        return code
 
     return order_of
 
 
+_ENTRY = [("key", "u8"), ("node", "i8"), ("cells", "u8"), ("age", "f4"), ("n", "u4"), ("at", "u4")]
+
+
 def _post(text, id_col, percent, least, handle, parts):
     """Postings of the rare words of each node of a shard, and the nodes themselves."""
 
@@ -131,7 +145,9 @@ def _post(text, id_col, percent, least, handle, parts):
                 met = (several[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0
                 key, owner, at = key[met], owner[met], at[met]
                 node = lines.node[first].view(np.int64)
-                entry = np.empty(len(key), dtype=[("key", "u8"), ("node", "i8"), ("n", "u4"), ("at", "u4"), ("age", "f4")])
+                cells = lines.cells(first)
+                entry = np.empty(len(key), dtype=_ENTRY)
+                entry["cells"] = cells[owner]
                 # Words are spread over ranges by another hash than the nodes.
                 entry["key"], entry["node"], entry["n"], entry["at"] = key, node[owner], size[owner], at
                 entry["age"] = ids[lines.text_of[first]][owner].astype(np.float32)
@@ -140,41 +156,42 @@ def _post(text, id_col, percent, least, handle, parts):
                 entry, cut = entry[order], np.searchsorted(part[order], np.arange(parts + 1))
                 sent = [(i, entry[a:b].tobytes()) for i, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
                 d, m = len(first), len(sent)
-                low, high = lines.cells(first)
                 none = pa.nulls(m, pa.int64())
-                columns = [node, size, ids[lines.text_of[first]], np.full(d, shard), (lines.text_of[first] << 32) | lines.number[first], low, high]
+                columns = [node, size, ids[lines.text_of[first]], np.full(d, shard), (lines.text_of[first] << 32) | lines.number[first], cells.view(np.int64)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([None] * d + [i for i, _ in sent], pa.int32()),
                         pa.array([None] * d + [p for _, p in sent], pa.binary()),
                         *(pa.concat_arrays([pa.array(c.astype(np.int64)), none]) for c in columns),
                     ],
-                    names=["part", "payload", "node", "n", "doc", "shard", "place", "low", "high"],
+                    names=["part", "payload", "node", "n", "doc", "shard", "place", "cells"],
                 )
 
     return run
 
 
-_POSTED = "part int, payload binary, node long, n long, doc long, shard long, place long, low long, high long"
+_POSTED = "part int, payload binary, node long, n long, doc long, shard long, place long, cells long"
 
 
-def _may_match(n1, at1, n2, at2, percent):
+def _may_match(n1, at1, cells1, n2, at2, cells2, percent):
+    """Length and positional filters, and the parity cells: a bound on the words not shared."""
     need = -(-percent * (n1 + n2) // (100 + percent))
-    return (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & (np.minimum(n1 - at1, n2 - at2) >= need)
+    sizes = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
+    differ = np.bitwise_count(cells1 ^ cells2).astype(np.int64)
+    return sizes & (np.minimum(n1 - at1, n2 - at2) >= need) & (differ <= n1 + n2 - 2 * need)
 
 
 def _lists(percent):
     """Pairs of short lists, near pairs of long ones, and the entries of the latter."""
 
     def run(table: pa.Table) -> pa.Table:
-        kind = [("key", "u8"), ("node", "i8"), ("n", "u4"), ("at", "u4"), ("age", "f4")]
-        entry = np.concatenate([np.frombuffer(p, dtype=kind) for p in table.column("payload").to_pylist()])
+        entry = np.concatenate([np.frombuffer(p, dtype=_ENTRY) for p in table.column("payload").to_pylist()])
         # The node of a key comes once from each shard; keep the oldest.
         entry = entry[np.lexsort((entry["age"], entry["node"], entry["key"]))]
         fresh = np.concatenate(([True], (entry["key"][1:] != entry["key"][:-1]) | (entry["node"][1:] != entry["node"][:-1])))
         entry = entry[fresh]
         entry = entry[np.lexsort((entry["node"], entry["age"], entry["key"]))]
-        key, node = entry["key"], entry["node"]
+        key, node, cells = entry["key"], entry["node"], entry["cells"]
         n, at = entry["n"].astype(np.int64), entry["at"].astype(np.int64)
         begins = np.concatenate(([True], key[1:] != key[:-1]))
         head = np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
@@ -192,7 +209,7 @@ def _lists(percent):
         i, j = by_size[:-1], by_size[1:]
         near = (number[i] == number[j]) & ~short[i]
         a, b = np.concatenate([*a, i[near]]), np.concatenate([*b, j[near]])
-        ok = _may_match(n[a], at[a], n[b], at[b], percent)
+        ok = _may_match(n[a], at[a], cells[a], n[b], at[b], cells[b], percent)
         a, b = node[a[ok]], node[b[ok]]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), dtype=np.int64)
         long_ = ~short
@@ -209,22 +226,34 @@ def _lists(percent):
 
 
 def _open_against_list(percent):
-    """Pairs of a long list's nodes without an earlier match with all earlier ones."""
+    """Pairs of the nodes without an earlier match with all earlier ones of their list.
+
+    A group holds the lists of some keys; pairs are looked at in blocks, and only those that
+    may match come out.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        node, n, at, doc, shard, place = (table.column(c).to_numpy() for c in ("a", "n", "at", "doc", "shard", "place"))
-        open_ = table.column("open").to_numpy(zero_copy_only=False)
-        order = np.lexsort((place, shard, doc))
-        node, n, at, open_ = node[order], n[order], at[order], open_[order]
-        low, high = (table.column(c).to_numpy()[order].view(np.uint64) for c in ("low", "high"))
-        first, second = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-        for i in np.flatnonzero(open_).tolist():
-            j = np.flatnonzero(_may_match(n[:i], at[:i], n[i], at[i], percent))
-            differ = np.bitwise_count(low[j] ^ low[i]).astype(np.int64) + np.bitwise_count(high[j] ^ high[i])
-            j = j[differ <= n[j] + n[i] - 2 * -(-percent * (n[j] + n[i]) // (100 + percent))]
-            first.append(np.minimum(node[j], node[i]))
-            second.append(np.maximum(node[j], node[i]))
-        return pa.table({"a": np.concatenate(first), "b": np.concatenate(second)})
+        key, node, n, at, doc, shard, place = (table.column(c).to_numpy() for c in ("key", "a", "n", "at", "doc", "shard", "place"))
+        order = np.lexsort((place, shard, doc, key))
+        key, node, n, at = key[order], node[order], n[order], at[order]
+        cells = table.column("cells").to_numpy()[order].view(np.uint64)
+        begins = np.concatenate(([True], key[1:] != key[:-1]))
+        start = np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
+        later = np.flatnonzero(table.column("open").to_numpy(zero_copy_only=False)[order])
+        later = later[later > start[later]]
+        upto = np.cumsum(later - start[later])
+        pairs = [np.empty((2, 0), dtype=np.int64)]
+        done = 0
+        while done < len(later):
+            to = int(np.searchsorted(upto, (upto[done - 1] if done else 0) + BLOCK_PAIRS, side="right"))
+            block = later[done : max(to, done + 1)]
+            done += len(block)
+            a, b = words.ragged(start[block], block - start[block]), np.repeat(block, block - start[block])
+            ok = _may_match(n[a], at[a], cells[a], n[b], at[b], cells[b], percent)
+            a, b = node[a[ok]], node[b[ok]]
+            pairs.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1))
+        pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
     return run
 
@@ -240,7 +269,6 @@ def _wanted_sets(text, least, wanted):
                 picked = picked[once]
                 cell = jaccard_join._cell(lines.node[picked].view(np.int64))
                 picked = picked[(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0]
-                # Without an order function the words of a line are sorted by name.
                 sets = [lines.name[a : a + k].tobytes() for a, k in zip(lines.at[picked].tolist(), lines.size[picked].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lines.node[picked].view(np.int64)), pa.array(sets, pa.binary())], names=["node", "tokens"]
@@ -288,7 +316,7 @@ def remove_repeated_lines(
     """``documents`` with the kept lines as text, and ``_dl_lines`` and ``_dl_removed``."""
     sc = documents.sparkSession.sparkContext
     documents = documents.withColumn(text_col, F.col(text_col).cast("string"))
-    held = shards.gather(documents, text_col)
+    held = shards.gather(documents, text_col, SHARD_BYTES)
     plain = documents.select(F.col(text_col).alias("text"))
     size = held.agg(F.sum("n_bytes")).first()[0] or 0
 
@@ -301,14 +329,17 @@ def remove_repeated_lines(
     keys, n = hot.column("key").to_numpy().view(np.uint64), hot.column("n").to_numpy()
     order = np.argsort(keys)
     several = jaccard_join.marked(table.select(F.col("key").alias("node")))
-    handle = sc.broadcast((keys[order], n[order], several))
+    rank = np.empty(len(keys), dtype=np.uint64)
+    rank[np.lexsort((keys, n))] = np.arange(len(keys), dtype=np.uint64)
+    release(table)
+    handle = sc.broadcast((keys[order], rank[order], several))
     parts = counts.parts_for(size // 40)
     bodies = held.select("shard", "body")
     posted = materialise(bodies.mapInArrow(_post(text_col, id_col, percent, least_words, handle, parts), _POSTED), "posted")
     # First occurrence of each node: few rows from each shard, and none of a hot node.
     age = F.struct("doc", "shard", "place")
     nodes = materialise(
-        posted.filter("part is null").groupBy("node").agg(F.min(age).alias("age"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high")),
+        posted.filter("part is null").groupBy("node").agg(F.min(age).alias("age"), F.first("cells").alias("cells"), F.first("n").alias("n")),
         "nodes",
     )
     found = materialise(
@@ -316,13 +347,15 @@ def remove_repeated_lines(
         "pairs",
     )
 
+    release(posted)
+    handle.destroy()
+    del hot, keys, n, rank, order, several
+
     def matches(pairs):
         """Nodes that have an earlier match among the pairs."""
-        one = nodes.select(F.col("node").alias("a"), F.col("age").alias("age1"), F.col("n").alias("n1"), F.col("low").alias("l1"), F.col("high").alias("h1"))
-        two = nodes.select(F.col("node").alias("b"), F.col("age").alias("age2"), F.col("n").alias("n2"), F.col("low").alias("l2"), F.col("high").alias("h2"))
-        both = F.col("n1") + F.col("n2")
-        differ = F.bit_count(F.col("l1").bitwiseXOR(F.col("l2"))) + F.bit_count(F.col("h1").bitwiseXOR(F.col("h2")))
-        likely = pairs.distinct().join(one, "a").join(two, "b").filter(differ <= both - 2 * F.ceil(both * percent / (100 + percent)))
+        one = nodes.select(F.col("node").alias("a"), F.col("age").alias("age1"))
+        two = nodes.select(F.col("node").alias("b"), F.col("age").alias("age2"))
+        likely = pairs.distinct().join(one, "a").join(two, "b")
         likely = materialise(likely.select("a", "b", F.when(F.col("age1") > F.col("age2"), F.col("a")).otherwise(F.col("b")).alias("later")), "likely")
         wanted = materialise(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct(), "wanted")
         bits = sc.broadcast(jaccard_join.marked(wanted))
@@ -330,19 +363,27 @@ def remove_repeated_lines(
         sets = materialise(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
         one, two = (sets.select(F.col("node").alias(x), F.col("tokens").alias(s)) for x, s in (("a", "s1"), ("b", "s2")))
         equal = likely.join(one, "a").join(two, "b").mapInArrow(jaccard_join.compare(percent, ["later"]), "later long")
-        return materialise(equal.select(F.col("later").alias("node")).distinct(), "matched")
+        matched = materialise(equal.select(F.col("later").alias("node")).distinct(), "matched")
+        for done in (likely, wanted, sets):
+            release(done)
+        bits.destroy()
+        return matched
 
     matched = matches(found.filter("key is null").select("a", "b"))
     entries = found.filter("key is not null").select("key", "a", "n", "at")
     entries = (
-        entries.join(nodes.select(F.col("node").alias("a"), "age.*", "low", "high"), "a")
+        entries.join(nodes.select(F.col("node").alias("a"), "age.*", "cells"), "a")
         .join(matched.select(F.col("node").alias("a"), F.lit(False).alias("open")), "a", "left")
         .withColumn("open", F.coalesce("open", F.lit(True)))
     )
     # Only lists with an open node behind their first one have anything to compare.
     some = entries.groupBy("key").agg(F.count_if("open").alias("m"), F.min_by("open", F.struct("doc", "shard", "place")).cast("int").alias("f"))
     entries = entries.join(some.filter("m > f").select("key"), "key", "left_semi")
-    more = materialise(entries.groupBy("key").applyInArrow(_open_against_list(percent), "a long, b long"), "open")
+    entries = materialise(entries, "entries")
+    groups = max(1, entries.count() // GROUP_ENTRIES)
+    bucket = F.pmod(F.xxhash64("key"), F.lit(groups)).alias("bucket")
+    more = materialise(entries.groupBy(bucket).applyInArrow(_open_against_list(percent), "a long, b long"), "open")
+    release(entries)
     if more.limit(1).count():
         matched = matched.unionByName(matches(more)).distinct()
     kept = nodes.join(matched, "node", "left_anti").select("node", F.col("age.shard").alias("shard"))
