@@ -115,6 +115,70 @@ def test_distributions_sum_to_one(spark):
         assert total == pytest.approx(1.0, abs=1e-9)
 
 
+def _rare_pairs(n):
+    """A pair seen 30 times among ``n`` times twenty other words."""
+    rng = random.Random(5)
+    some = [f"w{i}" for i in range(300)]
+    return ["rare pair follows here"] * 30 + [" ".join(rng.choices(some, k=20)) for _ in range(n)]
+
+
+def test_contexts_do_not_depend_on_the_size_of_the_corpus(spark):
+    df = spark.createDataFrame([(t,) for t in _rare_pairs(200_000)], "text string")
+    tree, _ = suffix_tree.fit(df)
+    _, _, _, base, model = tree.logs(pa.array(["rare pair follows here"]))
+    # 30 of 4,000,000 words are fewer than the share of 1e-5 that a context once had to have.
+    assert tree.total > 4_000_000 and (model[1:4] > base[1:4] + 3).all()
+
+
+def test_contexts_equal_plain_counts(spark):
+    texts = [r[0] or "" for r in queries.table(spark, SMALL, "documents").select("text").collect()]
+    tree, _ = suffix_tree.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    docs = [["<b>", *brute.words(t), "<e>"] for t in texts]
+    seen = [{}, {}, {}, {}]
+    for w in docs:
+        for i in range(1, len(w)):
+            seen[0][(w[i],)] = seen[0].get((w[i],), 0) + 1
+            for k in range(1, min(i, 3) + 1):
+                g = tuple(w[i - k : i + 1])
+                seen[k][g] = seen[k].get(g, 0) + 1
+    total, kinds = sum(seen[0].values()), len(seen[0])
+    root = {w: (n + 1) / (total + kinds + 1) for (w,), n in seen[0].items()}
+    nexts, share, smooth, stays = {}, {}, {}, set()
+    for k in range(1, 4):
+        for g, n in seen[k].items():
+            size = len(docs) if g[:-1] == ("<b>",) else seen[k - 1].get(g[:-1], 0)
+            if n >= 4 and (size >= 20 or g[:-1] == ("<b>",)):
+                nexts.setdefault(g[:-1], {})[g[-1]] = (n - 0.75) / size
+        for c in [c for c in nexts if len(c) == k]:
+            share[c] = max(1 - sum(nexts[c].values()), 1e-9)
+            q = {s: smooth[c[1:]][s] if k > 1 else root[s] for s in nexts[c]}
+            smooth[c] = {s: p + share[c] * q[s] for s, p in nexts[c].items()}
+            size = len(docs) if c == ("<b>",) else seen[k - 1][c]
+            gain = sum(x * math.log(x / q[s]) for s, x in smooth[c].items()) + share[c] * max(1 - sum(q.values()), 1e-12) * math.log(share[c])
+            if size * gain > 2.0 * len(q):
+                stays |= {c[i:] for i in range(k)}
+    for text in texts[:40]:
+        w = ["<b>", *brute.words(text), "<e>"]
+        expected = []
+        for i in range(1, len(w)):
+            p = root[w[i]]
+            for k in range(1, min(i, 3) + 1):
+                c = tuple(w[i - k : i])
+                if c not in stays:
+                    break
+                p = nexts[c].get(w[i], 0) + share[c] * p
+            expected.append(math.log10(p))
+        assert tree.logs(pa.array([text]))[4].tolist() == pytest.approx(expected, abs=1e-9)
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    df = queries.table(spark, SMALL, "documents")
+    whole = {r["doc_id"]: r["score"] for r in suffix_tree.scores(df).collect()}
+    for n in (1, 50):
+        monkeypatch.setattr(suffix_tree, "MAX_HOT", n)
+        assert {r["doc_id"]: r["score"] for r in suffix_tree.scores(df).collect()} == pytest.approx(whole, abs=1e-9)
+
+
 # Packing
 
 
