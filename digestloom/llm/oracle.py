@@ -175,3 +175,99 @@ SELECT l.page_id, l.host, l.path, l.rule,
 FROM longest l LEFT JOIN t20 ON t20.host = l.host LEFT JOIN d20 ON d20.host = l.host
 """
 )
+
+
+ORACLE["op11_source_mixing"] = r"""
+WITH said AS (
+  SELECT doc_id, max(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         -ln((CAST('0x' || substr(md5('mix-' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)
+           / CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS key
+  FROM documents LEFT JOIN said USING (doc_id)
+), s AS (
+  SELECT source, sum(size)::DOUBLE AS source_size,
+         [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+  FROM d GROUP BY source
+), filled AS (  -- sources by how soon they are full; the first k of them are capped
+  SELECT *, 1.5 * sum(source_size) OVER () AS budget,
+         coalesce(sum(2 * source_size) OVER (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+         sum(weight) OVER (ORDER BY source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+         2 * source_size / weight AS full_at
+  FROM s
+), level AS (
+  SELECT budget - capped AS words_left, open_weight FROM filled
+  WHERE (budget - capped) / open_weight <= full_at ORDER BY full_at LIMIT 1
+), t AS (
+  SELECT source, source_size, least(2 * source_size, weight * words_left / open_weight) AS target FROM s, level
+), k AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
+         sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), r AS (
+  SELECT *, target - epochs * source_size AS rest FROM k
+)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       (size * (epochs + CASE WHEN rest > before AND 2 * (rest - before) > size THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r
+"""
+
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), said AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN said USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM f GROUP BY part, fails
+), x(x) AS (
+  VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT part, filter_order, step, filter_order[step] AS own, filter_order[1 : step - 1] AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step), (SELECT DISTINCT part FROM c)
+), j AS (
+  SELECT s.*, c.n, c.n_good, c.n_toxic, c.fails, contains(c.fails, s.own) AS here,
+         s.earlier <> '' AND c.fails <> '' AND regexp_matches(c.fails, '[' || s.earlier || '-]') AS gone
+  FROM steps s JOIN c USING (part)
+), r AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT here AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (here AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (here AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n_good) FILTER (here AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(n_toxic) FILTER (here AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM j GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""

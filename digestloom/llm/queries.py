@@ -10,7 +10,22 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.llm import collision, decontaminate, jaccard_join, line_dedup, packing, recompression, suffix_tree, toxicity, url_trust, warc
+from digestloom.llm import (
+    collision,
+    decontaminate,
+    filter_audit,
+    hard_negatives,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    packing,
+    recompression,
+    suffix_tree,
+    toxicity,
+    url_trust,
+    warc,
+)
+from digestloom.operators.skew import broadcast_if_small
 
 QUERIES = {}
 
@@ -115,3 +130,27 @@ def op9_line_dedup(spark, sf_dir):
 def op10_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return collision.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op11_source_mixing(spark, sf_dir):
+    """Documents labelled good come early four times as likely as those labelled bad."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    said = table(spark, sf_dir, "labels").filter("doc_id is not null and quality is not null")
+    said = said.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    documents = documents.join(broadcast_if_small(said), "doc_id", "left")
+    quality = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0)
+    return mixing.mix(documents, quality=quality).drop("copies")
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", relabelled)
+    return hard_negatives.mine(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
