@@ -28,16 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from digestloom.llm import plain_words
 from digestloom.llm.words import mix
 from digestloom.operators.skew import broadcast_if_small
 from digestloom.session import materialise
 
-WORD = r"[^\x20\x09-\x0D]+"
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
 LEAST_DISTINCT = 50  # percent of the words
 MOST_CAPITALS = 2  # percent of the code points
-SYMBOLS = "[#$%&*|]"
+SYMBOLS = b"#$%&*|"
 
 # Counters for each document, probes of a text, and counters of a block: a text's probes lie in one block.
 COUNTERS_EACH = 8
@@ -48,22 +48,28 @@ BROADCAST_BITS = 1 << 29
 PENDING = 1 << 19
 
 
-def failures(text: str = "text") -> Column:
+CAPITALS = bytes(range(65, 91))
+INSIDE = bytes(range(0x80, 0xC0))  # bytes of a code point after its first
+
+
+def failures(data: bytes) -> int:
     """Bits 0 to 3: a text's failures of the filters A to D."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    words = F.regexp_extract_all(whole, F.lit(WORD), F.lit(0))
-    capitals = F.length(whole) - F.length(F.translate(whole, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-
-    def bits(w):
-        return (
-            F.when(F.size(w) < LEAST_WORDS, 1).otherwise(0)
-            + F.when(100 * F.size(F.array_distinct(w)) < LEAST_DISTINCT * F.size(w), 2).otherwise(0)
-            + F.when(100 * capitals > MOST_CAPITALS * F.length(whole), 4).otherwise(0)
-            + F.when(whole.rlike(SYMBOLS), 8).otherwise(0)
-        )
+    words, distinct = plain_words.words_and_distinct(data)
+    points = len(data.translate(None, INSIDE))
+    capitals = len(data) - len(data.translate(None, CAPITALS))
+    return (
+        (words < LEAST_WORDS)
+        + 2 * (100 * distinct < LEAST_DISTINCT * words)
+        + 4 * (100 * capitals > MOST_CAPITALS * points)
+        + 8 * (len(data) != len(data.translate(None, SYMBOLS)))
+    )
+
 
-    # The words are bound once; written out twice they would be searched twice.
-    return F.transform(F.array(words), bits)[0]
+def _judged(batches):
+    """``own``, the failures, in place of the text, which is the last column."""
+    for batch in batches:
+        own = pa.array([failures(data) for data in plain_words.texts(batch.column("text"))], pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], own], names=[*batch.schema.names[:-1], "own"])
 
 
 def text_hash(text: str = "text") -> Column:
@@ -217,13 +223,11 @@ def masks(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", broadcast_bits: int = BROADCAST_BITS, each: int = COUNTERS_EACH
 ) -> DataFrame:
     """``part, mask, n, n_good, n_toxic``: additive counts of documents by their failures."""
-    rows = materialise(
-        docs.select(
-            F.col(id_col).alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
-            failures(text_col).alias("own"), text_hash(text_col).alias("hash"),
-        ),
-        "failures",
+    id_type = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), text_hash(text_col).alias("hash"), F.col(text_col).alias("text")
     )
+    rows = materialise(texts.mapInArrow(_judged, f"id {id_type}, part string, hash long, own int"), "failures")
     firsts = materialise(earliest(docs, rows, id_col=id_col, text_col=text_col, broadcast_bits=broadcast_bits, each=each), "firsts")
     single = firsts.filter("n_texts = 1").select("hash", "first_id")
     later = F.coalesce(F.col("first_id") < F.col("id"), F.lit(False))
@@ -232,10 +236,11 @@ def masks(
     if clashing.limit(1).count():
         # Different texts with one hash: their rows are judged by digest.
         among = clashing.select("hash").distinct()
-        texts = docs.withColumns({"_fa_hash": text_hash(text_col), "_fa_id": F.col(id_col), "_fa_part": F.coalesce(F.col(part_col).cast("string"), F.lit(""))})
+        of_text = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("digest")
         judged = (
-            texts.select(F.col("_fa_id").alias("id"), F.col("_fa_part").alias("part"), failures(text_col).alias("own"), F.col("_fa_hash").alias("hash"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("digest"))
-            .join(broadcast_if_small(among), "hash", "left_semi")
+            texts.join(broadcast_if_small(among), "hash", "left_semi")
+            .select("id", "part", "hash", of_text, "text")
+            .mapInArrow(_judged, f"id {id_type}, part string, hash long, digest string, own int")
             .join(broadcast_if_small(clashing.select("hash", "digest", "first_id")), ["hash", "digest"], "left")
             .select("id", "part", "own", "hash", later.alias("late"))
         )

@@ -27,19 +27,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from digestloom.llm import plain_words
 from digestloom.operators.skew import broadcast_if_small, global_row_number
 from digestloom.session import materialise
 
-WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = "mix"
 
 
-def n_words(text: str | Column) -> Column:
-    """Words of a text; none in a null one."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+def _sized(batches):
+    """The number of words in place of the text, which is the last column."""
+    for batch in batches:
+        sizes = pa.array([plain_words.n_words(data) for data in plain_words.texts(batch.column("text"))], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes], names=[*batch.schema.names[:-1], "size"])
 
 
 def uniform(doc_id: str | Column, seed: str = SEED) -> Column:
@@ -106,13 +108,12 @@ def mix(
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies``: words and copies the mix takes."""
     weight = F.lit(1.0) if quality is None else _quality(quality.cast("double"))
-    rows = materialise(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"),
-            (-F.log(uniform(id_col, seed)) / weight).alias("key"),
-        ),
-        "sizes",
+    id_type = docs.schema[id_col].dataType.simpleString()
+    keyed = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), (-F.log(uniform(id_col, seed)) / weight).alias("key"),
+        F.col(text_col).alias("text"),
     )
+    rows = materialise(keyed.mapInArrow(_sized, f"doc_id {id_type}, source string, key double, size long"), "sizes")
     sizes = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     sources = materialise(budgets(sizes, weights, share, max_epochs), "budgets")
     # Rows that agree in all columns are told apart, so that range partitions can part them.
@@ -121,7 +122,6 @@ def mix(
         broadcast_if_small(sources.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))
     )
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
     placed = materialise(
         numbered.select(*order)
         .repartitionByRange(partitions, *order)

@@ -22,7 +22,7 @@ def con():
 
 
 def test_every_operator_is_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql())
 
