@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from digestloom.functions.arrays import fold, let, struct, total, transform, zip_with
 from digestloom.functions.text import content_tokens, keep_tokens, term_counts
+from digestloom.operators.isolate import Guarded, attempt
 from digestloom.operators.skew import MAX_BROADCAST_ROWS, hot_keys, salted_join, top_per_group
 from digestloom.session import materialise
 
@@ -60,10 +61,12 @@ def with_tokens(docs: DataFrame, text_col: str, tokenizer: Tokenizer | None) ->
     """The documents, and the SQL expression of their content tokens.
 
     ``tokenizer`` maps the text column to an array column; a pandas UDF that calls a
-    morphological analyser fits.
+    morphological analyser fits. A guarded one adds ``error``; texts it fails on have no tokens.
     """
     if tokenizer is None:
         return docs, content_tokens(text_col)
+    if isinstance(tokenizer, Guarded):
+        return attempt(docs, "_tokens", tokenizer, text_col, "tokenizer"), keep_tokens("coalesce(_tokens, CAST(array() AS ARRAY<STRING>))")
     return docs.withColumn("_tokens", tokenizer(F.col(text_col))), keep_tokens("_tokens")
 
 
@@ -164,12 +167,12 @@ def tfidf_against(docs: DataFrame, corpus: DataFrame, k: int = 7, id_col: str =
     Each document is its own corpus of one plus the given texts, so a document's keywords do
     not depend on which others are scored with it. Ties go by term.
     """
-    others = document_terms(corpus.select(F.monotonically_increasing_id().alias("_n"), text_col), "_n", text_col, tokenizer)
+    others = document_terms(corpus.withColumn("_n", F.monotonically_increasing_id()), "_n", text_col, tokenizer)
     freq = materialise(document_frequency(others), "frequencies")
     n = corpus.count() + 1
     known = F.broadcast(freq) if freq.count() <= MAX_BROADCAST_ROWS else freq
     df = F.coalesce("df", F.lit(0)) + 1
-    terms = document_terms(docs.select(id_col, text_col), id_col, text_col, tokenizer).join(known, "term", "left")
+    terms = document_terms(docs, id_col, text_col, tokenizer).join(known, "term", "left")
     weighted = terms.withColumn("weight", F.col("tf_count") * (F.ln((1 + n) / (1 + df)) + 1)).withColumn("df", df)
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
     scored = weighted.withColumn("score", F.col("weight") / norm)

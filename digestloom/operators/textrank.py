@@ -15,6 +15,8 @@ shuffle, no edge table, no growing lineage, and a lost task is simply recomputed
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from digestloom.functions.arrays import (
     blank_to_null, fold, keep, let, runs, struct, total, transform, zip_with,
 )
 from digestloom.functions.text import sentences, strip, words
+from digestloom.operators.isolate import Guarded, guarded_rows
 
 # Fixed values of the published summariser.
 DAMPING = 0.85
@@ -44,8 +47,42 @@ def steps_to_settle(damping: float, epsilon: float) -> int:
 TIE_DECIMALS = 12
 
 
-def _graph(parts: str) -> str:
-    """``struct<words, sents>`` of one document.
+# SQL expression of the words of each sentence (array of arrays), from that of the sentences.
+WordLists = Callable[[str], str]
+
+
+@dataclass(frozen=True)
+class Splitter:
+    """How a text is cut: builders of SQL expressions for its sentences and a sentence's words."""
+
+    to_sentences: Callable[[str], str] = sentences
+    to_words: Callable[[str], str] = words
+
+    def word_lists(self, parts: str) -> str:
+        return transform(parts, self.to_words)
+
+
+def python_splitter(splitter) -> Guarded:
+    """A splitter that is a Python object with ``to_sentences(text)`` and ``to_words(sentence)``.
+
+    Both run in one pass over a text, in Arrow batches; a text it fails on gets an error.
+    """
+
+    def split(text):
+        parts = [str(s) for s in splitter.to_sentences(text)]
+        return {"sentences": parts, "words": [[str(w) for w in splitter.to_words(s)] for s in parts]}
+
+    return guarded_rows(split, "struct<sentences array<string>, words array<array<string>>>", type(splitter).__name__)
+
+
+def given_words(column: str) -> WordLists:
+    """Word lists that are there already, one per sentence; a sentence without one has no words."""
+    none = "CAST(array() AS ARRAY<STRING>)"
+    return lambda parts: transform(parts, lambda s, i: keep(f"coalesce(get({column}, {i}), {none})", lambda w: f"{w} IS NOT NULL"))
+
+
+def _graph(parts: str, word_lists: WordLists | None = None) -> str:
+    """``struct<words, sents>`` of one document. Words are compared in lower case.
 
     ``words``: per word that occurs more than once, its length classes
     ``array<struct<members, weights>>``: the sentence index of every occurrence, and the
@@ -53,7 +90,10 @@ def _graph(parts: str) -> str:
     ``sents``: per sentence, the indexes of its classes (in the flattened order of
     ``words``) and the weight it gets from words that occur nowhere else.
     """
-    return let(transform(parts, lambda s: words(f"lower({s})")), _graph_of_words)
+    if word_lists is None:
+        return let(transform(parts, lambda s: words(f"lower({s})")), _graph_of_words)
+    lowered = transform(word_lists(parts), lambda ws: transform(ws, lambda w: f"lower({w})"))
+    return let(lowered, _graph_of_words)
 
 
 def _slice(values: str, run: str, skip: int = 0) -> str:
@@ -152,9 +192,9 @@ def _degrees(graph: str, parts: str) -> str:
     return let(transform(parts, lambda s: "1D"), lambda ones: _spread(graph, ones))
 
 
-def sentence_degrees(parts: str) -> str:
+def sentence_degrees(parts: str, word_lists: WordLists | None = None) -> str:
     """Summed similarity of each sentence to all sentences of the document, itself included."""
-    return let(parts, lambda ps: let(_graph(ps), lambda g: _degrees(g, ps)))
+    return let(parts, lambda ps: let(_graph(ps, word_lists), lambda g: _degrees(g, ps)))
 
 
 def sentence_ranks(
@@ -162,9 +202,12 @@ def sentence_ranks(
     damping: float = DAMPING,
     epsilon: float = EPSILON,
     max_steps: int | None = None,
+    word_lists: WordLists | None = None,
 ) -> str:
     """TextRank score of each sentence: ``array<double>`` aligned with ``parts``.
 
+    The graph is that of ``word_lists``, by default of the words between whitespace.
+
     Steps end when the vector moves by at most ``epsilon`` (Euclidean), which they do before
     the default bound; ``epsilon=0`` with ``max_steps`` gives a fixed number of steps.
     """
@@ -193,7 +236,7 @@ def sentence_ranks(
         return fold(f"sequence(1, {int(max_steps)})", start, advance, lambda acc: f"{acc}.x")
 
     def ranked(ps: str) -> str:
-        scores = let(_graph(ps), lambda g: let(_degrees(g, ps), lambda d: iterate(ps, g, d)))
+        scores = let(_graph(ps, word_lists), lambda g: let(_degrees(g, ps), lambda d: iterate(ps, g, d)))
         return f"CASE WHEN size({ps}) > 0 THEN {scores} ELSE CAST(array() AS ARRAY<DOUBLE>) END"
 
     return let(parts, ranked)
@@ -211,7 +254,7 @@ def _top_in_order(parts: str, ranks: str, k: int) -> str:
     return f"array_join({transform(order, lambda at: f'get({parts}, {at})')}, ' ')"
 
 
-def summary_of(parts: str, k: int = 4) -> str:
+def summary_of(parts: str, k: int = 4, word_lists: WordLists | None = None) -> str:
     """Extractive summary of an array of sentences.
 
     Up to ``k`` sentences are returned as they are; otherwise the ``k`` best ranked ones in
@@ -221,7 +264,7 @@ def summary_of(parts: str, k: int = 4) -> str:
         raise ValueError("a summary needs at least one sentence")
 
     def body(ps: str) -> str:
-        ranked = blank_to_null(strip(_top_in_order(ps, sentence_ranks(ps), k)))
+        ranked = blank_to_null(strip(_top_in_order(ps, sentence_ranks(ps, word_lists=word_lists), k)))
         return (
             f"CASE WHEN size({ps}) <= {int(k)} THEN array_join({ps}, ' ') "
             f"ELSE coalesce({ranked}, {lead(ps, k)}) END"
@@ -234,6 +277,11 @@ def textrank_summary(text: str, k: int = 4, split_newlines: bool = False) -> str
     return summary_of(sentences(text, split_newlines), k)
 
 
+def split_summary(text: str, k: int, splitter: Splitter) -> str:
+    """Summary of a text that is cut by ``splitter``."""
+    return summary_of(splitter.to_sentences(text), k, splitter.word_lists)
+
+
 def lead_summary(text: str, k: int = 4, split_newlines: bool = False) -> str:
     if k < 1:
         raise ValueError("a summary needs at least one sentence")

@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from digestloom.operators.discover import MAX_PAGES, discover, discovery_report, recent, require_items
+from digestloom.operators.isolate import Guarded
 from digestloom.operators.keywords import Tokenizer
 from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
 from digestloom.operators.skew import broadcast_if_small
+from digestloom.operators.textrank import Splitter
 from digestloom.operators.views import digest_entries, write_digest
-from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, method_name, summarise
+from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, method_name, prepare, summarise
 from digestloom.session import materialise, scratch_released
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.posts import PostStyle, current_posts, read_posts, render_posts, write_posts
-from digestloom.sources.state import append_state, read_state
+from digestloom.sources.state import append_state, quarantine_state_json, read_state, read_state_json
 
 
 @dataclass(frozen=True)
@@ -34,7 +36,9 @@ class Options:
     section: str = "AI/SW"
     page_layout: PageLayout = PageLayout()
     style: PostStyle = PostStyle(section_url="https://news.example.com/section")
-    tokenizer: Tokenizer | None = None
+    tokenizer: Tokenizer | Guarded | None = None
+    splitter: Splitter | Guarded | None = None  # sentences and words for the summary
+    parser: Guarded | None = None  # reads a page instead of ``page_layout``
     corpus: DataFrame | None = None  # other texts (``raw_text``) that ``tfidf`` weighs terms by
     vectors: tuple[DataFrame, DataFrame] | None = None  # of terms and of articles, for ``keybert``
 
@@ -50,12 +54,17 @@ class Options:
 class Outcome:
     """Results of one run. The new articles are written down; the rest is computed on use."""
 
-    candidates: DataFrame  # new articles, with ``error``
+    candidates: DataFrame  # new articles, with ``error``: of a page, or of a guarded function
     posts: DataFrame  # rendered posts of the good ones
     missing: DataFrame  # listed ids without a landed page
     report: DataFrame  # last page walked, page that cut the walk, whether the limit ended it
     counters: DataFrame  # one row: the counts of a run, missing pages and the report
 
+    @property
+    def failures(self) -> DataFrame:
+        """``(article_id, error)`` of the articles that failed. They stay unprocessed."""
+        return self.candidates.filter(F.col("error").isNotNull()).select("article_id", "error")
+
 
 def one_page_per_id(pages: DataFrame, ids: DataFrame) -> DataFrame:
     """Pages of the given ids, the newest of each id: a repeated download lands a page again.
@@ -85,28 +94,38 @@ def new_articles(pages: DataFrame, new_ids: DataFrame, options: Options) -> Data
     """
     return parse_articles(
         pages.select("article_id", "html").join(broadcast_if_small(new_ids), "article_id"),
-        options.base_url, options.section, options.page_layout,
+        options.base_url, options.section, options.page_layout, options.parser,
     )
 
 
-def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, options: Options = Options()) -> Outcome:
+def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame | Callable[[DataFrame], DataFrame], as_of,
+             options: Options = Options()) -> Outcome:
     """Everything of a run but its commit.
 
+    ``state`` may be a function that gets the discovered ids and reads only what concerns them.
+
     Known ids are dropped before any HTML is read, so the work follows the number of *new*
     articles. What several steps need is written once: the discovered ids, the new ids, and
     the parsed articles (a fraction of their HTML), from which keywords, summaries and
-    counters are computed.
+    counters are computed. Guarded functions of the options are called before the articles are
+    written, each once: an article that one of them fails on is a failed one, and the others go on.
     """
     found = materialise(
         discover(listing, as_of, options.lookback_days, options.max_pages), "discovered"
     )
     require_items(found)
+    state = state(found) if callable(state) else state
     new_ids = materialise(
         unprocessed_few(found.select("article_id", "page", "pos"), state), "new-ids"
     )
     landed = one_page_per_id(pages, new_ids)
+    articles = recent(new_articles(landed, new_ids, options), as_of, options.lookback_days)
     candidates = materialise(
-        recent(new_articles(landed, new_ids, options), as_of, options.lookback_days), "articles"
+        prepare(
+            articles, "raw_text", tokenizer=options.tokenizer, splitter=options.splitter,
+            keyword_method=options.keyword_method, summary_method=options.summary_method,
+        ),
+        "articles",
     )
     good = candidates.filter(F.col("error").isNull())
     extracted = summarise(
@@ -114,7 +133,7 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
             good, options.keyword_method, options.keyword_count, "article_id", "raw_text",
             options.tokenizer, options.corpus, options.vectors,
         ),
-        options.summary_method, options.summary_sentences, "raw_text",
+        options.summary_method, options.summary_sentences, "raw_text", options.splitter,
     )
     posts = render_posts(extracted, as_of, options.style).withColumn(
         "method", F.lit(f"{method_name(options.keyword_method)}+{method_name(options.summary_method)}")
@@ -128,28 +147,47 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame, as_of, opti
 
 def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: str, state_dir: str,
         run_id: str, as_of, options: Options = Options(), dry_run: bool = False,
-        digest_dir: str | None = None) -> DataFrame:
+        digest_dir: str | None = None, failures_dir: str | None = None,
+        state_json: str | None = None, quarantine_dir: str | None = None) -> DataFrame:
     """Run once and return the counters. ``run_id`` names the run (for example a timestamp).
 
     Output mode ``daily_digest`` also rewrites, below ``digest_dir``, the digests of the days
-    that got new posts.
+    that got new posts. ``failures_dir`` gets ``(article_id, error)`` of the articles that failed,
+    by run. Ids in JSON state documents at ``state_json`` count as processed, too; broken documents
+    are copied to ``quarantine_dir`` and counted (``quarantined``), and the run goes on.
 
     Posts are written before the state. A run that dies in between leaves its ids
     unprocessed and is repeated under the same ``run_id``, which replaces its own output.
     """
     if options.output_mode == "daily_digest" and digest_dir is None:
         raise ValueError("output mode daily_digest needs a digest_dir")
+    if state_json is not None and quarantine_dir is None:
+        raise ValueError("state_json needs a quarantine_dir for broken documents")
     with scratch_released(spark):
-        counters = _commit(spark, listing, pages, posts_dir, state_dir, run_id, as_of, options, dry_run, digest_dir)
+        folders = (posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir)
+        counters = _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run)
         # One row, which may outlive what the run wrote down for itself.
         return spark.createDataFrame(counters.collect(), counters.schema)
 
 
-def _commit(spark, listing, pages, posts_dir, state_dir, run_id, as_of, options, dry_run, digest_dir) -> DataFrame:
-    state = read_state(spark, state_dir, except_run=run_id)
+def _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run) -> DataFrame:
+    posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir = folders
+    quarantined = 0
+    if state_json is not None and not dry_run:
+        quarantined = quarantine_state_json(spark, state_json, quarantine_dir, as_of)
+
+    def state(found: DataFrame) -> DataFrame:
+        own = read_state(spark, state_dir, except_run=run_id, ids=found)
+        return own if state_json is None else own.unionByName(read_state_json(spark, state_json))
+
     outcome = plan_run(listing, pages, state, as_of, options)
+    counters = outcome.counters
+    if state_json is not None:
+        counters = counters.withColumn("quarantined", F.lit(quarantined))
     if dry_run:
-        return outcome.counters
+        return counters
+    if failures_dir is not None:
+        outcome.failures.write.mode("overwrite").parquet(f"{failures_dir}/run_id={run_id}")
     write_posts(outcome.posts, posts_dir, run_id)
     written = read_posts(spark, posts_dir).filter(F.col("run_id") == run_id)
     if not written.isEmpty():
@@ -159,7 +197,7 @@ def _commit(spark, listing, pages, posts_dir, state_dir, run_id, as_of, options,
             posts = current_posts(read_posts(spark, posts_dir).join(days, "post_date", "left_semi"))
             write_digest(daily_digest(posts), "line", digest_dir)
         append_state(written, state_dir, run_id, as_of)
-    return outcome.counters
+    return counters
 
 
 def daily_digest(posts: DataFrame) -> DataFrame:

@@ -4,6 +4,10 @@ Every keyword method takes ``(docs, k, id_col, text_col, tokenizer)`` and adds `
 every summary method takes ``(docs, k, text_col)`` and adds ``summary``. Functions of that form
 can be given instead of a name.
 
+A guarded function (``operators.isolate``) of the text can be given, too: it is called in batches,
+and a document it fails on gets an ``error`` instead of ending the job. So can a guarded
+tokenizer, and a splitter that cuts texts into sentences and words for the summary.
+
 ``tfidf`` scores a document by itself, or against a corpus if one is given; ``tfidf_batch``
 scores the documents against each other; ``keybert`` ranks precomputed vectors, which have to
 be given.
@@ -19,7 +23,10 @@ from pyspark.sql import functions as F
 from digestloom.operators.keywords import (
     Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_against, tfidf_topn, with_tokens,
 )
-from digestloom.operators.textrank import lead_summary, textrank_summary
+from digestloom.operators.isolate import Guarded, attempt
+from digestloom.operators.textrank import (
+    Splitter, given_words, lead, lead_summary, split_summary, summary_of, textrank_summary,
+)
 
 
 def _tf(docs: DataFrame, k: int, id_col: str, text_col: str,
@@ -35,7 +42,7 @@ def _with_lists(docs: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
 
 def _batch(docs: DataFrame, k: int, id_col: str, text_col: str,
     tokenizer: Tokenizer | None) -> DataFrame:
-    return _with_lists(docs, tfidf_topn(docs.select(id_col, text_col), k, id_col, text_col, tokenizer), id_col)
+    return _with_lists(docs, tfidf_topn(docs, k, id_col, text_col, tokenizer), id_col)
 
 
 def against(corpus: DataFrame) -> Callable[..., DataFrame]:
@@ -80,13 +87,40 @@ def method_name(method: str | Callable[..., DataFrame]) -> str:
     return method if isinstance(method, str) else getattr(method, "__name__", type(method).__name__)
 
 
+# Columns that ``prepare`` adds: results of guarded functions.
+TOKENS, SPLIT = "_prepared_tokens", "_prepared_split"
+
+
+def prepare(docs: DataFrame, text_col: str, *, tokenizer: Tokenizer | Guarded | None = None, splitter: Splitter | Guarded | None = None,
+            keyword_method: str | Callable[..., DataFrame] = "", summary_method: str | Callable[..., DataFrame] = "",
+            error_col: str = "error") -> DataFrame:
+    """Call the guarded ones of the given functions, once per document; failures go to ``error``.
+
+    ``extract_keywords`` and ``summarise`` find the results. What is not guarded is left to them.
+    """
+    for name, function, step in ((TOKENS, tokenizer, "tokenizer"), (SPLIT, splitter, "splitter"),
+                                 ("keywords", keyword_method, "keyword method"), ("summary", summary_method, "summary method")):
+        if isinstance(function, Guarded):
+            docs = attempt(docs, name, function, text_col, step, error_col)
+    return docs
+
+
 def extract_keywords(docs: DataFrame, method: str | Callable[..., DataFrame] = "tf", k: int = 7,
                      id_col: str = "doc_id", text_col: str = "text",
-                     tokenizer: Tokenizer | None = None, corpus: DataFrame | None = None,
+                     tokenizer: Tokenizer | Guarded | None = None, corpus: DataFrame | None = None,
                      vectors: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Add ``keywords``. ``corpus`` is for ``tfidf``; ``vectors`` (of terms, of documents) for ``keybert``."""
     if k < 1:
         raise ValueError("the number of keywords must be at least 1")
+    if isinstance(method, Guarded):
+        docs = docs if "keywords" in docs.columns else prepare(docs, text_col, keyword_method=method)
+        return docs.withColumn("keywords", F.slice(F.coalesce("keywords", F.array().cast("array<string>")), 1, k))
+    if isinstance(tokenizer, Guarded):
+        docs = docs if TOKENS in docs.columns else prepare(docs, text_col, tokenizer=tokenizer)
+        if corpus is not None:
+            # Texts that cannot be cut into tokens say nothing about terms.
+            corpus = prepare(corpus.select(text_col), text_col, tokenizer=tokenizer).filter("error IS NULL")
+        tokenizer = _prepared_tokens
     if method == "tfidf" and corpus is not None:
         method = against(corpus)
     elif method == "keybert":
@@ -94,13 +128,31 @@ def extract_keywords(docs: DataFrame, method: str | Callable[..., DataFrame] = "
             raise ValueError("keyword method 'keybert' needs the vectors of terms and documents")
         method = keybert(*vectors, id_col)
     run = method if callable(method) else _pick(KEYWORD_METHODS, method, "keyword")
-    return run(docs, k, id_col, text_col, tokenizer)
+    return run(docs, k, id_col, text_col, tokenizer).drop(TOKENS)
+
+
+def _prepared_tokens(_):
+    return F.coalesce(TOKENS, F.array().cast("array<string>"))
 
 
 def summarise(docs: DataFrame, method: str | Callable[..., DataFrame] = "textrank", k: int = 4,
-              text_col: str = "text") -> DataFrame:
+              text_col: str = "text", splitter: Splitter | Guarded | None = None) -> DataFrame:
+    """Add ``summary``. ``splitter`` cuts texts for the methods ``textrank`` and ``lead``."""
+    if isinstance(method, Guarded):
+        docs = docs if "summary" in docs.columns else prepare(docs, text_col, summary_method=method)
+        return docs.withColumn("summary", F.coalesce("summary", F.lit("")))
     run = method if callable(method) else _pick(SUMMARY_METHODS, method, "summary")
-    return run(docs, k, text_col)
+    if splitter is None or callable(method):
+        return run(docs, k, text_col)
+    if k < 1:
+        raise ValueError("a summary needs at least one sentence")
+    if isinstance(splitter, Guarded):
+        docs = docs if SPLIT in docs.columns else prepare(docs, text_col, splitter=splitter)
+        parts = f"coalesce({SPLIT}.sentences, CAST(array() AS ARRAY<STRING>))"
+        summary = lead(parts, k) if method == "lead" else summary_of(parts, k, given_words(f"{SPLIT}.words"))
+    else:
+        summary = lead(splitter.to_sentences(text_col), k) if method == "lead" else split_summary(text_col, k, splitter)
+    return docs.withColumn("summary", F.expr(summary)).drop(SPLIT)
 
 
 def extraction_results(docs: DataFrame, keyword_method: str | Callable[..., DataFrame] = "tf",

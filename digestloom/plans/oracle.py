@@ -46,11 +46,14 @@ def _terms(table: str = "documents", key: str = "doc_id", column: str = "text",
   FROM {prefix}top GROUP BY ALL)"""
 
 
-def _sentences(table: str = "documents", key: str = "doc_id", column: str = "text") -> str:
-    """CTE ``sent``: one row per sentence, counted from 0."""
+def _sentences(table: str = "documents", key: str = "doc_id", column: str = "text", lines: bool = False) -> str:
+    """CTE ``sent``: one row per sentence, counted from 0; ``lines`` ends sentences with the line, too."""
+    marked = f"regexp_replace({column}, '([.!?]){WS}+', '\\1' || chr(30), 'g')"
+    if lines:
+        marked = f"translate({marked}, chr(10) || chr(13), chr(30) || chr(30))"
     return f"""
 cut AS (
-  SELECT {key}, string_split(regexp_replace({column}, '([.!?]){WS}+', '\\1' || chr(30), 'g'), chr(30)) AS l
+  SELECT {key}, string_split({marked}, chr(30)) AS l
   FROM {table}),
 raw AS (SELECT {key}, {_strip("unnest(l)")} AS sentence, generate_subscripts(l, 1) AS nth FROM cut),
 sent AS (
@@ -61,11 +64,15 @@ sent AS (
 RANK_STEPS = 40
 
 
-def _edges(key: str = "doc_id") -> str:
+_SPACED = f"string_split_regex(lower(sentence), '{WS}+')"
+_TOKENS = "regexp_extract_all(lower(sentence), '[\\p{L}\\p{N}]+')"
+
+
+def _edges(key: str = "doc_id", words: str = _SPACED) -> str:
     """Similarity of every ordered pair of sentences, the diagonal included."""
     return f"""
 word AS (
-  SELECT {key}, sent_idx, unnest(string_split_regex(lower(sentence), '{WS}+')) AS w FROM sent),
+  SELECT {key}, sent_idx, unnest({words}) AS w FROM sent),
 inc AS (
   SELECT {key}, sent_idx, w, count(*) AS n FROM word WHERE w <> '' GROUP BY ALL),
 len AS (SELECT {key}, sent_idx, ln(sum(n)) AS a FROM inc GROUP BY ALL),
@@ -77,13 +84,16 @@ edge AS MATERIALIZED (
          CASE WHEN x.a + y.a > 0 THEN same / (x.a + y.a) ELSE same * 1.0::DOUBLE END AS sim
   FROM overlap o
   JOIN len x ON x.{key} = o.{key} AND x.sent_idx = i
-  JOIN len y ON y.{key} = o.{key} AND y.sent_idx = j),
+  JOIN len y ON y.{key} = o.{key} AND y.sent_idx = j
+  UNION ALL  -- a sentence without words is alone
+  SELECT {key}, sent_idx, sent_idx, 0 FROM sent s
+  WHERE NOT EXISTS (SELECT 1 FROM len l WHERE l.{key} = s.{key} AND l.sent_idx = s.sent_idx)),
 deg AS MATERIALIZED (SELECT {key}, i, sum(sim) AS degree FROM edge GROUP BY ALL)"""
 
 
-def _ranks(key: str = "doc_id", steps: int = RANK_STEPS) -> str:
+def _ranks(key: str = "doc_id", steps: int = RANK_STEPS, words: str = _SPACED) -> str:
     """CTE ``rank``: power iteration until a document moves by at most 1e-4."""
-    parts = [_edges(key), f"""
+    parts = [_edges(key, words), f"""
 share AS MATERIALIZED (
   SELECT e.{key}, e.i, e.j, e.sim / (d.degree + 1e-7::DOUBLE) AS p
   FROM edge e JOIN deg d ON d.{key} = e.{key} AND d.i = e.i),
@@ -300,6 +310,30 @@ SELECT doc_id, i AS sent_idx, round(degree, 6) AS degree FROM deg""",
 SELECT doc_id, sent_idx, round(r, 8) AS rank FROM r{RANK_STEPS}""",
         "textrank_summary": f"""WITH {sents}, {_ranks()}, {_summary()}
 SELECT d.doc_id, coalesce(summary, '') AS summary FROM documents d LEFT JOIN summ s ON s.doc_id = d.doc_id""",
+        "textrank_line_degrees": f"""WITH {_sentences(lines=True)}, {_edges(words=_TOKENS)}
+SELECT doc_id, i AS sent_idx, round(degree, 6) AS degree FROM deg""",
+        "textrank_line_summary": f"""WITH {_sentences(lines=True)}, {_ranks(words=_TOKENS)}, {_summary()}
+SELECT d.doc_id, coalesce(summary, '') AS summary FROM documents d LEFT JOIN summ s ON s.doc_id = d.doc_id""",
+        "isolated_keywords": f"""WITH able AS (
+  SELECT doc_id, unnest(l) AS term, generate_subscripts(l, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS l FROM documents WHERE contains(text, '.'))),
+c AS (
+  SELECT doc_id, term, count(*) AS n, min(pos) AS pos FROM able
+  WHERE length(term) > 1 AND term NOT IN ({_values(STOPWORDS)}) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, pos) AS rn FROM c),
+k AS (SELECT doc_id, string_agg(term, ', ' ORDER BY rn) AS keywords FROM r WHERE rn <= 7 GROUP BY ALL)
+SELECT d.doc_id, coalesce(keywords, '') AS keywords,
+       CASE WHEN NOT contains(text, '.') THEN 'tokenizer: ValueError: no sentence' END AS error
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id""",
+        "isolated_split": """WITH s AS (
+  SELECT doc_id, list_filter(string_split(text, '.'), lambda t: t <> '') AS l, contains(text, '#') AS bad FROM documents)
+SELECT doc_id, CASE WHEN bad THEN '' ELSE array_to_string(list_transform(l[1:2], lambda t: t || '.'), ' ') END AS summary,
+       CASE WHEN bad THEN 'splitter: ValueError: sign' END AS error FROM s""",
+        "isolated_run": f"""WITH {_articles()},
+new AS (SELECT * FROM art WHERE page_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+f AS (SELECT length(raw_text) % 5 = 0 AS failed FROM new)
+SELECT count(*) AS candidates, count(*) FILTER (NOT failed) AS processed, count(*) FILTER (failed) AS failed,
+       CAST(0 AS BIGINT) AS missing, CAST(20 AS BIGINT) AS last_page, CAST(NULL AS BIGINT) AS cut_page, FALSE AS cap_hit FROM f""",
         "extraction_results": f"""WITH {terms}, {sents}, {_ranks()}, {_summary()}
 SELECT d.doc_id, coalesce(keywords, '') AS keywords, coalesce(summary, '') AS summary, 'tf+textrank' AS method
 FROM documents d LEFT JOIN kw k ON k.doc_id = d.doc_id LEFT JOIN summ s ON s.doc_id = d.doc_id""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from digestloom.operators import (
     textrank,
     views,
 )
+from digestloom.operators.isolate import guarded_rows
 from digestloom.operators.skew import global_row_number
 from digestloom.plans import daily_run, methods
 from digestloom.session import balanced, materialise, work_dir
@@ -239,6 +241,71 @@ def read_time(spark, sf_dir):
     )
 
 
+# A script whose sentences end with the line, and whose words are runs of letters and digits.
+LINES = textrank.Splitter(lambda t: text.sentences(t, split_newlines=True), text.raw_tokens)
+
+
+@query
+def textrank_line_degrees(spark, sf_dir):
+    parts = LINES.to_sentences("text")
+    degrees = F.expr(textrank.sentence_degrees(parts, LINES.word_lists))
+    rows = _documents(spark, sf_dir).select("doc_id", F.posexplode(degrees).alias("sent_idx", "d"))
+    return rows.select("doc_id", "sent_idx", F.round("d", 6).alias("degree"))
+
+
+@query
+def textrank_line_summary(spark, sf_dir):
+    done = methods.summarise(_documents(spark, sf_dir), "textrank", splitter=LINES)
+    return done.select("doc_id", "summary")
+
+
+# Functions that fail on single documents
+
+
+def _plain_tokens(whole: str) -> list[str]:
+    if "." not in whole:
+        raise ValueError("no sentence")
+    return re.findall("[a-z]+", whole)
+
+
+def _fails_on_fives(whole: str) -> list[str]:
+    if len(whole) % 5 == 0:
+        raise ValueError("five")
+    return whole.split()
+
+
+class _Periods:
+    """A splitter as plain Python offers it."""
+
+    def to_sentences(self, whole: str) -> list[str]:
+        if "#" in whole:
+            raise ValueError("sign")
+        return [s + "." for s in whole.split(".") if s]
+
+    def to_words(self, sentence: str) -> list[str]:
+        return re.findall("[A-Za-z]+", sentence)
+
+
+@query
+def isolated_keywords(spark, sf_dir):
+    """Keywords by a tokenizer that fails on texts without a period: those get an error."""
+    docs = methods.extract_keywords(_documents(spark, sf_dir), tokenizer=guarded_rows(_plain_tokens, "array<string>"))
+    return docs.select("doc_id", F.array_join("keywords", ", ").alias("keywords"), "error")
+
+
+@query
+def isolated_split(spark, sf_dir):
+    """Lead summaries by a Python splitter that fails on texts with a number sign."""
+    docs = methods.summarise(_documents(spark, sf_dir), "lead", 2, splitter=textrank.python_splitter(_Periods()))
+    return docs.select("doc_id", "summary", "error")
+
+
+@query
+def isolated_run(spark, sf_dir):
+    """Counters of a whole run whose tokenizer fails on every article of a length in fives."""
+    return _planned_run(spark, sf_dir, tokenizer=guarded_rows(_fails_on_fives, "array<string>")).counters
+
+
 # Pages, URLs and dates
 
 
@@ -416,9 +483,7 @@ def path_suffix(spark, sf_dir):
     return views.suffix_collisions(_paths(spark, sf_dir), [F.asc("write_seq")])
 
 
-@query
-def daily_posts(spark, sf_dir):
-    """The whole run, dry: listing, state, pages, articles, keywords, summaries, posts."""
+def _planned_run(spark: SparkSession, sf_dir: str, **options) -> daily_run.Outcome:
     pages = balanced(_table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     pages = pages.withColumn("article_id", _id("page_id"))
     listing = _table(spark, sf_dir, "pages").select(
@@ -426,10 +491,14 @@ def daily_posts(spark, sf_dir):
         (F.col("page_id") % 20 + 1).cast("int").alias("page"), F.col("page_id").alias("pos"),
     )
     state = _table(spark, sf_dir, "labels").filter("toxic = 1").select(_id("doc_id").alias("article_id"))
-    options = daily_run.Options(base_url=BASE_URL, page_layout=PAGES_LAYOUT, style=STYLE)
-    return daily_run.plan_run(listing, pages, state, AS_OF, options).posts.select(
-        "article_id", "path", "post_date", "content", "method"
-    )
+    chosen = daily_run.Options(base_url=BASE_URL, page_layout=PAGES_LAYOUT, style=STYLE, **options)
+    return daily_run.plan_run(listing, pages, state, AS_OF, chosen)
+
+
+@query
+def daily_posts(spark, sf_dir):
+    """The whole run, dry: listing, state, pages, articles, keywords, summaries, posts."""
+    return _planned_run(spark, sf_dir).posts.select("article_id", "path", "post_date", "content", "method")
 
 
 # Corpus views

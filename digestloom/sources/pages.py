@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from digestloom.functions import html
 from digestloom.functions.urls import article_url
+from digestloom.operators.isolate import Guarded, attempt
+
+# What a parser from outside returns for a page.
+PARSED = "struct<title string, published_at string, raw_text string>"
 
 
 @dataclass(frozen=True)
@@ -30,11 +34,18 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_articles(pages: DataFrame, base_url: str, section: str = "AI/SW",
-                   layout: PageLayout = PageLayout()) -> DataFrame:
+                   layout: PageLayout = PageLayout(), parser: Guarded | None = None) -> DataFrame:
     """Article records from ``(article_id, html)``; other columns are kept. No shuffle, no UDF.
 
-    A page that is null cannot be read: its ``error`` is set.
+    A page that is null cannot be read: its ``error`` is set. A guarded ``parser`` (html to
+    ``PARSED``) replaces the layout; a page it fails on gets an ``error``.
     """
+    unread = F.expr("CASE WHEN html IS NULL THEN 'page cannot be read' END")
+    if parser is not None:
+        parsed = attempt(pages.withColumn("error", unread), "_parsed", parser, "html", "parser")
+        fields = {name: F.coalesce(F.col(f"_parsed.{name}"), F.lit("")) for name in ("title", "published_at", "raw_text")}
+        url = F.expr(article_url("article_id", base_url))
+        return parsed.withColumns(fields | {"url": url, "section": F.lit(section)}).drop("_parsed", "html")
     layout_dates = (layout.dates, layout.date, layout.date_marker)
     return (
         pages.withColumn("_page", F.expr(html.drop_hidden("html")))
@@ -45,7 +56,7 @@ def parse_articles(pages: DataFrame, base_url: str, section: str = "AI/SW",
                 "published_at": F.expr(html.published_at("_page", *layout_dates)),
                 "raw_text": F.expr(html.body_text("_page", layout.body)),
                 "section": F.lit(section),
-                "error": F.expr("CASE WHEN html IS NULL THEN 'page cannot be read' END"),
+                "error": unread,
             }
         )
         .drop("_page", "html")
