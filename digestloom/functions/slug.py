@@ -25,9 +25,54 @@ SIGNS = {
     "Đ": "D", "ı": "i",
 }
 
+# Readings of Cyrillic and Greek letters.
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k",
+    "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh",
+    "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "iu", "я": "ia",
+    "ё": "io", "є": "ie", "і": "i", "ї": "yi",
+}
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l",
+    "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t", "υ": "u", "φ": "ph",
+    "χ": "kh", "ψ": "ps", "ω": "o",
+}
+
+# Kana whose reading is not their Unicode name.
+KANA = {"si": "shi", "ti": "chi", "tu": "tsu"}
+
 MAX_LENGTH = 50
 
 
+def _kana(char: str) -> str | None:
+    """Reading of one Kana: the last word of its Unicode name."""
+    name = unicodedata.name(char, "")
+    if not name.startswith(("HIRAGANA LETTER ", "KATAKANA LETTER ")):
+        return None
+    last = name.split()[-1].lower()
+    return KANA.get(last, last)
+
+
+def _of_base(letters: dict[str, str], char: str) -> str | None:
+    """Reading of a letter in either case, with or without marks."""
+    low = char.lower()
+    if low in letters:
+        return letters[low]
+    base, *marks = unicodedata.normalize("NFD", low)
+    return letters.get(base) if all(map(unicodedata.combining, marks)) else None
+
+
+# Blocks of code points whose letters are read one by one: first, last, and the rule.
+BLOCKS = (
+    (0x370, 0x3FF, lambda c: _of_base(GREEK, c)),
+    (0x400, 0x45F, lambda c: _of_base(CYRILLIC, c)),
+    (0x1F00, 0x1FFF, lambda c: _of_base(GREEK, c)),
+    (0x3041, 0x30FA, _kana),
+    (0xFF01, 0xFF5E, lambda c: unicodedata.normalize("NFKC", c)),
+    (0xFF66, 0xFF9D, lambda c: _kana(unicodedata.normalize("NFKC", c))),
+)
+
+
 def accents() -> tuple[str, str]:
     """Accented Latin letters and their base letters, from Unicode decompositions."""
     marked, plain = [], []
@@ -52,18 +97,31 @@ def _hangul(char: str) -> str:
     )
 
 
+def _block(char: str, first: int, last: int, rule) -> str:
+    """Reading of a letter of one block: a constant array has it at the letter's place."""
+    readings = [rule(chr(code)) for code in range(first, last + 1)]
+    # One literal that is split when the query is planned, instead of one per letter; a tab means none.
+    listed = f"split({lit(' '.join(chr(9) if r is None else r for r in readings))}, ' ')"
+    at = f"get({listed}, ascii({char}) - {first})"
+    return f"WHEN ascii({char}) BETWEEN {first} AND {last} THEN coalesce(nullif({at}, {lit(chr(9))}), {char}) "
+
+
 def romanise(text: str) -> str:
-    """ASCII spelling of Hangul syllables, known Hanja and accented Latin letters."""
+    """ASCII spelling of Hangul, Kana, Cyrillic, Greek, known Hanja and accented Latin letters.
+
+    Other letters stay as they are; ``operators.transliterate`` reads them from a given table.
+    """
+    blocks = lambda c: "".join(_block(c, *b) for b in BLOCKS)
     hanja = ", ".join(f"{lit(k)}, {lit(r + ' ')}" for k, r in HANJA.items())
 
     def spell(c: str) -> str:
         return (
-            f"CASE WHEN ascii({c}) BETWEEN 44032 AND 55203 THEN {_hangul(c)} "
+            f"CASE WHEN ascii({c}) BETWEEN 44032 AND 55203 THEN {_hangul(c)} {blocks(c)}"
             f"ELSE coalesce(try_element_at(map({hanja}), {c}), {c}) END"
         )
 
     def spelled(t: str) -> str:
-        east_asian = lit(r"[\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}]")
+        east_asian = lit(r"[\x{370}-\x{45F}\x{1F00}-\x{1FFF}\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{FF01}-\x{FF9D}]")
         each = f"array_join({transform(f'''split({t}, '')''', spell)}, '')"
         return f"CASE WHEN regexp_like({t}, {east_asian}) THEN {each} ELSE {t} END"
 
@@ -74,6 +132,12 @@ def romanise(text: str) -> str:
     return f"translate({wide}, {lit(marked)}, {lit(plain)})"
 
 
+def unspelled(text: str) -> str:
+    """Letters and digits of a title that no reading covers: a slug drops them."""
+    left = f"regexp_replace({romanise(text)}, {lit(r'[^\p{L}\p{N}]|[A-Za-z0-9]')}, '')"
+    return f"length(coalesce({left}, ''))"
+
+
 def slugify(text: str, max_length: int = MAX_LENGTH) -> str:
     """Lower-case ASCII words joined with single dashes, cut to ``max_length``."""
     slug = romanise(f"""regexp_replace({text}, {lit("'+")}, '-')""")

@@ -15,6 +15,7 @@ from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
 from digestloom.operators.skew import broadcast_if_small
 from digestloom.operators.textrank import Splitter
+from digestloom.operators.transliterate import unspelled_titles, with_spelling
 from digestloom.operators.views import digest_entries, write_digest
 from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, method_name, prepare, summarise
 from digestloom.session import materialise, scratch_released
@@ -39,6 +40,7 @@ class Options:
     tokenizer: Tokenizer | Guarded | None = None
     splitter: Splitter | Guarded | None = None  # sentences and words for the summary
     parser: Guarded | None = None  # reads a page instead of ``page_layout``
+    readings: DataFrame | None = None  # ``text, reading`` of letters and phrases, for paths
     corpus: DataFrame | None = None  # other texts (``raw_text``) that ``tfidf`` weighs terms by
     vectors: tuple[DataFrame, DataFrame] | None = None  # of terms and of articles, for ``keybert``
 
@@ -57,6 +59,7 @@ class Outcome:
     candidates: DataFrame  # new articles, with ``error``: of a page, or of a guarded function
     posts: DataFrame  # rendered posts of the good ones
     missing: DataFrame  # listed ids without a landed page
+    unspelled: DataFrame  # ids of good articles whose title has letters that the path drops, and how many
     report: DataFrame  # last page walked, page that cut the walk, whether the limit ended it
     counters: DataFrame  # one row: the counts of a run, missing pages and the report
 
@@ -135,14 +138,20 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame | Callable[[
         ),
         options.summary_method, options.summary_sentences, "raw_text", options.splitter,
     )
-    posts = render_posts(extracted, as_of, options.style).withColumn(
+    posts = render_posts(extracted, as_of, options.style, options.readings).withColumn(
         "method", F.lit(f"{method_name(options.keyword_method)}+{method_name(options.summary_method)}")
     )
+    titles = good.select("article_id", "title")
+    if options.readings is not None:
+        titles = with_spelling(titles, "title", options.readings, "title")
+    unspelled = unspelled_titles(titles)
     missing = missing_pages(broadcast_if_small(new_ids.select("article_id")), pages)
     report = discovery_report(listing, as_of, options.lookback_days, options.max_pages)
     # Three tables of one row each.
     counters = run_counters(candidates).crossJoin(missing.agg(F.count("*").alias("missing"))).crossJoin(report)
-    return Outcome(candidates=candidates, posts=posts, missing=missing, report=report, counters=counters)
+    if options.readings is not None:
+        counters = counters.withColumn("unspelled", unspelled.agg(F.coalesce(F.sum("unspelled"), F.lit(0))).scalar())
+    return Outcome(candidates=candidates, posts=posts, missing=missing, unspelled=unspelled, report=report, counters=counters)
 
 
 def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: str, state_dir: str,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from digestloom.functions.slug import SIGNS, accents
 from digestloom.functions.text import STOPWORDS
-from digestloom.plans.queries import AS_OF, BASE_URL, LISTING_PAGES, SEARCH_TERMS, STOP_TABLE, STYLE
+from digestloom.plans.queries import AS_OF, BASE_URL, LISTING_PAGES, READINGS, SCRIPTS, SEARCH_TERMS, STOP_TABLE, STYLE
 
 WS = r"[\t\n\x0B\f\r \x1C-\x1F\x{85}\p{Z}]"
 
@@ -151,6 +151,30 @@ def _slug(x: str) -> str:
     return f"regexp_replace(left({x}, 50), '-$', '')"
 
 
+# What the letters of SCRIPTS read as, in their order.
+_READ = "ga gag han~ mei~ ka ki ya da du vu zh shch iu ia ps th o f s ae bo an xie~ zhu~ tsu 字".split()
+
+
+def _scripts(readings: str) -> str:
+    """Slugs of first sentences in other scripts; ``readings`` replaces phrases of the title ``t``."""
+    given = ", ".join(f"'{c}': '{r}'" for c, r in zip(SCRIPTS[1], (x.replace("~", " ") for x in _READ)))
+    read = f"array_to_string(list_transform(string_split(t, ''), lambda c: coalesce(map_extract_value(MAP {{{given}}}, c), c)), '')"
+    return f"""{_sentences()},
+t AS (
+  SELECT d.doc_id, translate(lower(coalesce(sentence, '')), '{SCRIPTS[0]}', '{SCRIPTS[1]}') AS t
+  FROM documents d LEFT JOIN sent s ON s.doc_id = d.doc_id AND s.sent_idx = 0),
+g AS (SELECT doc_id, {readings} AS t FROM t),
+r AS (SELECT doc_id, {read} AS t FROM g)
+SELECT doc_id, {_slug('t')} AS slug, CAST(length(t) - length(replace(t, '字', '')) AS BIGINT) AS unspelled FROM r"""
+
+
+def _phrases() -> str:
+    longest = sorted((x for x, _ in READINGS), key=len, reverse=True)
+    given = ", ".join(f"'{x}': '{r}'" for x, r in READINGS)
+    cut = f"regexp_extract_all(t, '(?s){'|'.join(longest)}|.')"
+    return f"array_to_string(list_transform({cut}, lambda x: coalesce(map_extract_value(MAP {{{given}}}, x), x)), '')"
+
+
 _ATTRS = r"""(?:[^>"'']+|"[^"]*"|''[^'']*'')*"""
 
 

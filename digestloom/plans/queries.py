@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from digestloom.functions import dates, text, urls
 from digestloom.functions.post import post_path, slug_or_id
-from digestloom.functions.slug import slugify
+from digestloom.functions.slug import slugify, unspelled
 from digestloom.operators import (
     discover as disc,
     keywords as kw,
@@ -19,6 +19,7 @@ from digestloom.operators import (
     related,
     search as srch,
     textrank,
+    transliterate,
     views,
 )
 from digestloom.operators.isolate import guarded_rows
@@ -432,6 +433,31 @@ def slug_title(spark, sf_dir):
     return docs.select("doc_id", F.expr(slugify(FIRST_SENTENCE)).alias("slug"))
 
 
+# Latin letters of the texts as letters of other scripts; the last one is read by nothing built in.
+SCRIPTS = ("abcdefghijklmnopqrstuvwxyz", "가각韓美かきゃダヅヴжщЮяΨθώｆŝæ보안協株ツ字")
+
+
+@query
+def slug_scripts(spark, sf_dir):
+    """Slugs of titles in Hangul, Hanja, Kana, Cyrillic and Greek, and the letters they drop."""
+    docs = _documents(spark, sf_dir)
+    titles = docs.select("doc_id", F.translate(F.lower(F.expr(FIRST_SENTENCE)), *SCRIPTS).alias("title"))
+    return titles.select("doc_id", F.expr(slugify("title")).alias("slug"), F.expr(unspelled("title")).alias("unspelled"))
+
+
+# Readings as a caller gives them: letters and phrases, the longest match counts.
+READINGS = (("가", "A"), ("가字", "az "), ("字", "zi "), ("字字", "zizi"), ("美韓", "mihan "), ("ж", "j"))
+
+
+@query
+def slug_readings(spark, sf_dir):
+    """The same titles, spelled by a given table first."""
+    docs = _documents(spark, sf_dir)
+    titles = docs.select("doc_id", F.translate(F.lower(F.expr(FIRST_SENTENCE)), *SCRIPTS).alias("title"))
+    spelled = transliterate.with_spelling(titles, "title", spark.createDataFrame(READINGS, "text string, reading string"), "title")
+    return spelled.select("doc_id", F.expr(slugify("title")).alias("slug"), F.expr(unspelled("title")).alias("unspelled"))
+
+
 @query
 def front_matter(spark, sf_dir):
     head = F.regexp_extract("content", r"(?s)\A(---\n.*?\n---\n)", 1)

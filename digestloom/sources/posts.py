@@ -13,6 +13,7 @@ from digestloom.functions import post
 from digestloom.functions.arrays import keep, lit, transform
 from digestloom.functions.dates import published_or
 from digestloom.functions.urls import id_from_url
+from digestloom.operators.transliterate import with_spelling
 from digestloom.operators.views import last_write_wins
 
 
@@ -26,11 +27,16 @@ class PostStyle:
     layout: str = "single"
 
 
-def render_posts(articles: DataFrame, as_of: datetime | str, style: PostStyle) -> DataFrame:
-    """Add ``path``, ``post_date`` and ``content`` to articles with keywords and summary."""
+def render_posts(articles: DataFrame, as_of: datetime | str, style: PostStyle, readings: DataFrame | None = None) -> DataFrame:
+    """Add ``path``, ``post_date`` and ``content`` to articles with keywords and summary.
+
+    ``readings`` (``text, reading``) spells titles for the path before the built-in readings do.
+    """
     head = post.front_matter("title", "_ts", "_tags", "url", style.categories, style.layout)
     tail = post.body("_tags", "_summary", "url", style.section_url, style.section_name)
-    slug = post.slug_or_id("title", "article_id")
+    slug = post.slug_or_id("title" if readings is None else "_spelled", "article_id")
+    if readings is not None:
+        articles = with_spelling(articles, "title", readings, "_spelled")
     return (
         articles.withColumns(
             {
@@ -46,7 +52,7 @@ def render_posts(articles: DataFrame, as_of: datetime | str, style: PostStyle) -
                 "content": F.expr(f"concat({head}, '\\n', {tail})"),
             }
         )
-        .drop("_ts", "_tags", "_summary")
+        .drop("_ts", "_tags", "_summary", "_spelled")
     )
 
 
