@@ -15,8 +15,11 @@ Equal sets are one node with one first occurrence. In a long list every node is
 its neighbours and the earliest node first; only nodes for which that found no earlier match
 are compared with the whole list, so a family of near copies costs a line of comparisons.
 
-Edge cases: null and empty texts have one empty line; blank lines and lines of fewer than
-``least_words`` different words are never compared and always stay; lines end at line feeds;
+A line of few words can only match an equal one (at 0.8 a line of three words; one of four may
+match a line of five): such lines are nodes, but post no words.
+
+Edge cases: null and empty texts have one empty line; blank lines are never compared and always
+stay, and so do lines of fewer than ``least_words`` different words (none by default); lines end at line feeds;
 repeated documents are copies, the first in reading order stays; documents without an id come
 last; a document may lose all its lines; other columns are kept as they are.
 """
@@ -34,7 +37,7 @@ from digestloom.llm import counts, jaccard_join, shards, words
 from digestloom.session import materialise, release
 
 PERCENT = 80
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 MAX_FREQUENT = 1 << 20
 SHARD_BYTES = 2 << 20
 # Entries of long lists looked at in one call, and pairs of them looked at at once.
@@ -137,6 +140,8 @@ def _post(text, id_col, percent, least, handle, parts):
                 first = lines.firsts(ids, np.flatnonzero(lines.size >= least))
                 size = lines.size[first]
                 head = size - -(-percent * size // 100) + 1
+                # The nearest set that is not equal has one word more.
+                head[100 * size < percent * (size + 1)] = 0
                 place = words.ragged(lines.at[first], head)
                 owner = np.repeat(np.arange(len(first)), head)
                 at = np.arange(len(place)) - np.repeat(np.cumsum(head) - head, head)

@@ -106,9 +106,9 @@ WITH l AS (
     translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w
   FROM l
 ), node AS (
-  SELECT row_number() OVER () AS node, w, len(w) AS n, min((doc_id, line_no)) AS age FROM s WHERE len(w) >= 5 GROUP BY w
+  SELECT row_number() OVER () AS node, w, len(w) AS n, min((doc_id, line_no)) AS age FROM s WHERE len(w) >= 1 GROUP BY w
 ), head AS (
-  SELECT node, unnest(w[1 : n - ((80 * n + 99) // 100) + 1]) AS word FROM node
+  SELECT node, unnest(w[1 : n - ((80 * n + 99) // 100) + 1]) AS word FROM node WHERE 100 * n >= 80 * (n + 1)  -- others match equal sets only
 ), pairs AS (
   SELECT DISTINCT least(a.node, b.node) AS x, greatest(a.node, b.node) AS y FROM head a JOIN head b ON a.word = b.word AND a.node <> b.node
 ), matched AS (
@@ -118,7 +118,7 @@ WITH l AS (
     AND 100 * len(list_intersect(m.w, k.w)) >= 80 * (m.n + k.n - len(list_intersect(m.w, k.w)))
 ), kept AS (
   SELECT s.doc_id, s.line_no, s.line, s.w,
-         len(s.w) < 5 OR (node.age = (s.doc_id, s.line_no) AND matched.node IS NULL) AS stays
+         len(s.w) < 1 OR (node.age = (s.doc_id, s.line_no) AND matched.node IS NULL) AS stays
   FROM s LEFT JOIN node ON s.w = node.w LEFT JOIN matched ON matched.node = node.node
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
@@ -130,7 +130,7 @@ FROM kept GROUP BY doc_id
 def _spread(name: str, seeds: str, edges: str, steps: int = 20) -> str:
     """CTEs ``{name}0 .. {name}{steps}`` of personalised PageRank, one step each."""
     parts = [
-        f"{name}_jump AS (SELECT host, 0.15 / count(*) OVER () AS score FROM ({seeds}))",
+        f"{name}_jump AS (SELECT host, 0.15::DOUBLE AS score FROM ({seeds}))",
         f"{name}_edge AS (SELECT src, dst, 0.85 / count(*) OVER (PARTITION BY src) AS share FROM ({edges}))",
         f"{name}0 AS (SELECT * FROM {name}_jump)",
     ]
@@ -171,7 +171,7 @@ WITH u AS (
     + _spread("d", "SELECT host FROM hosts WHERE blocked > 0.5", "SELECT dst AS src, src AS dst FROM links")
     + """
 SELECT l.page_id, l.host, l.path, l.rule,
-       coalesce(l.verdict, CASE WHEN coalesce(d20.score, 0) > coalesce(t20.score, 0) AND coalesce(d20.score, 0) > 1e-6 THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(l.verdict, CASE WHEN coalesce(d20.score, 0) > coalesce(t20.score, 0) AND coalesce(d20.score, 0) > 1e-4 THEN 'block' ELSE 'allow' END) AS verdict
 FROM longest l LEFT JOIN t20 ON t20.host = l.host LEFT JOIN d20 ON d20.host = l.host
 """
 )

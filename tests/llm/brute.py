@@ -84,7 +84,7 @@ def contamination(docs, items, window=10):
     return out
 
 
-def kept_lines(docs, percent=80, least=5):
+def kept_lines(docs, percent=80, least=1):
     """Kept text and number of removed lines of each ``(doc_id, text)``; earlier is by id."""
     rows = []
     order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is None, docs[i][0] or 0, i))
@@ -103,7 +103,7 @@ def kept_lines(docs, percent=80, least=5):
     return ["\n".join(kept[i]) for i in range(len(docs))], [removed[i] for i in range(len(docs))]
 
 
-def url_verdicts(pages, rules, damping=0.85, steps=20, share=0.5, threshold=1e-6):
+def url_verdicts(pages, rules, damping=0.85, steps=20, share=0.5, threshold=1e-4):
     """``(page_id, host, path, rule, verdict)`` of ``(page_id, url, html)``."""
     link = re.compile(r"""(?i)\b(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)""")
     rows, edges, pages_of = [], set(), {}
@@ -119,7 +119,7 @@ def url_verdicts(pages, rules, damping=0.85, steps=20, share=0.5, threshold=1e-6
             edges |= {(host, x.translate(_LOWER)) for x in link.findall(html or "") if x.translate(_LOWER) != host}
 
     def spread(seeds, links):
-        jump = {h: (1 - damping) / len(seeds) for h in seeds}
+        jump = {h: 1 - damping for h in seeds}
         score = dict(jump)
         for _ in range(steps):
             new = dict(jump)

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from digestloom.llm import collision, deobfuscate, packing, queries, suffix_tree, toxicity, url_trust, warc, words
 from tests.llm import brute
@@ -364,3 +365,22 @@ def test_verdicts(spark):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     assert {v for *_, r, v in got if r is None} == {"allow", "block"}
     assert url_trust.judge(df.limit(0), queries.URL_RULES).count() == 0
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_crawl(spark):
+    """Many copies of a graph side by side are judged as one: a blocked host, and what links to it."""
+    rules = [("bad/", "block"), ("good/", "allow")]
+
+    def graph(k):
+        rows = [(f"http://h{k}x.bad/", ""), (f"http://h{k}y.good/", f'<a href="http://h{k}g.org/">')]
+        rows += [(f"http://h{k}l{i}.org/", f'<a href="http://h{k}x.bad/">' + ('<a href="//h0far.org/">' if not i else "")) for i in range(20)]
+        return [*rows, (f"http://h{k}g.org/", ""), (f"http://h{k}far.org/", f'<a href="http://h{k}l0.org/">')]
+
+    def verdicts(copies):
+        rows = [(i, url, html) for i, (url, html) in enumerate(x for k in range(copies) for x in graph(k))]
+        df = spark.createDataFrame(rows, "page_id long, url string, html string")
+        return url_trust.judge(df, rules).groupBy(F.regexp_replace("host", "^h[0-9]+", "").alias("h"), "verdict").count().collect()
+
+    one, many = ({(r["h"], r["verdict"]) for r in verdicts(n)} for n in (1, 2000))
+    assert one == many
+    assert {h for h, v in one if v == "block"} == {"x.bad", "far.org", *(f"l{i}.org" for i in range(20))}
