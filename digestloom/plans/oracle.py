@@ -25,7 +25,7 @@ def _id(n: str) -> str:
     return f"CAST(20240101000000 + {n} AS VARCHAR)"
 
 
-def _terms(table: str = "documents", key: str = "doc_id", column: str = "text", prefix: str = "") -> str:
+def _terms(table: str = "documents", key: str = "doc_id", column: str = "text", prefix: str = "", k: int = 7) -> str:
     """CTEs ``{prefix}tok`` (kept tokens), ``{prefix}cnt`` (counts) and ``{prefix}tot``."""
     return f"""
 {prefix}tok AS (
@@ -40,7 +40,7 @@ def _terms(table: str = "documents", key: str = "doc_id", column: str = "text",
   SELECT * FROM (
     SELECT {key}, term, tf_count,
            row_number() OVER (PARTITION BY {key} ORDER BY tf_count DESC, first_pos) AS rn
-    FROM {prefix}cnt) WHERE rn <= 7),
+    FROM {prefix}cnt) WHERE rn <= {k}),
 {prefix}kw AS (
   SELECT {key}, string_agg(term, ', ' ORDER BY rn) AS keywords, list(term ORDER BY rn) AS tags
   FROM {prefix}top GROUP BY ALL)"""
@@ -461,6 +461,13 @@ x AS (SELECT doc_id, unnest(tags) AS tag FROM tagged),
 p AS (
   SELECT a.doc_id, b.doc_id AS related_id, count(*) AS overlap
   FROM x a JOIN x b ON a.tag = b.tag AND a.doc_id <> b.doc_id GROUP BY ALL)
+SELECT * FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, related_id) AS rn, related_id, overlap
+  FROM p) WHERE rn <= 4""",
+        "related_forty": f"""WITH {_terms(k=40)},
+p AS (
+  SELECT a.doc_id, b.doc_id AS related_id, count(*) AS overlap
+  FROM top a JOIN top b ON a.term = b.term AND a.doc_id <> b.doc_id GROUP BY ALL)
 SELECT * FROM (
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, related_id) AS rn, related_id, overlap
   FROM p) WHERE rn <= 4""",

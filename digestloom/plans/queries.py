@@ -77,12 +77,12 @@ def _stamp(as_of: str):
     return F.expr(dates.run_stamp(dates.wall_time(as_of))).alias("processed_at")
 
 
-def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as posts: a day and the seven best keywords."""
+def _tagged(spark: SparkSession, sf_dir: str, k: int = 7) -> DataFrame:
+    """Documents as posts: a day and the best keywords."""
     docs = _documents(spark, sf_dir)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 60).cast("int"))
     return docs.select(
-        "doc_id", day.alias("post_date"), F.expr(kw.keyword_list(text.content_tokens("text"))).alias("tags")
+        "doc_id", day.alias("post_date"), F.expr(kw.keyword_list(text.content_tokens("text"), k)).alias("tags")
     )
 
 
@@ -599,6 +599,12 @@ def related_docs(spark, sf_dir):
     return related.related_topk(_tagged(spark, sf_dir), tags_col="tags")
 
 
+@query
+def related_forty(spark, sf_dir):
+    """Related documents by forty keywords each, many of them shared by a large part of all."""
+    return related.related_topk(_tagged(spark, sf_dir, 40), tags_col="tags")
+
+
 # Streams
 
 

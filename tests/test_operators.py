@@ -279,6 +279,50 @@ def test_related_equals_all_pairs_with_a_hot_tag(spark, seed):
     assert sorted((r.doc_id, r.rn, r.related_id, r.overlap) for r in got) == related_by_pairs(tags, 3)
 
 
+def found_related(df, k, **options):
+    return sorted((r.doc_id, r.rn, r.related_id, r.overlap) for r in related.related_topk(df, k, **options).collect())
+
+
+@pytest.mark.parametrize(("seed", "suffix"), [(0, 6), (1, 2), (2, 1)])
+def test_related_equals_all_pairs_with_forty_shared_keywords(spark, seed, suffix, monkeypatch):
+    monkeypatch.setattr(related, "ROUNDS", (5, 30, None))
+    monkeypatch.setattr(related, "BLOCK_ENTRIES", 16)
+    rng = random.Random(seed)
+    words = [f"t{i:02d}" for i in range(60)]
+    tags = {i: set(rng.sample(words, 40)) for i in range(60)}
+    tags.update({100 + i: set(rng.sample(words[:8], rng.randint(0, 8))) | {"hot"} for i in range(60)})
+    tags.update({200 + i: {f"r{i // 2}", "hot", *rng.sample(words, rng.choice([0, 3, 12]))} for i in range(40)})
+    tags.update({300 + i: set(words[:15]) for i in range(8)})
+    tags[400], tags[401] = set(), {"alone"}
+    df = spark.createDataFrame([(i, sorted(t)) for i, t in tags.items()], "doc_id bigint, keywords array<string>")
+    assert found_related(df, 4, suffix=suffix) == related_by_pairs(tags, 4)
+
+
+def test_related_reads_rare_lists_first_and_stops(spark, monkeypatch):
+    """Pairs of rare keywords fill the best k, so hot lists give no pairs."""
+    met = []
+    meet = related._meet
+
+    def counted(asked, held, id_col):
+        met.append(asked.count())
+        return meet(asked, held, id_col)
+
+    monkeypatch.setattr(related, "_meet", counted)
+    hot = [f"h{i}" for i in range(8)]
+    tags = {i: {*(f"g{i // 5}.{j}" for j in range(8)), *hot} for i in range(400)}
+    df = spark.createDataFrame([(i, sorted(t)) for i, t in tags.items()], "doc_id bigint, keywords array<string>")
+    got = found_related(df, 4)
+    assert {(d, e) for d, _, e, o in got if o == 16} == {(d, e) for d in tags for e in tags if d // 5 == e // 5 and d != e}
+    # Rare lists are asked by all 400 documents for their eight rare keywords, hot ones by nobody.
+    assert met[:2] == [3200, 0] and sum(met[2:]) == 0
+
+
+def test_related_with_nothing_shared(spark):
+    schema = "doc_id bigint, keywords array<string>"
+    for rows in ([], [(1, ["a"]), (2, ["b"]), (3, None), (4, [])], [(1, ["a", "a", None]), (2, [None])]):
+        assert found_related(spark.createDataFrame(rows, schema), 4) == []
+
+
 def test_related_refuses_too_many_tags(spark):
     with pytest.raises(ValueError):
         related.related_topk(spark.createDataFrame([(1, ["a"])], "doc_id int, keywords array<string>"), n_tags=13)
