@@ -169,8 +169,14 @@ def tfidf_against(docs: DataFrame, corpus: DataFrame, k: int = 7, id_col: str =
     """
     others = document_terms(corpus.withColumn("_n", F.monotonically_increasing_id()), "_n", text_col, tokenizer)
     freq = materialise(document_frequency(others), "frequencies")
-    n = corpus.count() + 1
-    known = F.broadcast(freq) if freq.count() <= MAX_BROADCAST_ROWS else freq
+    return tfidf_with(docs, freq, corpus.count(), k, id_col, text_col, tokenizer)
+
+
+def tfidf_with(docs: DataFrame, frequencies: DataFrame, n_docs: int, k: int = 7, id_col: str = "doc_id", text_col: str = "text",
+               tokenizer: Tokenizer | None = None) -> DataFrame:
+    """The same with known ``frequencies`` (``term, df``) of a corpus of ``n_docs`` documents."""
+    n = n_docs + 1
+    known = F.broadcast(frequencies) if frequencies.count() <= MAX_BROADCAST_ROWS else frequencies
     df = F.coalesce("df", F.lit(0)) + 1
     terms = document_terms(docs, id_col, text_col, tokenizer).join(known, "term", "left")
     weighted = terms.withColumn("weight", F.col("tf_count") * (F.ln((1 + n) / (1 + df)) + 1)).withColumn("df", df)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,12 @@ from digestloom.operators.isolate import Guarded
 from digestloom.operators.keywords import Tokenizer
 from digestloom.operators.processed import unprocessed_few
 from digestloom.operators.quality import missing_pages, run_counters
+from digestloom.operators.segments import add_segment, read_segments, stored_frequencies
 from digestloom.operators.skew import broadcast_if_small
 from digestloom.operators.textrank import Splitter
 from digestloom.operators.transliterate import unspelled_titles, with_spelling
 from digestloom.operators.views import digest_entries, write_digest
-from digestloom.plans.methods import OUTPUT_MODES, extract_keywords, method_name, prepare, summarise
+from digestloom.plans.methods import OUTPUT_MODES, against_known, extract_keywords, method_name, prepare, prepared_tokenizer, summarise
 from digestloom.session import materialise, scratch_released
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.posts import PostStyle, current_posts, read_posts, render_posts, write_posts
@@ -157,7 +158,8 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame | Callable[[
 def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: str, state_dir: str,
         run_id: str, as_of, options: Options = Options(), dry_run: bool = False,
         digest_dir: str | None = None, failures_dir: str | None = None,
-        state_json: str | None = None, quarantine_dir: str | None = None) -> DataFrame:
+        state_json: str | None = None, quarantine_dir: str | None = None,
+        index_dir: str | None = None) -> DataFrame:
     """Run once and return the counters. ``run_id`` names the run (for example a timestamp).
 
     Output mode ``daily_digest`` also rewrites, below ``digest_dir``, the digests of the days
@@ -165,6 +167,9 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
     by run. Ids in JSON state documents at ``state_json`` count as processed, too; broken documents
     are copied to ``quarantine_dir`` and counted (``quarantined``), and the run goes on.
 
+    ``index_dir`` gets the run's articles as a segment of a full-text index, and keyword method
+    ``tfidf`` then weighs terms by what all other runs have put there, without reading their texts.
+
     Posts are written before the state. A run that dies in between leaves its ids
     unprocessed and is repeated under the same ``run_id``, which replaces its own output.
     """
@@ -173,14 +178,19 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
     if state_json is not None and quarantine_dir is None:
         raise ValueError("state_json needs a quarantine_dir for broken documents")
     with scratch_released(spark):
-        folders = (posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir)
+        folders = (posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir, index_dir)
         counters = _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run)
         # One row, which may outlive what the run wrote down for itself.
         return spark.createDataFrame(counters.collect(), counters.schema)
 
 
 def _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run) -> DataFrame:
-    posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir = folders
+    posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir, index_dir = folders
+    if index_dir is not None and options.keyword_method == "tfidf" and options.corpus is None:
+        others = read_segments(spark, index_dir, except_run=run_id)
+        if others is not None:
+            frequencies, n_docs = stored_frequencies(others)
+            options = replace(options, keyword_method=against_known(materialise(frequencies, "known-terms"), n_docs))
     quarantined = 0
     if state_json is not None and not dry_run:
         quarantined = quarantine_state_json(spark, state_json, quarantine_dir, as_of)
@@ -205,6 +215,9 @@ def _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run) ->
             days = F.broadcast(written.select("post_date").distinct())
             posts = current_posts(read_posts(spark, posts_dir).join(days, "post_date", "left_semi"))
             write_digest(daily_digest(posts), "line", digest_dir)
+        if index_dir is not None:
+            good = outcome.candidates.filter(F.col("error").isNull())
+            add_segment(good, index_dir, run_id, "article_id", "raw_text", prepared_tokenizer(good, options.tokenizer))
         append_state(written, state_dir, run_id, as_of)
     return counters
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestloom.operators.keywords import (
-    Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_against, tfidf_topn, with_tokens,
+    Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_against, tfidf_topn, tfidf_with, with_tokens,
 )
 from digestloom.operators.isolate import Guarded, attempt
 from digestloom.operators.textrank import (
@@ -54,6 +54,15 @@ def against(corpus: DataFrame) -> Callable[..., DataFrame]:
     return tfidf
 
 
+def against_known(frequencies: DataFrame, n_docs: int) -> Callable[..., DataFrame]:
+    """A keyword method that weighs terms by known frequencies, such as those stored with an index."""
+
+    def tfidf(docs, k, id_col, text_col, tokenizer):
+        return _with_lists(docs, tfidf_with(docs, frequencies, n_docs, k, id_col, text_col, tokenizer), id_col)
+
+    return tfidf
+
+
 KEYWORD_METHODS: dict[str, Callable[..., DataFrame]] = {"tf": _tf, "tfidf": _tf, "tfidf_batch": _batch}
 SUMMARY_METHODS: dict[str, Callable[..., DataFrame]] = {
     "textrank": lambda docs, k, text_col: docs.withColumn(
@@ -135,6 +144,11 @@ def _prepared_tokens(_):
     return F.coalesce(TOKENS, F.array().cast("array<string>"))
 
 
+def prepared_tokenizer(docs: DataFrame, tokenizer: Tokenizer | Guarded | None) -> Tokenizer | Guarded | None:
+    """The tokenizer, or the tokens that ``prepare`` has put into the documents."""
+    return _prepared_tokens if TOKENS in docs.columns else tokenizer
+
+
 def summarise(docs: DataFrame, method: str | Callable[..., DataFrame] = "textrank", k: int = 4,
               text_col: str = "text", splitter: Splitter | Guarded | None = None) -> DataFrame:
     """Add ``summary``. ``splitter`` cuts texts for the methods ``textrank`` and ``lead``."""

@@ -456,6 +456,16 @@ FROM orders GROUP BY ALL""",
         "search_index": f"""WITH {terms}
 SELECT term, c.doc_id, tf_count AS tf, n_tokens FROM cnt c JOIN tot t ON t.doc_id = c.doc_id""",
         "search_topk": _search(),
+        "search_segments": _search(),
+        "tfidf_stored": f"""WITH {terms},
+freq AS (SELECT term, count(*) AS n FROM cnt WHERE doc_id % 3 <> 1 GROUP BY ALL),
+w AS (
+  SELECT doc_id, term, tf_count, coalesce(n, 0) + 1 AS df,
+         tf_count * (ln((2 + (SELECT count(*) FROM documents WHERE doc_id % 3 <> 1)) / (2 + coalesce(n, 0))) + 1) AS weight
+  FROM cnt LEFT JOIN freq USING (term) WHERE doc_id % 3 = 1),
+s AS (SELECT *, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS score FROM w),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, term) AS rn FROM s)
+SELECT doc_id, rn, term, tf_count, df, round(score, 6) AS score FROM r WHERE rn <= 7""",
         "related_docs": f"""WITH {_TAGGED},
 x AS (SELECT doc_id, unnest(tags) AS tag FROM tagged),
 p AS (

@@ -18,6 +18,7 @@ from digestloom.operators import (
     quality,
     related,
     search as srch,
+    segments,
     textrank,
     transliterate,
     views,
@@ -594,6 +595,33 @@ def search_topk(spark, sf_dir):
     return srch.search(index, SEARCH_TERMS, 20, size=size)
 
 
+def _segments(spark: SparkSession, sf_dir: str) -> segments.Segments:
+    """The documents indexed in three runs, the second one twice."""
+    path = work_dir(spark, "segments")
+    docs = _documents(spark, sf_dir)
+    for run in (0, 1, 2, 1):
+        segments.add_segment(docs.filter(F.pmod("doc_id", F.lit(3)) == run), path, f"r{run}")
+    return segments.read_segments(spark, path)
+
+
+@query
+def search_segments(spark, sf_dir):
+    """The same search over three segments, whose cells are skipped by their bounds."""
+    return segments.search_segments(_segments(spark, sf_dir), SEARCH_TERMS, 20)[0]
+
+
+@query
+def tfidf_stored(spark, sf_dir):
+    """Keywords of a third of the documents against the stored frequencies of the other two thirds."""
+    path = work_dir(spark, "segments")
+    docs = _documents(spark, sf_dir)
+    for run in (0, 1, 2):
+        segments.add_segment(docs.filter(F.pmod("doc_id", F.lit(3)) == run), path, f"r{run}")
+    known, n_docs = segments.stored_frequencies(segments.read_segments(spark, path, except_run="r1"))
+    top = kw.tfidf_with(docs.filter("doc_id % 3 = 1"), materialise(known, "known-terms"), n_docs)
+    return top.withColumn("score", F.round("score", 6))
+
+
 @query
 def related_docs(spark, sf_dir):
     return related.related_topk(_tagged(spark, sf_dir), tags_col="tags")
