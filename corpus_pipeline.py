@@ -6,13 +6,34 @@ the last, which returns the places of token pieces in sequences.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from digestloom.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
 from digestloom.llm.queries import ship, table, tokenizer_path
 from digestloom.operators.skew import broadcast_if_small
-from digestloom.session import materialise
+from digestloom.session import materialise, release, scratch_released, work_dir
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def settled(stage: Stage) -> Stage:
+    """The stage with its rows written down and everything else that it wrote removed."""
+
+    @functools.wraps(stage)
+    def run(spark, docs, sf_dir):
+        path = work_dir(spark, stage.__name__)
+        with scratch_released(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        kept = spark.read.schema(rows.schema).parquet(path)
+        kept.scratch_path = path
+        return kept
+
+    return run
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels")).select(*docs.columns)
 
 
+@settled
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that match an earlier line.
 
@@ -35,6 +57,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.select(*docs.columns)
 
 
+@settled
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates.
 
@@ -77,7 +100,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written down before the next one reads it."""
-    docs = table(spark, sf_dir, "documents")
+    docs = before = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stage(spark, before, sf_dir)
+        docs = docs if hasattr(docs, "scratch_path") else materialise(docs, name.replace(" ", "-"))
+        if hasattr(before, "scratch_path"):
+            release(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -65,6 +66,7 @@ def scratch_released(spark: SparkSession) -> Iterator[None]:
         yield
         for path in _scratch.get():
             _remove(spark, path)
+        free_shuffles(spark)
     finally:
         _scratch.reset(mark)
 
@@ -84,6 +86,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def release(written: DataFrame) -> None:
     """Remove what ``materialise`` wrote for this table; nothing may read it any more."""
     _remove(written.sparkSession, written.scratch_path)
+    free_shuffles(written.sparkSession)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of tables that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which may be long after a large step.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def _remove(spark: SparkSession, path: str) -> None:
