@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestloom.llm import counts, jaccard_join, shards, words
-from digestloom.session import materialise, release
+from digestloom.session import free_shuffles, materialise, release
 
 PERCENT = 80
 LEAST_WORDS = 1
@@ -347,6 +347,7 @@ def remove_repeated_lines(
         posted.filter("part is null").groupBy("node").agg(F.min(age).alias("age"), F.first("cells").alias("cells"), F.first("n").alias("n")),
         "nodes",
     )
+    free_shuffles(documents.sparkSession)
     found = materialise(
         posted.filter("part is not null").select("part", "payload").groupBy("part").applyInArrow(_lists(percent), "a long, b long, key long, n long, at long"),
         "pairs",

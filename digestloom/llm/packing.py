@@ -38,7 +38,7 @@ ROUNDS = 3
 EXCHANGED = 8
 # Words whose ids a worker keeps; the table starts anew beyond.
 # Words a worker keeps, some 150 bytes each, also from one task to the next.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 
 _PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
 
