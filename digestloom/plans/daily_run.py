@@ -22,6 +22,7 @@ from digestloom.plans.methods import OUTPUT_MODES, against_known, extract_keywor
 from digestloom.session import materialise, scratch_released
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.posts import PostStyle, current_posts, read_posts, render_posts, write_posts
+from digestloom.sources.store import Store
 from digestloom.sources.state import append_state, quarantine_state_json, read_state, read_state_json
 
 
@@ -184,6 +185,19 @@ def run(spark: SparkSession, listing: DataFrame, pages: DataFrame, posts_dir: st
         return spark.createDataFrame(counters.collect(), counters.schema)
 
 
+def run_in_store(listing: DataFrame, pages: DataFrame, store: Store, run_id: str, as_of, options: Options = Options()) -> DataFrame:
+    """Run once into a ``Store``: posts and state count together or not at all. Returns the counters.
+
+    A run that dies leaves nothing that a reader sees; its ids are unprocessed.
+    """
+    with scratch_released(store.spark):
+        began = store.version()
+        outcome = plan_run(listing, pages, lambda found: store.state(run_id, found, began), as_of, options)
+        counters = store.spark.createDataFrame(outcome.counters.collect(), outcome.counters.schema)
+        store.write_run(outcome.posts, run_id, as_of, began)
+        return counters
+
+
 def _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run) -> DataFrame:
     posts_dir, state_dir, digest_dir, failures_dir, state_json, quarantine_dir, index_dir = folders
     if index_dir is not None and options.keyword_method == "tfidf" and options.corpus is None:

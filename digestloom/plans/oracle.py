@@ -413,6 +413,9 @@ FROM documents d LEFT JOIN sent s ON s.doc_id = d.doc_id AND s.sent_idx = 0""",
 SELECT path, '{STYLE.layout}' AS layout, title, date, '{", ".join(STYLE.categories)}' AS categories,
   keywords AS tags, url AS source_url, TRUE AS auto_generated, keywords AS keyword_line, summary, article_id
 FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY article_id DESC) AS w FROM post) WHERE w = 1""",
+        "store_runs": f"""WITH {_articles()}
+SELECT article_id, title, 'r' || CAST(page_id % 3 AS VARCHAR) AS run_id, '2024-01-31T00:00:00.000000+09:00' AS processed_at
+FROM art WHERE page_id % 3 <> 2""",
         "post_invariants": f"""WITH {_lead_posts()}
 SELECT count(*) AS n_posts, CAST(0 AS BIGINT) AS tags_differ,
   count(*) FILTER (left(path, 10) <> left(date, 10)) AS dates_differ,

@@ -29,6 +29,7 @@ from digestloom.plans import daily_run, methods
 from digestloom.session import balanced, materialise, work_dir
 from digestloom.sources import listing as listing_source, posts as post_source, state as state_source
 from digestloom.sources.pages import PageLayout, parse_articles
+from digestloom.sources.store import Store
 from digestloom.streaming import incremental
 
 AS_OF = "2024-01-31 00:00:00"
@@ -488,6 +489,20 @@ def post_scan(spark, sf_dir):
     )
 
 
+@query
+def store_runs(spark, sf_dir):
+    """Two runs committed, one of them twice, and one that died: the ids that count, and their posts."""
+    store = Store(spark, work_dir(spark, "store"))
+    rendered = materialise(_rendered(spark, sf_dir).withColumns(
+        {"page": F.lit(1), "pos": F.col("page_id"), "method": F.lit("tf+lead")}
+    ), "rendered")
+    for run, part in (("r0", 0), ("r1", 2), ("r1", 1)):
+        store.write_run(rendered.filter(F.pmod("page_id", F.lit(3)) == part), run, AS_OF, store.version())
+    post_source.write_posts(rendered.filter("page_id % 3 = 2"), store.folder("posts", "died"), "r2")
+    store.compact_state()
+    return store.posts().select("article_id", "title", "run_id").join(store.state(), "article_id")
+
+
 @query
 def post_invariants(spark, sf_dir):
     return quality.post_invariants(

@@ -11,6 +11,7 @@ from digestloom.functions.dates import run_stamp, wall_time
 from digestloom.session import path_exists
 
 STATE_SCHEMA = "article_id STRING, processed_at STRING"
+STORED_SCHEMA = STATE_SCHEMA + ", run_id STRING, id_day STRING"
 
 # Ids per exported JSON document, so that no document grows with the state.
 IDS_PER_DOCUMENT = 10_000
@@ -37,14 +38,18 @@ def read_state(spark: SparkSession, path: str, except_run: str | None = None, id
     """
     if not path_exists(spark, path):
         return empty_state(spark)
-    table = spark.read.schema(STATE_SCHEMA + ", run_id STRING, id_day STRING").parquet(path)
+    table = spark.read.schema(STORED_SCHEMA).parquet(path)
     if except_run is not None:
         table = table.filter(F.col("run_id") != except_run)
-    if ids is not None:
-        days = [r[0] for r in ids.select(id_day()).distinct().limit(MAX_DAYS + 1).collect()]
-        if len(days) <= MAX_DAYS:
-            table = table.filter(F.col("id_day").isin(days))
-    return table.select("article_id", "processed_at")
+    return of_days(table, ids).select("article_id", "processed_at")
+
+
+def of_days(table: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """The part of a stored state that has the days of ``ids``; all of it without them."""
+    if ids is None:
+        return table
+    days = [r[0] for r in ids.select(id_day()).distinct().limit(MAX_DAYS + 1).collect()]
+    return table.filter(F.col("id_day").isin(days)) if len(days) <= MAX_DAYS else table
 
 
 def compact_state(spark: SparkSession, path: str, into: str) -> None:
@@ -52,9 +57,13 @@ def compact_state(spark: SparkSession, path: str, into: str) -> None:
 
     Each id keeps the time it was processed first. Readers change over to the new folder.
     """
-    table = read_state(spark, path).groupBy("article_id").agg(F.min("processed_at").alias("processed_at"))
+    write_compacted(read_state(spark, path), f"{into}/run_id=compacted")
+
+
+def write_compacted(state: DataFrame, folder: str) -> None:
+    table = state.groupBy("article_id").agg(F.min("processed_at").alias("processed_at"))
     by_day = table.withColumn("id_day", id_day()).repartition("id_day", F.pmod(F.xxhash64("article_id"), F.lit(4)))
-    by_day.write.mode("errorifexists").partitionBy("id_day").parquet(f"{into}/run_id=compacted")
+    by_day.write.mode("errorifexists").partitionBy("id_day").parquet(folder)
 
 
 def append_state(ids: DataFrame, path: str, run_id: str, as_of: datetime | str) -> None:
