@@ -103,26 +103,8 @@ def new_articles(pages: DataFrame, new_ids: DataFrame, options: Options) -> Data
     )
 
 
-def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame | Callable[[DataFrame], DataFrame], as_of,
-             options: Options = Options()) -> Outcome:
-    """Everything of a run but its commit.
-
-    ``state`` may be a function that gets the discovered ids and reads only what concerns them.
-
-    Known ids are dropped before any HTML is read, so the work follows the number of *new*
-    articles. What several steps need is written once: the discovered ids, the new ids, and
-    the parsed articles (a fraction of their HTML), from which keywords, summaries and
-    counters are computed. Guarded functions of the options are called before the articles are
-    written, each once: an article that one of them fails on is a failed one, and the others go on.
-    """
-    found = materialise(
-        discover(listing, as_of, options.lookback_days, options.max_pages), "discovered"
-    )
-    require_items(found)
-    state = state(found) if callable(state) else state
-    new_ids = materialise(
-        unprocessed_few(found.select("article_id", "page", "pos"), state), "new-ids"
-    )
+def process_new(new_ids: DataFrame, pages: DataFrame, as_of, options: Options = Options()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidates, posts and unspelled titles (see ``Outcome``) of written-down new ids."""
     landed = one_page_per_id(pages, new_ids)
     articles = recent(new_articles(landed, new_ids, options), as_of, options.lookback_days)
     candidates = materialise(
@@ -147,6 +129,30 @@ def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame | Callable[[
     if options.readings is not None:
         titles = with_spelling(titles, "title", options.readings, "title")
     unspelled = unspelled_titles(titles)
+    return candidates, posts, unspelled
+
+
+def plan_run(listing: DataFrame, pages: DataFrame, state: DataFrame | Callable[[DataFrame], DataFrame], as_of,
+             options: Options = Options()) -> Outcome:
+    """Everything of a run but its commit.
+
+    ``state`` may be a function that gets the discovered ids and reads only what concerns them.
+
+    Known ids are dropped before any HTML is read, so the work follows the number of *new*
+    articles. What several steps need is written once: the discovered ids, the new ids, and
+    the parsed articles (a fraction of their HTML), from which keywords, summaries and
+    counters are computed. Guarded functions of the options are called before the articles are
+    written, each once: an article that one of them fails on is a failed one, and the others go on.
+    """
+    found = materialise(
+        discover(listing, as_of, options.lookback_days, options.max_pages), "discovered"
+    )
+    require_items(found)
+    state = state(found) if callable(state) else state
+    new_ids = materialise(
+        unprocessed_few(found.select("article_id", "page", "pos"), state), "new-ids"
+    )
+    candidates, posts, unspelled = process_new(new_ids, pages, as_of, options)
     missing = missing_pages(broadcast_if_small(new_ids.select("article_id")), pages)
     report = discovery_report(listing, as_of, options.lookback_days, options.max_pages)
     # Three tables of one row each.
