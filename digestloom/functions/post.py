@@ -91,6 +91,22 @@ def front_matter(title: str, ts: str, keywords: str, url: str, categories: Seque
     return f"concat_ws('\\n', {', '.join(lines)})"
 
 
+def digest_front_matter(day: str, categories: Sequence[str], layout: str) -> str:
+    """Front matter of a day's combined post; ``day`` is its date as text."""
+    listed = f"array({', '.join(map(lit, categories))})"
+    lines = (
+        "'---'", f"concat('layout: ', {yaml_scalar(lit(layout))})", f"concat('title: Daily digest ', {day})",
+        f"concat('date: ', {day}, ' 00:00:00 +0900')", f"concat('categories: ', {yaml_list(listed)})", "'tags: [daily-digest]'",
+        "'auto_generated: true'", "'---'",
+    )
+    return f"concat_ws('\n', {', '.join(lines)})"
+
+
+def digest_entry(title: str, url: str, keywords: str, summary: str) -> str:
+    """One article in a day's combined post."""
+    return f"concat('\n## [', {title}, '](', {url}, ')\n', array_join({keywords}, ', '), '\n\n', {summary})"
+
+
 def body(keywords: str, summary: str, url: str, section_url: str, section_name: str) -> str:
     """Keywords, summary and the link back to the source."""
     source = (

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from digestloom.functions import post
 from digestloom.operators.discover import MAX_PAGES, discover, discovery_report, recent, require_items
 from digestloom.operators.isolate import Guarded
 from digestloom.operators.keywords import Tokenizer
@@ -35,6 +36,7 @@ class Options:
     summary_method: str | Callable[..., DataFrame] = "textrank"
     summary_sentences: int = 4
     output_mode: str = "per_article"
+    digest_as_post: bool = False  # a day's digest with front matter, keywords and summaries, not only lines
     base_url: str = "https://news.example.com"
     section: str = "AI/SW"
     page_layout: PageLayout = PageLayout()
@@ -234,7 +236,10 @@ def _commit(spark, listing, pages, folders, run_id, as_of, options, dry_run) ->
             # One row per day: bounded by the calendar.
             days = F.broadcast(written.select("post_date").distinct())
             posts = current_posts(read_posts(spark, posts_dir).join(days, "post_date", "left_semi"))
-            write_digest(daily_digest(posts), "line", digest_dir)
+            if options.digest_as_post:
+                write_digest(daily_digest_posts(posts, options.style), "value", digest_dir)
+            else:
+                write_digest(daily_digest(posts), "line", digest_dir)
         if index_dir is not None:
             good = outcome.candidates.filter(F.col("error").isNull())
             add_segment(good, index_dir, run_id, "article_id", "raw_text", prepared_tokenizer(good, options.tokenizer))
@@ -249,3 +254,19 @@ def daily_digest(posts: DataFrame) -> DataFrame:
         "post_date", "entry_no", "article_id",
         F.concat(F.lit("- ["), F.col("title"), F.lit("]("), F.col("url"), F.lit(")")).alias("line"),
     )
+
+
+def daily_digest_posts(posts: DataFrame, style: PostStyle) -> DataFrame:
+    """One combined post per day, by pieces: ``post_date, path, entry_no, value``.
+
+    Piece 0 has the front matter and the number of articles, the others an article each, newest
+    first. The pieces of a day are not gathered; in their order they are the lines of its file.
+    """
+    narrow = posts.select("post_date", "article_id", "title", "url", "keywords", "summary")
+    entry = post.digest_entry("title", "url", "coalesce(keywords, CAST(array() AS ARRAY<STRING>))", "coalesce(summary, '')")
+    entries = digest_entries(narrow, "post_date", "article_id").select("post_date", F.col("entry_no").cast("long").alias("entry_no"), F.expr(entry).alias("value"))
+    day = F.date_format("post_date", "yyyy-MM-dd")
+    head = F.concat(F.expr(post.digest_front_matter("_day", style.categories, style.layout)), F.lit("\n\n"), F.col("n").cast("string"), F.lit(" articles"))
+    heads = narrow.groupBy("post_date").agg(F.count("*").alias("n")).withColumn("_day", day)
+    pieces = heads.select("post_date", F.lit(0).cast("long").alias("entry_no"), head.alias("value")).unionByName(entries)
+    return pieces.select("post_date", F.concat(day, F.lit("-daily-digest.md")).alias("path"), "entry_no", "value")

@@ -413,6 +413,16 @@ FROM documents d LEFT JOIN sent s ON s.doc_id = d.doc_id AND s.sent_idx = 0""",
 SELECT path, '{STYLE.layout}' AS layout, title, date, '{", ".join(STYLE.categories)}' AS categories,
   keywords AS tags, url AS source_url, TRUE AS auto_generated, keywords AS keyword_line, summary, article_id
 FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY article_id DESC) AS w FROM post) WHERE w = 1""",
+        "digest_post": f"""WITH {_lead_posts()}
+SELECT post_date, strftime(post_date, '%Y-%m-%d') || '-daily-digest.md' AS path, CAST(0 AS BIGINT) AS entry_no,
+  '---' || chr(10) || 'layout: {STYLE.layout}' || chr(10) || 'title: Daily digest ' || strftime(post_date, '%Y-%m-%d') || chr(10)
+  || 'date: ' || strftime(post_date, '%Y-%m-%d') || ' 00:00:00 +0900' || chr(10) || 'categories: [{", ".join(STYLE.categories)}]' || chr(10)
+  || 'tags: [daily-digest]' || chr(10) || 'auto_generated: true' || chr(10) || '---' || chr(10) || chr(10) || count(*) || ' articles' AS value
+FROM post GROUP BY post_date
+UNION ALL
+SELECT post_date, strftime(post_date, '%Y-%m-%d') || '-daily-digest.md',
+  row_number() OVER (PARTITION BY post_date ORDER BY article_id),
+  chr(10) || '## [' || title || '](' || url || ')' || chr(10) || keywords || chr(10) || chr(10) || summary FROM post""",
         "store_runs": f"""WITH {_articles()}
 SELECT article_id, title, 'r' || CAST(page_id % 3 AS VARCHAR) AS run_id, '2024-01-31T00:00:00.000000+09:00' AS processed_at
 FROM art WHERE page_id % 3 <> 2""",
@@ -493,5 +503,7 @@ WHERE n = 1 AND (pts IS NULL OR pts >= {_ASOF_TS} - INTERVAL 30 DAY)""",
         "daily_counts_stream": """SELECT * FROM (
   SELECT CAST(ts AS DATE) AS post_date, count(*) AS n_entries FROM events GROUP BY CAST(ts AS DATE))
 WHERE post_date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 7 DAY""",
+        "stream_job": f"""WITH {_lead_posts()}
+SELECT article_id, path, post_date, front_matter || chr(10) || body AS content, 'tf+lead' AS method FROM post""",
         "dedup_stream": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS article_id FROM events",
     }

@@ -30,7 +30,7 @@ from digestloom.session import balanced, materialise, work_dir
 from digestloom.sources import listing as listing_source, posts as post_source, state as state_source
 from digestloom.sources.pages import PageLayout, parse_articles
 from digestloom.sources.store import Store
-from digestloom.streaming import incremental
+from digestloom.streaming import incremental, whole_job
 
 AS_OF = "2024-01-31 00:00:00"
 BASE_URL = "https://news.example.com"
@@ -489,6 +489,12 @@ def post_scan(spark, sf_dir):
     )
 
 
+@query
+def digest_post(spark, sf_dir):
+    """The day's combined post, by pieces."""
+    return daily_run.daily_digest_posts(_rendered(spark, sf_dir), STYLE)
+
+
 @query
 def store_runs(spark, sf_dir):
     """Two runs committed, one of them twice, and one that died: the ids that count, and their posts."""
@@ -695,3 +701,21 @@ def dedup_stream(spark, sf_dir):
         incremental.bounded_dedup(stream).select("article_id"), f"{base}/out", f"{base}/checkpoint"
     ).awaitTermination()
     return spark.read.schema("article_id string").parquet(f"{base}/out")
+
+
+@query
+def stream_job(spark, sf_dir):
+    """The whole job as a stream over the pages and their listing: what it posts."""
+    schema = _table(spark, sf_dir, "pages").schema
+    base = work_dir(spark, "job")
+
+    def landed(at: str) -> DataFrame:
+        stream = incremental.file_stream(spark, sf_dir, schema, glob="pages.parquet")
+        return stream.select(_id("page_id").alias("article_id"), "page_id", "html", F.lit(at).cast("timestamp").alias("at"))
+
+    listing = landed("2024-01-30 09:00:00").select("article_id", F.col("at").alias("listed_at"), F.lit(1).alias("page"), F.col("page_id").alias("pos"))
+    pages = landed("2024-01-30 09:05:00").select("article_id", "html", F.col("at").alias("landed_at"))
+    store = Store(spark, f"{base}/store")
+    options = daily_run.Options(base_url=BASE_URL, page_layout=PAGES_LAYOUT, style=STYLE, summary_method="lead")
+    whole_job.run_as_stream(listing, pages, store, f"{base}/missing", f"{base}/checkpoint", AS_OF, options).awaitTermination()
+    return store.posts().select("article_id", "path", "post_date", "content", "method")

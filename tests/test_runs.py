@@ -124,6 +124,24 @@ def test_repeated_run_replaces_itself(spark, tmp_path):
     assert state_source.read_state(spark, state_dir).count() == 4
 
 
+def test_digest_as_a_post_of_the_day(spark, tmp_path):
+    posts_dir, state_dir, digest_dir = (str(tmp_path / n) for n in ("posts", "state", "digest"))
+    options = daily_run.Options(output_mode="daily_digest", digest_as_post=True, style=STYLE, base_url="https://n.example")
+    listing, pages = landed(spark, ROWS[:3])
+    daily_run.run(spark, listing, pages, posts_dir, state_dir, "r1", AS_OF, options, digest_dir=digest_dir)
+    files = sorted(os.listdir(f"{digest_dir}/post_date=2026-07-18"))
+    text = "".join(open(f"{digest_dir}/post_date=2026-07-18/{f}").read() for f in files if f.startswith("part-"))
+    assert text == (
+        "---\nlayout: single\ntitle: Daily digest 2026-07-18\ndate: 2026-07-18 00:00:00 +0900\ncategories: [news, ai-sw]\n"
+        "tags: [daily-digest]\nauto_generated: true\n---\n\n1 articles\n\n## [No body](https://n.example/20260719000003)\n\n\n\n"
+    )
+    pieces = daily_run.daily_digest_posts(post_source.read_posts(spark, posts_dir), STYLE).collect()
+    assert sorted((str(p.post_date), p.entry_no, p.path) for p in pieces) == [
+        ("2026-07-18", 0, "2026-07-18-daily-digest.md"), ("2026-07-18", 1, "2026-07-18-daily-digest.md"),
+        *((("2026-07-19"), n, "2026-07-19-daily-digest.md") for n in range(3)),
+    ]
+
+
 def test_digest_mode_rewrites_the_days_with_new_posts(spark, tmp_path):
     posts_dir, state_dir, digest_dir = (str(tmp_path / n) for n in ("posts", "state", "digest"))
     options = daily_run.Options(output_mode="daily_digest", style=STYLE)
