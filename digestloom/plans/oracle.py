@@ -366,6 +366,10 @@ FROM documents d LEFT JOIN kw k ON k.doc_id = d.doc_id LEFT JOIN summ s ON s.doc
   length(text) AS n_chars FROM documents""",
         "html_article": f"""WITH {_articles()}
 SELECT article_id, url, title, published_at, raw_text, section FROM art""",
+        "html_published": f"""SELECT {_id('page_id')} AS article_id, CASE WHEN page_id % 7 = 0 THEN '' ELSE
+  '2024-01-1' || (page_id % 10) || ' 09:' || lpad(CAST(page_id % 60 AS VARCHAR), 2, '0') END AS published_at FROM pages""",
+        "discover_gap": f"""WITH {_LISTING}
+SELECT article_id, page, pos, published_at FROM firsts WHERE page < 10""",
         "url_params": f"""SELECT page_id,
   nullif(regexp_extract(url, '^[^#]*[?&]page=([^&#]*)', 1), '') AS page_param,
   nullif(regexp_extract(url, '^[^#]*[?&]utm_source=([^&#]*)', 1), '') AS utm_source,

@@ -319,6 +319,17 @@ def html_article(spark, sf_dir):
     )
 
 
+@query
+def html_published(spark, sf_dir):
+    """Dates from the markup of a site, put before the given pages; some pages have none."""
+    pages = balanced(_table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    two = lambda n: F.lpad((F.col("page_id") % n).cast("string"), 2, "0")
+    date = F.concat(F.lit("2024-01-1"), (F.col("page_id") % 10).cast("string"), F.lit(" 09:"), two(60))
+    marked = F.concat(F.lit('<div class="timewrap"><div class="time"><time>발행일 : '), date, F.lit("</time></div></div>"), F.col("html"))
+    dated = pages.withColumn("html", F.when(F.col("page_id") % 7 == 0, F.col("html")).otherwise(marked)).withColumn("article_id", _id("page_id"))
+    return parse_articles(dated, BASE_URL, layout=PAGES_LAYOUT).select("article_id", "published_at")
+
+
 @query
 def url_params(spark, sf_dir):
     return _table(spark, sf_dir, "pages").withColumn("id", _id("page_id")).select(
@@ -358,6 +369,13 @@ def discover_pages(spark, sf_dir):
     return disc.discover(_listing(spark, sf_dir), AS_OF, lookback_days=14)
 
 
+@query
+def discover_gap(spark, sf_dir):
+    """A listing whose tenth page is empty: the walk ends before it, whatever comes behind."""
+    listing = _listing(spark, sf_dir).withColumn("page", F.when(F.col("page") < 10, F.col("page")).otherwise(F.col("page") + 1))
+    return disc.discover(listing, AS_OF, lookback_days=60)
+
+
 @query
 def discovery_report(spark, sf_dir):
     # A lookback that reaches before the first page: the page limit ends the walk.
