@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from digestloom.llm import suffixes, words
+from digestloom.llm import columns, suffixes, words
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -226,13 +226,15 @@ def decontaminate(
 ) -> DataFrame:
     """Documents without any benchmark window, all columns as they are."""
     spark = documents.sparkSession
+    documents, back = columns.set_aside(documents)
+    text_col = columns.renamed(text_col, back)
     state = documents.withColumns(
         {"_dl_text": F.col(text_col).cast("string"), "_dl_spans": F.lit(None).cast("binary"), "_dl_items": F.lit(None).cast("array<string>")}
     )
     schema = state.schema
     for block in blocks(benchmark, item_col, item_text_col, window, block_bytes):
         state = state.mapInArrow(_scan(spark.sparkContext.broadcast(block), "_dl_text"), schema)
-    return state.filter(F.coalesce(F.octet_length("_dl_spans"), F.lit(0)) == 0).drop("_dl_text", "_dl_spans", "_dl_items")
+    return state.filter(F.coalesce(F.octet_length("_dl_spans"), F.lit(0)) == 0).drop("_dl_text", "_dl_spans", "_dl_items").withColumnsRenamed(back)
 
 
 def longest_matches(

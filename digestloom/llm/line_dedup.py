@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from digestloom.llm import counts, jaccard_join, shards, words
+from digestloom.llm import columns, counts, jaccard_join, shards, words
 from digestloom.session import free_shuffles, materialise, release
 
 PERCENT = 80
@@ -282,7 +282,7 @@ def _wanted_sets(text, least, wanted):
     return run
 
 
-def _rewrite(text, id_col, least):
+def _rewrite(text, id_col, least, n_lines, n_removed):
     """Texts without the removed lines."""
 
     def run(batches):
@@ -309,7 +309,7 @@ def _rewrite(text, id_col, least):
                 out = rows.set_column(at, text, pa.array(kept, pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(
                     [*out.columns, pa.array(np.diff(lines.first), pa.int64()), pa.array(removed, pa.int64())],
-                    names=[*out.schema.names, "_dl_lines", "_dl_removed"],
+                    names=[*out.schema.names, n_lines, n_removed],
                 )
 
     return run
@@ -318,7 +318,10 @@ def _rewrite(text, id_col, least):
 def remove_repeated_lines(
     documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, least_words: int = LEAST_WORDS
 ) -> DataFrame:
-    """``documents`` with the kept lines as text, and ``_dl_lines`` and ``_dl_removed``."""
+    """``documents`` with the kept lines as text, and ``_dl_lines`` and ``_dl_removed``.
+
+    Where the documents have such columns, the counts get underscores behind their names.
+    """
     sc = documents.sparkSession.sparkContext
     documents = documents.withColumn(text_col, F.col(text_col).cast("string"))
     held = shards.gather(documents, text_col, SHARD_BYTES)
@@ -395,8 +398,9 @@ def remove_repeated_lines(
     kept = nodes.join(matched, "node", "left_anti").select("node", F.col("age.shard").alias("shard"))
     # At most the lines of a shard in one list.
     kept = kept.groupBy("shard").agg(F.collect_list("node").alias("kept"))
-    schema = documents.schema.add("_dl_lines", "long").add("_dl_removed", "long")
-    return bodies.join(kept.hint("shuffle_hash"), "shard", "left").mapInArrow(_rewrite(text_col, id_col, least_words), schema)
+    n_lines, n_removed = (columns.free(c, documents.columns) for c in ("_dl_lines", "_dl_removed"))
+    schema = documents.schema.add(n_lines, "long").add(n_removed, "long")
+    return bodies.join(kept.hint("shuffle_hash"), "shard", "left").mapInArrow(_rewrite(text_col, id_col, least_words, n_lines, n_removed), schema)
 
 
 def _digest(text):
