@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
+from digestloom.llm import columns, decontaminate, jaccard_join, line_dedup, packing, toxicity
 from digestloom.llm.queries import ship, table, tokenizer_path
 from digestloom.operators.skew import broadcast_if_small
 from digestloom.session import materialise, release, scratch_released, work_dir
@@ -49,12 +49,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     A document of which nothing but blank is left goes; one that was blank before stays.
     """
     ship(spark)
-    kept = line_dedup.remove_repeated_lines(docs)
+    own, back = columns.set_aside(docs)
+    kept = line_dedup.remove_repeated_lines(own)
     emptied = (F.col("_dl_removed") > 0) & (F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")) == "")
     kept = kept.filter(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("_dl_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+    return kept.select(*own.columns).withColumnsRenamed(back)
 
 
 @settled
