@@ -411,6 +411,8 @@ WHERE doc_id NOT IN (SELECT page_id FROM pages)""",
         "slug_title": f"""WITH {sents}
 SELECT d.doc_id, {_slug("coalesce(s.sentence, '')")} AS slug
 FROM documents d LEFT JOIN sent s ON s.doc_id = d.doc_id AND s.sent_idx = 0""",
+        "slug_scripts": f"WITH {_scripts('t')}",
+        "slug_readings": f"WITH {_scripts(_phrases())}",
         "front_matter": f"WITH {_lead_posts()} SELECT article_id, path, front_matter FROM post",
         "post_body": f"WITH {_lead_posts()} SELECT article_id, post_date, body FROM post",
         "post_scan": f"""WITH {_lead_posts()}
