@@ -34,6 +34,8 @@ from digestloom.session import materialise
 
 WINDOW = 35
 PAIR_ROUNDS = 5
+# The symbols of all rounds of a shard take some sixty times its bytes.
+SHARD_BYTES = 2 << 20
 
 _FAR = np.int64(1) << np.int64(60)
 _PAIR = words.spread(2, seed=11) | np.uint64(1)
@@ -200,7 +202,7 @@ def remove_repeats(
 ) -> DataFrame:
     """One row per document: words, words removed, SHA-256 of the kept words and their text."""
     rows = documents.select(F.col(id_col), F.col(text_col).cast("string").alias("_dl_text"))
-    held = shards.gather(rows, "_dl_text")
+    held = shards.gather(rows, "_dl_text", SHARD_BYTES)
     size = held.agg(F.sum("n_bytes")).first()[0] or 0
     # A word takes some six bytes; a tenth of the windows have an anchor of their own.
     few, many = shards.parts_for(size // 60), shards.parts_for(size // 12)
