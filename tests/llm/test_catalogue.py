@@ -50,8 +50,7 @@ def test_pipeline_stage_by_stage(spark):
         assert len(after) == len(rows)
         if name == "toxicity":
             mild = {d for d, t in pairs if not set(brute.words(t)) & {"idiot", "moron", "scum", "worthless"}}
-            # These tables label too few texts to learn from; test_models holds out larger ones.
-            assert mild <= set(after) <= set(before)
+            assert mild <= set(after) and len(after) < len(before)
         elif name == "line dedup":
             kept, removed = brute.kept_lines(pairs)
             expected = {d: k for (d, _), k, n in zip(pairs, kept, removed) if k.strip() or not n}

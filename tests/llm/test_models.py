@@ -33,13 +33,13 @@ def fitted(spark):
 
 @pytest.mark.parametrize(
     ("said", "meant"),
-    [("1d10t", "idiot"), ("m.o.r.o.n", "moron"), ("$tup1d", "stupid"), ("iiiidiot", "idiot"), ("tr@sh", "trash"), ("sc*um", "scum"), ("l0seeeer", "loser")],
+    [("1d10t", "idiot"), ("m.o.r.o.n", "moron"), ("$tup1d", "stupid"), ("iiiidiot", "idiot"), ("tr@sh", "trash"), ("sc*um", "scum"), ("l0seeeer", "loser"), ("iddiioott", "idiot")],
 )
 def test_restored_words(fitted, said, meant):
     assert deobfuscate.restore(said, fitted.model) == [meant]
 
 
-@pytest.mark.parametrize("text", ["you 1d10t!", "i d i o t", "such an I D I O T she said", "***TRASH***", "CL0WN", "p-a-t-h-e-t-i-c", "m\u0000x (moron)"])
+@pytest.mark.parametrize("text", ["you 1d10t!", "i d i o t", "iddiioott", "such an I D I O T she said", "***TRASH***", "CL0WN", "p-a-t-h-e-t-i-c", "m\u0000x (moron)"])
 def test_disguised_text_scores_high(spark, fitted, text):
     docs = spark.createDataFrame([(1, text), (2, "the and of it"), (3, None), (4, "")], "doc_id long, text string")
     score = {r[0]: r[1] for r in fitted.score(docs, "doc_id", "text").collect()}
@@ -47,19 +47,75 @@ def test_disguised_text_scores_high(spark, fitted, text):
     assert score[2] == score[3] == score[4] > 0
 
 
-def test_held_out_accuracy(spark):
-    found = {r["doc_id"]: r for r in queries.QUERIES["op3_toxicity"](spark, MEDIUM).collect()}
-    docs = {r["doc_id"]: r for r in queries.table(spark, MEDIUM, "documents").collect()}
+def _readings(token, model, spaced):
+    """Score and words of every reading of a token, one by one."""
+
+    def grow(at, context, last, score, out):
+        if at == len(token):
+            yield score + model.log(context, 0), out
+            return
+        c = token[at]
+        repeat = deobfuscate._STRETCH if c * 3 in token[max(at - 2, 0) : at + 3] else deobfuscate._TWICE
+        plain = c.isalpha() and c not in deobfuscate.LOOKALIKES
+        if not plain:
+            yield from grow(at + 1, context, last, score + deobfuscate._DROP, out)
+        for letter in c if plain else deobfuscate.LOOKALIKES.get(c, ""):
+            cost = score + (0.0 if plain else deobfuscate._SWAP)
+            gain, onward = model.word(context, letter.encode())
+            yield from grow(at + 1, onward, letter, cost + gain, out + letter)
+            if letter == last:
+                yield from grow(at + 1, context, last, cost + repeat, out)
+            if spaced and out:
+                gain, onward = model.word(0, letter.encode())
+                yield from grow(at + 1, onward, letter, cost + deobfuscate._BREAK + model.log(context, 0) + gain, out + " " + letter)
+
+    return grow(0, 0, "", 0.0, "")
+
+
+def test_best_of_all_readings(fitted):
+    rng = random.Random(3)
+    for n in range(60):
+        token = "".join(rng.choice("idotsumahe116830|!@") for _ in range(rng.randint(1, 8)))
+        best = max(_readings(token, fitted.model, n % 2 == 1), key=lambda x: x[0])
+        assert "".join(deobfuscate.restore(token, fitted.model, n % 2 == 1)) == best[1].replace(" ", "")
+
+
+@pytest.mark.parametrize(("folder", "least"), [(MEDIUM, {"en": 0.9}), ("/root/testdata/sf0.1", {"en": 0.85, "de": 0.85, "es": 0.85, "fr": 0.85})])
+def test_held_out_accuracy(spark, folder, least):
+    """A language counts as learnt where some twenty of its toxic texts are in the training folds."""
+    found = {r["doc_id"]: r for r in queries.QUERIES["op3_toxicity"](spark, folder).collect()}
+    docs = {r["doc_id"]: r["lang"] for r in queries.table(spark, folder, "documents").select("doc_id", "lang").collect()}
     assert len(found) == len(docs)
-    wrong = []
-    for r in queries.table(spark, MEDIUM, "labels").collect():
+    toxic, calm = {}, []
+    for r in queries.table(spark, folder, "labels").collect():
         own = found[r["doc_id"]]
         assert own["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
         assert own["predicted"] == (own["score"] >= 0.7)
-        # A small table has too few labelled texts of the other languages to learn from.
-        if own["held_out"] and docs[r["doc_id"]]["lang"] == "en":
-            wrong.append(own["predicted"] != r["toxic"])
-    assert sum(wrong) <= 0.03 * len(wrong)
+        if own["held_out"] and r["toxic"]:
+            toxic.setdefault(docs[r["doc_id"]], []).append(own["predicted"])
+        elif own["held_out"]:
+            calm.append(own["predicted"])
+    for lang, share in least.items():
+        assert sum(toxic[lang]) >= share * len(toxic[lang]), lang
+    assert sum(calm) <= 0.015 * len(calm)
+
+
+def test_marks_of_a_rare_language(spark):
+    """Marks in few texts are learnt once those of a frequent language are set aside; copies teach nothing."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(1500):
+        words_ = [f"{'ab'[i % 10 == 0]}{rng.randrange(3000)}x" for _ in range(12)]
+        mark = "foul" if i % 8 == 1 else "vile" if i % 250 == 0 else "copy" if i >= 1490 else None
+        if mark == "copy":
+            words_ = ["same"] * 3 + [str(n) + "z" for n in range(9)] + [f"w{i}x"]
+        rows.append((i, " ".join(words_ + ([mark] if mark else [])), int(mark is not None)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    kept = docs.drop("toxic")
+    fitted = toxicity.fit(kept, docs.drop("text"))
+    probe = spark.createDataFrame([(1, "a1x foul"), (2, "b1x vile"), (3, "a1x copy"), (4, "a1x b1x")], "doc_id long, text string")
+    score = {r[0]: r[1] for r in fitted.score(probe, "doc_id", "text").collect()}
+    assert score[1] >= 0.7 and score[2] > 0.6 and score[3] == score[4] < 0.1
 
 
 def test_odd_labels_and_columns(spark):
