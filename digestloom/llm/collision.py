@@ -1,14 +1,20 @@
 """Nearest neighbours by collision counting over query-centred windows.
 
-Each shard of vectors is projected on single random lines; per line the projections lie in a
-sorted array. A query opens a window around its own projection on every line. A vector in the
-window collides with the query on that line; windows grow by a factor (virtual rehashing of
-one index, no second hash table) and only their new parts are counted. Vectors whose
-collisions reach a threshold are verified with the exact measure. A query is done in a shard
-when it has verified a share of it; if windows hold everything, everything is verified.
+Each shard of vectors is projected on random lines; per line the projections lie in a sorted
+array. A query opens a window around its own projection on every line. A vector in the window
+collides with the query on that line; windows grow by a factor (virtual rehashing of one index,
+no second hash table), and a growing window reads only the parts of the sorted arrays that it
+did not hold before. A vector whose collisions reach a threshold is verified, once, with the
+exact measure.
+
+The difference of two projections on a Gaussian line is normal with their distance as deviation.
+So the distance of the k-th best vector a query has verified gives the width at which any vector
+as near collides often enough with probability ``sure``; there the query is done. Until it has
+k vectors it goes on, at last to windows that hold the whole shard. No number or share of
+vectors limits what is verified.
 
 Largest inner products become nearest neighbours by one more coordinate, which lifts every
-vector to the largest norm (a query gets 0 there).
+vector to the largest norm (a query is scaled to that norm and gets 0 there); that norm is the unit.
 
 The query set is a stated part of the table; it goes to the shards in blocks of bounded size,
 one broadcast after the other. Each task keeps the best of its shards per query, and a top-k
@@ -22,6 +28,9 @@ candidates are all returned; other columns are not read.
 
 from __future__ import annotations
 
+import math
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,18 +42,14 @@ from digestloom.session import materialise
 K = 20
 LINES = 64
 # Collisions, as a share of the lines, that make a candidate.
-THRESHOLD = 0.85
-# First half-width of a window as a share of the spread of projections, its growth, and how
-# many steps below the last width of one group of queries the next group starts.
-FIRST_WIDTH = 0.05
-GROWTH = 1.08
-STEPS_BACK = 3
-# Share of a shard that a query verifies before it stops, and least number.
-VERIFIED_SHARE = 0.2
-VERIFIED_LEAST = 200
+THRESHOLD = 0.7
+# Probability that a vector as near as the k-th best found is verified.
+SURE = 0.95
+# Growth of windows, and how many steps below the last width of one query the next one starts.
+GROWTH = 1.2
+STEPS_BACK = 1
 SHARD_VECTORS = 8192
 BLOCK_QUERIES = 32768
-GROUP_QUERIES = 64
 
 
 def usable(column) -> F.Column:
@@ -54,8 +59,17 @@ def usable(column) -> F.Column:
 
 
 def lines(dimension: int, count: int, seed: int) -> np.ndarray:
-    drawn = np.random.default_rng(seed).standard_normal((dimension, count))
-    return drawn / np.linalg.norm(drawn, axis=0)
+    return np.random.default_rng(seed).standard_normal((dimension, count))
+
+
+def stop_width(count: int, threshold: int, sure: float) -> float:
+    """Half-width, in distances, at which a vector reaches the threshold with probability ``sure``."""
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        p = (low + high) / 2
+        reached = sum(math.comb(count, i) * p**i * (1 - p) ** (count - i) for i in range(threshold, count + 1))
+        low, high = (p, high) if reached < sure else (low, p)
+    return NormalDist().inv_cdf(min((1 + high) / 2, 1 - 1e-12))
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
@@ -63,21 +77,20 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
 
 
 def _index(longest: float, count: int, seed: int, size: int):
-    """Shards: ids, vectors, and per line the sorted projections and whose they are."""
+    """Shards: ids, vectors, and per line the sorted projections and whose they are (shard numbers)."""
 
     def shard(ids, vectors):
         dimension = vectors.shape[1]
-        norms = np.einsum("ij,ij->i", vectors, vectors)
-        lift = np.sqrt(np.maximum(longest * longest - norms, 0.0))
-        projected = np.column_stack([vectors, lift]) @ lines(dimension + 1, count, seed)
+        # The largest norm is the unit of projections and windows.
+        scaled = vectors / longest
+        lift = np.sqrt(np.maximum(1 - np.einsum("ij,ij->i", scaled, scaled), 0.0))
+        projected = np.column_stack([scaled, lift]) @ lines(dimension + 1, count, seed)
         order = np.argsort(projected, axis=0, kind="stable")
         values = np.take_along_axis(projected, order, axis=0)
-        ranks = np.empty(order.shape, dtype=np.uint16)
-        np.put_along_axis(ranks, order, np.arange(len(order), dtype=np.uint16)[:, None], axis=0)
-        parts = [vectors.tobytes(), np.ascontiguousarray(values.T).tobytes(), np.ascontiguousarray(ranks.T).tobytes()]
+        parts = [vectors.tobytes(), np.ascontiguousarray(values.T).tobytes(), np.ascontiguousarray(order.T, dtype=np.int32).tobytes()]
         return pa.RecordBatch.from_arrays(
             [pa.array([dimension], pa.int32()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([p], pa.binary()) for p in parts)],
-            names=["dimension", "ids", "vectors", "projections", "ranks"],
+            names=["dimension", "ids", "vectors", "projections", "whose"],
         )
 
     def run(batches):
@@ -100,40 +113,45 @@ def _index(longest: float, count: int, seed: int, size: int):
     return run
 
 
-def _candidates(values, ranks, queries, threshold, wanted, width):
-    """Which vectors each query verifies, and the width of the windows that gave them."""
-    m, n = values.shape
-    picked = np.zeros((len(queries), n), dtype=bool)
-    open_ = np.arange(len(queries))
-    while True:
-        low = np.stack([np.searchsorted(values[j], queries[open_, j] - width) for j in range(m)]).astype(np.uint16)
-        high = np.stack([np.searchsorted(values[j], queries[open_, j] + width, side="right") for j in range(m)])
-        size = (high - low).astype(np.uint16)
-        count = np.zeros((len(open_), n), dtype=np.uint8)
-        place, inside = np.empty((len(open_), n), dtype=np.uint16), np.empty((len(open_), n), dtype=bool)
-        for j in range(m):
-            # Ranks below a window wrap around to large numbers.
-            np.subtract(ranks[j][None, :], low[j][:, None], out=place)
-            np.less(place, size[j][:, None], out=inside)
-            count += inside.view(np.uint8)
-        collided = count >= threshold
-        done = (collided.sum(axis=1) >= wanted) | (size == n).all(axis=0)
-        picked[open_[done]] = collided[done]
-        open_ = open_[~done]
-        if not len(open_):
-            return picked, width
-        width *= GROWTH
-
-
-def _best_of(scores, ids, k):
-    """Query, id and score of the k best of each row; ties at the end go to smaller ids."""
-    n = scores.shape[1]
-    least = np.partition(scores, n - min(k, n), axis=1)[:, n - min(k, n)]
-    q, v = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
-    return q, ids[v], scores[q, v]
-
-
-def _search(handle, k, count, seed, share, least, threshold):
+class Lines:
+    """The sorted projections of a shard, one line behind the other, so that one bisection serves all."""
+
+    def __init__(self, values: np.ndarray, whose: np.ndarray):
+        self.n = values.shape[1]
+        self.reach = float(np.abs(values).max()) + 1
+        self.begins = np.arange(len(values)) * (2 * self.reach + 1)
+        self.keys = (values + self.begins[:, None]).ravel()
+        self.whose = whose.ravel()
+
+    def places(self, at: np.ndarray, side: str) -> np.ndarray:
+        return np.searchsorted(self.keys, np.clip(at, -self.reach, self.reach) + self.begins, side)
+
+
+class Windows:
+    """The windows of one query over the lines of a shard, and their collisions."""
+
+    def __init__(self, lines: Lines, at, threshold: int):
+        self.lines, self.at, self.threshold = lines, at, threshold
+        self.low = self.high = lines.places(at, "left")
+        self.count = np.zeros(lines.n, dtype=np.int64)
+        self.read = 0
+
+    def grow(self, width: float) -> np.ndarray:
+        """Vectors that reach the threshold at this half-width and did not before."""
+        low, high = self.lines.places(self.at - width, "left"), self.lines.places(self.at + width, "right")
+        begins, ends = np.concatenate((low, self.high)), np.concatenate((self.low, high))
+        entered = np.concatenate([self.lines.whose[a:b] for a, b in zip(begins.tolist(), ends.tolist())])
+        self.low, self.high = low, high
+        self.read += len(entered)
+        before = self.count
+        self.count = before + np.bincount(entered, minlength=len(before))
+        return np.flatnonzero((self.count >= self.threshold) & (before < self.threshold))
+
+    def whole(self) -> bool:
+        return self.read == len(self.lines.keys)
+
+
+def _search(handle, k, count, seed, longest, threshold, far):
     def best(held, rows):
         """Keep the k best (score, then id) of each query."""
         query, ids, score = (np.concatenate(x) for x in zip(held, rows))
@@ -148,31 +166,39 @@ def _search(handle, k, count, seed, share, least, threshold):
         own, blocks = handle.value
         held = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
         for batch in batches:
-            for dimension, ids, *parts in zip(*(batch.column(c).to_pylist() for c in ("dimension", "ids", "vectors", "projections", "ranks"))):
+            for dimension, ids, *parts in zip(*(batch.column(c).to_pylist() for c in ("dimension", "ids", "vectors", "projections", "whose"))):
                 if dimension not in blocks:
                     continue
                 ids = np.array([np.iinfo(np.int64).max if i is None else i for i in ids], dtype=np.int64)
                 n = len(ids)
                 vectors = np.frombuffer(parts[0]).reshape(n, dimension)
-                values, ranks = np.frombuffer(parts[1]).reshape(count, n), np.frombuffer(parts[2], dtype=np.uint16).reshape(count, n)
+                held_lines = Lines(np.frombuffer(parts[1]).reshape(count, n), np.frombuffer(parts[2], dtype=np.int32).reshape(count, n))
                 number, queries = blocks[dimension]
-                unit = queries / np.linalg.norm(queries, axis=1)[:, None]
-                scale = float(np.sqrt(np.einsum("ij,ij->i", vectors, vectors).max()))
-                projected = scale * (unit @ lines(dimension + 1, count, seed)[:dimension])
-                wanted = min(n, max(least, int(share * n)))
-                # Windows start below those that earlier queries ended with.
-                width = FIRST_WIDTH * float((values[:, -1] - values[:, 0]).mean()) + 1e-12
-                for at in range(0, len(queries), GROUP_QUERIES):
-                    group = slice(at, at + GROUP_QUERIES)
-                    picked, ended = _candidates(values, ranks, projected[group], threshold, wanted, width)
-                    width = ended / GROWTH**STEPS_BACK
-                    scores = np.full(picked.shape, -np.inf)
-                    for i, query in enumerate(queries[group]):
-                        near = np.flatnonzero(picked[i])
-                        near = near[ids[near] != own[number[at + i]]]
-                        scores[i, near] = np.einsum("ij,j->i", vectors[near], query)
-                    q, found, score = _best_of(scores, ids, k)
-                    held = best(held, (number[at + q], found, score))
+                size = np.linalg.norm(queries, axis=1)
+                projected = (queries / size[:, None] @ lines(dimension + 1, count, seed)[:dimension])
+                width = 1.0
+                found = []
+                for i, query in enumerate(queries):
+                    # Windows start below those that the query before ended with.
+                    windows, width = Windows(held_lines, projected[i], threshold), width / GROWTH**STEPS_BACK
+                    near, score = np.empty(0, dtype=np.int64), np.empty(0)
+                    while True:
+                        more = windows.grow(width)
+                        more = more[ids[more] != own[number[i]]]
+                        near, score = np.concatenate((near, more)), np.concatenate((score, np.einsum("ij,j->i", vectors[more], query)))
+                        enough = math.inf
+                        if len(score) >= k:
+                            worst = np.partition(score, len(score) - k)[len(score) - k]
+                            # All lie on the unit sphere.
+                            enough = far * math.sqrt(max(2 - 2 * worst / size[i] / longest, 0.0))
+                            top = score >= worst
+                            near, score = near[top], score[top]
+                        if windows.whole() or width >= enough or width == math.inf:
+                            break
+                        width = min(width * GROWTH, enough)
+                    found.append((np.full(len(near), number[i]), ids[near], score))
+                if found:
+                    held = best(held, tuple(np.concatenate(x) for x in zip(*found)))
         query, ids, score = held
         yield pa.RecordBatch.from_arrays(
             [
@@ -194,8 +220,7 @@ def nearest(
     k: int = K,
     n_lines: int = LINES,
     threshold: float = THRESHOLD,
-    share: float = VERIFIED_SHARE,
-    least: int = VERIFIED_LEAST,
+    sure: float = SURE,
     shard_vectors: int = SHARD_VECTORS,
     block_queries: int = BLOCK_QUERIES,
     seed: int = 7,
@@ -210,13 +235,15 @@ def nearest(
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     longest = rows(vectors).agg(F.max(norm)).first()[0] or 0.0
     index = materialise(
-        rows(vectors).mapInArrow(_index(longest, n_lines, seed, shard_vectors), "dimension int, ids array<long>, vectors binary, projections binary, ranks binary"),
+        rows(vectors).mapInArrow(_index(longest, n_lines, seed, shard_vectors), "dimension int, ids array<long>, vectors binary, projections binary, whose binary"),
         "index",
     )
     asked = rows(queries).filter(F.col("id").isNotNull())
     n = asked.count()
     blocks = max(1, -(-n // block_queries))
     asked = materialise(asked.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))), "queries") if blocks > 1 else asked.withColumn("block", F.lit(0))
+    collisions = max(1, int(threshold * n_lines))
+    far = stop_width(n_lines, collisions, sure)
     parts, before = None, 0
     for number in range(blocks):
         # About block_queries rows: the bound of this broadcast.
@@ -229,7 +256,7 @@ def nearest(
         grouped = {int(d): (np.flatnonzero(dimensions == d), _matrix(lists.filter(pa.array(dimensions == d)), int(d))) for d in np.unique(dimensions)}
         handle = spark.sparkContext.broadcast((ids, grouped))
         found = index.mapInArrow(
-            _search(handle, k, n_lines, seed, share, least, max(1, int(threshold * n_lines))), "row long, query_id long, vec_id long, score double"
+            _search(handle, k, n_lines, seed, longest, collisions, far), "row long, query_id long, vec_id long, score double"
         ).withColumn("row", F.col("row") + F.lit(before))
         before += block.num_rows
         parts = found if parts is None else parts.unionByName(found)
