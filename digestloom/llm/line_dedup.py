@@ -11,9 +11,10 @@ word in the first ``n - ceil(t n) + 1`` of both, so only these are posted, and w
 once are not. Pairs of a list pass length and positional filters and a parity filter of 64
 cells before they leave the list, and then the sets themselves are compared.
 
-Equal sets are one node with one first occurrence. In a long list every node is compared with
-its neighbours and the earliest node first; only nodes for which that found no earlier match
-are compared with the whole list, so a family of near copies costs a line of comparisons.
+Equal sets are one node with one first occurrence. Lists are paired whole where no
+entry has many possible matches. In other lists every node is compared with its neighbours
+first; only nodes for which that found no earlier match are compared with the whole list, so a
+family of near copies costs a line of comparisons.
 
 A line of few words can only match an equal one (at 0.8 a line of three words; one of four may
 match a line of five): such lines are nodes, but post no words.
@@ -45,6 +46,8 @@ GROUP_ENTRIES = 20_000
 BLOCK_PAIRS = 1 << 20
 # Lists up to this length are paired whole.
 PAIRED_LIST = 32
+# Lists up to this length are paired whole unless an entry has more possible matches than FEW.
+WHOLE_LIST, FEW = 512, 8
 
 _CELL = words.spread(2, seed=41)
 
@@ -126,14 +129,34 @@ def _rank(names: np.ndarray, rank: np.ndarray):
 _ENTRY = [("key", "u8"), ("node", "i8"), ("cells", "u8"), ("age", "f4"), ("n", "u4"), ("at", "u4")]
 
 
+_NODE = "node long, n long, doc long, shard long, place long, cells long"
+
+
+def _nodes(text, id_col, least):
+    """First occurrence of each node of a shard."""
+
+    def run(batches):
+        for batch in batches:
+            for shard, body in zip(batch.column("shard").to_pylist(), batch.column("body")):
+                rows = shards.unpack(body.as_py())
+                ids = _ids(rows.column(id_col))
+                lines = Lines(rows.column(text))
+                first = lines.firsts(ids, np.flatnonzero(lines.size >= least))
+                text_of = lines.text_of[first]
+                found = [lines.node[first], lines.size[first], ids[text_of], np.full(len(first), shard), (text_of << 32) | lines.number[first], lines.cells(first)]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in found], names=["node", "n", "doc", "shard", "place", "cells"])
+
+    return run
+
+
 def _post(text, id_col, percent, least, handle, parts):
-    """Postings of the rare words of each node of a shard, and the nodes themselves."""
+    """Postings of the rare words of each node of a shard: one message per shard and range of words."""
 
     def run(batches):
         names, n, once = handle.value
         several = np.frombuffer(once, dtype=np.uint8)
         for batch in batches:
-            for shard, body in zip(batch.column("shard").to_pylist(), batch.column("body")):
+            for body in batch.column("body"):
                 rows = shards.unpack(body.as_py())
                 ids = _ids(rows.column(id_col))
                 lines = Lines(rows.column(text), _rank(names, n))
@@ -160,24 +183,13 @@ def _post(text, id_col, percent, least, handle, parts):
                 order = np.argsort(part, kind="stable")
                 entry, cut = entry[order], np.searchsorted(part[order], np.arange(parts + 1))
                 sent = [(i, entry[a:b].tobytes()) for i, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
-                d, m = len(first), len(sent)
-                none = pa.nulls(m, pa.int64())
-                columns = [node, size, ids[lines.text_of[first]], np.full(d, shard), (lines.text_of[first] << 32) | lines.number[first], cells.view(np.int64)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([None] * d + [i for i, _ in sent], pa.int32()),
-                        pa.array([None] * d + [p for _, p in sent], pa.binary()),
-                        *(pa.concat_arrays([pa.array(c.astype(np.int64)), none]) for c in columns),
-                    ],
-                    names=["part", "payload", "node", "n", "doc", "shard", "place", "cells"],
+                    [pa.array([i for i, _ in sent], pa.int32()), pa.array([p for _, p in sent], pa.binary())], names=["part", "payload"]
                 )
 
     return run
 
 
-_POSTED = "part int, payload binary, node long, n long, doc long, shard long, place long, cells long"
-
-
 def _may_match(n1, at1, cells1, n2, at2, cells2, percent):
     """Length and positional filters, and the parity cells: a bound on the words not shared."""
     need = -(-percent * (n1 + n2) // (100 + percent))
@@ -209,7 +221,21 @@ def _lists(percent):
             near = (number[i] == number[i - step]) & (short[i] if step > 1 else True)
             a.append(i[near] - step)
             b.append(i[near])
-        # In long lists also neighbours by size.
+        # Longer lists are paired until one entry has too many possible matches: a family of near copies.
+        crowded, hits = np.zeros(int(number[-1]) + 1, dtype=bool), np.zeros(len(key), dtype=np.int64)
+        middle = np.flatnonzero(~short & (length <= WHOLE_LIST))
+        for step in range(2, WHOLE_LIST):
+            middle = middle[(middle - step >= head[middle]) & ~crowded[number[middle]]]
+            if not len(middle):
+                break
+            i, j = middle - step, middle
+            ok = _may_match(n[i], at[i], cells[i], n[j], at[j], cells[j], percent)
+            a.append(i[ok])
+            b.append(j[ok])
+            hits[j[ok]] += 1
+            crowded[number[j[ok]][hits[j[ok]] > FEW]] = True
+        short |= (length <= WHOLE_LIST) & ~crowded[number]
+        # In lists that stay open also neighbours by size.
         by_size = np.lexsort((node, n, number))
         i, j = by_size[:-1], by_size[1:]
         near = (number[i] == number[j]) & ~short[i]
@@ -343,20 +369,17 @@ def remove_repeated_lines(
     handle = sc.broadcast((keys[order], rank[order], several))
     parts = counts.parts_for(size // 40)
     bodies = held.select("shard", "body")
-    posted = materialise(bodies.mapInArrow(_post(text_col, id_col, percent, least_words, handle, parts), _POSTED), "posted")
     # First occurrence of each node: few rows from each shard, and none of a hot node.
     age = F.struct("doc", "shard", "place")
     nodes = materialise(
-        posted.filter("part is null").groupBy("node").agg(F.min(age).alias("age"), F.first("cells").alias("cells"), F.first("n").alias("n")),
+        bodies.mapInArrow(_nodes(text_col, id_col, least_words), _NODE)
+        .groupBy("node").agg(F.min(age).alias("age"), F.first("cells").alias("cells"), F.first("n").alias("n")),
         "nodes",
     )
     free_shuffles(documents.sparkSession)
-    found = materialise(
-        posted.filter("part is not null").select("part", "payload").groupBy("part").applyInArrow(_lists(percent), "a long, b long, key long, n long, at long"),
-        "pairs",
-    )
-
-    release(posted)
+    posted = bodies.mapInArrow(_post(text_col, id_col, percent, least_words, handle, parts), "part int, payload binary")
+    found = materialise(posted.groupBy("part").applyInArrow(_lists(percent), "a long, b long, key long, n long, at long"), "pairs")
+    free_shuffles(documents.sparkSession)
     handle.destroy()
     del hot, keys, n, rank, order, several
 

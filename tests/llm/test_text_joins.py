@@ -129,9 +129,10 @@ def test_longest_matches(spark):
     assert rows(decontaminate.longest_matches(docs, bench), "doc_id", "item_id", "doc_word", "item_word", "n_words") == [(1, "5", 1, 1, 11)]
 
 
-@pytest.mark.parametrize("paired", [8, 2])
-def test_line_dedup(spark, monkeypatch, paired):
-    monkeypatch.setattr(line_dedup, "PAIRED_LIST", paired)
+@pytest.mark.parametrize(("paired", "whole", "few"), [(8, 8, 8), (2, 2, 8), (2, 512, 8), (2, 12, 1), (2, 512, 0)])
+def test_line_dedup(spark, monkeypatch, paired, whole, few):
+    for name, value in (("PAIRED_LIST", paired), ("WHOLE_LIST", whole), ("FEW", few)):
+        monkeypatch.setattr(line_dedup, name, value)
     docs = corpus(9, n=50, vocabulary=80) + EDGES[:-1]
     kept, removed = brute.kept_lines(docs)
     found = rows(line_dedup.remove_repeated_lines(frame(spark, docs)), "doc_id", "text", "_dl_removed")
