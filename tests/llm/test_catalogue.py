@@ -50,6 +50,8 @@ def test_pipeline_stage_by_stage(spark):
         assert len(after) == len(rows)
         if name == "toxicity":
             mild = {d for d, t in pairs if not set(brute.words(t)) & {"idiot", "moron", "scum", "worthless"}}
+            # A text labelled toxic may hold other marks than these four words.
+            mild -= {r[0] for r in table(spark, SF, "labels").filter("toxic = 1").select("doc_id").collect()}
             assert mild <= set(after) and len(after) < len(before)
         elif name == "line dedup":
             kept, removed = brute.kept_lines(pairs)
