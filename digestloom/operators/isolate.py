@@ -1,15 +1,15 @@
 """Calls of functions from outside whose failures are values, not the end of the job.
 
 A tokenizer, parser or method that is plain Python may fail on one text of millions. A guarded
-function runs on Arrow batches; where a batch fails it is halved until the rows that fail stand
-alone, so f failing rows of a batch of n cost about f * log2(n) more calls. Each row gets the
+function runs on portions of Arrow batches; where a portion fails it is halved until the rows that fail stand
+alone, so f failing rows of a portion of n cost about f * log2(n) more calls. Each row gets the
 value or the error. A result of another type or number than promised is a failure, too; lack of
 memory is not: it concerns the worker, and Spark tries the task again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 LONGEST_ERROR = 500
+# Bytes of a batch that are Python objects at a time.
+PORTION_BYTES = 1 << 20
 
 
 def _attempt(function: Callable[..., Iterable], kind: pa.DataType, columns: list[pa.Array], n: int) -> tuple[list[pa.Array], list[str | None]]:
@@ -39,6 +41,28 @@ def _attempt(function: Callable[..., Iterable], kind: pa.DataType, columns: list
     return first[0] + second[0], first[1] + second[1]
 
 
+def _portions(columns: Sequence[pa.Array]) -> list[tuple[int, int]]:
+    """Ranges of rows with about ``PORTION_BYTES`` each, one empty range for no rows.
+
+    Spark's batches count rows, whatever their size; as Python objects these take a multiple of it.
+    """
+    n = len(columns[0])
+    rows = max(1, n * PORTION_BYTES // max(1, sum(c.nbytes for c in columns)))
+    return [(at, min(at + rows, n)) for at in range(0, n, rows)] or [(0, 0)]
+
+
+def _tried(function: Callable[..., Iterable], kind: pa.DataType, given: list[pa.Array]) -> pa.StructArray:
+    """Value and error of each row; rows whose first column is null have neither."""
+    there = given[0].is_valid()
+    rows = [x.filter(there) for x in given]
+    n = len(rows[0])
+    parts, errors = _attempt(function, kind, rows, n) if n else ([pa.nulls(0, kind)], [])
+    # Rows that were not tried take a null from beyond the end.
+    at = pa.compute.if_else(there, pa.compute.subtract(pa.compute.cumulative_sum(there.cast(pa.int64())), 1), None)
+    values = pa.concat_arrays(parts).take(at)
+    return pa.StructArray.from_arrays([values, pa.array(errors, pa.string()).take(at)], names=["value", "error"])
+
+
 class Guarded:
     """A function of pandas series, called so that failures of single rows stay single.
 
@@ -55,17 +79,20 @@ class Guarded:
 
         function, kind = self.function, to_arrow_type(DataType.fromDDL(self.returns))
 
-        @F.arrow_udf(f"value {self.returns}, error string")
-        def call(*given: pa.Array) -> pa.Array:
-            there = given[0].is_valid()
-            rows = [x.filter(there) for x in given]
-            n = len(rows[0])
-            parts, errors = _attempt(function, kind, rows, n) if n else ([pa.nulls(0, kind)], [])
-            # Rows that were not tried take a null from beyond the end.
-            at = pa.compute.if_else(there, pa.compute.subtract(pa.compute.cumulative_sum(there.cast(pa.int64())), 1), None)
-            values = pa.concat_arrays(parts).take(at)
-            return pa.StructArray.from_arrays([values, pa.array(errors, pa.string()).take(at)], names=["value", "error"])
+        def portions(batch: Sequence[pa.Array]) -> Iterator[pa.Array]:
+            for start, end in _portions(batch):
+                yield _tried(function, kind, [x[start:end] for x in batch])
+
+        # Spark takes the results of a batch in pieces: none is held until the batch is done.
+        def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                yield from portions([batch])
+
+        def many(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+            for batch in batches:
+                yield from portions(batch)
 
+        call = F.arrow_udf(one if len(columns) == 1 else many, f"value {self.returns}, error string")
         # Spark must not write the call out twice, once for the value and once for the error.
         return call.asNondeterministic()(*columns)
 

@@ -39,6 +39,26 @@ def test_failures_of_single_rows_stay_single(spark):
     assert calls.value < 40
 
 
+def test_a_batch_is_tried_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(isolate, "PORTION_BYTES", 4000)
+    most = spark.sparkContext.accumulator(0)
+    calls = spark.sparkContext.accumulator(0)
+
+    def batch(*series):
+        assert sum(map(len, series[0].dropna())) <= 4000
+        calls.add(1)
+        most.add(len(series[0]))
+        return [str(row) for row in zip(*series)]
+
+    rows = texts(spark, [None if i % 7 == 0 else f"{i}" * 40 for i in range(1000)])
+    for columns in (["text"], ["text", "doc_id"]):
+        before = calls.value
+        given = rows.select("doc_id", "text", isolate.guarded(batch, "string")(*map(F.col, columns)).alias("x")).collect()
+        assert [(r.x.value, r.x.error) for r in given] == [(None if r.text is None else str(tuple(r[c] for c in columns)), None) for r in given]
+        assert len(given) == 1000 and calls.value - before > 20
+    assert most.value == 2 * sum(1 for i in range(1000) if i % 7)
+
+
 @pytest.mark.parametrize(
     ("function", "error"),
     [
