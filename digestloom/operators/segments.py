@@ -45,14 +45,17 @@ def _write(terms: DataFrame, n_docs: int, path: str, run_id: str) -> None:
     lengths = terms.groupBy("id").agg(F.max("n_tokens").alias("n_tokens"))
     numbered = global_row_number(lengths, [F.asc("n_tokens"), F.asc("id")], "at")
     cells = materialise(numbered.select("id", F.floor((F.col("at") - 1) / CELL_DOCS).cast("int").alias("cell")), "cells")
+    # The range holds all rows of a term in a cell, so they are grouped where they are written. Its
+    # bounds take a second pass over the terms, but no second shuffle.
+    placed = terms.join(broadcast_if_small(cells), "id").select("term", "cell", "id", "tf_count", "n_tokens").repartitionByRange("term", "cell")
     posting = F.struct("id", F.col("tf_count").alias("tf"), "n_tokens")
     # At most CELL_DOCS postings in a group, however frequent the term.
-    rows = terms.join(broadcast_if_small(cells), "id").groupBy("term", "cell").agg(
+    rows = placed.groupBy("term", "cell").agg(
         F.count("*").alias("n"), F.max("tf_count").alias("most"), F.min("n_tokens").alias("shortest"), F.collect_list(posting).alias("postings")
     )
-    placed = materialise(rows, "blocks")
-    placed.repartitionByRange("term", "cell").sortWithinPartitions("term", "cell").write.mode("overwrite").parquet(f"{path}/blocks/run_id={run_id}")
-    frequencies = placed.groupBy("term").agg(F.sum("n").alias("df"))
+    blocks = f"{path}/blocks/run_id={run_id}"
+    rows.sortWithinPartitions("term", "cell").write.mode("overwrite").parquet(blocks)
+    frequencies = terms.sparkSession.read.schema("term string, n bigint").parquet(blocks).groupBy("term").agg(F.sum("n").alias("df"))
     frequencies.write.mode("overwrite").parquet(f"{path}/frequencies/run_id={run_id}")
     size = lengths.agg(F.lit(n_docs).cast("long").alias("n_docs"), F.count("*").alias("n_with_terms"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"))
     # The size is written last: a segment without one is not there.

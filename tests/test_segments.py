@@ -56,6 +56,17 @@ def test_cells_that_cannot_matter_are_not_scored(spark, tmp_path, monkeypatch):
     assert "postings" not in plan.split("ReadSchema")[1] and "PushedFilters: [In(term" in plan or "EqualTo(term,rare)" in plan
 
 
+def test_postings_are_shuffled_once_and_written_as_blocks_once(spark, tmp_path, monkeypatch):
+    names = []
+    write = segments.materialise
+    monkeypatch.setattr(segments, "materialise", lambda df, name: (names.append(name), write(df, name))[1])
+    segments.add_segment(corpus(spark, 600), str(tmp_path / "i"), "r")
+    assert names == ["terms", "cells"]
+    blocks = segments.read_segments(spark, str(tmp_path / "i")).blocks
+    assert blocks.count() == blocks.select("term", "cell").distinct().count()
+    assert blocks.filter("n != size(postings)").count() == 0
+
+
 def test_merged_segments_answer_alike(spark, indexed, tmp_path):
     docs, path = indexed
     into = str(tmp_path / "merged")
