@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from digestloom.functions.arrays import fold, let, struct, total, transform, zip_with
 from digestloom.functions.text import content_tokens, keep_tokens, term_counts
 from digestloom.operators.isolate import Guarded, attempt
-from digestloom.operators.skew import MAX_BROADCAST_ROWS, hot_keys, salted_join, top_per_group
+from digestloom.operators.skew import MAX_BROADCAST_ROWS, broadcast_if_small, hot_keys, salted_join, top_per_group
 from digestloom.session import materialise
 
 Tokenizer = Callable[[Column], Column]
@@ -106,8 +106,8 @@ def document_frequency(terms: DataFrame) -> DataFrame:
 
 
 def without_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """Anti-join of exploded tokens with a stopword table of any size."""
-    return tokens.join(stopwords.select("term").distinct(), "term", "left_anti")
+    """Anti-join of exploded tokens with a stopword table of any size: broadcast while a count shows it small."""
+    return tokens.join(broadcast_if_small(stopwords.select("term").distinct()), "term", "left_anti")
 
 
 def tfidf_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

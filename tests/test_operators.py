@@ -12,7 +12,7 @@ from digestloom.operators import discover as disc, keywords as kw, processed, qu
 from digestloom.operators import search as srch, textrank, views
 from digestloom.operators.skew import broadcast_if_small, global_row_number, hot_keys, salted_join
 from digestloom.functions import text
-from digestloom.plans import methods
+from digestloom.plans import methods, queries
 
 
 def docs_of(spark, texts):
@@ -261,6 +261,20 @@ def test_broadcast_needs_a_size_check(spark):
     assert "broadcast" in hinted and "broadcast" not in plain
 
 
+def test_stopwords_leave_tokens_in_place_and_repeated_ids_count_terms_once(spark, tmp_path):
+    plan = kw.without_stopwords(spark.range(9).selectExpr("string(id) term"), spark.createDataFrame([("1",)], "term string"))
+    assert plan.count() == 8
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+    rows = [(1, "the red red fox x"), (2, "red fox"), (2, "red hen hen"), (2, None), (None, "a fox"), (None, "fox cub"), (3, "the"), (4, ""), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["stopword_anti"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.n_kept, r.n_terms) for r in got} == {(1, 3, 2), (2, 5, 3), (None, 3, 2)}
+    assert len(got) == 3
+    # A task holds a few numbers per document, not its terms.
+    counted = queries._counted_terms(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert counted.count() == counted.select("row", "term").distinct().count() == 11
+
+
 def related_by_pairs(tags, k):
     out = []
     for d in tags:
