@@ -15,6 +15,7 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import os
 import re
@@ -40,7 +41,10 @@ EXCHANGED = 8
 # Words a worker keeps, some 150 bytes each, also from one task to the next.
 CACHED_WORDS = 1_000_000
 
-_PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+# Beyond these letters, changes of case or of form may make or join signs.
+_LETTERS = "".join(c for c in map(chr, range(ord("ɐ"))) if c.isalpha() and c != "İ")
+# On each line: letters and the signs behind them, or a word of another shape.
+_SHAPES = re.compile(rf"^(?:([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)|(.+))$", re.MULTILINE)
 
 
 class CachedTokenizer:
@@ -69,44 +73,44 @@ class CachedTokenizer:
         self.at = [np.empty(0, dtype=np.int64)]
         self.size = [np.empty(0, dtype=np.int64)]
         self.pooled = 0
-        self.signs = {}
+        self.signs, self.sign_ids = {"": 0}, [np.empty(0, dtype=np.uint32)]
 
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in found]
 
-    def _learn(self, names: list[int], spelt: list[bytes]) -> None:
-        plain, other = [], []
-        for i, word in enumerate(spelt):
-            text = word.decode("utf-8", "replace")
-            shape = _PLAIN.fullmatch(text)
-            # Beyond these letters, changes of case or of form may make or join signs.
-            if shape and shape[1].isalpha() and max(shape[1]) < "ɐ" and "İ" not in shape[1]:
-                plain.append((i, shape[1], shape[2]))
-            else:
-                other.append((i, text))
-        ids: list[np.ndarray] = [None] * len(spelt)
-        for (i, _), found in zip(other, self._direct([t for _, t in other])):
-            ids[i] = found
-        new = sorted({s for _, _, s in plain if s and s not in self.signs})
-        self.signs.update(zip(new, self._direct(new)))
-        for at in range(0, len(plain), 100):
-            part = plain[at : at + 100]
-            found = self._direct(["\n".join(stem for _, stem, _ in part)])[0]
-            ends = np.flatnonzero(self.closes[found]) + 1
-            assert len(ends) == len(part), "a word of letters must be one unit"
-            for (i, _, signs), stem in zip(part, np.split(found, ends[:-1])):
-                ids[i] = np.concatenate((stem, self.signs[signs])) if signs else stem
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+    def _learn(self, spelt: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of new words, one on each line: their places in the order of the lines, and the slots."""
+        found = _SHAPES.findall(spelt.decode("utf-8", "replace"))
+        plain = [i for i, (stem, _, _) in enumerate(found) if stem]
+        other = [i for i, (stem, _, _) in enumerate(found) if not stem]
+        stems, signs = [found[i][0] for i in plain], [found[i][1] for i in plain]
+        new = sorted({s for s in signs if s not in self.signs})
+        self.signs.update(zip(new, range(len(self.signs), len(self.signs) + len(new))))
+        self.sign_ids += self._direct(new)
+        none = np.empty(0, dtype=np.uint32)
+        joined = np.concatenate([none, *self._direct(["\n".join(stems[at : at + 100]) for at in range(0, len(stems), 100)])])
+        ends = np.flatnonzero(self.closes[joined]) + 1
+        assert len(ends) == len(plain), "a word of letters must be one unit"
+        stem_size = np.diff(ends, prepend=0)
+        held = np.array([len(x) for x in self.sign_ids], dtype=np.int64)
+        sign = np.fromiter(map(self.signs.__getitem__, signs), dtype=np.int64, count=len(signs))
+        size = stem_size + held[sign]
+        at = np.cumsum(size) - size
+        pool = np.empty(int(size.sum()), dtype=np.uint32)
+        pool[words.ragged(at, stem_size)] = joined
+        pool[words.ragged(at + stem_size, held[sign])] = np.concatenate(self.sign_ids)[words.ragged((np.cumsum(held) - held)[sign], held[sign])]
+        whole = self._direct([found[i][2] for i in other])
+        size = np.concatenate((size, np.array([len(x) for x in whole], dtype=np.int64)))
         first = sum(map(len, self.at))
-        self.slots.update(zip(names, range(first, first + len(names))))
-        self.at.append(self.pooled + np.cumsum(sizes) - sizes)
-        self.size.append(sizes)
-        self.pool.append(np.concatenate(ids))
-        self.pooled += int(sizes.sum())
+        self.at.append(self.pooled + np.cumsum(size) - size)
+        self.size.append(size)
+        self.pool.append(np.concatenate([pool, *whole]))
+        self.pooled += int(size.sum())
         for part in ("pool", "at", "size"):
             if len(getattr(self, part)) > 16:
                 setattr(self, part, [np.concatenate(getattr(self, part))])
+        return np.array(plain + other, dtype=np.int64), np.arange(first, first + len(size))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offset of each text in them."""
@@ -119,13 +123,17 @@ class CachedTokenizer:
         listed = names.tolist()
         if len(self.slots) > CACHED_WORDS:
             self.forget()
-        missing = [i for i, n in enumerate(listed) if n not in self.slots]
-        if missing:
-            where = first[missing]
-            spelt = [raw[a:b] for a, b in zip(found.start[where].tolist(), found.end[where].tolist())]
-            self._learn([listed[i] for i in missing], spelt)
+        slot = np.fromiter(map(self.slots.get, listed, itertools.repeat(-1)), dtype=np.int64, count=len(listed))
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
+            start, width = found.start[first[missing]], found.end[first[missing]] - found.start[first[missing]] + 1
+            spelt = found.data[np.minimum(words.ragged(start, width), len(found.data) - 1)]
+            spelt[np.cumsum(width) - 1] = 10
+            place, slots = self._learn(spelt[:-1].tobytes())
+            slot[missing[place]] = slots
+            self.slots.update(zip(names[missing[place]].tolist(), slots.tolist()))
         pool, at, size = (np.concatenate(x) if len(x) > 1 else x[0] for x in (self.pool, self.at, self.size))
-        slot = np.fromiter(map(self.slots.__getitem__, listed), dtype=np.int64, count=len(listed))[inverse]
+        slot = slot[inverse]
         sizes = size[slot]
         upto = np.concatenate(([0], np.cumsum(sizes)))
         return pool[words.ragged(at[slot], sizes)], upto[found.first]

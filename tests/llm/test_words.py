@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from digestloom.llm import words
+from digestloom.llm import packing, queries, words
 from tests.llm import brute
 
 
@@ -50,3 +50,17 @@ def test_windows_are_named_by_content():
     assert names[0] == names[1] != names[2]
     assert list(words.shingles(values, 3)[[0, 3]] == words.shingles(values, 3)[[3, 4]]) == [True, False]
     assert len(words.shingles(values[:2], 3)) == 0
+
+
+def test_new_words_take_few_calls_of_the_tokenizer(monkeypatch):
+    encoder = packing.CachedTokenizer(queries.tokenizer_path())
+    letters = "abcdefghij"
+    texts = [" ".join(f"{a}{b}{c}{sign}" for c in letters) for a in letters for b in letters for sign in ("", ",", "!)")]
+    texts += ["don't x² Été, 日本 a_b", None, "", " ... İx "]
+    calls, direct = [], encoder._direct
+    monkeypatch.setattr(encoder, "_direct", lambda x: calls.append(x) or direct(x))
+    ids, offsets = encoder.encode(pa.array(texts))
+    # Signs, words of letters and others: one call each, and not one for each hundred words.
+    assert len(calls) == 3
+    for i, plain in enumerate(direct([t or "" for t in texts])):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == plain.tolist()
