@@ -72,6 +72,23 @@ def _readings(token, model, spaced):
     return grow(0, 0, "", 0.0, "")
 
 
+def test_toxicity_reads_texts_in_small_pieces(monkeypatch):
+    sizes, tokens = [], deobfuscate.Tokens
+    monkeypatch.setattr(deobfuscate, "Tokens", lambda x: sizes.append(x.nbytes) or tokens(x))
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["plain", "words", "here"]) for _ in range(2_000)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    found = next(deobfuscate._grams(iter([batch]))).to_pydict()
+    assert sum(sizes) > 2_000_000 and max(sizes) < 2 * words.CHUNK_BYTES
+    whole = {}
+    for word in " ".join(texts).split():
+        seq = bytes(3) + word.encode() + bytes(1)
+        for i in range(len(seq) - 3):
+            gram = int.from_bytes(seq[i : i + 4], "big")
+            whole[gram] = whole.get(gram, 0) + 1
+    assert dict(zip(found["gram"], found["n"])) == whole
+
+
 def test_best_of_all_readings(fitted):
     rng = random.Random(3)
     for n in range(60):

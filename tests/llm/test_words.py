@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from digestloom.llm import packing, queries, words
+from digestloom.llm import counts, packing, queries, words
 from tests.llm import brute
 
 
@@ -64,3 +64,12 @@ def test_new_words_take_few_calls_of_the_tokenizer(monkeypatch):
     assert len(calls) == 3
     for i, plain in enumerate(direct([t or "" for t in texts])):
         assert ids[offsets[i] : offsets[i + 1]].tolist() == plain.tolist()
+
+
+def test_counts_of_keys_are_summed_over_batches(monkeypatch):
+    monkeypatch.setattr(counts, "PENDING", 3)
+    found = counts.KeyCounts()
+    for keys, n in (([5, 7], [2, 3]), ([7, 9, 7], None), ([5], [10]), ([], None)):
+        found.add(np.array(keys, dtype=np.uint64), None if n is None else np.array(n))
+    keys, n = found.result()
+    assert dict(zip(keys.tolist(), n.tolist())) == {5: 12, 7: 5, 9: 1}
