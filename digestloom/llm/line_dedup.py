@@ -27,8 +27,6 @@ last; a document may lose all its lines; other columns are kept as they are.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,11 +55,10 @@ _ORDER_BITS = np.uint64(44)
 _FREQUENT = np.uint64(1 << 43)
 
 
-class Lines:
-    """Lines of some texts as sets of words, in the order of 44-bit codes of their names."""
+class Places:
+    """Where the lines of some texts begin and end."""
 
-    def __init__(self, texts: pa.Array, order_of=None):
-        found = words.split(texts, words.SPACE_SEPARATED, True)
+    def __init__(self, texts: pa.Array):
         raw, offsets = words.utf8(texts)
         feeds = np.flatnonzero(raw == 10)
         n = len(offsets) - 1
@@ -77,6 +74,24 @@ class Lines:
         last = number == per_text[text_of] - 1
         self.end[~last] = feeds[before[text_of[~last]] + number[~last]]
         self.text_of, self.number, self.raw = text_of, number, raw
+
+    def blank(self) -> np.ndarray:
+        """Lines without a word."""
+        place = np.flatnonzero(words.SPACE_SEPARATED[self.raw])
+        return np.searchsorted(place, self.start) == np.searchsorted(place, self.end)
+
+    def alone(self, picked: np.ndarray) -> pa.Array:
+        """The given lines as texts of their own."""
+        raw = self.raw.tobytes()
+        return pa.array([raw[a:b] for a, b in zip(self.start[picked].tolist(), self.end[picked].tolist())], pa.binary()).cast(pa.string())
+
+
+class Lines(Places):
+    """Lines of some texts as sets of words, in the order of 44-bit codes of their names."""
+
+    def __init__(self, texts: pa.Array, order_of=None):
+        super().__init__(texts)
+        found = words.split(texts, words.SPACE_SEPARATED, True)
         # Words are in the order of lines, so the last line that starts before a word holds it.
         line = np.searchsorted(self.start, found.start, side="right") - 1
         # Words of one line whose codes agree are taken as equal: some hundred words, 43 bits.
@@ -215,12 +230,21 @@ def _lists(percent):
         number = np.cumsum(begins) - 1
         length = np.bincount(number)[number]
         short = length <= PAIRED_LIST
-        a, b = [head[~begins]], [np.flatnonzero(~begins)]
-        for step in range(1, PAIRED_LIST):
-            i = np.arange(step, len(key))
-            near = (number[i] == number[i - step]) & (short[i] if step > 1 else True)
-            a.append(i[near] - step)
-            b.append(i[near])
+        a, b = [], []
+
+        def offer(i, j):
+            ok = _may_match(n[i], at[i], cells[i], n[j], at[j], cells[j], percent)
+            a.append(i[ok])
+            b.append(j[ok])
+            return ok
+
+        later = np.flatnonzero(~begins)
+        offer(head[later], later)
+        offer(later - 1, later)
+        later = later[short[later]]
+        for step in range(2, PAIRED_LIST):
+            later = later[later - step >= head[later]]
+            offer(later - step, later)
         # Longer lists are paired until one entry has too many possible matches: a family of near copies.
         crowded, hits = np.zeros(int(number[-1]) + 1, dtype=bool), np.zeros(len(key), dtype=np.int64)
         middle = np.flatnonzero(~short & (length <= WHOLE_LIST))
@@ -228,21 +252,16 @@ def _lists(percent):
             middle = middle[(middle - step >= head[middle]) & ~crowded[number[middle]]]
             if not len(middle):
                 break
-            i, j = middle - step, middle
-            ok = _may_match(n[i], at[i], cells[i], n[j], at[j], cells[j], percent)
-            a.append(i[ok])
-            b.append(j[ok])
-            hits[j[ok]] += 1
-            crowded[number[j[ok]][hits[j[ok]] > FEW]] = True
+            j = middle[offer(middle - step, middle)]
+            hits[j] += 1
+            crowded[number[j][hits[j] > FEW]] = True
         short |= (length <= WHOLE_LIST) & ~crowded[number]
         # In lists that stay open also neighbours by size.
         by_size = np.lexsort((node, n, number))
         i, j = by_size[:-1], by_size[1:]
         near = (number[i] == number[j]) & ~short[i]
-        a, b = np.concatenate([*a, i[near]]), np.concatenate([*b, j[near]])
-        ok = _may_match(n[a], at[a], cells[a], n[b], at[b], cells[b], percent)
-        a, b = node[a[ok]], node[b[ok]]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), dtype=np.int64)
+        offer(i[near], j[near])
+        pairs = jaccard_join.different_pairs(node[np.concatenate(a)], node[np.concatenate(b)])
         long_ = ~short
         m, k = pairs.shape[1], int(long_.sum())
         none = pa.nulls(m, pa.int64())
@@ -281,25 +300,31 @@ def _open_against_list(percent):
             done += len(block)
             a, b = words.ragged(start[block], block - start[block]), np.repeat(block, block - start[block])
             ok = _may_match(n[a], at[a], cells[a], n[b], at[b], cells[b], percent)
-            a, b = node[a[ok]], node[b[ok]]
-            pairs.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1))
-        pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            pairs.append(jaccard_join.different_pairs(node[a[ok]], node[b[ok]]))
+        pairs = jaccard_join.different_pairs(*np.concatenate(pairs, axis=1))
         return pa.table({"a": pairs[0], "b": pairs[1]})
 
     return run
 
 
+def _spot(shard, place):
+    """A number for a place, to be marked in a bitmap; few places share one."""
+    return (shard << 17) ^ place
+
+
 def _wanted_sets(text, least, wanted):
+    """Nodes and words of the lines whose places are marked; no others are split."""
+
     def run(batches):
         bits = np.frombuffer(wanted.value, dtype=np.uint8)
         for batch in batches:
-            for body in batch.column("body"):
-                lines = Lines(shards.unpack(body.as_py()).column(text))
+            for shard, body in zip(batch.column("shard").to_pylist(), batch.column("body")):
+                places = Places(shards.unpack(body.as_py()).column(text))
+                cell = jaccard_join._cell(_spot(np.int64(shard), (places.text_of << 32) | places.number))
+                lines = Lines(places.alone(np.flatnonzero((bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1)))
                 picked = np.flatnonzero(lines.size >= least)
                 _, once = np.unique(lines.node[picked], return_index=True)
                 picked = picked[once]
-                cell = jaccard_join._cell(lines.node[picked].view(np.int64))
-                picked = picked[(bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0]
                 sets = [lines.name[a : a + k].tobytes() for a, k in zip(lines.at[picked].tolist(), lines.size[picked].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lines.node[picked].view(np.int64)), pa.array(sets, pa.binary())], names=["node", "tokens"]
@@ -308,20 +333,17 @@ def _wanted_sets(text, least, wanted):
     return run
 
 
-def _rewrite(text, id_col, least, n_lines, n_removed):
-    """Texts without the removed lines."""
+def _rewrite(text, least, n_lines, n_removed):
+    """Texts without the removed lines: those to compare whose places are not given."""
 
     def run(batches):
         for batch in batches:
-            for body, names in zip(batch.column("body"), batch.column("kept")):
+            for body, place in zip(batch.column("body"), batch.column("kept")):
                 rows = shards.unpack(body.as_py())
-                ids = _ids(rows.column(id_col))
-                lines = Lines(rows.column(text))
-                compared = lines.size >= least
-                stays = ~compared
-                first = lines.firsts(ids, np.flatnonzero(compared))
-                names = names.values.to_numpy(zero_copy_only=False) if names.is_valid else np.empty(0, dtype=np.int64)
-                stays[first[np.isin(lines.node[first].view(np.int64), names)]] = True
+                lines = Places(rows.column(text)) if least <= 1 else Lines(rows.column(text))
+                stays = lines.blank() if least <= 1 else lines.size < least
+                place = place.values.to_numpy(zero_copy_only=False) if place.is_valid else np.empty(0, dtype=np.int64)
+                stays[lines.first[place >> 32] + (place & 0xFFFFFFFF)] = True
                 raw = lines.raw.tobytes()
                 start, end = lines.start.tolist(), lines.end.tolist()
                 kept, removed = [], []
@@ -389,8 +411,9 @@ def remove_repeated_lines(
         two = nodes.select(F.col("node").alias("b"), F.col("age").alias("age2"))
         likely = pairs.distinct().join(one, "a").join(two, "b")
         likely = materialise(likely.select("a", "b", F.when(F.col("age1") > F.col("age2"), F.col("a")).otherwise(F.col("b")).alias("later")), "likely")
-        wanted = materialise(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct(), "wanted")
-        bits = sc.broadcast(jaccard_join.marked(wanted))
+        wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        wanted = materialise(wanted.join(nodes.select("node", "age"), "node"), "wanted")
+        bits = sc.broadcast(jaccard_join.marked(wanted.select(F.shiftleft("age.shard", 17).bitwiseXOR(F.col("age.place")).alias("node"))))
         sets = bodies.mapInArrow(_wanted_sets(text_col, least_words, bits), "node long, tokens binary").join(wanted, "node", "left_semi")
         sets = materialise(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
         one, two = (sets.select(F.col("node").alias(x), F.col("tokens").alias(s)) for x, s in (("a", "s1"), ("b", "s2")))
@@ -418,22 +441,12 @@ def remove_repeated_lines(
     release(entries)
     if more.limit(1).count():
         matched = matched.unionByName(matches(more)).distinct()
-    kept = nodes.join(matched, "node", "left_anti").select("node", F.col("age.shard").alias("shard"))
+    kept = nodes.join(matched, "node", "left_anti").select("age.shard", "age.place")
     # At most the lines of a shard in one list.
-    kept = kept.groupBy("shard").agg(F.collect_list("node").alias("kept"))
+    kept = kept.groupBy("shard").agg(F.collect_list("place").alias("kept"))
     n_lines, n_removed = (columns.free(c, documents.columns) for c in ("_dl_lines", "_dl_removed"))
     schema = documents.schema.add(n_lines, "long").add(n_removed, "long")
-    return bodies.join(kept.hint("shuffle_hash"), "shard", "left").mapInArrow(_rewrite(text_col, id_col, least_words, n_lines, n_removed), schema)
-
-
-def _digest(text):
-    def run(batches):
-        for batch in batches:
-            digests = [hashlib.sha256(t or b"").hexdigest() for t in batch.column(text).cast(pa.binary()).to_pylist()]
-            rest = [c for c in batch.schema.names if c != text]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(digests)], names=[*rest, "kept_sha256"])
-
-    return run
+    return bodies.join(kept.hint("shuffle_hash"), "shard", "left").mapInArrow(_rewrite(text_col, least_words, n_lines, n_removed), schema)
 
 
 def digests(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -441,6 +454,7 @@ def digests(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = documents.select(F.col(id_col), F.col(text_col))
     kept = remove_repeated_lines(rows, id_col=id_col, text_col=text_col)
     kept = kept.withColumnsRenamed({"_dl_lines": "n_lines", "_dl_removed": "n_removed"})
-    kind = rows.schema[id_col].dataType.simpleString()
-    return kept.mapInArrow(_digest(text_col), f"`{id_col}` {kind}, n_lines long, n_removed long, kept_sha256 string")
+    # By Spark: a second Python step behind the first would hold as many workers again.
+    digest = F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256)
+    return kept.select(id_col, "n_lines", "n_removed", digest.alias("kept_sha256"))
 

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from digestloom.llm import decontaminate, jaccard_join, line_dedup, queries, recompression
@@ -140,6 +142,27 @@ def test_line_dedup(spark, monkeypatch, paired, whole, few):
     assert found == sorted(expected, key=repr)
 
 
+def test_digests_end_in_one_python_step(spark):
+    docs = frame(spark, [(1, "a b c d\nx y z"), (2, "x y z\n\na b c e"), (3, None), (4, "a b c d\n\xfc")])
+    found = line_dedup.digests(docs)
+    # A second one behind it would hold as many workers again.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    kept = [(1, "a b c d\nx y z", 0), (2, "\na b c e", 1), (3, "", 0), (4, "\xfc", 1)]
+    assert rows(found, "doc_id", "kept_sha256", "n_removed") == [(d, brute.sha(t), n) for d, t, n in kept]
+    longer = line_dedup.remove_repeated_lines(docs, least_words=4)
+    assert rows(longer, "doc_id", "_dl_removed") == [(1, 0), (2, 0), (3, 0), (4, 1)]
+
+
+def test_pairs_and_bitsets_of_lists():
+    a, b = np.array([5, 2, 2, -1, 5]), np.array([2, 5, 2, 7, 2])
+    assert jaccard_join.different_pairs(a, b).tolist() == [[-1, 2, 2], [7, 2, 5]]
+    assert jaccard_join.different_pairs(a[:0], b[:0]).shape == (2, 0)
+    # The lists stay Arrow arrays: no Python object for each key.
+    lists = pa.chunked_array([[[0]], [[-9, 70], [], [70]]]).combine_chunks().slice(1)
+    bits = jaccard_join._bitsets(lists)
+    assert [[bool(x & y) for y in bits[:, 0].tolist()] for x in bits[:, 0].tolist()] == [[True, False, True], [False, False, False], [True, False, True]]
+
+
 def test_empty_tables(spark):
     docs, bench = frame(spark, []), spark.createDataFrame([], ITEMS)
     assert jaccard_join.near_duplicates(docs).count() == 0
