@@ -56,10 +56,15 @@ def parts_for(names: int) -> int:
     return 1 << max(6, math.ceil(math.log2(max(names, 1) / RANGE_NAMES)))
 
 
+def ranges(names: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """Number and names of each range that has some, for sorted different names."""
+    bounds = np.searchsorted(names, np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - parts.bit_length() + 1))
+    return [(i, x) for i, x in enumerate(np.split(names, bounds)) if len(x)]
+
+
 def send(shard: int, names: np.ndarray, parts: int) -> list[tuple]:
     """Messages for sorted different names, one per range."""
-    bounds = np.searchsorted(names, np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - parts.bit_length() + 1))
-    return [(shard, i, NAMES, x.tobytes()) for i, x in enumerate(np.split(names, bounds)) if len(x)]
+    return [(shard, i, NAMES, x.tobytes()) for i, x in ranges(names, parts)]
 
 
 def messages(rows: list[tuple]) -> pa.RecordBatch:

@@ -44,9 +44,11 @@ DISCOUNT = 0.75
 # Nats that a context has to gain for each of its next words.
 PENALTY = 2.0
 # Text of a shard that asks for the rest of the model.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 8 << 20
 # Different entries that a task holds before it sends them.
 HELD_ENTRIES = 1 << 20
+# Entries that wait for being counted, and ranges that are sent at once: what bounds the scratch memory.
+PENDING_ENTRIES, SENT_PARTS = 1 << 18, 16
 
 # The name of the end token, which is no word, and of the begin.
 END, BEGIN, _ROOT, _NEXT, _SHARE = words.spread(5, seed=31)
@@ -70,8 +72,13 @@ def _index(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Place of each key in a sorted table, and whether it is there."""
     if not len(table):
         return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
+    # In order, neighbours are found in memory that was just read.
+    order = np.argsort(keys)
+    keys = keys[order]
+    near = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    at, there = np.empty(len(keys), dtype=np.int64), np.empty(len(keys), dtype=bool)
+    at[order], there[order] = near, table[near] == keys
+    return at, there
 
 
 def _first_context(word: np.ndarray) -> np.ndarray:
@@ -115,12 +122,22 @@ class _Entries:
         self.pending += len(key)
 
     def merge(self):
-        key, context, symbol = (np.concatenate(x) for x in zip((self.key, self.context, self.symbol), *self.new))
-        n = np.concatenate((self.n, np.ones(self.pending, dtype=np.int64)))
-        self.key, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        self.context, self.symbol = context[at], symbol[at]
-        self.n = np.bincount(inverse, weights=n, minlength=len(at)).astype(np.int64)
-        self.new, self.pending = [], 0
+        # Column by column, so that only one is held twice.
+        new, self.new, pending, self.pending = [list(x) for x in zip(*self.new)] or [[], [], []], [], self.pending, 0
+        key = np.concatenate((self.key, *new[0]))
+        new[0].clear()
+        order = np.argsort(key)
+        key = key[order]
+        fresh = np.ones(len(key), dtype=bool)
+        fresh[1:] = key[1:] != key[:-1]
+        self.key = key[fresh]
+        at = order[fresh]
+        self.context = np.concatenate((self.context, *new[1]))[at]
+        new[1].clear()
+        self.symbol = np.concatenate((self.symbol, *new[2]))[at]
+        new[2].clear()
+        n = np.concatenate((self.n, np.ones(pending, dtype=np.int64)))[order]
+        self.n = np.add.reduceat(n, np.flatnonzero(fresh)) if len(n) else n
 
 
 def _count_entries(training: DataFrame, length: int, long_enough, behind, parts: int) -> DataFrame:
@@ -135,13 +152,15 @@ def _count_entries(training: DataFrame, length: int, long_enough, behind, parts:
         found = _Entries()
 
         def sent():
-            part = (words.mix(found.key) >> shift).astype(np.int64)
+            part = (words.mix(found.key) >> shift).astype(np.int32)
             order = np.argsort(part, kind="stable")
             cut = np.searchsorted(part[order], np.arange(parts + 1))
-            columns = [x[order] for x in (found.context, found.symbol, found.n)]
-            full = [i for i in range(parts) if cut[i + 1] > cut[i]]
-            payload = [b"".join(x[cut[i] : cut[i + 1]].tobytes() for x in columns) for i in full]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(payload, pa.binary())], names=["part", "payload"])
+            # A few ranges at a time, as the payloads are copies.
+            for begin in range(0, parts, SENT_PARTS):
+                full = [i for i in range(begin, min(begin + SENT_PARTS, parts)) if cut[i + 1] > cut[i]]
+                rows = [order[cut[i] : cut[i + 1]] for i in full]
+                payload = [b"".join(x[r].tobytes() for x in (found.context, found.symbol, found.n)) for r in rows]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(payload, pa.binary())], names=["part", "payload"])
 
         for batch in batches:
             for chunk in words.chunks(batch, "text"):
@@ -153,13 +172,15 @@ def _count_entries(training: DataFrame, length: int, long_enough, behind, parts:
                 if behind is not None:
                     kept = kept[_is_marked(behind.value, levels[length - 2][1][kept])]
                 found.add(entry[kept], context[kept], name[kept])
-                if found.pending > counts.PENDING:
+                if found.pending > PENDING_ENTRIES:
                     found.merge()
                     if len(found.key) > HELD_ENTRIES:
-                        yield sent()
+                        yield from sent()
                         found = _Entries()
         found.merge()
-        yield sent()
+        yield from sent()
+        found = None
+        words.give_back()
 
     def total(table: pa.Table) -> pa.Table:
         whole = [np.frombuffer(p, dtype=np.uint64).reshape(3, -1) for p in table.column("payload").to_pylist()]
@@ -227,24 +248,35 @@ class Tree:
     def find(self, keys: np.ndarray, rest=None) -> tuple[np.ndarray, np.ndarray]:
         """Value of each key, 0 if there is none, and whether there is."""
         out, found = np.zeros(len(keys)), np.zeros(len(keys), dtype=bool)
-        for key, value in ((self.key, self.value), rest or (np.empty(0, dtype=np.uint64), np.empty(0))):
-            at, there = _index(keys, key)
-            out[there] = value[at[there]]
-            found |= there
+        likely = np.flatnonzero(_is_marked(rest[2], keys)) if rest else np.arange(len(keys))
+        for key, value in ((self.key, self.value), *([rest[:2]] if rest else [])):
+            at, there = _index(keys[likely], key)
+            out[likely[there]] = value[at[there]]
+            found[likely[there]] = True
         return out, found
 
     def asked(self, texts: pa.Array, bits: bytes) -> np.ndarray:
-        """Sorted keys of the texts that the bitmap marks and the broadcast part lacks."""
+        """Sorted keys of the texts that the broadcast part lacks. The bitmap marks all keys of the model."""
         name, first = tokens(texts)
-        keys = [np.unique(x[usable]) for context, entry, usable in _levels(name, first) for x in (context ^ _SHARE, entry)]
-        keys = np.unique(np.concatenate(keys))
-        keys = keys[_is_marked(bits, keys)]
+        keys = []
+        for context, entry, usable in _levels(name, first):
+            share = context ^ _SHARE
+            live = np.flatnonzero(usable)
+            live = live[_is_marked(bits, share[live])]
+            # Entries of a context that did not stay are never looked up.
+            keys += [share[live], entry[live][_is_marked(bits, entry[live])]]
+        keys = words.distinct(np.concatenate(keys))
         return keys[~_index(keys, self.key)[1]]
 
+    def asked_of_shard(self, texts: pa.RecordBatch, bits: bytes) -> np.ndarray:
+        """``asked`` of all texts of a shard, in slices."""
+        keys = [self.asked(part.column("text"), bits) for part in words.chunks(texts, "text")]
+        return words.distinct(np.concatenate([np.empty(0, dtype=np.uint64), *keys]))
+
     def logs(self, texts: pa.Array, rest=None):
         """First token of each text, and per token: known count or -1, log10 of base and model.
 
-        ``rest`` are keys and values beyond the broadcast ones. For a word outside the broadcast
+        ``rest`` are keys and values beyond the broadcast ones, and a bitmap that marks all keys of the model. For a word outside the broadcast
         counts both logs leave out its own unigram term.
         """
         name, first = tokens(texts)
@@ -291,14 +323,22 @@ def _scored(handle):
     return run
 
 
-def _scored_shards(handle):
+def _scored_shards(handle, bits, parts):
     def run(batches):
         for batch in batches:
             for body, told in zip(batch.column("body"), batch.column("told").to_pylist()):
-                both = [np.frombuffer(x, dtype=np.uint64).reshape(2, -1) for x in told or ()]
-                key, value = np.concatenate(both, axis=1) if both else np.empty((2, 0), dtype=np.uint64)
-                order = np.argsort(key)
-                yield from _score(handle.value, shards.unpack(body.as_py()), (key[order], value[order].view(np.float64)))
+                texts = shards.unpack(body.as_py())
+                # The answers name no keys: they follow the order of those asked for.
+                keys = handle.value.asked_of_shard(texts, bits.value)
+                answers = {a["part"]: a["payload"] for a in told or ()}
+                there, value = [np.empty(0, dtype=bool)], [np.empty(0)]
+                for part, asked in shards.ranges(keys, parts):
+                    answer = np.frombuffer(answers[part], dtype=np.uint8)
+                    cut = -(-len(asked) // 8)
+                    there.append(np.unpackbits(answer[:cut], count=len(asked)).astype(bool))
+                    value.append(np.frombuffer(answer[cut:].tobytes(), dtype=np.float64))
+                yield from _score(handle.value, texts, (keys[np.concatenate(there)], np.concatenate(value), bits.value))
+            words.give_back()
 
     return run
 
@@ -307,39 +347,39 @@ def _asked(handle, bits, parts):
     def run(batches):
         for batch in batches:
             for shard, body in zip(batch.column("shard").to_pylist(), batch.column("body")):
-                texts = shards.unpack(body.as_py())
-                keys = [handle.value.asked(x.column("text"), bits.value) for x in words.chunks(texts, "text")]
-                keys = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *keys]))
+                keys = handle.value.asked_of_shard(shards.unpack(body.as_py()), bits.value)
                 yield shards.messages(shards.send(shard, keys, parts))
+            words.give_back()
 
     return run
 
 
 def _told(asked: pa.Table, rest: pa.Table) -> pa.Table:
-    """Keys and values that the shards asked for, of one range of keys."""
+    """For each message of one range of keys: a bit per key, is it there? Then the values of those."""
     key = rest.column("key").to_numpy().view(np.uint64)
     order = np.argsort(key)
-    key, value = key[order], rest.column("value").to_numpy()[order].view(np.uint64)
+    key, value = key[order], rest.column("value").to_numpy()[order]
     out = []
     for payload in asked.column("payload").to_pylist():
-        keys = np.frombuffer(payload, dtype=np.uint64)
-        at, there = _index(keys, key)
-        out.append(keys[there].tobytes() + value[at[there]].tobytes())
-    return pa.table({"shard": asked.column("shard"), "payload": pa.array(out, pa.binary())})
+        at, there = _index(np.frombuffer(payload, dtype=np.uint64), key)
+        out.append(np.packbits(there).tobytes() + value[at[there]].tobytes())
+    return pa.table({"shard": asked.column("shard"), "part": asked.column("part"), "payload": pa.array(out, pa.binary())})
 
 
 def _scored_with_rest(rows: DataFrame, handle, rest: DataFrame, kind: str) -> DataFrame:
     """Scores of ``rows`` under the broadcast part and the ``rest`` of the model (``key, value``)."""
     held = shards.gather(rows, "text", SHARD_BYTES)
     size = held.agg(F.sum("n_bytes")).first()[0] or 0
-    parts = shards.parts_for(size // 2)
-    bits = rows.sparkSession.sparkContext.broadcast(jaccard_join.marked(rest.select(F.col("key").alias("node")).coalesce(1)))
+    # A text asks for a key per ten bytes or fewer.
+    parts = shards.parts_for(size // 8)
+    marked = jaccard_join.with_marks(jaccard_join.marked(rest.select(F.col("key").alias("node"))), handle.value.key)
+    bits = rows.sparkSession.sparkContext.broadcast(marked)
     asked = held.select("shard", "body").mapInArrow(_asked(handle, bits, parts), shards.MESSAGE)
     ranged = rest.withColumn("part", F.shiftrightunsigned("key", 65 - parts.bit_length()).cast("int"))
-    told = asked.groupBy("part").cogroup(ranged.groupBy("part")).applyInArrow(_told, "shard long, payload binary")
+    told = asked.groupBy("part").cogroup(ranged.groupBy("part")).applyInArrow(_told, "shard long, part int, payload binary")
     # At most one payload per range, and all of them the values of one shard.
-    told = told.groupBy("shard").agg(F.collect_list("payload").alias("told"))
-    return held.select("shard", "body").join(told.hint("shuffle_hash"), "shard", "left").mapInArrow(_scored_shards(handle), kind)
+    told = told.groupBy("shard").agg(F.collect_list(F.struct("part", "payload")).alias("told"))
+    return held.select("shard", "body").join(told.hint("shuffle_hash"), "shard", "left").mapInArrow(_scored_shards(handle, bits, parts), kind)
 
 
 def _grow(training: DataFrame, table: DataFrame, total: int, kinds: int, docs: int, size: int) -> DataFrame:

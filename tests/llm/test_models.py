@@ -253,6 +253,28 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
         assert {r["doc_id"]: r["score"] for r in suffix_tree.scores(df).collect()} == pytest.approx(whole, abs=1e-9)
 
 
+def test_an_entry_is_asked_for_only_where_its_context_may_be_in_the_model():
+    from digestloom.llm import jaccard_join
+
+    none, texts = np.empty(0, dtype=np.uint64), pa.array(["a b c"])
+    tree = suffix_tree.Tree(none, none, 0, 0, none, none)
+    levels = suffix_tree._levels(*suffix_tree.tokens(texts))
+    bits = np.zeros(jaccard_join.WANTED_BITS // 8, dtype=np.uint8).tobytes()
+    bits = jaccard_join.with_marks(bits, np.concatenate([entry[usable] for _, entry, usable in levels]))
+    assert len(tree.asked(texts, bits)) == 0
+    share = levels[0][0][1] ^ suffix_tree._SHARE
+    bits = jaccard_join.with_marks(bits, np.array([share]))
+    assert set(tree.asked(texts, bits).tolist()) == {int(share), int(levels[0][1][1])}
+
+
+def test_answers_hold_a_bit_a_key_and_the_values_found():
+    key = np.array([3, 9, 2**63 + 1], dtype=np.uint64)
+    rest = pa.table({"key": key.view(np.int64), "value": [0.5, 0.25, 0.125]})
+    asked = pa.table({"shard": [1], "part": [0], "payload": [np.array([3, 4, 2**63 + 1], dtype=np.uint64).tobytes()]})
+    told = suffix_tree._told(asked, rest).to_pylist()
+    assert told == [{"shard": 1, "part": 0, "payload": bytes([0b10100000]) + np.array([0.5, 0.125]).tobytes()}]
+
+
 # Packing
 
 
