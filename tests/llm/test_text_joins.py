@@ -186,3 +186,18 @@ def test_components_without_gathering(spark, monkeypatch):
     assert rows(components.components(df), "node", "component") == one
     assert dict(one)[60] == 0 and dict(one)[200] == -5
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_the_join_removes_what_it_is_done_with(spark, monkeypatch):
+    import os
+
+    from digestloom.llm import jaccard_join
+
+    written, write = [], jaccard_join.materialise
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df, name: written.append((name, write(df, name))) or written[-1][1])
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen"
+    docs = spark.createDataFrame([(1, f"{text} x"), (2, f"{text} y"), (3, "else")], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+    left = [name for name, df in written if name in ("prefixes", "wanted", "sets", "spanning") and os.path.exists(df.scratch_path)]
+    assert {"prefixes", "wanted", "sets"} <= {name for name, _ in written} and not left
