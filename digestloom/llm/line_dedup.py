@@ -160,6 +160,7 @@ def _nodes(text, id_col, least):
                 text_of = lines.text_of[first]
                 found = [lines.node[first], lines.size[first], ids[text_of], np.full(len(first), shard), (text_of << 32) | lines.number[first], lines.cells(first)]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in found], names=["node", "n", "doc", "shard", "place", "cells"])
+            words.give_back()
 
     return run
 
@@ -201,6 +202,7 @@ def _post(text, id_col, percent, least, handle, parts):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i for i, _ in sent], pa.int32()), pa.array([p for _, p in sent], pa.binary())], names=["part", "payload"]
                 )
+            words.give_back()
 
     return run
 
@@ -329,6 +331,7 @@ def _wanted_sets(text, least, wanted):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lines.node[picked].view(np.int64)), pa.array(sets, pa.binary())], names=["node", "tokens"]
                 )
+            words.give_back()
 
     return run
 
@@ -359,6 +362,7 @@ def _rewrite(text, least, n_lines, n_removed):
                     [*out.columns, pa.array(np.diff(lines.first), pa.int64()), pa.array(removed, pa.int64())],
                     names=[*out.schema.names, n_lines, n_removed],
                 )
+            words.give_back()
 
     return run
 
