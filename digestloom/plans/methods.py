@@ -20,12 +20,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from digestloom.functions.text import sentences
 from digestloom.operators.keywords import (
     Tokenizer, as_lists, embedding_topn, keyword_list, tfidf_against, tfidf_topn, tfidf_with, with_tokens,
 )
 from digestloom.operators.isolate import Guarded, attempt
 from digestloom.operators.textrank import (
-    Splitter, given_words, lead, lead_summary, split_summary, summary_of, textrank_summary,
+    Splitter, given_words, lead, lead_summary, textrank_summary, with_summary,
 )
 
 
@@ -65,9 +66,7 @@ def against_known(frequencies: DataFrame, n_docs: int) -> Callable[..., DataFram
 
 KEYWORD_METHODS: dict[str, Callable[..., DataFrame]] = {"tf": _tf, "tfidf": _tf, "tfidf_batch": _batch}
 SUMMARY_METHODS: dict[str, Callable[..., DataFrame]] = {
-    "textrank": lambda docs, k, text_col: docs.withColumn(
-        "summary", F.expr(textrank_summary(text_col, k))
-    ),
+    "textrank": lambda docs, k, text_col: with_summary(docs, sentences(text_col), k),
     "lead": lambda docs, k, text_col: docs.withColumn("summary", F.expr(lead_summary(text_col, k))),
 }
 OUTPUT_MODES = ("per_article", "daily_digest")
@@ -162,22 +161,23 @@ def summarise(docs: DataFrame, method: str | Callable[..., DataFrame] = "textran
         raise ValueError("a summary needs at least one sentence")
     if isinstance(splitter, Guarded):
         docs = docs if SPLIT in docs.columns else prepare(docs, text_col, splitter=splitter)
-        parts = f"coalesce({SPLIT}.sentences, CAST(array() AS ARRAY<STRING>))"
-        summary = lead(parts, k) if method == "lead" else summary_of(parts, k, given_words(f"{SPLIT}.words"))
+        parts, word_lists = f"coalesce({SPLIT}.sentences, CAST(array() AS ARRAY<STRING>))", given_words(f"{SPLIT}.words")
     else:
-        summary = lead(splitter.to_sentences(text_col), k) if method == "lead" else split_summary(text_col, k, splitter)
-    return docs.withColumn("summary", F.expr(summary)).drop(SPLIT)
+        parts, word_lists = splitter.to_sentences(text_col), splitter.word_lists
+    done = docs.withColumn("summary", F.expr(lead(parts, k))) if method == "lead" else with_summary(docs, parts, k, word_lists)
+    return done.drop(SPLIT)
 
 
 def extraction_results(docs: DataFrame, keyword_method: str | Callable[..., DataFrame] = "tf",
                        summary_method: str | Callable[..., DataFrame] = "textrank",
                        keyword_count: int = 7, summary_sentences: int = 4,
                        id_col: str = "article_id", text_col: str = "raw_text") -> DataFrame:
-    """``(article_id, keywords, summary, method)`` per document."""
-    done = summarise(
-        extract_keywords(docs, keyword_method, keyword_count, id_col, text_col),
-        summary_method, summary_sentences, text_col,
-    )
+    """``(article_id, keywords, summary, method)`` per document. Built-in methods are plain expressions here."""
+    done = extract_keywords(docs, keyword_method, keyword_count, id_col, text_col)
+    if summary_method == "textrank":
+        done = done.withColumn("summary", F.expr(textrank_summary(text_col, summary_sentences)))
+    else:
+        done = summarise(done, summary_method, summary_sentences, text_col)
     return done.select(
         F.col(id_col).alias("article_id"), "keywords", "summary",
         F.lit(f"{method_name(keyword_method)}+{method_name(summary_method)}").alias("method"),

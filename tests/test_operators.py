@@ -59,6 +59,38 @@ def test_ranks_equal_the_pair_matrix(spark):
         assert row.d == pytest.approx(degrees, rel=1e-12)
 
 
+@pytest.mark.parametrize("portion", [1, 300, 1 << 21])
+def test_batches_of_documents_are_ranked_as_each_by_itself(spark, monkeypatch, portion):
+    monkeypatch.setattr(textrank, "PORTION_BYTES", portion)
+    rng = random.Random(portion)
+    texts = [random_text(rng, n) for n in (1, 0, 5, 6, 13, 40, 200)] + ["A. a. A. a. A.", "x y. z q.", None, "", "... !!. ?.", "S. S. S. S. S. S."]
+    docs = docs_of(spark, texts).coalesce(1)
+    lines = textrank.Splitter(lambda t: text.sentences(t, split_newlines=True), text.raw_tokens)
+    for splitter, word_lists in ((textrank.Splitter(), None), (lines, lines.word_lists)):
+        parts = splitter.to_sentences("text")
+        rows = docs.select(
+            F.expr(textrank.sentence_ranks(parts, word_lists=word_lists)).alias("r"), textrank.ranks(parts, word_lists).alias("own_r"),
+            F.expr(textrank.sentence_degrees(parts, word_lists)).alias("d"), textrank.degrees(parts, word_lists).alias("own_d"),
+            F.expr(textrank.sentence_ranks(parts, 0.5, 0.0, 3, word_lists)).alias("s"), textrank.ranks(parts, word_lists, 0.5, 0.0, 3).alias("own_s"),
+        ).collect()
+        for row in rows:
+            assert row.own_r == pytest.approx(row.r, abs=1e-12) and row.own_s == pytest.approx(row.s, abs=1e-12)
+            assert row.own_d == pytest.approx(row.d, rel=1e-12)
+        whole = textrank.with_summary(docs, parts, 3, word_lists).select("doc_id", "summary").collect()
+        assert whole == docs.select("doc_id", F.expr(textrank.summary_of(parts, 3, word_lists)).alias("summary")).collect()
+    nothing = spark.sql("SELECT CAST(NULL AS ARRAY<STRING>) AS parts, 'kept' AS text")
+    assert textrank.with_summary(nothing, "parts").collect() == [(None, "kept", None)]
+    with pytest.raises(ValueError):
+        textrank.with_summary(docs, "array(text)", 0)
+
+
+def test_summary_queries_rank_whole_batches(spark, tmp_path):
+    docs_of(spark, ["a b. c d. e f. g h. a z."]).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("textrank_summary", "textrank_line_summary", "textrank_ranks", "textrank_degrees", "textrank_line_degrees"):
+        plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython ") == 1
+
+
 def test_fixed_number_of_steps(spark):
     sql = textrank.sentence_ranks(text.sentences("text"), epsilon=0.0, max_steps=1)
     row = docs_of(spark, ["a b. a c. d e."]).select(F.expr(sql).alias("r")).first()
