@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +14,13 @@ from digestloom.functions.arrays import fold, let, struct, total, transform, zip
 from digestloom.functions.text import content_tokens, keep_tokens, term_counts
 from digestloom.operators.isolate import Guarded, attempt
 from digestloom.operators.skew import MAX_BROADCAST_ROWS, broadcast_if_small, hot_keys, salted_join, top_per_group
-from digestloom.session import materialise
+from digestloom.session import materialise, ship
 
 Tokenizer = Callable[[Column], Column]
 
+# Bytes of tokens that are counted at a time; a longer document is counted alone.
+PORTION_BYTES = 1 << 22
+
 # Fixed value: weight of each repetition in the single-document score.
 REPEAT_WEIGHT = 0.15
 
@@ -100,6 +106,34 @@ def document_terms(
     return docs.select(id_col, F.explode(F.expr(rows)).alias("t")).select(id_col, "t.*")
 
 
+def counted_terms(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    tokenizer: Tokenizer | None = None,
+) -> DataFrame:
+    """``(id, term, tf_count, n_tokens)`` as in ``document_terms``, counted for the documents of an Arrow batch at once."""
+    ship(docs.sparkSession)
+    docs, tokens = with_tokens(docs, text_col, tokenizer)
+    counted = F.arrow_udf(_counted, "array<struct<term string, tf_count bigint, n_tokens bigint>>")
+    return docs.select(id_col, F.explode(counted(F.expr(tokens))).alias("t")).select(id_col, "t.*")
+
+
+def _counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        rows = max(1, len(batch) * PORTION_BYTES // max(1, batch.nbytes))
+        for at in range(0, len(batch), rows) or [0]:
+            lists = batch[at : at + rows]
+            coded = lists.flatten().dictionary_encode()
+            doc = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+            size = np.bincount(doc, minlength=len(lists))
+            one = max(1, len(coded.dictionary))
+            pairs, times = np.unique(doc * one + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            doc, term = pairs // one, pairs % one
+            terms = coded.dictionary.take(pa.array(term))
+            counts = pa.StructArray.from_arrays([terms, pa.array(times), pa.array(size[doc])], names=["term", "tf_count", "n_tokens"])
+            ends = np.searchsorted(doc, np.arange(len(lists) + 1)).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), counts)
+
+
 def document_frequency(terms: DataFrame) -> DataFrame:
     """Documents per term; counted in each task before the shuffle."""
     return terms.groupBy("term").agg(F.count("*").alias("df"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.operators.keywords import document_terms
+from digestloom.operators.keywords import counted_terms
 from digestloom.session import materialise
 
 # The usual BM25 parameters.
@@ -17,7 +17,7 @@ B = 0.75
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Inverted index ``(term, id, tf, n_tokens)``; built per document, without a shuffle."""
-    return document_terms(docs, id_col, text_col).select(
+    return counted_terms(docs, id_col, text_col).select(
         "term", id_col, F.col("tf_count").alias("tf"), "n_tokens"
     )
 
@@ -37,15 +37,15 @@ def write_index(index: DataFrame, path: str, id_col: str = "doc_id") -> None:
     The range is on term and id: the postings of a frequent term fill several files. Finding
     the ranges takes a second pass, so the postings are written down before it.
     """
+    written = materialise(index, "postings")
     (
-        materialise(index, "postings")
-        .repartitionByRange("term", id_col)
+        written.repartitionByRange("term", id_col)
         .sortWithinPartitions("term", id_col)
         .write.mode("overwrite")
         .parquet(f"{path}/postings")
     )
-    postings = index.sparkSession.read.schema(index.schema).parquet(f"{path}/postings")
-    corpus_size(postings, id_col).coalesce(1).write.mode("overwrite").parquet(f"{path}/size")
+    # Here a document's postings are still together: a task sends on one row for it.
+    corpus_size(written, id_col).coalesce(1).write.mode("overwrite").parquet(f"{path}/size")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

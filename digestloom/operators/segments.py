@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestloom.operators.keywords import Tokenizer, document_terms
+from digestloom.operators.keywords import Tokenizer, counted_terms
 from digestloom.operators.search import B, K1
 from digestloom.operators.skew import broadcast_if_small, global_row_number
 from digestloom.session import materialise, path_exists
@@ -36,7 +36,7 @@ SLACK = 1e-6
 def add_segment(docs: DataFrame, path: str, run_id: str, id_col: str = "doc_id", text_col: str = "text",
                 tokenizer: Tokenizer | None = None) -> None:
     """Index the documents of one run below ``path``."""
-    terms = materialise(document_terms(docs, id_col, text_col, tokenizer).withColumnRenamed(id_col, "id"), "terms")
+    terms = materialise(counted_terms(docs, id_col, text_col, tokenizer).withColumnRenamed(id_col, "id"), "terms")
     _write(terms, docs.count(), path, run_id)
 
 

@@ -461,6 +461,18 @@ def test_search_in_a_stored_index(spark, tmp_path):
     assert "In(term, [apple,pie])" in stored._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("portion", [1, 1 << 22])
+def test_index_terms_of_batches_equal_those_of_each_document(spark, monkeypatch, portion):
+    monkeypatch.setattr(kw, "PORTION_BYTES", portion)
+    docs = docs_of(spark, ["b a b, A! x", None, "", "the . .", "aa bb aa ÄÖ äö zz", "aa " * 50]).coalesce(1)
+    expected = kw.document_terms(docs).select("term", "doc_id", F.col("tf_count").alias("tf"), "n_tokens")
+    index = srch.build_index(docs)
+    assert index.dtypes == expected.dtypes and sorted(index.collect()) == sorted(expected.collect())
+    # A batch is counted in one call, not by expressions that Spark interprets token by token.
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") == 1 and "Exchange" not in plan
+
+
 def test_digest_entries_and_text(spark, tmp_path):
     items = spark.sql("SELECT id, TIMESTAMP_NTZ '2026-07-19 00:00:00' + make_dt_interval(0, CAST(id AS INT) * 5) AS ts FROM range(30)")
     entries = views.digest_entries(items, "ts", "id")
