@@ -89,6 +89,31 @@ def test_toxicity_reads_texts_in_small_pieces(monkeypatch):
     assert dict(zip(found["gram"], found["n"])) == whole
 
 
+def test_character_model_keeps_every_gram(spark):
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    said = ["".join(rng.choice(letters) for _ in range(8)) for _ in range(130_000)]
+    said = [w for w in said if all(a != b for a, b in zip(w, w[1:]))]
+    docs = spark.createDataFrame([(i, " ".join(said[i::50])) for i in range(50)], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int")).model
+    tails = [{} for _ in range(5)]
+    for word in said:
+        seq = bytes(3) + word.encode() + bytes(1)
+        for i in range(3, len(seq)):
+            for order in range(1, 5):
+                after = tails[order].setdefault(seq[i - order + 1 : i], {})
+                after[seq[i]] = after.get(seq[i], 0) + 1
+    rarest = [(c, b) for c, after in tails[4].items() for b, n in after.items() if n == 1]
+    assert sum(len(after) for after in tails[4].values()) > 1 << 18
+    for context, byte in [*rng.sample(rarest, 300), (b"\0\0\0", 97), (b"qqq", 113)]:
+        p = 1 / 256
+        for order in range(1, 5):
+            after = tails[order].get(context[4 - order :], {})
+            if after:
+                p = (after.get(byte, 0) + len(after) * p) / (sum(after.values()) + len(after))
+        assert model.log(int.from_bytes(context, "big"), byte) == pytest.approx(math.log(p), rel=1e-12)
+
+
 def test_best_of_all_readings(fitted):
     rng = random.Random(3)
     for n in range(60):
