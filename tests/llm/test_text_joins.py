@@ -81,6 +81,39 @@ def test_jaccard_join_of_long_lists(spark, monkeypatch):
     assert found == sorted(brute.components(docs), key=repr)
 
 
+def test_lists_of_nodes_are_not_sent_to_the_driver(spark, monkeypatch):
+    """Spark sizes arrays too low: neither the lists of a node nor rows that hold them are broadcast."""
+    rng = random.Random(4)
+    nodes = [(i, 40 + i % 3, i % 5) for i in range(30)]
+    held = {(k, i): rng.choice([-1, k % 4]) for i, _, _ in nodes for k in rng.sample(range(25), 12)}
+    join = object.__new__(jaccard_join._Join)
+    join.spark, join.percent, join.bound = spark, 80, 10
+    join.nodes = spark.createDataFrame([(i, n, bytes([i] * 8)) for i, n, _ in nodes], "node long, n long, cells binary")
+    found = [(2, i, None, k, nodes[i][1], at) for (k, i), at in held.items()] + [(0, 1, 2, None, None, None)]
+    join.found = spark.createDataFrame(found, "kind int, a long, b long, key long, n long, place long")
+    known = spark.createDataFrame([(i, c) for i, _, c in nodes if c], "node long, component long")
+    met = []
+
+    def seen(percent, bound, best):
+        def run(table):
+            of = table.to_pylist()
+            met = [(r["a"], hash((r["key"], r["n"], r["place"], r["component"], r["cells"][0], *sorted(r["earlier"])))) for r in of]
+            return pa.table({"a": pa.array([x for x, _ in met], pa.int64()), "b": pa.array([y for _, y in met], pa.int64())})
+
+        return run
+
+    monkeypatch.setattr(jaccard_join, "_crossing", seen)
+    pairs = join._pairs_of_long_lists(known, 0)
+    assert "BroadcastExchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    component = {i: c or i for i, _, c in nodes}
+    mixed = {k for k in range(25) if len({component[i] for x, i in held if x == k}) > 1}
+    for (k, i), at in held.items():
+        if k in mixed:
+            before = sorted(x for (x, j), place in held.items() if j == i and x in mixed and (place, x) < (at, k))
+            met.append((i, hash((k, nodes[i][1], at, component[i], i, *before))))
+    assert sorted(map(tuple, pairs.collect())) == sorted(met) and len(met) > 300
+
+
 def test_prefixes_meet():
     """Sets at the threshold share a key, whether enumerated or scanned."""
     assert [jaccard_join.prefix_length(n, 80) for n in (1, 4, 5, 9, 10, 300)] == [1, 1, 2, 2, 3, 61]
